@@ -1,0 +1,64 @@
+"""Scans of the file formats: each query writes a table in the format and reads it back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query, table
+from marketspark import schemas
+from marketspark.session import scratch_path
+from marketspark.sources import files, store
+
+
+@query("companies_xml", """
+    select s_name as ticker, 'a&b <' || s_suppkey || '>' as ticker_name, lpad(s_suppkey::varchar, 8, '0') as cid from supplier
+""")
+def companies_xml(spark, folder):
+    path = scratch_path(spark, "companies")
+    table(spark, folder, "supplier").select(
+        F.col("s_name").alias("Ticker"),
+        F.concat(F.lit("a&b <"), F.col("s_suppkey").cast("string"), F.lit(">")).alias("Ticker_Name"),
+        F.lpad(F.col("s_suppkey").cast("string"), 8, "0").alias("CID"),
+    ).write.format("xml").option("rootTag", "Companies").option("rowTag", "Company").save(path)
+    return files.read_companies(spark, path).drop("ordinal")
+
+
+@query("train_jsonl", """
+    select role as instruction, text as input, case when turn % 2 = 0 then turn::varchar end as response
+    from conversations
+""")
+def train_jsonl(spark, folder):
+    path = scratch_path(spark, "train")
+    rows = table(spark, folder, "conversations").select(
+        F.col("role").alias("instruction"), F.col("text").alias("input"),
+        F.when(F.col("turn") % 2 == 0, F.col("turn").cast("string")).alias("response"),
+    )
+    store.write_jsonl(rows, path)
+    return files.read_train_jsonl(spark, path)
+
+
+@query("bad_jsonl_lines", """
+    select '{"instruction": broken ' || conv_id || '-' || turn as line from conversations where role = 'user'
+""")
+def bad_jsonl_lines(spark, folder):
+    path = scratch_path(spark, "broken")
+    rows = table(spark, folder, "conversations")
+    good = F.to_json(F.struct(F.col("role").alias("instruction"), F.col("text").alias("input")))
+    broken = F.concat(
+        F.lit('{"instruction": broken '), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")
+    )
+    rows.select(F.when(F.col("role") == "user", broken).otherwise(good).alias("value")).write.text(path)
+    return files.bad_rows(files.read_jsonl(spark, path, schemas.TRAIN_JSONL))
+
+
+@query("test_csv", """
+    select conv_id || chr(10) || text || ' "' || role || '", ' || turn as prompt, role as target from conversations
+""")
+def test_csv(spark, folder):
+    path = scratch_path(spark, "test")
+    prompt = F.concat(
+        F.col("conv_id").cast("string"), F.lit("\n"), "text", F.lit(' "'), "role", F.lit('", '), F.col("turn").cast("string")
+    )
+    rows = table(spark, folder, "conversations").select(prompt.alias("Prompt"), F.col("role").alias("Target"))
+    store.write_csv(rows, path)
+    return files.read_test_csv(spark, path)

@@ -1,0 +1,300 @@
+"""Histories, option chains and price features."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from catalog import query, r6, table
+from marketspark import schemas
+from marketspark.operators import features, reshape
+from marketspark.plans import market as plans
+from marketspark.session import scratch_path
+from marketspark.sources import files, store
+
+KEY = {"key": "ticker", "order": ["ts", "event_id"]}
+ASSET_OF_STATUS = {"F": schemas.STOCK, "P": schemas.ETF, "O": schemas.INDEX}
+
+
+def series(spark: SparkSession, folder: str) -> DataFrame:
+    """The events as price series: ticker, ts, event_id, close_price."""
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias("ticker"), "ts", "event_id", F.col("value").alias("close_price")
+    )
+
+
+def hot_series(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows with a third of them under one ticker."""
+    hot = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("ticker"))
+    return series(spark, folder).withColumn("ticker", hot.cast("bigint"))
+
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    asset = F.lit(None).cast("string")
+    for code, name in ASSET_OF_STATUS.items():
+        asset = F.when(status == code, name).otherwise(asset)
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ordinal"),
+        F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("ticker"),
+        asset.alias("asset_type"),
+        F.col("o_orderdate").cast("date").alias("trade_date"),
+        F.col("o_totalprice").alias("price"),
+    )
+
+
+@query("history_tagged_union", """
+    select o_orderkey as ordinal, o_totalprice as close_price, null::double as closing_price, 'Stock' as asset_type
+      from orders where o_orderstatus = 'F' and o_orderdate between date '2000-01-01' and date '2001-01-01'
+    union all
+    select o_orderkey, o_totalprice, null, 'ETF'
+      from orders where o_orderstatus = 'P' and o_orderdate between date '2000-01-01' and date '2001-01-01'
+    union all
+    select o_orderkey, null, o_totalprice, 'Index'
+      from orders where o_orderstatus = 'O' and o_orderdate between date '1996-01-01' and date '1998-12-31'
+""")
+def history_tagged_union(spark, folder):
+    rows = _orders(spark, folder)
+
+    def part(asset_type, start, end, price):
+        chosen = rows.where((F.col("asset_type") == asset_type) & files.in_dates("trade_date", start, end))
+        return reshape.tag(chosen.select("ordinal", F.col("price").alias(price)), asset_type=asset_type)
+
+    year = ("2000-01-01", "2001-01-01")
+    return reshape.union_all(
+        part(schemas.STOCK, *year, "close_price"),
+        part(schemas.ETF, *year, "close_price"),
+        part(schemas.INDEX, "1996-01-01", "1998-12-31", "closing_price"),
+    )
+
+
+@query("history_by_asset", """
+    select o_orderkey as ordinal, 'T' || o_custkey as ticker, o_totalprice as price, 'ETF' as asset_type
+    from orders where o_orderstatus = 'P'
+""")
+def history_by_asset(spark, folder):
+    path = scratch_path(spark, "history")
+    store.write_store(_orders(spark, folder), path)
+    history, _ = store.get_data(spark, path, path, schemas.ETF)
+    return history.select("ordinal", "ticker", "price", "asset_type")
+
+
+@query("history_source", """
+    select o_orderkey as ordinal, 'T' || o_custkey as ticker, o_totalprice as price,
+           case o_orderstatus when 'F' then 'Stock' when 'P' then 'ETF' else 'Index' end as asset_type
+    from orders
+    where (o_orderstatus in ('F', 'P') and o_orderdate between date '2000-06-30' and date '2001-06-30')
+       or (o_orderstatus = 'O' and o_orderdate between date '1996-01-01' and date '1998-12-31')
+""")
+def history_source(spark, folder):
+    path = scratch_path(spark, "landed-history")
+    _orders(spark, folder).write.parquet(path)
+    jobs = {schemas.STOCK: None, schemas.ETF: None, schemas.INDEX: None}
+    return plans.ingest_history(
+        spark, path, jobs, start="1996-01-01", end="1998-12-31", as_of="2001-06-30"
+    ).select("ordinal", "ticker", "price", "asset_type")
+
+
+CHAIN_COLUMNS = {
+    "symbol": "l_orderkey", "strike_price": "l_linenumber", "calls_ltp": "l_extendedprice",
+    "puts_ltp": "l_quantity", "calls_iv": "l_discount", "puts_iv": "l_tax",
+    "calls_oi": "l_partkey", "puts_oi": "l_suppkey", "calls_volume": "l_quantity",
+    "puts_volume": "l_linenumber",
+}
+
+
+def _wide_chain(spark: SparkSession, folder: str) -> DataFrame:
+    lines = table(spark, folder, "lineitem")
+    text = {"symbol"}
+    return lines.select(
+        F.date_format("l_shipdate", "dd-MM-yyyy").alias("fetch_time"),
+        F.lit("28-12-2001").alias("expiry_date"),
+        *[
+            F.col(source).cast("string" if name in text else "double").alias(name)
+            for name, source in CHAIN_COLUMNS.items()
+        ],
+    )
+
+
+CHAIN_SQL = """
+    with wide as (select strftime(l_shipdate, '%d-%m-%Y') as date, l_orderkey::varchar as ticker,
+                         l_linenumber::double as strike_price, '28-12-2001' as expiry_date, * from lineitem)
+    select date, ticker, strike_price, expiry_date, 'call' as option_type, l_extendedprice as option_close_price,
+           l_discount as implied_volatility, l_partkey::double as open_interest, l_quantity as volume,
+           null::double as delta, null::double as gamma, null::double as theta, null::double as vega from wide
+    union all
+    select date, ticker, strike_price, expiry_date, 'put', l_quantity, l_tax, l_suppkey::double,
+           l_linenumber::double, null, null, null, null from wide
+"""
+
+
+@query("chain_unpivot", CHAIN_SQL)
+def chain_unpivot(spark, folder):
+    return reshape.unpivot_chain(_wide_chain(spark, folder))
+
+
+@query("chain_source", f"select *, 'Stock' as asset_type from ({CHAIN_SQL}) where ticker in ('1', '7', '33')")
+def chain_source(spark, folder):
+    path = scratch_path(spark, "landed-chain")
+    _wide_chain(spark, folder).write.parquet(path)
+    return plans.ingest_options(spark, path, {schemas.STOCK: ["1", "7", "33"]})
+
+
+@query("history_join_options", """
+    select o_orderkey as ticker, o_totalprice as price, l_linenumber::bigint as strike, l_extendedprice as option_price
+    from orders left join lineitem on o_orderkey = l_orderkey
+""")
+def history_join_options(spark, folder):
+    history = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ticker"), F.col("o_totalprice").alias("price")
+    )
+    options = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("ticker"), F.col("l_linenumber").cast("bigint").alias("strike"),
+        F.col("l_extendedprice").alias("option_price"),
+    )
+    return reshape.history_join_options(
+        history, options, on=["ticker"], option_key=["ticker", "strike", "option_price"]
+    )
+
+
+@query("history_join_options_hot", """
+    select o_orderkey as ticker, o_totalprice as price, l_linenumber::bigint as strike, l_extendedprice as option_price
+    from orders left join (select case when l_linenumber <= 2 then 1 else l_orderkey end as k, * from lineitem)
+      on o_orderkey = k
+""")
+def history_join_options_hot(spark, folder):
+    history = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ticker"), F.col("o_totalprice").alias("price")
+    )
+    options = table(spark, folder, "lineitem").select(
+        F.when(F.col("l_linenumber") <= 2, F.lit(1)).otherwise(F.col("l_orderkey")).cast("bigint").alias("ticker"),
+        F.col("l_linenumber").cast("bigint").alias("strike"),
+        F.col("l_extendedprice").alias("option_price"),
+    )
+    return reshape.history_join_options(
+        history, options, on=["ticker"], option_key=["ticker", "strike", "option_price"], rows=1000
+    )
+
+
+def _series_sql(columns: str, source: str = "events", extra: str = "") -> str:
+    return f"""
+        with s as (select *, value - lag(value) over (partition by user_id order by ts, event_id) as diff from {source})
+        select event_id, {columns} from s
+        window w as (partition by user_id order by ts, event_id),
+               w7 as (partition by user_id order by ts, event_id rows between 6 preceding and current row),
+               w14 as (partition by user_id order by ts, event_id rows between 13 preceding and current row),
+               w30 as (partition by user_id order by ts, event_id rows between 29 preceding and current row)
+    """
+
+
+LAGS_SQL = "lag(value, 1) over w as lag1_close, lag(value, 3) over w as lag3_close"
+SMA_SQL = """case when count(value) over w7 >= 7 then round(avg(value) over w7, 6) + 0.0 end as sma_7,
+    case when count(value) over w30 >= 30 then round(avg(value) over w30, 6) + 0.0 end as sma_30"""
+VOLATILITY_SQL = "case when count(value) over w30 >= 30 then round(stddev_samp(value) over w30, 6) + 0.0 end as volatility"
+RSI_SQL = """case when count(diff) over w14 >= 14
+    and sum(greatest(diff, 0)) over w14 + sum(greatest(-diff, 0)) over w14 > 0
+    then round(100 * sum(greatest(diff, 0)) over w14
+        / (sum(greatest(diff, 0)) over w14 + sum(greatest(-diff, 0)) over w14), 6) + 0.0 end as rsi"""
+TARGET_SQL = """case when lead(value) over w > value then 'bullish'
+    when lead(value) over w is not null then 'bearish' end as target"""
+SENTIMENT_SQL = """round(avg(case event_type when 'purchase' then 1.0 when 'error' then -1.0 else 0.0 end)
+    over w7, 6) + 0.0 as sentiment_rolling"""
+HOT_EVENTS = "(select * replace (case when event_id % 3 = 0 then -1 else user_id end as user_id) from events)"
+PRICE_COLUMNS = ("lag1_close", "lag3_close", "sma_7", "sma_30", "volatility", "rsi")
+
+
+def _price(spark, folder, *columns):
+    out = features.price_features(series(spark, folder), **KEY)
+    return out.select("event_id", *[r6(c).alias(c) for c in columns])
+
+
+@query("feat_lags", _series_sql(LAGS_SQL))
+def feat_lags(spark, folder):
+    return _price(spark, folder, "lag1_close", "lag3_close")
+
+
+@query("feat_sma", _series_sql(SMA_SQL))
+def feat_sma(spark, folder):
+    return _price(spark, folder, "sma_7", "sma_30")
+
+
+@query("feat_volatility", _series_sql(VOLATILITY_SQL))
+def feat_volatility(spark, folder):
+    return _price(spark, folder, "volatility")
+
+
+@query("feat_rsi", _series_sql(RSI_SQL))
+def feat_rsi(spark, folder):
+    return _price(spark, folder, "rsi")
+
+
+@query("feat_hot_series", _series_sql(", ".join((LAGS_SQL, SMA_SQL, VOLATILITY_SQL, RSI_SQL, TARGET_SQL)), HOT_EVENTS))
+def feat_hot_series(spark, folder):
+    rows = features.price_features(hot_series(spark, folder), **KEY, rows=500)
+    rows = features.target(rows, **KEY, rows=500)
+    return rows.select("event_id", *[r6(c).alias(c) for c in PRICE_COLUMNS], "target")
+
+
+MACD_CTE = """
+    with recursive s as (
+        select user_id, event_id, value, row_number() over (partition by user_id order by ts, event_id) as rn from events
+    ), m as (
+        select user_id, event_id, rn, value as e12, value as e26, 0.0::double as sig from s where rn = 1
+        union all
+        select s.user_id, s.event_id, s.rn,
+               m.e12 * 11 / 13 + s.value * 2 / 13, m.e26 * 25 / 27 + s.value * 2 / 27,
+               m.sig * 0.8 + 0.2 * ((m.e12 * 11 / 13 + s.value * 2 / 13) - (m.e26 * 25 / 27 + s.value * 2 / 27))
+        from m join s on s.user_id = m.user_id and s.rn = m.rn + 1
+    )"""
+
+
+@query("feat_macd", MACD_CTE + """
+    select event_id, round(e12 - e26, 6) + 0.0 as macd, round(sig, 6) + 0.0 as macd_signal from m
+""")
+def feat_macd(spark, folder):
+    return features.macd(series(spark, folder), **KEY).select(
+        "event_id", r6("macd").alias("macd"), r6("macd_signal").alias("macd_signal")
+    )
+
+
+def _with_sentiment(spark, folder):
+    """Series with the mood of each row's event type."""
+    mood = F.when(F.col("event_type") == "purchase", 1.0).when(F.col("event_type") == "error", -1.0).otherwise(0.0)
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias("ticker"), "ts", "event_id", F.col("value").alias("close_price"),
+        mood.alias("sentiment"),
+    )
+
+
+@query("feat_sentiment", _series_sql(SENTIMENT_SQL))
+def feat_sentiment(spark, folder):
+    rows = features.sentiment_rolling(_with_sentiment(spark, folder), **KEY, sentiment="sentiment")
+    return rows.select("event_id", r6("sentiment_rolling").alias("sentiment_rolling"))
+
+
+@query("feat_target", _series_sql(TARGET_SQL))
+def feat_target(spark, folder):
+    return features.target(series(spark, folder), **KEY).select("event_id", "target")
+
+
+def _text(column: str) -> str:
+    return f"regexp_replace(round({column}, 3)::decimal(38, 3)::varchar, '(\\.\\d+?)0+$', '\\1')"
+
+
+@query("feat_prompt", f"""
+    with f as ({_series_sql(", ".join((LAGS_SQL, SMA_SQL, VOLATILITY_SQL, RSI_SQL, SENTIMENT_SQL)))})
+    select event_id, concat_ws(', ',
+        'Lag1_ClosePrice: ' || {_text('lag1_close')}, 'Lag3_ClosePrice: ' || {_text('lag3_close')},
+        '7-day SMA: ' || {_text('sma_7')}, '30-day SMA: ' || {_text('sma_30')},
+        'Volatility: ' || {_text('volatility')}, 'RSI: ' || {_text('rsi')},
+        'Sentiment Rolling: ' || {_text('sentiment_rolling')}) || '.' as prompt
+    from f
+""")
+def feat_prompt(spark, folder):
+    rows = features.price_features(_with_sentiment(spark, folder), **KEY)
+    rows = features.sentiment_rolling(rows, **KEY, sentiment="sentiment")
+    rounded = rows.select(
+        "event_id", *[r6(c).alias(c) for c in features.PROMPT_LABELS if c in rows.columns]
+    )
+    line = features.feature_text(rounded, end=".", digits=3)
+    return rounded.select("event_id", line.alias("prompt"))

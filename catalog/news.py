@@ -1,0 +1,135 @@
+"""Companies, links and articles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query, table
+from marketspark.operators import news
+from marketspark.operators.news import ArticleRule
+
+PAGE_RULE = ArticleRule(summary=("title", None))
+HREFS = r"""regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)"""
+DECODED = "replace(replace(replace(replace({}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+
+
+@query("company_lookup", """
+    select s_suppkey, s_nationkey::varchar as ticker, n_name as ticker_name, n_regionkey::varchar as cid,
+           'https://economictimes.indiatimes.com/' || n_name || '/stocks/companyid-' || n_regionkey || '.cms' as url
+    from supplier left join nation on s_nationkey = n_nationkey and n_nationkey % 5 <> 0
+""")
+def company_lookup(spark, folder):
+    tickers = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("ticker"))
+    companies = table(spark, folder, "nation").where(F.col("n_nationkey") % 5 != 0).select(
+        F.col("n_nationkey").alias("ordinal"), F.col("n_nationkey").cast("string").alias("ticker"),
+        F.col("n_name").alias("ticker_name"), F.col("n_regionkey").cast("string").alias("cid"),
+    )
+    return news.company_urls(news.company_lookup(tickers, companies))
+
+
+@query("company_first", """
+    select c_custkey, arg_min(p_name, p_partkey) as ticker_name, arg_min(p_brand, p_partkey) as cid
+    from customer left join part on c_custkey % 60 = p_size group by 1
+""")
+def company_first(spark, folder):
+    tickers = table(spark, folder, "customer").select(
+        "c_custkey", (F.col("c_custkey") % 60).cast("int").alias("ticker")
+    )
+    companies = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("ordinal"), F.col("p_size").alias("ticker"),
+        F.col("p_name").alias("ticker_name"), F.col("p_brand").alias("cid"),
+    )
+    return news.company_lookup(tickers, companies).drop("ticker")
+
+
+@query("page_title", f"""
+    select page_id, {DECODED.format("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')")} as title,
+           'No date available' as date,
+           {DECODED.format("regexp_extract(html, '<title>(.*?)</title>', 1, 's')")} as content
+    from pages
+""")
+def page_title(spark, folder):
+    return news.extract_articles(table(spark, folder, "pages"), PAGE_RULE, keep=["page_id"])
+
+
+@query("page_links", f"""
+    with l as (select page_id, unnest({HREFS}) as href from pages)
+    select page_id, 'https://site.example' || href as link from l where href like '%e' and href <> '/the'
+""")
+def page_links(spark, folder):
+    links = news.extract_links(
+        table(spark, folder, "pages"), keep=["page_id"], suffix="e", blocked=["/the"], base="https://site.example"
+    )
+    return links.drop("link_no")
+
+
+@query("page_pattern_links", f"""
+    with l as (select page_id, unnest({HREFS}) as link from pages)
+    select page_id, link from l where link not in ('/the', '/and')
+""")
+def page_pattern_links(spark, folder):
+    links = news.extract_links(
+        table(spark, folder, "pages"), keep=["page_id"], pattern=r'<a\s[^>]*href="([^"]*)"', suffix=None,
+        blocked=["/the", "/and"],
+    )
+    return links.drop("link_no")
+
+
+@query("page_first_link", f"select page_id, ({HREFS})[1] as link from pages where len({HREFS}) > 0")
+def page_first_link(spark, folder):
+    return news.more_link(table(spark, folder, "pages"), keep=["page_id"], cls=None)
+
+
+@query("page_story_links", f"""
+    with l as (select page_id, {HREFS} as links from pages)
+    select page_id, unnest(generate_series(0, len(links) - 1))::int as link_no, unnest(links) as link from l
+""")
+def page_story_links(spark, folder):
+    return news.extract_story_links(
+        table(spark, folder, "pages"), keep=["page_id"], container=("li", None), suffix=None, base=""
+    )
+
+
+@query("page_headlines", f"""
+    select page_id, null::varchar as date, regexp_extract(html, '<a\\s[^>]*>(.*?)</a>', 1, 's') as title,
+           {DECODED.format("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')")} as description,
+           'https://www.google.com' || ({HREFS})[1] as url
+    from pages where len({HREFS}) > 0
+""")
+def page_headlines(spark, folder):
+    cards = news.extract_headlines(
+        table(spark, folder, "pages"), keep=["page_id"], card=("body", None), text=("h1", None)
+    )
+    return cards.drop("card_no")
+
+
+@query("page_paragraphs")
+def page_paragraphs(spark, folder):
+    rule = ArticleRule(body=("article", None))
+    return news.extract_articles(table(spark, folder, "pages"), rule, keep=["page_id", "url"])
+
+
+LINKED_SQL = f"""
+    with l as (select page_id, unnest({HREFS}) as link, unnest(generate_series(0, len({HREFS}) - 1)) as link_no from pages),
+    landed as (select link, min(page_id) as target from (select ({HREFS})[1] as link, page_id from pages) group by 1)
+    select l.page_id, l.link_no::int as link_no, l.link as url, t.page_id as target,
+           {DECODED.format("regexp_extract(t.html, '<h1[^>]*>(.*?)</h1>', 1, 's')")} as title
+    from l join landed using (link) join pages t on t.page_id = landed.target
+"""
+
+
+@query("link_articles", LINKED_SQL)
+def link_articles(spark, folder):
+    """Links of every page joined to the page known by that address: the one whose first link it is."""
+    pages = table(spark, folder, "pages")
+    first = news.more_link(pages, keep=["page_id", "html"], cls=None)
+    landed = first.groupBy(F.col("link").alias("url")).agg(
+        F.min_by(F.struct(F.col("page_id").alias("target"), "html"), "page_id").alias("t")
+    )
+    # the target id travels in front of the markup, so that it can be shown
+    marked = landed.select("url", F.concat(F.col("t.target").cast("string"), F.lit("|"), "t.html").alias("html"))
+    links = news.extract_links(pages, keep=["page_id"], suffix=None)
+    joined = news.join_articles(links, marked, row_key=["page_id", "link_no"], rows=20)
+    return news.extract_articles(
+        joined, PAGE_RULE, keep=["page_id", "link_no", "url", F.split("html", r"\|", 2)[0].cast("bigint").alias("target")]
+    ).drop("date", "content")

@@ -1,0 +1,175 @@
+"""Prompt texts, splits, balancing, scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from catalog import query, table
+from marketspark.operators import prompts, sampling, scoring
+from marketspark.plans import evaluation as plans
+
+HEADER = "Below is an instruction that describes a task, paired with an input that provides further context. " \
+    "Write a response that appropriately completes the request."
+NL = "chr(10)"
+
+
+@query("prompt_train", f"""
+    select conv_id, turn, '{HEADER}' || {NL} || {NL} || '### Instruction:' || {NL} || role || {NL} || {NL}
+        || '### Input:' || {NL} || text || {NL} || {NL} || '### Response:' || {NL}
+        || coalesce(case when turn % 2 = 0 then turn::varchar end, 'None') || '</s>' as text
+    from conversations
+""")
+def prompt_train(spark, folder):
+    rows = table(spark, folder, "conversations").select(
+        "conv_id", "turn", F.col("role").alias("instruction"), F.col("text").alias("input"),
+        F.when(F.col("turn") % 2 == 0, F.col("turn")).alias("response"),
+    )
+    return prompts.train_text(rows, eos="</s>").select("conv_id", "turn", "text")
+
+
+TASK = "Given the following market data. Return strictly a single word as prediction value which is ''bullish'' " \
+    "if the market is absolutely ''bullish'' or ''bearish'' if the market is absolutely ''bearish''.\", # instruction"
+
+
+def _eval_sql(value: str) -> str:
+    return (
+        f"'{HEADER}' || {NL} || {NL} || '### Instruction:' || {NL} || '{TASK}' || {NL} || {NL} || '### Input:' || {NL}"
+        f" || {value} || {NL} || {NL} || '### Response:' || {NL}"
+    )
+
+
+@query("prompt_eval", f"select event_id, {_eval_sql('props')} as text from events")
+def prompt_eval(spark, folder):
+    return table(spark, folder, "events").select("event_id", prompts.eval_text("props").alias("text"))
+
+
+@query("extract_response", """
+    with g as (select conv_id, turn, case role when 'user' then text || ' ### Response: ' || chr(10) || text || chr(10)
+                      when 'assistant' then '### Response:' || text || '### Response: twice' else text end as p
+               from conversations)
+    select conv_id, turn, regexp_replace(split_part(p, '### Response:', 2), '^\\s+|\\s+$', '', 'g') as response from g
+""")
+def extract_response(spark, folder):
+    text, role = F.col("text"), F.col("role")
+    generated = F.when(role == "user", F.concat(text, F.lit(" ### Response: \n"), text, F.lit("\n"))).when(
+        role == "assistant", F.concat(F.lit("### Response:"), text, F.lit("### Response: twice"))
+    ).otherwise(text)
+    return table(spark, folder, "conversations").select(
+        "conv_id", "turn", prompts.extract_response(generated).alias("response")
+    )
+
+
+@query("split_exact", """
+    select doc_id, case when row_number() over (order by md5(concat_ws('-', doc_id, '42')))
+        <= ceil(0.2 * count(*) over ()) then 'test' else 'train' end as split from documents
+""")
+def split_exact(spark, folder):
+    return sampling.split_exact(table(spark, folder, "documents").select("doc_id"), key=["doc_id"])
+
+
+@query("split_hash", """
+    select event_id, case when ('0x' || substr(md5(concat_ws('-', event_id, '42')), 1, 7))::bigint < 53687091
+        then 'test' else 'train' end as split from events
+""")
+def split_hash(spark, folder):
+    return sampling.split_hash(table(spark, folder, "events").select("event_id"), key=["event_id"])
+
+
+def _oversample_sql(source: str, label: str, key: str) -> str:
+    return f"""
+        with sizes as (select {label} as label, count(*) as n from {source} group by 1),
+        short as (select label, n, (select max(n) from sizes) - n as need from sizes where n < (select max(n) from sizes)),
+        draws as (select label, n, unnest(range(1, need + 1)) as k from short),
+        picks as (select label, ('0x' || substr(md5(concat_ws('-', label, k, '42')), 1, 15))::bigint % n as place from draws),
+        placed as (select *, row_number() over (partition by {label}
+            order by ('0x' || substr(md5(concat_ws('-', {key}, '42')), 1, 15))::bigint, {key}) - 1 as place from {source})
+        select {key}, {label} from {source}
+        union all
+        select placed.{key}, placed.{label} from picks join placed on placed.{label} = picks.label and placed.place = picks.place
+    """
+
+
+@query("oversample", _oversample_sql("labels", "quality", "doc_id"))
+def oversample(spark, folder):
+    rows = table(spark, folder, "labels").select("doc_id", "quality")
+    return sampling.oversample(rows, label="quality", key=["doc_id"])
+
+
+@query("oversample_classes", _oversample_sql("orders", "o_orderstatus", "o_orderkey"))
+def oversample_classes(spark, folder):
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.oversample(rows, label="o_orderstatus", key=["o_orderkey"], draw_rows=500)
+
+
+@query("head_row", "select doc_id, lang from documents order by doc_id limit 1")
+def head_row(spark, folder):
+    return sampling.head(table(spark, folder, "documents").select("doc_id", "lang"), order=["doc_id"])
+
+
+@query("sample_rows", """
+    select event_id, event_type from events order by md5(concat_ws('-', event_id, '42')), event_id limit 5000
+""")
+def sample_rows(spark, folder):
+    rows = table(spark, folder, "events").select("event_id", "event_type")
+    return sampling.take_sample(rows, 5000, key=["event_id"])
+
+
+@query("batch_score", """
+    select doc_id, case when contains(text, ' the ') then 'bullish' else 'bearish' end as prediction from documents
+""")
+def batch_score(spark, folder):
+    def make_rule():
+        """A stand-in model: a text with ' the ' in it is bullish."""
+        import numpy as np
+
+        return lambda texts: np.array(["bullish" if " the " in t else "bearish" for t in texts], dtype=object)
+
+    rows = table(spark, folder, "documents").select("doc_id", "text")
+    return scoring.batch_predict(rows, make_predict_fn=make_rule, input_col="text").select("doc_id", "prediction")
+
+
+@query("score_prompts", """
+    select conv_id, turn, case when contains(text, ' the ') then 'bullish' else 'bearish' end as prediction
+    from conversations
+""")
+def score_prompts(spark, folder):
+    def make_echo():
+        """A stand-in model that repeats its prompt and answers by ' the ' in the input."""
+        import numpy as np
+
+        def predict(texts):
+            bullish = [" the " in t.split("### Input:")[1] for t in texts]
+            return np.array([t + ("\nbullish \n" if b else "bearish") for t, b in zip(texts, bullish)], dtype=object)
+
+        return predict
+
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", F.col("text").alias("prompt"))
+    return plans.score(rows, make_predict_fn=make_echo).select("conv_id", "turn", "prediction")
+
+
+@query("training_set", """
+    with rows as (select conv_id * 100 + turn as id, role as instruction, text as input, case when turn %% 3 = 0 then 'bullish'
+                         else 'bearish' end as response from conversations),
+    marked as (select *, row_number() over (order by md5(concat_ws('-', id, '42'))) > ceil(0.2 * count(*) over ()) as train
+               from rows),
+    texts as (select id, response, '%s' || chr(10) || chr(10) || '### Instruction:' || chr(10) || instruction || chr(10)
+              || chr(10) || '### Input:' || chr(10) || input || chr(10) || chr(10) || '### Response:' || chr(10)
+              || response || '</s>' as text from marked where train),
+    sizes as (select response as label, count(*) as n from texts group by 1),
+    short as (select label, n, (select max(n) from sizes) - n as need from sizes where n < (select max(n) from sizes)),
+    draws as (select label, n, unnest(range(1, need + 1)) as k from short),
+    picks as (select label, ('0x' || substr(md5(concat_ws('-', label, k, '42')), 1, 15))::bigint %% n as place from draws),
+    placed as (select *, row_number() over (partition by response
+        order by ('0x' || substr(md5(concat_ws('-', id, '42')), 1, 15))::bigint, id) - 1 as place from texts)
+    select text, response from texts
+    union all
+    select text, response from picks join placed on placed.response = picks.label and placed.place = picks.place
+""" % HEADER)
+def training_set(spark, folder):
+    rows = table(spark, folder, "conversations").select(
+        (F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("role").alias("instruction"),
+        F.col("text").alias("input"),
+        F.when(F.col("turn") % 3 == 0, "bullish").otherwise("bearish").alias("response"),
+    )
+    balanced, _ = plans.training_set(rows, eos="</s>", key=["id"])
+    return balanced

@@ -11,9 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.operators.ordering import (
-    BLOCK_ROWS, largest_group, moving, running_total,
-)
+from marketspark.operators.ordering import BLOCK_ROWS, moving, running_total
+from marketspark.session import shared_folder
 
 # The two labels and their codes, and the answer for a tie.
 POSITIVE, NEGATIVE, TIE = "bullish", "bearish", "neutral"
@@ -64,27 +63,20 @@ def _axis_labels(cells: DataFrame) -> list:
 def confusion_matrix(df: DataFrame, *, y: str, p: str, labels: Sequence | None = None) -> DataFrame:
     """Every (truth, predicted) cell of the label axis, zero cells too.
 
-    The axis is the sorted union of both columns unless ``labels`` names it. Each true label
-    brings its own row of the matrix, so no join is needed.
+    The axis is the sorted union of both columns unless ``labels`` names it; it is bounded, and
+    the raw rows have been combined to their cells before they meet it.
     """
     cells = confusion_cells(df, y=y, p=p)
     labels = _axis_labels(cells) if labels is None else list(labels)
     kind = df.schema[p].dataType
-    per_label = [
-        F.struct(
-            F.lit(label).cast(kind).alias("predicted"),
-            F.coalesce(F.sum(F.when(F.col("predicted") == label, F.col("n"))), F.lit(0)).alias("n"),
-        )
-        for label in labels
-    ]
-    axis = cells.sparkSession.createDataFrame([(x,) for x in labels], f"truth {df.schema[y].dataType.simpleString()}")
-    rows = cells.groupBy("truth").agg(F.array(*per_label).alias("cells"))
-    empty = F.array(*[
-        F.struct(F.lit(label).cast(kind).alias("predicted"), F.lit(0).cast("bigint").alias("n"))
-        for label in labels
-    ])
-    matrix = F.broadcast(axis).join(rows, "truth", "left")
-    return matrix.select("truth", F.inline(F.coalesce("cells", empty)))
+    def axis(column: str) -> Column:
+        kind = df.schema[column].dataType.simpleString()
+        return F.explode(F.array(*[F.lit(label) for label in labels]).cast(f"array<{kind}>"))
+
+    one = df.sparkSession.range(0, 1, 1, 1)
+    matrix = one.select(axis(y).alias("truth")).select("truth", axis(p).alias("predicted"))
+    counted = matrix.join(cells, ["truth", "predicted"], "left")
+    return counted.select("truth", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -170,21 +162,26 @@ def class_report(df: DataFrame, *, y: str, p: str) -> DataFrame:
 
 
 def _score_counts(df: DataFrame, y: str, score: str, positive) -> DataFrame:
-    """Positives and negatives per distinct score, with the running counts from the top score."""
+    """Positives and negatives per distinct score, written once: a curve passes over it often."""
     usable = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
     hit = F.col(y) == positive
-    return usable.groupBy(F.col(score).alias("threshold")).agg(
+    counts = usable.groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
-    ).withColumn("_rank", -F.col("threshold"))
+    )
+    shared_folder(df.sparkSession)
+    return counts.withColumn("_rank", -F.col("threshold")).checkpoint()
 
 
-def _curve(df: DataFrame, y: str, score: str, positive, block_rows: int, reduced: bool) -> DataFrame:
+def _curve(
+    df: DataFrame, y: str, score: str, positive, block_rows: int, reduced: bool = False
+) -> tuple[DataFrame, int, int]:
+    """(running counts from the top score down, positives, negatives)."""
     counts = _score_counts(df, y, score, positive)
-    largest = largest_group(counts)
-    running = running_total(
-        counts, {"tps": F.col("pos"), "fps": F.col("neg")}, order=["_rank"], largest=largest,
-        block_rows=block_rows,
-    )
+    size, positives, negatives = counts.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
+    ).first()
+    same = {"order": ["_rank"], "largest": size, "block_rows": block_rows}
+    running = running_total(counts, {"tps": F.col("pos"), "fps": F.col("neg")}, **same)
     if reduced:
         def corners(part: DataFrame, w) -> DataFrame:
             turns = (F.lead("pos").over(w) != F.col("pos")) | (F.lead("neg").over(w) != F.col("neg"))
@@ -192,20 +189,9 @@ def _curve(df: DataFrame, y: str, score: str, positive, block_rows: int, reduced
             return part.withColumn("_corner", first | F.coalesce(turns, F.lit(True)))
 
         running = moving(
-            running, corners, order=["_rank"], before=1, after=1, rows=max(2, block_rows),
-            largest=largest, block_rows=block_rows,
+            running, corners, before=1, after=1, rows=max(2, block_rows), **same
         ).where("_corner").drop("_corner")
-    return running.drop("_rank")
-
-
-def _totals(df: DataFrame, y: str, score: str, positive) -> dict[str, Column]:
-    """Number of positives and negatives as scalar subqueries."""
-    hit = F.col(y) == positive
-    usable = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
-    return {
-        "p": usable.agg(F.count_if(hit)).scalar(),
-        "n": usable.agg(F.count_if(~hit)).scalar(),
-    }
+    return running.drop("_rank"), positives, negatives
 
 
 def roc_points(
@@ -216,11 +202,11 @@ def roc_points(
 
     ``drop_intermediate`` leaves out the points on a straight line between their neighbours.
     """
-    total = _totals(df, y, score, positive)
-    points = _curve(df, y, score, positive, block_rows, drop_intermediate).select(
+    curve, positives, negatives = _curve(df, y, score, positive, block_rows, drop_intermediate)
+    points = curve.select(
         "threshold",
-        _ratio(F.col("fps"), total["n"]).alias("fpr"),
-        _ratio(F.col("tps"), total["p"]).alias("tpr"),
+        _ratio(F.col("fps"), F.lit(negatives)).alias("fpr"),
+        _ratio(F.col("tps"), F.lit(positives)).alias("tpr"),
     )
     start = df.sparkSession.range(1).select(
         F.lit(None).cast(df.schema[score].dataType).alias("threshold"),
@@ -233,12 +219,10 @@ def roc_auc(
     df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Area under the ROC points; equal scores count one half."""
+    curve, positives, negatives = _curve(df, y, score, positive, block_rows)
     area = F.col("neg") * (2 * F.col("tps") - F.col("pos")).cast("double") / 2
-    curve = _curve(df, y, score, positive, block_rows, False)
     return curve.agg(
-        F.try_divide(
-            F.sum(area), F.sum("pos").cast("double") * F.sum("neg").cast("double")
-        ).alias("roc_auc")
+        F.try_divide(F.sum(area), F.lit(float(positives) * float(negatives))).alias("roc_auc")
     )
 
 
@@ -246,11 +230,11 @@ def pr_points(
     df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """(threshold, precision, recall) per distinct score and the end (null, 1, 0)."""
-    total = _totals(df, y, score, positive)
-    points = _curve(df, y, score, positive, block_rows, False).select(
+    curve, positives, _ = _curve(df, y, score, positive, block_rows)
+    points = curve.select(
         "threshold",
         _ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("precision"),
-        _ratio(F.col("tps"), total["p"]).alias("recall"),
+        _ratio(F.col("tps"), F.lit(positives)).alias("recall"),
     )
     end = df.sparkSession.range(1).select(
         F.lit(None).cast(df.schema[score].dataType).alias("threshold"),
@@ -263,11 +247,9 @@ def average_precision(
     df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Sum of recall steps times precision, without interpolation."""
+    curve, positives, _ = _curve(df, y, score, positive, block_rows)
     step = F.col("pos") * F.col("tps").cast("double") / (F.col("tps") + F.col("fps"))
-    curve = _curve(df, y, score, positive, block_rows, False)
-    return curve.agg(
-        F.try_divide(F.sum(step), F.sum("pos").cast("double")).alias("average_precision")
-    )
+    return curve.agg(F.try_divide(F.sum(step), F.lit(float(positives))).alias("average_precision"))
 
 
 def _vote(up: Column, down: Column, positive: str, negative: str) -> Column:

@@ -173,14 +173,17 @@ def prompt_features(
 
 def number_text(value: Column, digits: int = 6) -> Column:
     """A plain decimal, rounded, with at least one digit after the point (``1178.3``, ``0.0``)."""
-    fixed = F.round(value, digits).cast(f"decimal(38,{digits})").cast("string")
+    fixed = F.round(value, digits).try_cast(f"decimal(38,{digits})").cast("string")
+    fixed = F.coalesce(fixed, value.cast("string"))
     return F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1")
 
 
-def feature_text(df: DataFrame, labels: dict[str, str] = PROMPT_LABELS, *, end: str = "") -> Column:
+def feature_text(
+    df: DataFrame, labels: dict[str, str] = PROMPT_LABELS, *, end: str = "", digits: int = 6
+) -> Column:
     """``Name: value, Name: value`` over the labelled columns that ``df`` has; nulls are left out."""
     parts = [
-        F.concat(F.lit(f"{label}: "), number_text(F.col(name)))
+        F.concat(F.lit(f"{label}: "), number_text(F.col(name), digits))
         for name, label in labels.items() if name in df.columns
     ]
     return F.concat(F.concat_ws(", ", *parts), F.lit(end))

@@ -77,25 +77,26 @@ def company_urls(df: DataFrame, template: str = COMPANY_PAGE, name: str = "url")
     return df.withColumn(name, fill_template(template, **slots))
 
 
-def _kept(links: Column, suffix: str | None, blocked: Sequence[str]) -> Column:
-    if suffix:
-        links = F.filter(links, lambda h: h.endswith(suffix))
-    if blocked:
-        links = F.filter(links, lambda h: ~h.isin(list(blocked)))
-    return links
-
-
 def extract_links(
     pages: DataFrame, *, keep: Sequence[str], cls: str | None = None, pattern: str | None = None,
     suffix: str | None = ANCHOR_SUFFIX, blocked: Sequence[str] = (), base: str = "",
 ) -> DataFrame:
-    """One row per link of a page (``link_no`` from 0): anchors of a class, or group 1 of ``pattern``."""
+    """One row per link of a page (``link_no`` from 0): anchors of a class, or group 1 of ``pattern``.
+
+    A pattern gives the raw text of the page, an anchor its decoded link.
+    """
     if pattern:
-        links = F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
+        found = F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
     else:
-        links = H.anchors(H.visible(F.col("html")), cls)
-    links = F.posexplode(_kept(links, suffix, blocked)).alias("link_no", "link")
-    return pages.select(*keep, links).withColumn("link", resolve(base, F.col("link")))
+        found = H.anchors(H.visible(F.col("html")), cls)
+    links = pages.select(*keep, F.posexplode(found).alias("link_no", "link"))
+    if not pattern:
+        links = links.withColumn("link", H.unescape(F.col("link")))
+    if suffix:
+        links = links.where(F.col("link").endswith(suffix))
+    if blocked:
+        links = links.where(~F.col("link").isin(list(blocked)))
+    return links.withColumn("link", resolve(base, F.col("link")))
 
 
 def extract_story_links(
@@ -103,13 +104,12 @@ def extract_story_links(
     suffix: str | None = STORY_SUFFIX, base: str = ET_BASE,
 ) -> DataFrame:
     """The first anchor of each story container, if it has a link with the suffix."""
-    tag, cls = container
-    elements = H.elements_in(F.col("html"), tag, cls, ("a",))
-    rows = pages.select(*keep, F.posexplode(elements).alias("link_no", "a"))
-    rows = rows.select(*keep, "link_no", "a.container", "a.tag", F.col("a.href").alias("link"))
-    # link_no counts anchors in page order; the first of a container follows another container's
-    rows = rows.groupBy(*keep, "container").agg(F.min_by(F.struct("tag", "link"), "link_no").alias("f"))
-    rows = rows.select(*keep, F.col("container").alias("link_no"), "f.link")
+    elements = H.elements_in(F.col("html"), *container, ("a",))
+    firsts = F.filter(
+        "_e", lambda e, i: (i == 0) | (F.get(F.col("_e"), i - 1)["container"] != e["container"])
+    )
+    rows = pages.select(*keep, elements.alias("_e")).select(*keep, F.explode(firsts).alias("a"))
+    rows = rows.select(*keep, F.col("a.container").alias("link_no"), F.col("a.href").alias("link"))
     kept = rows.where(F.col("link").isNotNull())
     if suffix:
         kept = kept.where(F.col("link").endswith(suffix))
@@ -120,7 +120,7 @@ def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_L
     """The link of the first such anchor; pages without it are left out."""
     anchor = H.first_tag(H.visible(F.col("html")), "a", cls)
     found = pages.select(*keep, H.attribute(anchor, "href").alias("link"))
-    return found.where(F.col("link").isNotNull())
+    return found.where(F.col("link").isNotNull()).withColumn("link", H.unescape(F.col("link")))
 
 
 def join_articles(

@@ -3,12 +3,13 @@
 A Spark window sends each group to one task. That is right while groups are small, so every
 operator here first asks for the size of the biggest group (one narrow count; pass ``largest``
 when you know it). Only when a group is over the limit is it cut: into *blocks* at sampled
-values of the order column, for running totals, positions and fills, or into *pieces* of a
+values of the order columns, for running totals, positions and fills, or into *pieces* of a
 fixed number of rows with a margin of neighbours, for moving windows. The cut points decide
 only where a group is divided; every row is kept and the results do not depend on them.
 
-``order`` is a list of columns, ascending with nulls first, unique within a group. The first
-one places the cuts and must be numeric, a date or a timestamp when a cut is needed.
+``order`` is a list of columns, ascending with nulls first, together unique within a group. A
+column that has to place cuts must be numeric, a date or a timestamp: the first one, and the
+next one where very many rows share a value of the first.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ import functools
 import math
 import operator
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,15 +29,25 @@ from marketspark.session import shared_folder
 
 BLOCK_ROWS = 1_000_000
 MAX_BLOCKS = 8192
+SAMPLES_PER_BLOCK = 256
 BROADCAST_CELLS = 4_000_000
 
 BLOCK = "_block"
+CUT = "_cut"
+TIED = "_tied"
 POSITION = "_pos"
 PIECE = "_piece"
 AXIS = "_axis"
 CUTS = "_cuts"
 
 
+class Blocked(NamedTuple):
+    """Rows with ``_block`` and ``_cut`` (is the group divided?), and a bound on the cut blocks."""
+
+    df: DataFrame
+    blocks: int
+
+
 def largest_group(df: DataFrame, by: Sequence[str] = ()) -> int:
     """Rows in the biggest group; only one number reaches the driver."""
     if not by:
@@ -44,11 +56,6 @@ def largest_group(df: DataFrame, by: Sequence[str] = ()) -> int:
     return sizes.agg(F.max("n")).first()[0] or 0
 
 
-def same_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    """Join condition over ``on`` in which null equals null."""
-    return functools.reduce(operator.and_, [left[c].eqNullSafe(right[c]) for c in on])
-
-
 def keyed_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Null-safe equi-join that keeps the key columns of ``left``."""
     renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
@@ -71,21 +78,23 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric, a date or a timestamp")
 
 
-def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int):
-    """Block limits of the big groups, from a hash sample of the axis.
+def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int) -> tuple[DataFrame, int, int]:
+    """(rows with the ``_cuts`` of their group, cuts per group, bound on all blocks).
 
-    Quantiles of a sample may differ between two runs of the same plan, so the limits are
-    frozen (collected when there is one group, checkpointed otherwise) before use.
+    The cuts are quantiles of a hash sample of ``_axis``. Quantiles may differ between two runs
+    of the same plan, so they are frozen before use: collected for a single group (at most
+    ``MAX_BLOCKS`` numbers), checkpointed otherwise.
     """
     parts = min(math.ceil(largest / block_rows) + 1, MAX_BLOCKS)
-    every = max(1, largest // (parts * 256))
+    every = max(1, largest // (parts * SAMPLES_PER_BLOCK))
     sample = df.select(*by, AXIS).where(F.col(AXIS).isNotNull())
     if every > 1:
-        sample = sample.where(F.pmod(F.xxhash64(AXIS), F.lit(every)) == 0)
+        sample = sample.where(F.pmod(F.xxhash64(AXIS, *_tie_breakers(df)), F.lit(every)) == 0)
     shares = [i / parts for i in range(1, parts)]
     cuts = F.percentile_approx(AXIS, shares, max(10_000, 16 * parts)).alias(CUTS)
     if not by:
-        return parts, sample.agg(cuts).first()[0] or []
+        found = sample.agg(cuts).first()[0] or []
+        return df.withColumn(CUTS, F.lit(found)), parts, 2 * parts
     limits = (
         sample.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_n"), cuts)
@@ -94,32 +103,82 @@ def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int)
     )
     shared_folder(df.sparkSession)
     limits = limits.checkpoint()
-    if limits.count() * parts <= BROADCAST_CELLS:
+    cells = limits.count() * parts
+    if cells <= BROADCAST_CELLS:
         limits = F.broadcast(limits)
-    return parts, limits
+    return keyed_join(df, limits, by), parts, 2 * cells
 
 
-def _cuts_up_to(value: Column, cuts: Column, parts: int) -> Column:
-    """How many ascending ``cuts`` are <= value, by halving steps."""
+def _tie_breakers(df: DataFrame) -> list[str]:
+    """Later order columns, so that rows that share an axis value are sampled one by one."""
+    return [c for c in df.columns if c.startswith("_tie_")]
+
+
+def _count_cuts(cuts: Column, parts: int, passed: Callable[[Column], Column]) -> Column:
+    """How many of the ascending ``cuts`` are passed, by halving steps."""
     steps = [1 << i for i in reversed(range(parts.bit_length()))]
     return F.aggregate(
         F.lit(steps),
         F.lit(0),
-        lambda found, step: F.when(F.get(cuts, found + step - 1) <= value, found + step).otherwise(found),
+        lambda found, step: F.when(passed(F.get(cuts, found + step - 1)), found + step).otherwise(found),
+    )
+
+
+def _divide(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int, block_rows: int) -> Blocked:
+    """Blocks along ``order[0]``. A value that is a cut gets a block of its own (``_tied``)."""
+    ties = {f"_tie_{i}": F.col(c) for i, c in enumerate(order[1:])}
+    placed, parts, blocks = _cut_points(
+        df.withColumn(AXIS, _axis(df, order[0])).withColumns(ties), by, largest, block_rows
     )
+    value, cuts = F.col(AXIS), F.col(CUTS)
+    below = F.coalesce(_count_cuts(cuts, parts, lambda c: c < value), F.lit(0))
+    upto = F.coalesce(_count_cuts(cuts, parts, lambda c: c <= value), F.lit(0))
+    placed = placed.withColumns({"_below": below, "_upto": upto})
+    divided = placed.withColumns({
+        BLOCK: (F.col("_below") + F.col("_upto")).cast("bigint"),
+        TIED: F.col("_below") < F.col("_upto"),
+        CUT: cuts.isNotNull(),
+    })
+    return Blocked(divided.drop(AXIS, CUTS, "_below", "_upto", *ties), blocks)
 
 
 def with_blocks(
     df: DataFrame, *, order: Sequence[str], by: Sequence[str] = (), largest: int,
     block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Add ``_block``: contiguous runs of each group in ``order``, of about ``block_rows`` rows."""
-    placed = df.withColumn(AXIS, _axis(df, order[0]))
-    parts, cuts = _cut_points(placed, by, largest, block_rows)
-    if not by:
-        return placed.withColumn(BLOCK, _cuts_up_to(F.col(AXIS), F.lit(cuts), parts)).drop(AXIS)
-    block = F.coalesce(_cuts_up_to(F.col(AXIS), F.col(CUTS), parts), F.lit(0))
-    return keyed_join(placed, cuts, by).withColumn(BLOCK, block).drop(AXIS, CUTS)
+) -> Blocked:
+    """Add ``_block``: contiguous runs of each group in ``order``, of about ``block_rows`` rows.
+
+    A block of one shared value of ``order[0]`` that is still too big is divided along the next
+    order column in the same way.
+    """
+    done = _divide(df, order, by, largest, block_rows)
+    if len(order) == 1:
+        return Blocked(done.df.drop(TIED), done.blocks)
+    tied = done.df.where(TIED)
+    crowd = largest_group(tied, [*by, BLOCK])
+    if crowd <= 2 * block_rows:
+        return Blocked(done.df.drop(TIED), done.blocks)
+    outer = done.df.withColumnsRenamed({BLOCK: "_outer", CUT: "_outer_cut", TIED: "_outer_tied"})
+    inner_order = [*order[1:]]
+    # rows of mixed values stay in their block: without an axis value they pass no inner cut
+    lead = f"_own_{inner_order[0]}"
+    outer = outer.withColumn(lead, F.when(F.col("_outer_tied"), F.col(inner_order[0])))
+    inner = with_blocks(
+        outer, order=[lead, *inner_order[1:]], by=[*by, "_outer"], largest=crowd, block_rows=block_rows
+    )
+    both = inner.df.withColumn(BLOCK, F.col("_outer") * (4 * MAX_BLOCKS) + F.col(BLOCK)).withColumn(
+        CUT, F.col("_outer_cut")
+    )
+    return Blocked(
+        both.drop("_outer", "_outer_cut", "_outer_tied", lead), done.blocks + inner.blocks
+    )
+
+
+def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
+    """Join what earlier blocks left to the rows of each later block; few rows, bound known."""
+    if blocks <= BROADCAST_CELLS:
+        carried = F.broadcast(carried)
+    return keyed_join(local, carried, [*by, BLOCK])
 
 
 def running_total(
@@ -132,18 +191,17 @@ def running_total(
     upto = (Window.unboundedPreceding, Window.currentRow)
     if largest <= block_rows:
         return df.withColumns({k: F.sum(v).over(whole.rowsBetween(*upto)) for k, v in totals.items()})
-    blocked = with_blocks(df, order=order, by=by, largest=largest, block_rows=block_rows)
+    blocked, blocks = with_blocks(df, order=order, by=by, largest=largest, block_rows=block_rows)
     inside = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(*upto)
     earlier = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocked.groupBy(*by, BLOCK).agg(*[F.sum(v).alias(k) for k, v in totals.items()])
-    starts = starts.select(
+    sums = blocked.where(CUT).groupBy(*by, BLOCK).agg(*[F.sum(v).alias(k) for k, v in totals.items()])
+    starts = sums.select(
         *by, BLOCK, *[F.sum(k).over(earlier).alias(f"_start_{k}") for k in totals]
     )
     local = blocked.withColumns({k: F.sum(v).over(inside) for k, v in totals.items()})
-    joined = keyed_join(local, starts, [*by, BLOCK])
-    return joined.withColumns(
+    return _bring(local, starts, by, blocks).withColumns(
         {k: F.col(k) + F.coalesce(F.col(f"_start_{k}"), F.lit(0)) for k in totals}
-    ).drop(BLOCK, *[f"_start_{k}" for k in totals])
+    ).drop(BLOCK, CUT, *[f"_start_{k}" for k in totals])
 
 
 def with_positions(
@@ -168,24 +226,23 @@ def last_known(
     if largest <= block_rows:
         w = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in columns})
-    blocked = with_blocks(df, order=order, by=by, largest=largest, block_rows=block_rows)
+    blocked, blocks = with_blocks(df, order=order, by=by, largest=largest, block_rows=block_rows)
     inside = (
         Window.partitionBy(*by, BLOCK).orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    ends = blocked.groupBy(*by, BLOCK).agg(
+    ends = blocked.where(CUT).groupBy(*by, BLOCK).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns]
     )
     ends = ends.select(
         *by, BLOCK, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_prev_{c}") for c in columns]
     )
     local = blocked.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
-    joined = keyed_join(local, ends, [*by, BLOCK])
-    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_prev_{c}")) for c in columns}).drop(
-        BLOCK, *[f"_prev_{c}" for c in columns]
-    )
+    return _bring(local, ends, by, blocks).withColumns(
+        {c: F.coalesce(F.col(c), F.col(f"_prev_{c}")) for c in columns}
+    ).drop(BLOCK, CUT, *[f"_prev_{c}" for c in columns])
 
 
 def moving(

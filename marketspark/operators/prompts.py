@@ -32,9 +32,9 @@ def train_text(
     return df.withColumn(name, F.concat(*pieces, F.lit(eos)))
 
 
-def eval_text(prompt: Column) -> Column:
+def eval_text(prompt: Column | str) -> Column:
     """Evaluation text around a line of market data."""
-    return F.concat(F.lit(EVAL_PARTS[0]), as_text(prompt), F.lit(EVAL_PARTS[1]))
+    return F.concat(F.lit(EVAL_PARTS[0]), as_text(F.col(prompt) if isinstance(prompt, str) else prompt), F.lit(EVAL_PARTS[1]))
 
 
 def extract_response(generated: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import BLOCK_ROWS
-from marketspark.operators.skew import salted_join
+from marketspark.operators.skew import hot_keys, salted_join
 from marketspark.schemas import CHAIN_FIELDS, CHAIN_SIDES, OPTIONAL_FIELDS
 
 
@@ -68,10 +68,14 @@ def history_join_options(
 ) -> DataFrame:
     """Every history row with its option rows, or with nulls. ``history`` is unique over ``on``.
 
-    The option rows are the side that can be hot, so they are spread over salts; history rows
-    without options are found apart, by an anti join with the distinct keys.
+    The option rows are the side that can be hot. If they are, they are spread over salts, and
+    history rows without options are found apart, by an anti join with the distinct keys.
     """
     on = list(on)
-    matched = salted_join(options, history, on, "inner", row_key=option_key, rows=rows)
+    hot = hot_keys(options, on, row_key=option_key, rows=rows)
+    if hot is None:
+        return history.join(options, on, "left")
+    matched = salted_join(options, history, on, "inner", row_key=option_key, rows=rows, hot=hot)
     alone = history.join(options.select(*on).distinct(), on, "left_anti")
-    return matched.unionByName(alone, allowMissingColumns=True)
+    columns = [*history.columns, *[c for c in options.columns if c not in on]]
+    return alone.unionByName(matched, allowMissingColumns=True).select(*columns)

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import with_positions
+from marketspark.operators.skew import small_side
 from marketspark.session import shared_folder
 
 PREFIX = 4
 FEW = 50_000
 DRAW_ROWS = 1_000_000
+MAX_DRAW_TASKS = 20_000
 
 
 def row_token(key: Sequence[str], seed: int) -> Column:
@@ -103,22 +105,24 @@ def oversample(
     short = sizes.where(F.col("_n") < top).select(
         F.col(label), "_n", (F.lit(top) - F.col("_n")).alias("_need"),
     ).withColumn("_salts", F.ceil(F.col("_need") / F.col("_n") / draw_rows))
-    largest = short.agg(F.max("_n")).first()[0]
+    chunk_count = F.ceil(F.col("_need") / draw_rows)
+    largest, chunks = short.agg(F.max("_n"), F.sum(chunk_count)).first()
     if largest is None:
         return df.select(*columns)
 
-    chunks = short.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_need") - 1) / draw_rows)))
-    ).repartition(label, "_chunk")
+    # a given number of partitions, which Spark does not merge for being small before the explode
+    chunked = short.withColumn(
+        "_chunk", F.explode(F.sequence(F.lit(0), chunk_count - 1))
+    ).repartition(min(chunks, MAX_DRAW_TASKS), label, "_chunk")
     last = F.least(F.col("_need"), (F.col("_chunk") + 1) * draw_rows)
-    draws = chunks.withColumn("_draw", F.explode(F.sequence(F.col("_chunk") * draw_rows + 1, last)))
+    draws = chunked.withColumn("_draw", F.explode(F.sequence(F.col("_chunk") * draw_rows + 1, last)))
     pick = F.md5(F.concat_ws("-", F.col(label).cast("string"), F.col("_draw").cast("string"), F.lit(str(seed))))
     draws = draws.select(
         F.col(label).alias("_label"),
         F.pmod(_number(pick, 15), F.col("_n")).alias("_place"),
         F.pmod(F.col("_draw"), F.col("_salts")).alias("_salt"),
     )
-    minority = df.join(short.select(label, "_salts"), label).withColumn(
+    minority = df.join(small_side(short.select(label, "_salts")), label).withColumn(
         "_token", _number(row_token(key, seed), 15)
     )
     placed = with_positions(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketspark.operators.ordering import BLOCK_ROWS, keyed_join
 
 SMALL_ROWS = 100_000
+SAMPLED = 1000
 SALT = "_salt"
 COPIES = "_copies"
 
@@ -21,22 +22,39 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return df
 
 
+def hot_keys(
+    df: DataFrame, on: Sequence[str], *, row_key: Sequence[str], rows: int = BLOCK_ROWS
+) -> DataFrame | None:
+    """Keys of about ``rows`` rows or more with the number of salts for each, or None.
+
+    Counted on a hash sample by ``row_key``: it decides only how rows are spread, and the sample
+    is the same in every run.
+    """
+    every = max(1, rows // SAMPLED)
+    sample = df.select(*on, *[c for c in row_key if c not in on])
+    if every > 1:
+        sample = sample.where(F.pmod(F.xxhash64(*row_key), F.lit(every)) == 0)
+    sizes = sample.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_n")).where(F.col("_n") >= rows)
+    if sizes.isEmpty():
+        return None
+    return small_side(sizes.select(*on, (F.floor(F.col("_n") / rows) + 1).alias(COPIES)))
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", *,
-    row_key: Sequence[str], rows: int = BLOCK_ROWS,
+    row_key: Sequence[str], rows: int = BLOCK_ROWS, hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` join ``right`` (inner or left) with the hot keys of ``left`` spread over salts.
 
-    Rows of a key with more than ``rows`` rows get a salt from the hash of ``row_key`` (unique
-    per row, so a rerun gives the same salt); the matching ``right`` rows are repeated once per
-    salt. Keys below the limit are joined as they are.
+    Rows of a hot key get a salt from the hash of ``row_key`` (columns that tell rows apart, so a
+    rerun gives the same salt); the ``right`` rows of that key, which should be few, are repeated
+    once per salt. Other keys are joined as they are.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    sizes = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows)
-    if sizes.isEmpty():
+    hot = hot_keys(left, on, row_key=row_key, rows=rows) if hot is None else hot
+    if hot is None:
         return left.join(right, list(on), how)
-    hot = small_side(sizes.select(*on, F.ceil(F.col("_n") / rows).alias(COPIES)))
     spread = keyed_join(left, hot, on).withColumn(
         SALT, F.coalesce(F.pmod(F.xxhash64(*row_key), F.col(COPIES)), F.lit(0))
     ).drop(COPIES)

@@ -9,8 +9,15 @@ STOCK, ETF, INDEX = "Stock", "ETF", "Index"
 ASSET_TYPES = (STOCK, ETF, INDEX)
 
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "double": T.DoubleType(), "date": T.DateType(),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """``name type, name type`` without needing a session."""
+    pairs = (field.split() for field in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # XML elements of the company list; the CID stays text to keep leading zeros.
