@@ -40,9 +40,8 @@ def fill_defaults(spark, folder):
 
 def _gaps(spark, folder, hot=False):
     """Series in which error rows lack the price and click rows lack the type."""
-    rows = (hot_series if hot else series)(spark, folder)
-    types = table(spark, folder, "events").select("event_id", "event_type")
-    return rows.join(types, "event_id").select(
+    rows = (hot_series if hot else series)(spark, folder, "event_type")
+    return rows.select(
         "ticker", "ts", "event_id",
         F.when(F.col("event_type") != "error", F.col("close_price")).alias("close_price"),
         F.when(F.col("event_type") != "click", F.col("event_type")).alias("kind"),
@@ -66,7 +65,7 @@ def ffill_series(spark, folder):
 
 
 @query("ffill_hot_series", _fill_sql(
-    "partition by case when event_id % 3 = 0 then -1 else user_id end order by ts, event_id"
+    "partition by case when event_type in ('click', 'view') then -1 else user_id end order by ts, event_id"
 ))
 def ffill_hot_series(spark, folder):
     filled = cleaning.ffill(
@@ -166,7 +165,7 @@ NEWS_SQL = """
     with raw as (
         select doc_id, source as ticker, case when lang <> 'de' then lang || '  ' || source end as title,
                case when lang <> 'fr' then text end as content,
-               case when doc_id % 4 <> 0 then (doc_id % 28)::varchar end as date from documents
+               case when n_chars >= 500 then n_chars::varchar end as date from documents
     ), firsts as (
         select *, trim(regexp_replace(coalesce(title, 'None'), '\\s+', ' ', 'g')) as clean_title,
                row_number() over (partition by title, content order by doc_id) as n from raw
@@ -184,7 +183,7 @@ def preprocess_news(spark, folder):
         "doc_id", F.col("source").alias("ticker"),
         F.when(F.col("lang") != "de", F.concat("lang", F.lit("  "), "source")).alias("title"),
         F.when(F.col("lang") != "fr", F.col("text")).alias("content"),
-        F.when(F.col("doc_id") % 4 != 0, (F.col("doc_id") % 28).cast("string")).alias("date"),
+        F.when(F.col("n_chars") >= 500, F.col("n_chars").cast("string")).alias("date"),
     )
     return cleaning.clean_news(rows, order=["doc_id"]).drop("ticker")
 

@@ -24,14 +24,14 @@ def companies_xml(spark, folder):
 
 
 @query("train_jsonl", """
-    select role as instruction, text as input, case when turn % 2 = 0 then turn::varchar end as response
+    select role as instruction, text as input, case when role = 'assistant' then turn::varchar end as response
     from conversations
 """)
 def train_jsonl(spark, folder):
     path = scratch_path(spark, "train")
     rows = table(spark, folder, "conversations").select(
         F.col("role").alias("instruction"), F.col("text").alias("input"),
-        F.when(F.col("turn") % 2 == 0, F.col("turn").cast("string")).alias("response"),
+        F.when(F.col("role") == "assistant", F.col("turn").cast("string")).alias("response"),
     )
     store.write_jsonl(rows, path)
     return files.read_train_jsonl(spark, path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import query, r6, table
@@ -16,17 +16,19 @@ KEY = {"key": "ticker", "order": ["ts", "event_id"]}
 ASSET_OF_STATUS = {"F": schemas.STOCK, "P": schemas.ETF, "O": schemas.INDEX}
 
 
-def series(spark: SparkSession, folder: str) -> DataFrame:
+def series(spark: SparkSession, folder: str, *others: Column | str) -> DataFrame:
     """The events as price series: ticker, ts, event_id, close_price."""
     return table(spark, folder, "events").select(
-        F.col("user_id").alias("ticker"), "ts", "event_id", F.col("value").alias("close_price")
+        F.col("user_id").alias("ticker"), "ts", "event_id", F.col("value").alias("close_price"), *others
     )
 
 
-def hot_series(spark: SparkSession, folder: str) -> DataFrame:
-    """The same rows with a third of them under one ticker."""
-    hot = F.when(F.col("event_id") % 3 == 0, F.lit(-1)).otherwise(F.col("ticker"))
-    return series(spark, folder).withColumn("ticker", hot.cast("bigint"))
+def hot_series(spark: SparkSession, folder: str, *others: str) -> DataFrame:
+    """The same rows with two fifths of them, all clicks and views, under one ticker."""
+    hot = F.when(F.col("event_type").isin("click", "view"), F.lit(-1)).otherwise(F.col("user_id"))
+    return table(spark, folder, "events").select(
+        hot.cast("bigint").alias("ticker"), "ts", "event_id", F.col("value").alias("close_price"), *others
+    )
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,11 +135,11 @@ def chain_unpivot(spark, folder):
     return reshape.unpivot_chain(_wide_chain(spark, folder))
 
 
-@query("chain_source", f"select *, 'Stock' as asset_type from ({CHAIN_SQL}) where ticker in ('1', '7', '33')")
+@query("chain_source", f"select *, 'Stock' as asset_type from ({CHAIN_SQL})")
 def chain_source(spark, folder):
     path = scratch_path(spark, "landed-chain")
     _wide_chain(spark, folder).write.parquet(path)
-    return plans.ingest_options(spark, path, {schemas.STOCK: ["1", "7", "33"]})
+    return plans.ingest_options(spark, path, {schemas.STOCK: None, schemas.INDEX: None})
 
 
 @query("history_join_options", """
@@ -199,7 +201,7 @@ TARGET_SQL = """case when lead(value) over w > value then 'bullish'
     when lead(value) over w is not null then 'bearish' end as target"""
 SENTIMENT_SQL = """round(avg(case event_type when 'purchase' then 1.0 when 'error' then -1.0 else 0.0 end)
     over w7, 6) + 0.0 as sentiment_rolling"""
-HOT_EVENTS = "(select * replace (case when event_id % 3 = 0 then -1 else user_id end as user_id) from events)"
+HOT_EVENTS = "(select * replace (case when event_type in ('click', 'view') then -1 else user_id end as user_id) from events)"
 PRICE_COLUMNS = ("lag1_close", "lag3_close", "sma_7", "sma_30", "volatility", "rsi")
 
 
@@ -260,10 +262,7 @@ def feat_macd(spark, folder):
 def _with_sentiment(spark, folder):
     """Series with the mood of each row's event type."""
     mood = F.when(F.col("event_type") == "purchase", 1.0).when(F.col("event_type") == "error", -1.0).otherwise(0.0)
-    return table(spark, folder, "events").select(
-        F.col("user_id").alias("ticker"), "ts", "event_id", F.col("value").alias("close_price"),
-        mood.alias("sentiment"),
-    )
+    return series(spark, folder, mood.alias("sentiment"))
 
 
 @query("feat_sentiment", _series_sql(SENTIMENT_SQL))
@@ -281,20 +280,18 @@ def _text(column: str) -> str:
     return f"regexp_replace(round({column}, 3)::decimal(38, 3)::varchar, '(\\.\\d+?)0+$', '\\1')"
 
 
-@query("feat_prompt", f"""
-    with f as ({_series_sql(", ".join((LAGS_SQL, SMA_SQL, VOLATILITY_SQL, RSI_SQL, SENTIMENT_SQL)))})
+@query("feat_prompt", MACD_CTE + f""",
+    f as ({_series_sql(", ".join((LAGS_SQL, SMA_SQL, VOLATILITY_SQL, RSI_SQL, SENTIMENT_SQL))).replace("with s as", "with t as").replace("from s", "from t")})
     select event_id, concat_ws(', ',
         'Lag1_ClosePrice: ' || {_text('lag1_close')}, 'Lag3_ClosePrice: ' || {_text('lag3_close')},
         '7-day SMA: ' || {_text('sma_7')}, '30-day SMA: ' || {_text('sma_30')},
         'Volatility: ' || {_text('volatility')}, 'RSI: ' || {_text('rsi')},
+        'MACD: ' || {_text('round(e12 - e26, 6)')}, 'MACD Signal: ' || {_text('round(sig, 6)')},
         'Sentiment Rolling: ' || {_text('sentiment_rolling')}) || '.' as prompt
-    from f
+    from f join m using (event_id)
 """)
 def feat_prompt(spark, folder):
-    rows = features.price_features(_with_sentiment(spark, folder), **KEY)
-    rows = features.sentiment_rolling(rows, **KEY, sentiment="sentiment")
-    rounded = rows.select(
-        "event_id", *[r6(c).alias(c) for c in features.PROMPT_LABELS if c in rows.columns]
-    )
+    rows = features.prompt_features(_with_sentiment(spark, folder), **KEY, price="close_price", sentiment="sentiment")
+    rounded = rows.select("event_id", *[r6(c).alias(c) for c in features.PROMPT_LABELS])
     line = features.feature_text(rounded, end=".", digits=3)
     return rounded.select("event_id", line.alias("prompt"))

@@ -7,20 +7,27 @@ from pyspark.sql import functions as F
 from catalog import query, table
 from marketspark.operators import news
 from marketspark.operators.news import ArticleRule
+from marketspark.sources import files
 
 PAGE_RULE = ArticleRule(summary=("title", None))
 HREFS = r"""regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)"""
 DECODED = "replace(replace(replace(replace({}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
 
 
+def pages(spark, folder):
+    return files.read_pages(spark, f"{folder}/pages.parquet")
+
+
 @query("company_lookup", """
-    select s_suppkey, s_nationkey::varchar as ticker, n_name as ticker_name, n_regionkey::varchar as cid,
+    select s_suppkey, (s_nationkey + 3)::varchar as ticker, n_name as ticker_name, n_regionkey::varchar as cid,
            'https://economictimes.indiatimes.com/' || n_name || '/stocks/companyid-' || n_regionkey || '.cms' as url
-    from supplier left join nation on s_nationkey = n_nationkey and n_nationkey % 5 <> 0
+    from supplier left join nation on s_nationkey + 3 = n_nationkey
 """)
 def company_lookup(spark, folder):
-    tickers = table(spark, folder, "supplier").select("s_suppkey", F.col("s_nationkey").cast("string").alias("ticker"))
-    companies = table(spark, folder, "nation").where(F.col("n_nationkey") % 5 != 0).select(
+    tickers = table(spark, folder, "supplier").select(
+        "s_suppkey", (F.col("s_nationkey") + 3).cast("string").alias("ticker")
+    )
+    companies = table(spark, folder, "nation").select(
         F.col("n_nationkey").alias("ordinal"), F.col("n_nationkey").cast("string").alias("ticker"),
         F.col("n_name").alias("ticker_name"), F.col("n_regionkey").cast("string").alias("cid"),
     )
@@ -29,12 +36,10 @@ def company_lookup(spark, folder):
 
 @query("company_first", """
     select c_custkey, arg_min(p_name, p_partkey) as ticker_name, arg_min(p_brand, p_partkey) as cid
-    from customer left join part on c_custkey % 60 = p_size group by 1
+    from customer left join part on c_nationkey * 3 = p_size group by 1
 """)
 def company_first(spark, folder):
-    tickers = table(spark, folder, "customer").select(
-        "c_custkey", (F.col("c_custkey") % 60).cast("int").alias("ticker")
-    )
+    tickers = table(spark, folder, "customer").select("c_custkey", (F.col("c_nationkey") * 3).alias("ticker"))
     companies = table(spark, folder, "part").select(
         F.col("p_partkey").alias("ordinal"), F.col("p_size").alias("ticker"),
         F.col("p_name").alias("ticker_name"), F.col("p_brand").alias("cid"),
@@ -49,7 +54,7 @@ def company_first(spark, folder):
     from pages
 """)
 def page_title(spark, folder):
-    return news.extract_articles(table(spark, folder, "pages"), PAGE_RULE, keep=["page_id"])
+    return news.extract_articles(pages(spark, folder), PAGE_RULE, keep=["page_id"])
 
 
 @query("page_links", f"""
@@ -58,7 +63,7 @@ def page_title(spark, folder):
 """)
 def page_links(spark, folder):
     links = news.extract_links(
-        table(spark, folder, "pages"), keep=["page_id"], suffix="e", blocked=["/the"], base="https://site.example"
+        pages(spark, folder), keep=["page_id"], suffix="e", blocked=["/the"], base="https://site.example"
     )
     return links.drop("link_no")
 
@@ -69,7 +74,7 @@ def page_links(spark, folder):
 """)
 def page_pattern_links(spark, folder):
     links = news.extract_links(
-        table(spark, folder, "pages"), keep=["page_id"], pattern=r'<a\s[^>]*href="([^"]*)"', suffix=None,
+        pages(spark, folder), keep=["page_id"], pattern=r'<a\s[^>]*href="([^"]*)"', suffix=None,
         blocked=["/the", "/and"],
     )
     return links.drop("link_no")
@@ -77,7 +82,7 @@ def page_pattern_links(spark, folder):
 
 @query("page_first_link", f"select page_id, ({HREFS})[1] as link from pages where len({HREFS}) > 0")
 def page_first_link(spark, folder):
-    return news.more_link(table(spark, folder, "pages"), keep=["page_id"], cls=None)
+    return news.more_link(pages(spark, folder), keep=["page_id"], cls=None)
 
 
 @query("page_story_links", f"""
@@ -86,7 +91,7 @@ def page_first_link(spark, folder):
 """)
 def page_story_links(spark, folder):
     return news.extract_story_links(
-        table(spark, folder, "pages"), keep=["page_id"], container=("li", None), suffix=None, base=""
+        pages(spark, folder), keep=["page_id"], container=("li", None), suffix=None, base=""
     )
 
 
@@ -98,7 +103,7 @@ def page_story_links(spark, folder):
 """)
 def page_headlines(spark, folder):
     cards = news.extract_headlines(
-        table(spark, folder, "pages"), keep=["page_id"], card=("body", None), text=("h1", None)
+        pages(spark, folder), keep=["page_id"], card=("body", None), text=("h1", None)
     )
     return cards.drop("card_no")
 
@@ -106,7 +111,7 @@ def page_headlines(spark, folder):
 @query("page_paragraphs")
 def page_paragraphs(spark, folder):
     rule = ArticleRule(body=("article", None))
-    return news.extract_articles(table(spark, folder, "pages"), rule, keep=["page_id", "url"])
+    return news.extract_articles(pages(spark, folder), rule, keep=["page_id", "url"])
 
 
 LINKED_SQL = f"""
@@ -121,14 +126,14 @@ LINKED_SQL = f"""
 @query("link_articles", LINKED_SQL)
 def link_articles(spark, folder):
     """Links of every page joined to the page known by that address: the one whose first link it is."""
-    pages = table(spark, folder, "pages")
-    first = news.more_link(pages, keep=["page_id", "html"], cls=None)
+    landed_pages = pages(spark, folder)
+    first = news.more_link(landed_pages, keep=["page_id", "html"], cls=None)
     landed = first.groupBy(F.col("link").alias("url")).agg(
         F.min_by(F.struct(F.col("page_id").alias("target"), "html"), "page_id").alias("t")
     )
     # the target id travels in front of the markup, so that it can be shown
     marked = landed.select("url", F.concat(F.col("t.target").cast("string"), F.lit("|"), "t.html").alias("html"))
-    links = news.extract_links(pages, keep=["page_id"], suffix=None)
+    links = news.extract_links(landed_pages, keep=["page_id"], suffix=None)
     joined = news.join_articles(links, marked, row_key=["page_id", "link_no"], rows=20)
     return news.extract_articles(
         joined, PAGE_RULE, keep=["page_id", "link_no", "url", F.split("html", r"\|", 2)[0].cast("bigint").alias("target")]

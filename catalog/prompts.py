@@ -16,13 +16,13 @@ NL = "chr(10)"
 @query("prompt_train", f"""
     select conv_id, turn, '{HEADER}' || {NL} || {NL} || '### Instruction:' || {NL} || role || {NL} || {NL}
         || '### Input:' || {NL} || text || {NL} || {NL} || '### Response:' || {NL}
-        || coalesce(case when turn % 2 = 0 then turn::varchar end, 'None') || '</s>' as text
+        || coalesce(case when role = 'assistant' then turn::varchar end, 'None') || '</s>' as text
     from conversations
 """)
 def prompt_train(spark, folder):
     rows = table(spark, folder, "conversations").select(
         "conv_id", "turn", F.col("role").alias("instruction"), F.col("text").alias("input"),
-        F.when(F.col("turn") % 2 == 0, F.col("turn")).alias("response"),
+        F.when(F.col("role") == "assistant", F.col("turn")).alias("response"),
     )
     return prompts.train_text(rows, eos="</s>").select("conv_id", "turn", "text")
 
@@ -147,29 +147,34 @@ def score_prompts(spark, folder):
     return plans.score(rows, make_predict_fn=make_echo).select("conv_id", "turn", "prediction")
 
 
-@query("training_set", """
-    with rows as (select conv_id * 100 + turn as id, role as instruction, text as input, case when turn %% 3 = 0 then 'bullish'
-                         else 'bearish' end as response from conversations),
-    marked as (select *, row_number() over (order by md5(concat_ws('-', id, '42'))) > ceil(0.2 * count(*) over ()) as train
-               from rows),
-    texts as (select id, response, '%s' || chr(10) || chr(10) || '### Instruction:' || chr(10) || instruction || chr(10)
-              || chr(10) || '### Input:' || chr(10) || input || chr(10) || chr(10) || '### Response:' || chr(10)
-              || response || '</s>' as text from marked where train),
+@query("training_set", f"""
+    with marked as (
+        select *, case when role = 'assistant' then 'bullish' else 'bearish' end as response,
+               row_number() over (order by md5(concat_ws('-', conv_id, turn, '42'))) > ceil(0.2 * count(*) over ()) as train
+        from conversations
+    ),
+    texts as (
+        select conv_id, turn, response, '{HEADER}' || {NL} || {NL} || '### Instruction:' || {NL} || role || {NL} || {NL}
+            || '### Input:' || {NL} || text || {NL} || {NL} || '### Response:' || {NL} || response || '</s>' as text
+        from marked where train
+    ),
     sizes as (select response as label, count(*) as n from texts group by 1),
     short as (select label, n, (select max(n) from sizes) - n as need from sizes where n < (select max(n) from sizes)),
     draws as (select label, n, unnest(range(1, need + 1)) as k from short),
-    picks as (select label, ('0x' || substr(md5(concat_ws('-', label, k, '42')), 1, 15))::bigint %% n as place from draws),
-    placed as (select *, row_number() over (partition by response
-        order by ('0x' || substr(md5(concat_ws('-', id, '42')), 1, 15))::bigint, id) - 1 as place from texts)
+    picks as (select label, ('0x' || substr(md5(concat_ws('-', label, k, '42')), 1, 15))::bigint % n as place from draws),
+    placed as (
+        select *, row_number() over (partition by response
+            order by ('0x' || substr(md5(concat_ws('-', conv_id, turn, '42')), 1, 15))::bigint, conv_id, turn) - 1 as place
+        from texts
+    )
     select text, response from texts
     union all
     select text, response from picks join placed on placed.response = picks.label and placed.place = picks.place
-""" % HEADER)
+""")
 def training_set(spark, folder):
     rows = table(spark, folder, "conversations").select(
-        (F.col("conv_id") * 100 + F.col("turn")).alias("id"), F.col("role").alias("instruction"),
-        F.col("text").alias("input"),
-        F.when(F.col("turn") % 3 == 0, "bullish").otherwise("bearish").alias("response"),
+        "conv_id", "turn", F.col("role").alias("instruction"), F.col("text").alias("input"),
+        F.when(F.col("role") == "assistant", "bullish").otherwise("bearish").alias("response"),
     )
-    balanced, _ = plans.training_set(rows, eos="</s>", key=["id"])
+    balanced, _ = plans.training_set(rows, eos="</s>", key=["conv_id", "turn"])
     return balanced

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import keyed_join
@@ -13,9 +13,10 @@ from marketspark.operators.skew import small_side
 MAX_ONE_HOT = 1000
 
 
-def _fit(columns: Sequence[str]):
+def _fit(columns: Sequence[str]) -> list[Column]:
+    scale = {c: F.stddev_pop(c) for c in columns}
     return [F.avg(c).alias(f"_mean_{c}") for c in columns] + [
-        F.stddev_pop(c).alias(f"_sd_{c}") for c in columns
+        F.when(sd == 0, F.lit(1.0)).otherwise(sd).alias(f"_scale_{c}") for c, sd in scale.items()
     ]
 
 
@@ -29,17 +30,12 @@ def standardize(df: DataFrame, columns: Sequence[str], *, by: str | None = None)
     if by is None:
         fitted = df.agg(F.struct(*_fit(columns))).scalar()
         return df.withColumns({
-            c: (F.col(c) - fitted[f"_mean_{c}"])
-            / F.when(fitted[f"_sd_{c}"] == 0, F.lit(1.0)).otherwise(fitted[f"_sd_{c}"])
-            for c in columns
+            c: (F.col(c) - fitted[f"_mean_{c}"]) / fitted[f"_scale_{c}"] for c in columns
         })
     fits = small_side(df.groupBy(by).agg(*_fit(columns)))
-    joined = keyed_join(df, fits, [by])
-    return joined.withColumns({
-        c: (F.col(c) - F.col(f"_mean_{c}"))
-        / F.when(F.col(f"_sd_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"_sd_{c}"))
-        for c in columns
-    }).drop(*[f"_{kind}_{c}" for c in columns for kind in ("mean", "sd")])
+    return keyed_join(df, fits, [by]).withColumns({
+        c: (F.col(c) - F.col(f"_mean_{c}")) / F.col(f"_scale_{c}") for c in columns
+    }).drop(*[f"_{kind}_{c}" for c in columns for kind in ("mean", "scale")])
 
 
 def categories(df: DataFrame, column: str) -> list:

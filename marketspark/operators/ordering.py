@@ -74,7 +74,10 @@ def _axis(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(name)
     if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr("timestamp_ntz'1970-01-01'"), F.col(name))
+        # from its own fields, because a cast to a timestamp would bring in the session's time zone
+        seconds = F.hour(name) * 3600 + F.minute(name) * 60 + F.date_part(F.lit("SECOND"), F.col(name))
+        days = F.unix_date(F.to_date(name)).cast("bigint")
+        return days * 86_400_000_000 + (seconds * 1_000_000).cast("bigint")
     raise TypeError(f"order column {name} must be numeric, a date or a timestamp")
 
 

@@ -11,11 +11,13 @@ from marketspark.operators import features, prompts, reshape
 from marketspark.sources import files
 
 
+Jobs = Mapping[str, Sequence[str] | None]
+
+
 def ingest_history(
-    spark: SparkSession, path: str, jobs: Mapping[str, Sequence[str]], *, start: str, end: str,
-    as_of: str | None = None,
+    spark: SparkSession, path: str, jobs: Jobs, *, start: str, end: str, as_of: str | None = None
 ) -> DataFrame:
-    """Histories of all jobs (asset type -> tickers), tagged and put together."""
+    """Histories of all jobs (asset type -> tickers, None for all), put together."""
     frames = []
     for asset_type, tickers in jobs.items():
         limits = {"start": start, "end": end} if asset_type == schemas.INDEX else {"as_of": as_of}
@@ -25,11 +27,10 @@ def ingest_history(
     return reshape.union_all(*frames)
 
 
-def ingest_options(
-    spark: SparkSession, path: str, jobs: Mapping[str, Sequence[str]]
-) -> DataFrame:
+def ingest_options(spark: SparkSession, path: str, jobs: Jobs) -> DataFrame:
     """Long option chains of the stock tickers; other asset types have none."""
-    wide = files.read_option_chain(spark, path, tickers=jobs.get(schemas.STOCK, []))
+    tickers = jobs.get(schemas.STOCK, [])
+    wide = files.read_option_chain(spark, path, tickers=tickers)
     return reshape.tag(reshape.unpivot_chain(wide), asset_type=schemas.STOCK)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,9 +74,15 @@ def in_dates(column: str, start: str, end: str) -> Column:
     return F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
 
 
+def _landed(spark: SparkSession, skip_bad_files: bool) -> DataFrameReader:
+    """Parquet reader; with ``skip_bad_files`` a broken file counts as empty and the run goes on."""
+    return spark.read.option("ignoreCorruptFiles", skip_bad_files)
+
+
 def read_history(
     spark: SparkSession, path: str, *, asset_type: str, tickers: Sequence[str] | None = None,
     start: str | None = None, end: str | None = None, as_of: str | None = None, months: int = 12,
+    skip_bad_files: bool = False,
 ) -> DataFrame:
     """Landed price history of one asset type.
 
@@ -84,28 +90,30 @@ def read_history(
     the job, unless a range is given; Index takes the range ``start``..``end``.
     """
     check_asset_type(asset_type)
-    df = nan_to_null(spark.read.parquet(path)).where(F.col("asset_type") == asset_type)
+    df = _landed(spark, skip_bad_files).parquet(path).where(F.col("asset_type") == asset_type)
     if tickers is not None:
         df = df.where(F.col("ticker").isin(list(tickers)))
     if start is not None and end is not None:
-        return df.where(in_dates("trade_date", start, end))
+        return nan_to_null(df.where(in_dates("trade_date", start, end)))
     if asset_type == schemas.INDEX:
         raise ValueError("Index history needs start and end")
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    return df.where((F.col("trade_date") >= F.add_months(today, -months)) & (F.col("trade_date") <= today))
+    first = F.add_months(today, -months)
+    return nan_to_null(df.where((F.col("trade_date") >= first) & (F.col("trade_date") <= today)))
 
 
 def read_option_chain(
-    spark: SparkSession, path: str, *, tickers: Sequence[str] | None = None
+    spark: SparkSession, path: str, *, tickers: Sequence[str] | None = None,
+    skip_bad_files: bool = False,
 ) -> DataFrame:
     """Landed wide option chains, one row per snapshot and strike; absent greeks read as null."""
-    df = nan_to_null(spark.read.schema(schemas.OPTION_CHAIN_WIDE).parquet(path))
-    return df if tickers is None else df.where(F.col("symbol").isin(list(tickers)))
+    df = _landed(spark, skip_bad_files).schema(schemas.OPTION_CHAIN_WIDE).parquet(path)
+    return nan_to_null(df if tickers is None else df.where(F.col("symbol").isin(list(tickers))))
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, *, skip_bad_files: bool = False) -> DataFrame:
     """Landed raw pages."""
-    return spark.read.schema(schemas.PAGES).parquet(path)
+    return _landed(spark, skip_bad_files).schema(schemas.PAGES).parquet(path)
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
