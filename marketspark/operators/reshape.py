@@ -49,17 +49,24 @@ def unpivot_chain(
         "expiry_date": "expiry_date",
     }
 
-    def value(prefix: str, name: str, field: str) -> Column:
+    def source(prefix: str, name: str, field: str) -> Column:
         column = f"{prefix}{field}"
         if column not in df.columns and name in optional:
-            return F.lit(None).cast("double").alias(name)
-        return F.col(column).alias(name)
-
-    rows = [
-        F.struct(F.lit(side).alias("option_type"), *[value(p, n, f) for n, f in fields.items()])
-        for side, p in sides.items()
-    ]
-    return df.select(*[F.col(c).alias(n) for n, c in keys.items()], F.inline(F.array(*rows)))
+            return F.lit(None).cast("double")
+        return F.col(column)
+
+    def value(name: str, field: str) -> Column:
+        result = F.lit(None)
+        for side, prefix in sides.items():
+            result = F.when(F.col("_side") == side, source(prefix, name, field)).otherwise(result)
+        return result.alias(name)
+
+    # a field chosen by side, not an array of structs, so that unused input columns are not read
+    doubled = df.withColumn("_side", F.explode(F.array(*[F.lit(side) for side in sides])))
+    return doubled.select(
+        *[F.col(c).alias(n) for n, c in keys.items()], F.col("_side").alias("option_type"),
+        *[value(n, f) for n, f in fields.items()],
+    )
 
 
 def history_join_options(

@@ -1,0 +1,196 @@
+"""Pages of the three kinds of site, and paragraphs against a brute-force reading."""
+
+import html as plain_html
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from marketspark.functions import html as H
+from marketspark.functions.text import fill_template
+from marketspark.operators import news
+from marketspark.plans import news as plans
+
+ET = news.ET_BASE
+
+
+@pytest.fixture(scope="module")
+def companies(spark):
+    rows = [(1, "A", "a-ltd", "07"), (2, "A", "a-other", "8"), (3, "M&M", "m-ltd", "9")]
+    return spark.createDataFrame(rows, "ordinal bigint, ticker string, ticker_name string, cid string")
+
+
+@pytest.fixture(scope="module")
+def tickers(spark):
+    return spark.createDataFrame([("A",), ("M&M",), ("Z",)], "ticker string")
+
+
+def landed(spark, pages):
+    return spark.createDataFrame(list(pages.items()), "url string, html string")
+
+
+def rows(df, *columns):
+    return sorted(tuple(r[c] for c in columns) for r in df.collect())
+
+
+ARTICLE = """<html><!-- <h1 class="artTitle">no</h1> --><h1 class="big artTitle">T &amp; <b>{0}</b></h1>
+<time class="jsdtTime">Last Updated: Aug 5, 2024</time><script>var s = '<h2 class="summary">no</h2>'</script>
+<h2 class='summary x'>Sum {0}</h2></html>"""
+
+
+def test_first_company_wins_and_unknown_stays(companies, tickers):
+    found = news.company_urls(news.company_lookup(tickers, companies))
+    assert rows(found.where("ticker <> 'Z'"), "ticker", "cid", "url") == [
+        ("A", "07", f"{ET}/a-ltd/stocks/companyid-07.cms"), ("M&M", "9", f"{ET}/m-ltd/stocks/companyid-9.cms"),
+    ]
+    assert rows(found.where("ticker = 'Z'"), "cid", "url") == [(None, None)]
+
+
+def test_lookup_in_a_large_list_is_the_same(companies, tickers, monkeypatch):
+    monkeypatch.setattr(news, "small_side", lambda df: df)
+    assert rows(news.company_lookup(tickers, companies), "ticker")[0] == ("A",)
+
+
+def test_company_news(spark, companies, tickers):
+    pages = landed(spark, {
+        f"{ET}/a-ltd/stocks/companyid-07.cms": '<a class="x">n</a><a href="/list?a=1&amp;b=2" class="z full_btn">all</a>',
+        f"{ET}/m-ltd/stocks/companyid-9.cms": "<a href='/list'>no button</a>",
+        "/list?a=1&b=2": """<div class="eachStory"><div><a href="/s1.cms">1</a></div><a href="/s9.cms">9</a></div>
+            <div class="eachStory big"><p>no link</p></div><a href="/s8.cms">outside</a>
+            <div class="eachStory"><a href="/s2.html">wrong end</a></div>
+            <div class='eachStory'><a href="/s3.cms">3</a></div><div class="eachStoryX"><a href="/s7.cms">7</a></div>
+            <div class="eachStory"><a href="/s4.cms">gone</a></div><div class="eachStory"><a href="/s5.cms">5</a></div>""",
+        f"{ET}/s1.cms": ARTICLE.format(1),
+        f"{ET}/s3.cms": "<h2 class='summary'>only</h2>",
+        f"{ET}/s5.cms": "<h1 class='artTitle'>no body</h1>",
+        f"{ET}/s7.cms": ARTICLE.format(7), f"{ET}/s8.cms": ARTICLE.format(8), f"{ET}/s9.cms": ARTICLE.format(9),
+    })
+    out = plans.company_news(tickers, companies, pages)
+    assert rows(out, "ticker", "url", "title", "date", "content") == [
+        ("A", f"{ET}/s1.cms", "T & 1", "Last Updated: Aug 5, 2024", "Sum 1"),
+        ("A", f"{ET}/s3.cms", news.NO_TITLE, news.NO_DATE, "only"),
+    ]
+
+
+def test_company_updates(spark, companies, tickers):
+    pages = landed(spark, {
+        f"{ET}/m-ltd/stocksupdate/companyid-9.cms": '<div class="eachStory"><a href="/s1.cms">1</a></div>',
+        f"{ET}/s1.cms": ARTICLE.format(1),
+    })
+    assert rows(plans.company_updates(tickers, companies, pages), "ticker", "content") == [("M&M", "Sum 1")]
+
+
+YAHOO = """<h1>other</h1><h1 data-test-locator="headline">Big&nbsp;news</h1><time datetime="2024-08-05T10:11:12.000Z">x</time>
+<div class="caas-body"><p>One &lt;1&gt;</p><div><p>Two <i>b</i><script>no()</script></p></div></div><p>outside</p>"""
+
+
+def test_anchor_news(spark, tickers):
+    listing = """<a class="subtle-link x" href="https://y/1.html">1</a><a class="subtle-link" href="https://y/2.htm">2</a>
+        <a class="subtle-linked" href="https://y/3.html">3</a><a class="subtle-link">none</a>
+        <a href="https://policies.oath.com/us/en/oath/privacy/adinfo/index.html" class="subtle-link">ad</a>"""
+    pages = landed(spark, {
+        fill_url("A"): listing, "https://y/1.html": YAHOO, "https://y/3.html": YAHOO,
+        news.BLOCKED_LINKS[0]: YAHOO,
+    })
+    text = "One <1> Two b"
+    out = plans.anchor_news(tickers, pages)
+    assert rows(out, "url", "title", "date", "content") == [
+        (news.BLOCKED_LINKS[0], "Big\xa0news", "2024-08-05T10:11:12.000Z", text),
+        ("https://y/1.html", "Big\xa0news", "2024-08-05T10:11:12.000Z", text),
+    ]
+    # the pattern also takes a class that only contains the name, and needs the class first
+    assert rows(plans.pattern_news(tickers, pages), "url") == [("https://y/1.html",), ("https://y/3.html",)]
+
+
+def fill_url(ticker):
+    return f"https://finance.yahoo.com/quote/{ticker}.NS/news?p={ticker}.NS"
+
+
+def test_body_without_paragraphs_is_empty_and_without_container_dropped(spark):
+    pages = spark.createDataFrame([(1, "<div class='caas-body'>x</div>"), (2, "<div>x</div>"), (3, None)], "id int, html string")
+    out = news.extract_articles(pages, news.YAHOO_ARTICLE, keep=["id"])
+    assert rows(out, "id", "title", "date", "content") == [(1, news.NO_TITLE, news.NO_DATE, "")]
+
+
+def test_headline_cards(spark, tickers):
+    card = """<div class="yY3Lee"><a href="/n{0}">Title {0}</a><div class="x Adak">Text <div>{0}</div></div>{1}</div>"""
+    page = card.format(1, '<time datetime="2024-08-05T10:00:00Z">now</time>') + card.format(2, "")
+    page += '<div class="yY3Lee"><a href="/n3">no text</a></div><div class="yY3Lee"><div class="Adak">no link</div></div>'
+    url = news.GOOGLE_QUOTE_PAGE.replace("{ticker}", "A")
+    out = plans.headlines(tickers, landed(spark, {url: page}))
+    assert sorted(out.columns) == ["date", "description", "ticker", "title", "url"]
+    assert rows(out.fillna("-"), "date", "title", "description", "url") == [
+        ("-", "Title 2", "Text 2", "https://www.google.com/n2"),
+        ("2024-08-05", "Title 1", "Text 1", "https://www.google.com/n1"),
+    ]
+
+
+def test_links_by_class_accept_every_quoting(spark):
+    page = """<a class='yf-13p9sh2 b' href='/a.html'>a</a><A HREF="/b.html" CLASS="yf-13p9sh2">b</A>
+        <a data-href="/x.html" class="yf-13p9sh2" href=/c.html>c</a><a class="yf-13p9sh2" data-href="/d.html">d</a>"""
+    pages = spark.createDataFrame([(page,)], "html string")
+    out = news.extract_links(pages, keep=[], cls=news.ANCHOR_CLASSES[0])
+    assert rows(out, "link") == [("/a.html",), ("/b.html",), ("/c.html",)]
+
+
+def test_a_hot_address_is_salted(spark):
+    links = spark.range(500).select(F.lit("A").alias("ticker"), F.col("id").alias("link_no"), F.lit("u").alias("link"))
+    pages = landed(spark, {"u": "page", "v": "other"})
+    out = news.join_articles(links, pages, row_key=["ticker", "link_no"], rows=50)
+    assert out.count() == 500 and out.select("link_no").distinct().count() == 500
+
+
+def test_templates(spark):
+    df = spark.createDataFrame([("t", "n")], "ticker string, name string")
+    made = fill_template("x{name}/{ticker}{ticker}.", ticker=F.col("ticker"), name=F.col("name"))
+    assert df.select(made.alias("u")).first().u == "xn/tt."
+
+
+def brute_paragraphs(page):
+    """Texts of the paragraphs of the first article, by tokens and a stack of open tags."""
+    open_tags, found, article = [], [], None
+    hidden = False
+    for token in re.findall(r"<!--.*?-->|<[^>]*>|[^<]+", page, re.S):
+        if token.startswith("<!--"):
+            continue
+        tag = re.match(r"<(/?)([a-zA-Z0-9]+)", token)
+        if hidden and not (tag and tag[1] and tag[2] in ("script", "style")):
+            continue
+        if not tag:
+            if not token.startswith("<!"):
+                for name, texts in open_tags:
+                    if texts is not None:
+                        texts.append(token)
+            continue
+        name = tag[2].lower()
+        hidden = name in ("script", "style") and not tag[1]
+        if tag[1]:
+            places = [i for i, (n, _) in enumerate(open_tags) if n == name]
+            if places:
+                del open_tags[places[-1]:]
+            continue
+        if name in ("br", "meta", "img"):
+            continue
+        texts = None
+        if name == "article" and article is None:
+            article = True
+        elif name == "p" and any(n == "article" for n, _ in open_tags):
+            texts = []
+            found.append(texts)
+        open_tags.append((name, texts))
+    return " ".join(plain_html.unescape("".join(t)) for t in found)
+
+
+def test_paragraphs_of_all_pages(spark):
+    pages = spark.read.parquet(f"{TESTDATA}/sf0.01/pages.parquet")
+    out = news.extract_articles(pages, news.ArticleRule(body=("article", None)), keep=["page_id"])
+    found = {r.page_id: r.content for r in out.collect()}
+    expected = {r.page_id: brute_paragraphs(r.html) for r in pages.collect()}
+    assert found == expected
+
+
+def test_decoding_follows_python(spark):
+    raw = "a&amp;b &#39;x&#x27; &middot; &amp;lt; &nope; &copy"
+    df = spark.createDataFrame([(raw,), (None,)], "t string")
+    assert [r.d for r in df.select(H.unescape(F.col("t")).alias("d")).collect()] == [plain_html.unescape(raw), None]
