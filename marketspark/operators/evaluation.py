@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.operators.ordering import BLOCK_ROWS, moving, running_total
+from marketspark.operators.ordering import BLOCK_ROWS, POSITION, moving, running_total
 from marketspark.session import shared_folder
 
 # The two labels and their codes, and the answer for a tie.
@@ -181,17 +181,20 @@ def _curve(
         F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
     ).first()
     same = {"order": ["_rank"], "largest": size, "block_rows": block_rows}
-    running = running_total(counts, {"tps": F.col("pos"), "fps": F.col("neg")}, **same)
-    if reduced:
-        def corners(part: DataFrame, w) -> DataFrame:
-            turns = (F.lead("pos").over(w) != F.col("pos")) | (F.lead("neg").over(w) != F.col("neg"))
-            first = F.lag("pos").over(w).isNull()
-            return part.withColumn("_corner", first | F.coalesce(turns, F.lit(True)))
-
-        running = moving(
-            running, corners, before=1, after=1, rows=max(2, block_rows), **same
-        ).where("_corner").drop("_corner")
-    return running.drop("_rank"), positives, negatives
+    totals = {"tps": F.col("pos"), "fps": F.col("neg")}
+    if not reduced:
+        return running_total(counts, totals, **same).drop("_rank"), positives, negatives
+
+    def corners(part: DataFrame, w) -> DataFrame:
+        turns = (F.lead("pos").over(w) != F.col("pos")) | (F.lead("neg").over(w) != F.col("neg"))
+        first = F.lag("pos").over(w).isNull()
+        return part.withColumn("_corner", first | F.coalesce(turns, F.lit(True)))
+
+    one = F.lit(1).cast("bigint")
+    running = running_total(counts, {**totals, POSITION: one}, **same)
+    running = running.withColumn(POSITION, F.col(POSITION) - 1)
+    running = moving(running, corners, before=1, after=1, rows=max(2, block_rows), **same)
+    return running.where("_corner").drop("_corner", "_rank", POSITION), positives, negatives
 
 
 def roc_points(

@@ -26,6 +26,7 @@ PROMPT_LABELS = {
 }
 
 RSI_ROWS = 14
+PRICE_REACH = 30
 FADED = 45.0
 LARGEST_POWER = 550.0
 
@@ -34,34 +35,36 @@ def _full(value: Column, n: Column, rows: int) -> Column:
     return F.when(n >= rows, value)
 
 
+def _price_columns(part: DataFrame, w: WindowSpec, price: str) -> DataFrame:
+    p = F.col(price)
+    week, month, rsi = (w.rowsBetween(1 - n, 0) for n in (7, 30, RSI_ROWS))
+    part = part.withColumn("_diff", p - F.lag(p, 1).over(w))
+    part = part.select(
+        "*",
+        F.lag(p, 1).over(w).alias("lag1_close"),
+        F.lag(p, 3).over(w).alias("lag3_close"),
+        _full(F.avg(p).over(week), F.count(p).over(week), 7).alias("sma_7"),
+        _full(F.avg(p).over(month), F.count(p).over(month), 30).alias("sma_30"),
+        _full(F.stddev_samp(p).over(month), F.count(p).over(month), 30).alias("volatility"),
+        F.sum(F.greatest("_diff", F.lit(0.0))).over(rsi).alias("_gain"),
+        F.sum(F.greatest(-F.col("_diff"), F.lit(0.0))).over(rsi).alias("_loss"),
+        F.count("_diff").over(rsi).alias("_seen"),
+    )
+    moved = F.col("_gain") + F.col("_loss")
+    return part.withColumn(
+        "rsi", F.when((F.col("_seen") >= RSI_ROWS) & (moved > 0), 100 * F.col("_gain") / moved)
+    ).drop("_diff", "_gain", "_loss", "_seen")
+
+
 def price_features(
     df: DataFrame, *, key: str, order: Sequence[str], price: str = "close_price",
     largest: int | None = None, rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Lags 1 and 3, 7- and 30-row averages, 30-row sample deviation and 14-row RSI."""
-
-    def compute(part: DataFrame, w: WindowSpec) -> DataFrame:
-        p = F.col(price)
-        week, month, rsi = (w.rowsBetween(1 - n, 0) for n in (7, 30, RSI_ROWS))
-        part = part.withColumn("_diff", p - F.lag(p, 1).over(w))
-        gain = F.sum(F.greatest("_diff", F.lit(0.0))).over(rsi)
-        loss = F.sum(F.greatest(-F.col("_diff"), F.lit(0.0))).over(rsi)
-        seen = F.count("_diff").over(rsi)
-        part = part.select(
-            "*",
-            F.lag(p, 1).over(w).alias("lag1_close"),
-            F.lag(p, 3).over(w).alias("lag3_close"),
-            _full(F.avg(p).over(week), F.count(p).over(week), 7).alias("sma_7"),
-            _full(F.avg(p).over(month), F.count(p).over(month), 30).alias("sma_30"),
-            _full(F.stddev_samp(p).over(month), F.count(p).over(month), 30).alias("volatility"),
-            gain.alias("_gain"), loss.alias("_loss"), seen.alias("_seen"),
-        )
-        moved = F.col("_gain") + F.col("_loss")
-        return part.withColumn(
-            "rsi", F.when((F.col("_seen") >= RSI_ROWS) & (moved > 0), 100 * F.col("_gain") / moved)
-        ).drop("_diff", "_gain", "_loss", "_seen")
-
-    return moving(df, compute, by=[key], order=order, before=30, rows=rows, largest=largest)
+    compute = functools.partial(_price_columns, price=price)
+    return moving(
+        df, compute, by=[key], order=order, before=PRICE_REACH, rows=rows, largest=largest
+    )
 
 
 def _decay(span: int) -> float:
@@ -96,6 +99,19 @@ def _ema_pieces(spans: Sequence[int]) -> tuple[int, int]:
     return math.floor(LARGEST_POWER / max(decays)) - margin, margin
 
 
+def _numbered(part: DataFrame, w: WindowSpec) -> DataFrame:
+    return part.withColumn("_j", F.row_number().over(w).cast("double") - 1)
+
+
+def _macd_columns(
+    part: DataFrame, w: WindowSpec, price: str, fast: int, slow: int, signal: int
+) -> DataFrame:
+    prices = [("_fast", price, fast), ("_slow", price, slow)]
+    part = _with_emas(_numbered(part, w), prices, w)
+    part = part.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    return _with_emas(part, [("macd_signal", "macd", signal)], w).drop("_j")
+
+
 def macd(
     df: DataFrame, *, key: str, order: Sequence[str], price: str = "close_price", fast: int = 12,
     slow: int = 26, signal: int = 9, largest: int | None = None,
@@ -105,29 +121,27 @@ def macd(
     A series longer than a piece starts each piece ``margin`` rows early. By the first row kept
     the weight of the unknown start is below exp(-45), far under double precision.
     """
-    largest = largest_group(df, [key]) if largest is None else largest
-    prices = [("_fast", price, fast), ("_slow", price, slow)]
-    line = F.col("_fast") - F.col("_slow")
-    rest = [("macd_signal", "macd", signal)]
+    same = {"by": [key], "order": order, "largest": largest_group(df, [key]) if largest is None else largest}
+    rows, margin = _ema_pieces([fast, slow, signal])
+    if rows > margin:
+        compute = functools.partial(_macd_columns, price=price, fast=fast, slow=slow, signal=signal)
+        return moving(df, compute, before=margin, rows=rows, **same)
 
-    def over(part: DataFrame, w: WindowSpec, averages) -> DataFrame:
-        numbered = part.withColumn("_j", F.row_number().over(w).cast("double") - 1)
-        return _with_emas(numbered, averages, w)
+    # spans too far apart for common pieces: one average at a time
+    def one(part: DataFrame, name: str, column: str, span: int) -> DataFrame:
+        def compute(piece: DataFrame, w: WindowSpec) -> DataFrame:
+            return _with_emas(_numbered(piece, w), [(name, column, span)], w).drop("_j")
 
-    def together(part: DataFrame, w: WindowSpec) -> DataFrame:
-        return _with_emas(over(part, w, prices).withColumn("macd", line), rest, w).drop("_j")
+        rows, margin = _ema_pieces([span])
+        return moving(part, compute, before=margin, rows=rows, **same)
+
+    df = one(one(df, "_fast", price, fast), "_slow", price, slow)
+    df = df.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+    return one(df, "macd_signal", "macd", signal)
 
-    same = {"by": [key], "order": order, "largest": largest}
-    rows, margin = _ema_pieces([fast, slow, signal])
-    if rows > margin:
-        return moving(df, together, before=margin, rows=rows, **same).drop("_fast", "_slow")
-    for average in [*prices, *rest]:
-        if average in rest:
-            df = df.withColumn("macd", line)
-        rows, margin = _ema_pieces([average[2]])
-        one = functools.partial(over, averages=[average])
-        df = moving(df, one, before=margin, rows=rows, **same).drop("_j")
-    return df.drop("_fast", "_slow")
+
+def _sentiment_column(part: DataFrame, w: WindowSpec, sentiment: str, span: int) -> DataFrame:
+    return part.withColumn("sentiment_rolling", F.avg(sentiment).over(w.rowsBetween(1 - span, 0)))
 
 
 def sentiment_rolling(
@@ -135,10 +149,7 @@ def sentiment_rolling(
     largest: int | None = None, rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Mean sentiment of the last ``span`` rows of the series."""
-
-    def compute(part: DataFrame, w: WindowSpec) -> DataFrame:
-        return part.withColumn("sentiment_rolling", F.avg(sentiment).over(w.rowsBetween(1 - span, 0)))
-
+    compute = functools.partial(_sentiment_column, sentiment=sentiment, span=span)
     return moving(
         df, compute, by=[key], order=order, before=span, rows=rows, largest=largest
     )
@@ -164,11 +175,18 @@ def prompt_features(
     df: DataFrame, *, key: str, order: Sequence[str], price: str = "close_price",
     sentiment: str | None = None, largest: int | None = None,
 ) -> DataFrame:
-    """All features of the prompt line. Short series share one shuffle and one sort."""
-    largest = largest_group(df, [key]) if largest is None else largest
-    same = {"key": key, "order": order, "largest": largest}
-    out = macd(price_features(df, price=price, **same), price=price, **same)
-    return sentiment_rolling(out, sentiment=sentiment, **same) if sentiment else out
+    """All features of the prompt line, with the default spans, over one shuffle and one sort."""
+    spans = (12, 26, 9)
+
+    def compute(part: DataFrame, w: WindowSpec) -> DataFrame:
+        part = _macd_columns(_price_columns(part, w, price), w, price, *spans)
+        return _sentiment_column(part, w, sentiment, 7) if sentiment else part
+
+    rows, margin = _ema_pieces(spans)
+    return moving(
+        df, compute, by=[key], order=order, before=max(margin, PRICE_REACH), rows=rows,
+        largest=largest,
+    )
 
 
 def number_text(value: Column, digits: int = 6) -> Column:

@@ -256,14 +256,17 @@ def moving(
     """Apply ``compute(df, window)``, whose windows reach ``before``/``after`` rows at most.
 
     A group over ``rows`` rows is divided into pieces of ``rows``; each piece is given copies of
-    the neighbouring rows its windows need, and the copies are dropped from the result.
+    the neighbouring rows its windows need, and the copies are dropped from the result. Rows that
+    have their position already (``_pos``) are not numbered again.
     """
     largest = largest_group(df, by) if largest is None else largest
     if largest <= rows:
         return compute(df, Window.partitionBy(*by).orderBy(*order))
     if rows <= max(before, after):
         raise ValueError("rows must be larger than the margins")
-    placed = with_positions(df, order=order, by=by, largest=largest, block_rows=block_rows)
+    placed = df
+    if POSITION not in df.columns:
+        placed = with_positions(df, order=order, by=by, largest=largest, block_rows=block_rows)
     home = F.floor(F.col(POSITION) / rows)
     offset = F.col(POSITION) % rows
     pieces = F.array_compact(F.array(
