@@ -64,11 +64,9 @@ def company_lookup(
     tickers: DataFrame, companies: DataFrame, *, row_key: Sequence[str] = ("ticker",)
 ) -> DataFrame:
     """Each ticker row with the name and id of its company, null when unknown."""
-    firsts = first_companies(companies)
-    small = small_side(firsts)
-    if small is not firsts:
-        return tickers.join(small, "ticker", "left")
-    return salted_join(tickers, firsts, ["ticker"], "left", row_key=row_key)
+    return salted_join(
+        tickers, small_side(first_companies(companies)), ["ticker"], "left", row_key=row_key
+    )
 
 
 def company_urls(df: DataFrame, template: str = COMPANY_PAGE, name: str = "url") -> DataFrame:

@@ -81,23 +81,31 @@ def _axis(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be numeric, a date or a timestamp")
 
 
-def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int) -> tuple[DataFrame, int, int]:
-    """(rows with the ``_cuts`` of their group, cuts per group, bound on all blocks).
+class CutPoints(NamedTuple):
+    """Rows with the ``_cuts`` of their group, cuts per group, bound on all blocks, any cut twice?"""
 
-    The cuts are quantiles of a hash sample of ``_axis``. Quantiles may differ between two runs
-    of the same plan, so they are frozen before use: collected for a single group (at most
-    ``MAX_BLOCKS`` numbers), checkpointed otherwise.
+    df: DataFrame
+    parts: int
+    blocks: int
+    repeated: bool
+
+
+def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int) -> CutPoints:
+    """Quantiles of a hash sample of ``_axis``, for the groups that look bigger than a block.
+
+    Quantiles may differ between two runs of the same plan, so they are frozen before use:
+    collected for a single group (at most ``MAX_BLOCKS`` numbers), checkpointed otherwise.
     """
     parts = min(math.ceil(largest / block_rows) + 1, MAX_BLOCKS)
     every = max(1, largest // (parts * SAMPLES_PER_BLOCK))
-    sample = df.select(*by, AXIS).where(F.col(AXIS).isNotNull())
+    sample = df.select(*by, AXIS, *_tie_breakers(df)).where(F.col(AXIS).isNotNull())
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(AXIS, *_tie_breakers(df)), F.lit(every)) == 0)
     shares = [i / parts for i in range(1, parts)]
     cuts = F.percentile_approx(AXIS, shares, max(10_000, 16 * parts)).alias(CUTS)
     if not by:
         found = sample.agg(cuts).first()[0] or []
-        return df.withColumn(CUTS, F.lit(found)), parts, 2 * parts
+        return CutPoints(df.withColumn(CUTS, F.lit(found)), parts, 2 * parts, len(set(found)) < len(found))
     limits = (
         sample.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_n"), cuts)
@@ -106,10 +114,12 @@ def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int)
     )
     shared_folder(df.sparkSession)
     limits = limits.checkpoint()
-    cells = limits.count() * parts
-    if cells <= BROADCAST_CELLS:
+    groups, repeated = limits.agg(
+        F.count(F.lit(1)), F.count_if(F.size(F.array_distinct(CUTS)) < F.size(CUTS))
+    ).first()
+    if groups * parts <= BROADCAST_CELLS:
         limits = F.broadcast(limits)
-    return keyed_join(df, limits, by), parts, 2 * cells
+    return CutPoints(keyed_join(df, limits, by), parts, 2 * groups * parts, repeated > 0)
 
 
 def _tie_breakers(df: DataFrame) -> list[str]:
@@ -127,22 +137,21 @@ def _count_cuts(cuts: Column, parts: int, passed: Callable[[Column], Column]) ->
     )
 
 
-def _divide(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int, block_rows: int) -> Blocked:
+def _divide(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int, block_rows: int) -> CutPoints:
     """Blocks along ``order[0]``. A value that is a cut gets a block of its own (``_tied``)."""
     ties = {f"_tie_{i}": F.col(c) for i, c in enumerate(order[1:])}
-    placed, parts, blocks = _cut_points(
+    placed = _cut_points(
         df.withColumn(AXIS, _axis(df, order[0])).withColumns(ties), by, largest, block_rows
     )
     value, cuts = F.col(AXIS), F.col(CUTS)
-    below = F.coalesce(_count_cuts(cuts, parts, lambda c: c < value), F.lit(0))
-    upto = F.coalesce(_count_cuts(cuts, parts, lambda c: c <= value), F.lit(0))
-    placed = placed.withColumns({"_below": below, "_upto": upto})
-    divided = placed.withColumns({
+    below = F.coalesce(_count_cuts(cuts, placed.parts, lambda c: c < value), F.lit(0))
+    upto = F.coalesce(_count_cuts(cuts, placed.parts, lambda c: c <= value), F.lit(0))
+    divided = placed.df.withColumns({"_below": below, "_upto": upto}).withColumns({
         BLOCK: (F.col("_below") + F.col("_upto")).cast("bigint"),
         TIED: F.col("_below") < F.col("_upto"),
         CUT: cuts.isNotNull(),
     })
-    return Blocked(divided.drop(AXIS, CUTS, "_below", "_upto", *ties), blocks)
+    return placed._replace(df=divided.drop(AXIS, CUTS, "_below", "_upto", *ties))
 
 
 def with_blocks(
@@ -151,30 +160,29 @@ def with_blocks(
 ) -> Blocked:
     """Add ``_block``: contiguous runs of each group in ``order``, of about ``block_rows`` rows.
 
-    A block of one shared value of ``order[0]`` that is still too big is divided along the next
-    order column in the same way.
+    A value of ``order[0]`` that very many rows share shows as a repeated cut. Its block is
+    divided along the next order column in the same way.
     """
     done = _divide(df, order, by, largest, block_rows)
-    if len(order) == 1:
-        return Blocked(done.df.drop(TIED), done.blocks)
-    tied = done.df.where(TIED)
-    crowd = largest_group(tied, [*by, BLOCK])
+    plain = Blocked(done.df.drop(TIED), done.blocks)
+    if len(order) == 1 or not done.repeated:
+        return plain
+    crowd = largest_group(done.df.where(TIED), [*by, BLOCK])
     if crowd <= 2 * block_rows:
-        return Blocked(done.df.drop(TIED), done.blocks)
+        return plain
+    # rows outside the shared values stay in their block: without an axis value they pass no cut
+    lead = f"_own_{order[1]}"
     outer = done.df.withColumnsRenamed({BLOCK: "_outer", CUT: "_outer_cut", TIED: "_outer_tied"})
-    inner_order = [*order[1:]]
-    # rows of mixed values stay in their block: without an axis value they pass no inner cut
-    lead = f"_own_{inner_order[0]}"
-    outer = outer.withColumn(lead, F.when(F.col("_outer_tied"), F.col(inner_order[0])))
+    outer = outer.withColumn(lead, F.when(F.col("_outer_tied"), F.col(order[1])))
     inner = with_blocks(
-        outer, order=[lead, *inner_order[1:]], by=[*by, "_outer"], largest=crowd, block_rows=block_rows
-    )
-    both = inner.df.withColumn(BLOCK, F.col("_outer") * (4 * MAX_BLOCKS) + F.col(BLOCK)).withColumn(
-        CUT, F.col("_outer_cut")
-    )
-    return Blocked(
-        both.drop("_outer", "_outer_cut", "_outer_tied", lead), done.blocks + inner.blocks
+        outer, order=[lead, *order[2:]], by=[*by, "_outer"], largest=crowd, block_rows=block_rows
     )
+    both = inner.df.withColumns({
+        BLOCK: F.col("_outer") * (2 * MAX_BLOCKS) ** (len(order) - 1) + F.col(BLOCK),
+        CUT: F.col("_outer_cut"),
+    })
+    # every outer block may hold as many inner ones as the inner cuts allow
+    return Blocked(both.drop("_outer", "_outer_cut", "_outer_tied", lead), done.blocks + inner.blocks)
 
 
 def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:

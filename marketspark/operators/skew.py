@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import BLOCK_ROWS, keyed_join
+from marketspark.session import shared_folder
 
 SMALL_ROWS = 100_000
 SAMPLED = 1000
@@ -16,10 +17,10 @@ COPIES = "_copies"
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    """``df`` written once and counted: marked for broadcast up to ``max_rows`` rows, else left as is."""
+    shared_folder(df.sparkSession)
+    written = df.checkpoint()
+    return F.broadcast(written) if written.count() <= max_rows else written
 
 
 def hot_keys(
@@ -35,9 +36,8 @@ def hot_keys(
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(*row_key), F.lit(every)) == 0)
     sizes = sample.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_n")).where(F.col("_n") >= rows)
-    if sizes.isEmpty():
-        return None
-    return small_side(sizes.select(*on, (F.floor(F.col("_n") / rows) + 1).alias(COPIES)))
+    hot = small_side(sizes.select(*on, (F.floor(F.col("_n") / rows) + 1).alias(COPIES)))
+    return None if hot.isEmpty() else hot
 
 
 def salted_join(

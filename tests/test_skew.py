@@ -30,7 +30,9 @@ def test_hot_keys_and_salts(sides):
     assert skew.hot_keys(left, ["k"], row_key=["id"], rows=5000) is None
 
 
-def test_small_side_is_checked(spark):
-    small, large = spark.range(10), spark.range(11)
-    assert "hint" in skew.small_side(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert skew.small_side(large, 10) is large
+def test_broadcast_only_up_to_the_checked_size(spark):
+    rows = spark.range(1000)
+    for size, kind in ((10, True), (11, False)):
+        side = skew.small_side(spark.range(size), 10)
+        logical = rows.join(side, "id")._jdf.queryExecution().logical().toString()
+        assert ("UnresolvedHint broadcast" in logical or "ResolvedHint" in logical) == kind
