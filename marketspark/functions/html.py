@@ -3,6 +3,9 @@
 Elements that do not nest (headings, times, links) are found with regular expressions inside the
 JVM. Text of a container whose extent depends on balanced tags needs a parser: ``elements_in``
 gives the elements inside each container as an array, and Spark expressions do the rest.
+
+The two Python functions are marked as not deterministic, though they are: Spark would otherwise
+push a filter on their result below them and run them twice for each row.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 
 ELEMENTS = "array<struct<container:int,tag:string,classes:string,href:string,datetime:string,text:string>>"
 
-_HIDDEN = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?--|(script|style)\b.*?</\1\s*)>"
 _TAG = r"<[^>]*>"
 
 
@@ -70,7 +73,7 @@ def unescape(column: Column) -> Column:
 
         return texts.map(plain, na_action="ignore")
 
-    return decode(column)
+    return decode.asNondeterministic()(column)
 
 
 def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]) -> Column:
@@ -94,54 +97,68 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
         }
 
         class Inside(HTMLParser):
+            """Marks each wanted element with its range in the list of text pieces."""
+
             def __init__(self):
                 super().__init__(convert_charrefs=True)
-                self.open, self.found, self.containers = [], [], 0
+                self.open, self.found, self.texts, self.containers = [], [], [], 0
 
             def handle_starttag(self, name, attrs):
                 attrs = dict(attrs)
                 classes = attrs.get("class") or ""
-                inside = [e["container"] for e in self.open if e["container"] is not None]
                 records = []
                 if name in wanted:
-                    for container in inside:
-                        record = {
+                    records = [
+                        {
                             "container": container, "tag": name, "classes": classes,
-                            "href": attrs.get("href"), "datetime": attrs.get("datetime"), "text": [],
+                            "href": attrs.get("href"), "datetime": attrs.get("datetime"),
+                            "start": len(self.texts), "end": None,
                         }
-                        records.append(record)
-                        self.found.append(record)
+                        for _, container, _ in self.open if container is not None
+                    ]
+                    self.found += records
                 container = None
                 if name == tag and (cls is None or cls in classes.split()):
                     container = self.containers
                     self.containers += 1
-                if name not in void:
-                    self.open.append({"name": name, "container": container, "records": records})
+                if name in void:
+                    self.shut(records)
+                else:
+                    self.open.append((name, container, records))
 
             def handle_startendtag(self, name, attrs):
                 self.handle_starttag(name, attrs)
                 self.handle_endtag(name)
 
             def handle_endtag(self, name):
-                for i in range(len(self.open) - 1, -1, -1):
-                    if self.open[i]["name"] == name:
-                        del self.open[i:]
-                        return
+                if any(name == opened for opened, _, _ in self.open):
+                    last = None
+                    while last != name:
+                        last, _, records = self.open.pop()
+                        self.shut(records)
 
             def handle_data(self, data):
-                if self.open and self.open[-1]["name"] in ("script", "style"):
-                    return
-                for element in self.open:
-                    for record in element["records"]:
-                        record["text"].append(data)
+                if not self.open or self.open[-1][0] not in ("script", "style"):
+                    self.texts.append(data)
+
+            def shut(self, records):
+                for record in records:
+                    record["end"] = len(self.texts)
+
+            def rows(self):
+                for record in self.found:
+                    text = "".join(self.texts[record.pop("start"):record.pop("end")])
+                    yield {**record, "text": text}
 
         def one(page):
             if page is None:
                 return None
+            if cls is not None and cls not in page:
+                return []
             parser = Inside()
             parser.feed(page)
             parser.close()
-            rows = [{**r, "text": "".join(r["text"])} for r in parser.found]
+            rows = list(parser.rows())
             filled = {r["container"] for r in rows}
             rows += [
                 dict.fromkeys(("tag", "classes", "href", "datetime", "text")) | {"container": c}
@@ -151,7 +168,7 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
 
         return pd.Series([one(p) for p in pages])
 
-    return parse(html)
+    return parse.asNondeterministic()(html)
 
 
 def of_container(elements: Column, number: int, tag: str) -> Column:

@@ -192,8 +192,9 @@ def prompt_features(
 def number_text(value: Column, digits: int = 6) -> Column:
     """A plain decimal, rounded, with at least one digit after the point (``1178.3``, ``0.0``)."""
     fixed = F.round(value, digits).try_cast(f"decimal(38,{digits})").cast("string")
-    fixed = F.coalesce(fixed, value.cast("string"))
-    return F.regexp_replace(fixed, r"(\.\d+?)0+$", "$1")
+    trimmed = F.rtrim(fixed, F.lit("0"))
+    plain = F.when(trimmed.endswith("."), F.concat(trimmed, F.lit("0"))).otherwise(trimmed)
+    return F.coalesce(plain, value.cast("string"))
 
 
 def feature_text(

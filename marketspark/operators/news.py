@@ -117,8 +117,10 @@ def extract_story_links(
 def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_LINK_CLASS) -> DataFrame:
     """The link of the first such anchor; pages without it are left out."""
     anchor = H.first_tag(H.visible(F.col("html")), "a", cls)
-    found = pages.select(*keep, H.attribute(anchor, "href").alias("link"))
-    return found.where(F.col("link").isNotNull()).withColumn("link", H.unescape(F.col("link")))
+    # exploding the one link drops the nulls without finding it a second time for a filter
+    link = F.array_compact(F.array(H.attribute(anchor, "href")))
+    found = pages.select(*keep, F.explode(link).alias("link"))
+    return found.withColumn("link", H.unescape(F.col("link")))
 
 
 def join_articles(
@@ -131,28 +133,31 @@ def join_articles(
     )
 
 
-def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str]) -> DataFrame:
-    """Title, date and content of each page; a page without a body is left out."""
-    body = H.visible(F.col("html"))
+def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:
+    """Title, date and content of each page; a page without a body is left out first."""
+    rows = pages.withColumn("_visible", H.visible(F.col("html")))
+    body = F.col("_visible")
+    if rule.summary:
+        # exploding the one text drops pages without it in the same pass that finds it
+        content = F.array_compact(F.array(H.first_text(body, *rule.summary)))
+        rows = rows.withColumn("_content", F.explode(content))
+        content = H.unescape(F.col("_content"))
+    else:
+        rows = rows.withColumn("_content", H.elements_in(F.col("html"), *rule.body, ("p",)))
+        rows = rows.where(F.size("_content") > 0)
+        paragraphs = H.of_container(F.col("_content"), 0, "p")
+        content = F.array_join(F.transform(paragraphs, lambda e: e["text"]), " ")
     title = H.unescape(H.first_text(body, "h1", rule.title_class, rule.title_where))
     if rule.date_from_attribute:
-        date = H.attribute(H.first_tag(body, "time", rule.date_class), "datetime")
+        date = H.unescape(H.attribute(H.first_tag(body, "time", rule.date_class), "datetime"))
     else:
         date = H.unescape(H.first_text(body, "time", rule.date_class))
-    if rule.summary:
-        content = H.unescape(H.first_text(body, *rule.summary))
-    else:
-        tag, cls = rule.body
-        elements = H.elements_in(F.col("html"), tag, cls, ("p",))
-        texts = F.transform(H.of_container(elements, 0, "p"), lambda e: e["text"])
-        content = F.when(F.size(elements) > 0, F.array_join(texts, " "))
-    fields = pages.select(
+    return rows.select(
         *keep,
         F.coalesce(title, F.lit(NO_TITLE)).alias("title"),
         F.coalesce(date, F.lit(NO_DATE)).alias("date"),
         content.alias("content"),
     )
-    return fields.where(F.col("content").isNotNull())
 
 
 def extract_headlines(
