@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query, r6, table
 from catalog.market import hot_series, series
+from marketspark import schemas
 from marketspark.functions import dates, text
 from marketspark.operators import cleaning, encoding, evaluation
 
@@ -127,6 +128,19 @@ def standardize_by_group(spark, folder):
     )
 
 
+@query("standardize_amounts", f"""
+    select l_orderkey, l_linenumber, {_scaled_sql('l_extendedprice')} as close_price,
+           {_scaled_sql('l_quantity')} as total_traded_quantity from lineitem
+""")
+def standardize_amounts(spark, folder):
+    rows = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.format_number("l_extendedprice", 2).alias("close_price"),
+        F.col("l_quantity").alias("total_traded_quantity"),
+    )
+    scaled = cleaning.standardize_amounts(rows, schemas.HISTORY_AMOUNTS)
+    return scaled.withColumns({c: r6(c) for c in ("close_price", "total_traded_quantity")})
+
+
 KINDS = ("click", "error", "purchase", "signup", "view")
 
 

@@ -123,7 +123,7 @@ CURVE_SQL = """
     union all select score, round(fps / n, 6), round(tps / p, 6) from r
 """)
 def roc_points(spark, folder):
-    points = E.roc_points(_scored(spark, folder), **CURVE, block_rows=50)
+    points = E.roc_points(_scored(spark, folder), **CURVE)
     return points.select("threshold", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"))
 
 
@@ -139,7 +139,7 @@ def roc_corner_points(spark, folder):
 
 @query("roc_auc", CURVE_SQL + "select round(sum(neg * (2 * tps - pos) / 2) / (max(p) * max(n)), 6) as roc_auc from r")
 def roc_auc(spark, folder):
-    return E.roc_auc(_scored(spark, folder), **CURVE, block_rows=50).select(r6("roc_auc").alias("roc_auc"))
+    return E.roc_auc(_scored(spark, folder), **CURVE).select(r6("roc_auc").alias("roc_auc"))
 
 
 @query("pr_points", CURVE_SQL + """
@@ -147,7 +147,7 @@ def roc_auc(spark, folder):
     union all select score, round(tps / (tps + fps), 6), round(tps / p, 6) from r
 """)
 def pr_points(spark, folder):
-    points = E.pr_points(_scored(spark, folder), **CURVE, block_rows=50)
+    points = E.pr_points(_scored(spark, folder), **CURVE)
     return points.select("threshold", r6("precision").alias("precision"), r6("recall").alias("recall"))
 
 

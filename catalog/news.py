@@ -134,7 +134,7 @@ def link_articles(spark, folder):
     # the target id travels in front of the markup, so that it can be shown
     marked = landed.select("url", F.concat(F.col("t.target").cast("string"), F.lit("|"), "t.html").alias("html"))
     links = news.extract_links(landed_pages, keep=["page_id"], suffix=None)
-    joined = news.join_articles(links, marked, row_key=["page_id", "link_no"], rows=20)
+    joined = news.join_articles(links, marked, row_key=["page_id", "link_no"])
     return news.extract_articles(
         joined, PAGE_RULE, keep=["page_id", "link_no", "url", F.split("html", r"\|", 2)[0].cast("bigint").alias("target")]
     ).drop("date", "content")

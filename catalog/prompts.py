@@ -98,7 +98,7 @@ def oversample(spark, folder):
 @query("oversample_classes", _oversample_sql("orders", "o_orderstatus", "o_orderkey"))
 def oversample_classes(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    return sampling.oversample(rows, label="o_orderstatus", key=["o_orderkey"], draw_rows=500)
+    return sampling.oversample(rows, label="o_orderstatus", key=["o_orderkey"])
 
 
 @query("head_row", "select doc_id, lang from documents order by doc_id limit 1")

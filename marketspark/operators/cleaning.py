@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketspark.functions.dates import normalize_date
 from marketspark.functions.text import amount, as_text, clean_text
-from marketspark.operators.encoding import one_hot
+from marketspark.operators.encoding import one_hot, standardize
 from marketspark.operators.ordering import BLOCK_ROWS, last_known
 from marketspark.operators.reshape import existing
+from marketspark.schemas import HISTORY_AMOUNTS, INDEX_AMOUNTS
 
 # What stands for a missing title or body.
 NEWS_DEFAULTS = {"title": "No Title", "content": "No Content"}
@@ -67,14 +69,27 @@ def drop_duplicates_first(df: DataFrame, keys: Sequence[str], *, order: Sequence
     return marked.where(F.col("_n") == 1).drop("_digest", "_n")
 
 
-def clean_news(news: DataFrame, *, order: Sequence[str], by: str | None = "ticker",
-               scope: str = "group", largest: int | None = None) -> DataFrame:
+def standardize_amounts(
+    df: DataFrame, columns: Sequence[str], *, by: str | None = None, on_error: str = "raise"
+) -> DataFrame:
+    """Those of ``columns`` that exist, as numbers and then as standard scores of this frame."""
+    parsed = parse_amounts(df, columns, on_error=on_error)
+    return standardize(parsed, existing(parsed, columns), by=by)
+
+
+def clean_news(
+    news: DataFrame, *, order: Sequence[str], by: str | None = "ticker", scope: str = "group",
+    dates: bool = False, largest: int | None = None,
+) -> DataFrame:
     """Clean title, first of each (title, content), then the fills, in that order.
 
-    The clean title is taken before the fills, so a missing title reads ``None`` there.
+    The clean title is taken before the fills, so a missing title reads ``None`` there. With
+    ``dates`` the page dates become ``dd-MM-yyyy`` text before they are filled.
     """
     titled = news.withColumn("clean_title", clean_text(as_text(F.col("title"))))
     unique = drop_duplicates_first(titled, ["title", "content"], order=order)
+    if dates:
+        unique = unique.withColumn("date", normalize_date(F.col("date")))
     dated = ffill(unique, ["date"], order=order, by=by, scope=scope, largest=largest)
     return fill_defaults(dated)
 
@@ -82,13 +97,16 @@ def clean_news(news: DataFrame, *, order: Sequence[str], by: str | None = "ticke
 def preprocess(
     stock: DataFrame, index: DataFrame, etf: DataFrame, news: DataFrame, *,
     order: Sequence[str] = ("ordinal",), by: str = "ticker", scope: str = "group",
-    option_values: Sequence[str] | None = None,
+    scores: bool = False, dates: bool = False, option_values: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The four frames cleaned: news as in ``clean_news``, the others filled and one-hot encoded."""
+    """The four frames cleaned: news as in ``clean_news``, the others filled and one-hot encoded.
+
+    ``scores`` also turns the amounts of each frame into standard scores.
+    """
     frames = []
-    for frame in (stock, index, etf):
-        filled = ffill(frame, order=list(order), by=by, scope=scope)
-        if "option_type" in filled.columns:
-            filled = one_hot(filled, "option_type", values=option_values)
-        frames.append(filled)
-    return (*frames, clean_news(news, order=list(order), by=by, scope=scope))
+    for frame, amounts in ((stock, HISTORY_AMOUNTS), (index, INDEX_AMOUNTS), (etf, HISTORY_AMOUNTS)):
+        frame = ffill(frame, order=list(order), by=by, scope=scope)
+        if scores:
+            frame = standardize_amounts(frame, amounts)
+        frames.append(one_hot(frame, "option_type", values=option_values))
+    return (*frames, clean_news(news, order=list(order), by=by, scope=scope, dates=dates))

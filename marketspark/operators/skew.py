@@ -12,6 +12,7 @@ from marketspark.session import shared_folder
 
 SMALL_ROWS = 100_000
 SAMPLED = 1000
+MAX_SALTS = 10_000
 SALT = "_salt"
 COPIES = "_copies"
 
@@ -36,7 +37,8 @@ def hot_keys(
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(*row_key), F.lit(every)) == 0)
     sizes = sample.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_n")).where(F.col("_n") >= rows)
-    hot = small_side(sizes.select(*on, (F.floor(F.col("_n") / rows) + 1).alias(COPIES)))
+    salts = F.least(F.floor(F.col("_n") / rows) + 1, F.lit(MAX_SALTS).cast("bigint"))
+    hot = small_side(sizes.select(*on, salts.alias(COPIES)))
     return None if hot.isEmpty() else hot
 
 

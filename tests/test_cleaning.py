@@ -121,3 +121,16 @@ def test_the_four_frames(spark):
     assert found == {
         1: ("None", "No Title", "x", "d1"), 2: ("t 1", "t\n 1", "No Content", "d1"), 4: ("t", "t", "y", None),
     }
+
+
+def test_the_optional_steps(spark):
+    stock = spark.createDataFrame([(1, "A", "1,000"), (2, "A", "3,000")], "ordinal bigint, ticker string, close_price string")
+    index = spark.createDataFrame([(1, "N", "5", "put")], "ordinal bigint, ticker string, open_int string, option_type string")
+    news = spark.createDataFrame(
+        [(1, "A", "t", "x", "2024-08-05T10:11:12.5Z"), (2, "A", "u", "y", "junk")],
+        "ordinal bigint, ticker string, title string, content string, date string",
+    )
+    stock, index, _, news = cleaning.preprocess(stock, index, stock, news, scores=True, dates=True)
+    assert [r.close_price for r in stock.orderBy("ordinal").collect()] == [-1.0, 1.0]
+    assert tuple(index.first()) == (1, "N", 0.0, True)
+    assert [r.date for r in news.orderBy("ordinal").collect()] == ["05-08-2024", "05-08-2024"]
