@@ -27,10 +27,11 @@ from pyspark.sql.window import WindowSpec
 
 from marketspark.session import shared_folder
 
-BLOCK_ROWS = 1_000_000
-MAX_BLOCKS = 8192
-SAMPLES_PER_BLOCK = 256
-BROADCAST_CELLS = 4_000_000
+BLOCK_ROWS = 500_000
+MAX_BLOCKS = 32_768
+SAMPLES_PER_BLOCK = 64
+BROADCAST_CUTS = 16_000_000
+BROADCAST_BLOCKS = 1_000_000
 
 BLOCK = "_block"
 CUT = "_cut"
@@ -82,7 +83,7 @@ def _axis(df: DataFrame, name: str) -> Column:
 
 
 class CutPoints(NamedTuple):
-    """Rows with the ``_cuts`` of their group, cuts per group, bound on all blocks, any cut twice?"""
+    """Rows with the ``_cuts`` of their group, most cuts of a group, bound on all blocks, any cut twice?"""
 
     df: DataFrame
     parts: int
@@ -90,36 +91,46 @@ class CutPoints(NamedTuple):
     repeated: bool
 
 
+def _number_array(values: Sequence, kind: str) -> Column:
+    """Numbers as one literal, folded from text rather than built one by one."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
 def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int) -> CutPoints:
     """Quantiles of a hash sample of ``_axis``, for the groups that look bigger than a block.
 
     Quantiles may differ between two runs of the same plan, so they are frozen before use:
-    collected for a single group (at most ``MAX_BLOCKS`` numbers), checkpointed otherwise.
+    collected for a single group (fewer than ``MAX_BLOCKS`` numbers), checkpointed otherwise,
+    where each group keeps as many cuts as its size calls for.
     """
     parts = min(math.ceil(largest / block_rows) + 1, MAX_BLOCKS)
     every = max(1, largest // (parts * SAMPLES_PER_BLOCK))
     sample = df.select(*by, AXIS, *_tie_breakers(df)).where(F.col(AXIS).isNotNull())
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(AXIS, *_tie_breakers(df)), F.lit(every)) == 0)
-    shares = [i / parts for i in range(1, parts)]
+    shares = _number_array([i / parts for i in range(1, parts)], "double")
     cuts = F.percentile_approx(AXIS, shares, max(10_000, 16 * parts)).alias(CUTS)
     if not by:
         found = sample.agg(cuts).first()[0] or []
-        return CutPoints(df.withColumn(CUTS, F.lit(found)), parts, 2 * parts, len(set(found)) < len(found))
+        values = _number_array(found, df.schema[AXIS].dataType.simpleString())
+        cut = df.withColumn(CUTS, values if found else F.array().cast("array<int>"))
+        return CutPoints(cut, parts, 2 * parts, len(set(found)) < len(found))
     limits = (
         sample.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"), cuts)
-        .where(F.col("_n") * every > block_rows)
-        .drop("_n")
+        .agg((F.count(F.lit(1)) * every).alias("_n"), cuts)
+        .where(F.col("_n") > block_rows)
+        .withColumn("_stride", F.greatest(F.floor(parts / F.ceil(F.col("_n") / block_rows)), F.lit(1)))
+        .select(*by, F.expr(f"filter({CUTS}, (cut, i) -> (i + 1) % _stride = 0)").alias(CUTS))
     )
     shared_folder(df.sparkSession)
     limits = limits.checkpoint()
-    groups, repeated = limits.agg(
-        F.count(F.lit(1)), F.count_if(F.size(F.array_distinct(CUTS)) < F.size(CUTS))
+    groups, cells, repeated = limits.agg(
+        F.count(F.lit(1)), F.coalesce(F.sum(F.size(CUTS)), F.lit(0)),
+        F.count_if(F.size(F.array_distinct(CUTS)) < F.size(CUTS)),
     ).first()
-    if groups * parts <= BROADCAST_CELLS:
+    if cells <= BROADCAST_CUTS:
         limits = F.broadcast(limits)
-    return CutPoints(keyed_join(df, limits, by), parts, 2 * groups * parts, repeated > 0)
+    return CutPoints(keyed_join(df, limits, by), parts, 2 * cells + groups, repeated > 0)
 
 
 def _tie_breakers(df: DataFrame) -> list[str]:
@@ -187,7 +198,7 @@ def with_blocks(
 
 def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
     """Join what earlier blocks left to the rows of each later block; few rows, bound known."""
-    if blocks <= BROADCAST_CELLS:
+    if blocks <= BROADCAST_BLOCKS:
         carried = F.broadcast(carried)
     return keyed_join(local, carried, [*by, BLOCK])
 
