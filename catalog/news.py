@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import query, table
-from marketspark.operators import news
+from marketspark.functions.text import fill_template
+from marketspark.operators import news, reshape
 from marketspark.operators.news import ArticleRule
+from marketspark.plans import news as flows
 from marketspark.sources import files
 
 PAGE_RULE = ArticleRule(summary=("title", None))
@@ -138,3 +140,111 @@ def link_articles(spark, folder):
     return news.extract_articles(
         joined, PAGE_RULE, keep=["page_id", "link_no", "url", F.split("html", r"\|", 2)[0].cast("bigint").alias("target")]
     ).drop("date", "content")
+
+
+def _escaped(column):
+    for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        column = F.replace(column, F.lit(plain), F.lit(coded))
+    return column
+
+
+def _documents(spark, folder):
+    """Every document as the only news of a ticker of its own, its id."""
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").cast("string").alias("ticker"), "lang", "source", _escaped(F.col("text")).alias("body")
+    )
+
+
+def _landed(docs, *pages):
+    """Pages made from each document, as (address, markup) with ``{column}`` slots."""
+    slots = {c: F.col(c) for c in docs.columns}
+    made = [
+        docs.select(fill_template(url, **slots).alias("url"), fill_template(markup, **slots).alias("html"))
+        for url, markup in pages
+    ]
+    return reshape.union_all(*made)
+
+
+def _companies(docs):
+    return docs.select(
+        F.col("ticker").cast("bigint").alias("ordinal"), "ticker", F.col("lang").alias("ticker_name"),
+        F.col("ticker").alias("cid"),
+    )
+
+
+STORIES = """<div class="top eachStory"><p>{source}</p><a href="/news/{ticker}.cms">{lang}</a><a href="/x.cms">x</a></div>
+<div class="eachStory"><a href="/news/{ticker}.html">other kind</a></div><a href="/out.cms">outside</a>"""
+STORY_PAGE = """<h1 class="artTitle">{source} &amp; <i>{lang}</i></h1><time class="jsdtTime">Last Updated: {lang}</time>
+<script>var t = '<h2 class="summary">no</h2>';</script><h2 class="summary">{body}</h2>"""
+STORY_SQL = """
+    select 'https://economictimes.indiatimes.com/news/' || doc_id || '.cms' as url, doc_id::varchar as ticker,
+           source || ' & ' || lang as title, 'Last Updated: ' || lang as date, text as content from documents
+"""
+
+
+@query("company_news", STORY_SQL)
+def company_news(spark, folder):
+    docs = _documents(spark, folder)
+    pages = _landed(
+        docs,
+        (news.ET_BASE + "/{lang}/stocks/companyid-{ticker}.cms", '<a class="full_btn" href="/all/{ticker}?a=1&amp;b">all</a>'),
+        ("/all/{ticker}?a=1&b", STORIES),
+        (news.ET_BASE + "/news/{ticker}.cms", STORY_PAGE),
+    )
+    return flows.company_news(docs.select("ticker"), _companies(docs), pages)
+
+
+@query("company_updates", STORY_SQL)
+def company_updates(spark, folder):
+    docs = _documents(spark, folder)
+    pages = _landed(
+        docs,
+        (news.ET_BASE + "/{lang}/stocksupdate/companyid-{ticker}.cms", STORIES),
+        (news.ET_BASE + "/news/{ticker}.cms", STORY_PAGE),
+    )
+    return flows.company_updates(docs.select("ticker"), _companies(docs), pages)
+
+
+ANCHORS = """<a class="subtle-link big" href="https://site.example/{ticker}.html">{lang}</a>
+<a class="subtle-link" href="https://policies.oath.com/us/en/oath/privacy/adinfo/index.html">ad</a>
+<a class="subtle-link" href="https://site.example/{ticker}.htm">other kind</a><a class="subtle-link">none</a>"""
+ANCHOR_PAGE = """<h1>other</h1><h1 data-test-locator="headline">{source}</h1><time datetime="2024-08-05T10:11:12.000Z">x</time>
+<div class="caas-body x"><p>{lang}</p><div><p>{body}</p></div></div><p>outside</p>"""
+ANCHOR_SQL = """
+    select 'https://site.example/' || doc_id || '.html' as url, doc_id::varchar as ticker, source as title,
+           '2024-08-05T10:11:12.000Z' as date, lang || ' ' || text as content from documents
+"""
+
+
+def _anchor_pages(docs):
+    return _landed(
+        docs, (news.YAHOO_NEWS_PAGE, ANCHORS), ("https://site.example/{ticker}.html", ANCHOR_PAGE)
+    )
+
+
+@query("anchor_news", ANCHOR_SQL)
+def anchor_news(spark, folder):
+    docs = _documents(spark, folder)
+    return flows.anchor_news(docs.select("ticker"), _anchor_pages(docs))
+
+
+@query("pattern_news", ANCHOR_SQL)
+def pattern_news(spark, folder):
+    docs = _documents(spark, folder)
+    return flows.pattern_news(docs.select("ticker"), _anchor_pages(docs))
+
+
+CARDS = """<div class="yY3Lee"><a href="/n/{ticker}">{source}</a><div class="Adak">{body}</div><time datetime="2024-08-05T1">x</time></div>
+<div class="a yY3Lee"><a href="/m/{ticker}">{lang}</a><div><div class="Adak">{lang}</div></div></div>
+<div class="yY3Lee"><a href="/bad/{ticker}">no text</a></div>"""
+
+
+@query("headlines", """
+    select doc_id::varchar as ticker, '2024-08-05' as date, source as title, text as description,
+           'https://www.google.com/n/' || doc_id as url from documents
+    union all
+    select doc_id::varchar, null, lang, lang, 'https://www.google.com/m/' || doc_id from documents
+""")
+def headlines(spark, folder):
+    docs = _documents(spark, folder)
+    return flows.headlines(docs.select("ticker"), _landed(docs, (news.GOOGLE_QUOTE_PAGE, CARDS)))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import BLOCK_ROWS, POSITION, moving, running_total
-from marketspark.session import shared_folder
+from marketspark.operators.skew import written
 
 # The two labels and their codes, and the answer for a tie.
 POSITIVE, NEGATIVE, TIE = "bullish", "bearish", "neutral"
@@ -168,8 +168,7 @@ def _score_counts(df: DataFrame, y: str, score: str, positive) -> DataFrame:
     counts = usable.groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
     )
-    shared_folder(df.sparkSession)
-    return counts.withColumn("_rank", -F.col("threshold")).checkpoint()
+    return written(counts.withColumn("_rank", -F.col("threshold")))
 
 
 def _curve(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketspark.functions import html as H
 from marketspark.functions.text import fill_template, resolve
 from marketspark.operators.ordering import BLOCK_ROWS
-from marketspark.operators.skew import salted_join, small_side
+from marketspark.operators.skew import salted_join, small_side, written
 
 # Addresses, class names, defaults and the blocked link of the three news sites.
 ET_BASE = "https://economictimes.indiatimes.com"
@@ -126,11 +126,13 @@ def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_L
 def join_articles(
     links: DataFrame, pages: DataFrame, *, row_key: Sequence[str], rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Each link with the landed page it points to; ``pages`` is unique over ``url``."""
-    targets = pages.select("url", "html")
-    return salted_join(
-        links.withColumnRenamed("link", "url"), targets, ["url"], row_key=row_key, rows=rows
-    )
+    """Each link with the landed page it points to; ``pages`` is unique over ``url``.
+
+    The links are written first: they are few bytes next to the pages they were found on, and
+    both the search for hot addresses and the join read them.
+    """
+    known = written(links.where(F.col("link").isNotNull()).withColumnRenamed("link", "url"))
+    return salted_join(known, pages.select("url", "html"), ["url"], row_key=row_key, rows=rows)
 
 
 def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:

@@ -12,8 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import with_positions
-from marketspark.operators.skew import small_side
-from marketspark.session import shared_folder
+from marketspark.operators.skew import small_side, written
 
 PREFIX = 4
 FEW = 50_000
@@ -99,8 +98,7 @@ def oversample(
     over tasks, and when a small class is drawn very often its rows are repeated over salts.
     """
     columns = list(columns or df.columns)
-    shared_folder(df.sparkSession)
-    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    sizes = written(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n")))
     top = sizes.agg(F.max("_n")).first()[0] or 0
     short = sizes.where(F.col("_n") < top).select(
         F.col(label), "_n", (F.lit(top) - F.col("_n")).alias("_need"),

@@ -17,11 +17,16 @@ SALT = "_salt"
 COPIES = "_copies"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, for work that passes over it again."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """``df`` written once and counted: marked for broadcast up to ``max_rows`` rows, else left as is."""
-    shared_folder(df.sparkSession)
-    written = df.checkpoint()
-    return F.broadcast(written) if written.count() <= max_rows else written
+    kept = written(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
 
 
 def hot_keys(
@@ -38,8 +43,11 @@ def hot_keys(
         sample = sample.where(F.pmod(F.xxhash64(*row_key), F.lit(every)) == 0)
     sizes = sample.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_n")).where(F.col("_n") >= rows)
     salts = F.least(F.floor(F.col("_n") / rows) + 1, F.lit(MAX_SALTS).cast("bigint"))
-    hot = small_side(sizes.select(*on, salts.alias(COPIES)))
-    return None if hot.isEmpty() else hot
+    hot = written(sizes.select(*on, salts.alias(COPIES)))
+    keys = hot.count()
+    if keys == 0:
+        return None
+    return F.broadcast(hot) if keys <= SMALL_ROWS else hot
 
 
 def salted_join(
