@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketspark.functions import html as H
 from marketspark.functions.text import fill_template, resolve
 from marketspark.operators.ordering import BLOCK_ROWS
-from marketspark.operators.skew import salted_join, small_side, written
+from marketspark.operators.skew import SMALL_ROWS, bounded, salted_join
 
 # Addresses, class names, defaults and the blocked link of the three news sites.
 ET_BASE = "https://economictimes.indiatimes.com"
@@ -61,12 +61,18 @@ def first_companies(companies: DataFrame) -> DataFrame:
 
 
 def company_lookup(
-    tickers: DataFrame, companies: DataFrame, *, row_key: Sequence[str] = ("ticker",)
+    tickers: DataFrame, companies: DataFrame, *, row_key: Sequence[str] = ("ticker",),
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Each ticker row with the name and id of its company, null when unknown."""
-    return salted_join(
-        tickers, small_side(first_companies(companies)), ["ticker"], "left", row_key=row_key
-    )
+    """Each ticker row with the name and id of its company, null when unknown.
+
+    A company list over ``small_rows`` rows is not broadcast; hot tickers are then salted by
+    ``row_key``.
+    """
+    firsts, small = bounded(first_companies(companies), small_rows)
+    if small:
+        return tickers.join(firsts, "ticker", "left")
+    return salted_join(tickers, firsts, ["ticker"], "left", row_key=row_key)
 
 
 def company_urls(df: DataFrame, template: str = COMPANY_PAGE, name: str = "url") -> DataFrame:
@@ -124,15 +130,21 @@ def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_L
 
 
 def join_articles(
-    links: DataFrame, pages: DataFrame, *, row_key: Sequence[str], rows: int = BLOCK_ROWS
+    links: DataFrame, pages: DataFrame, *, row_key: Sequence[str], rows: int = BLOCK_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Each link with the landed page it points to; ``pages`` is unique over ``url``.
 
-    The links are written first: they are few bytes next to the pages they were found on, and
-    both the search for hot addresses and the join read them.
+    The links are written and counted first: they are few bytes next to the pages they were found
+    on. Up to ``small_rows`` they are broadcast and the pages are not shuffled at all; beyond
+    that, addresses with about ``rows`` links or more are salted by ``row_key``.
     """
-    known = written(links.where(F.col("link").isNotNull()).withColumnRenamed("link", "url"))
-    return salted_join(known, pages.select("url", "html"), ["url"], row_key=row_key, rows=rows)
+    known = links.where(F.col("link").isNotNull()).withColumnRenamed("link", "url")
+    known, small = bounded(known, small_rows)
+    targets = pages.select("url", "html")
+    if small:
+        return known.join(targets, "url")
+    return salted_join(known, targets, ["url"], row_key=row_key, rows=rows)
 
 
 def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:

@@ -23,10 +23,19 @@ def written(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` written once and counted: marked for broadcast up to ``max_rows`` rows, else left as is."""
+def bounded(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
+    """``df`` written once and counted, and whether it has at most ``max_rows`` rows.
+
+    A side that small is marked for broadcast; a larger one is left to another way of joining.
+    """
     kept = written(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    small = kept.count() <= max_rows
+    return (F.broadcast(kept) if small else kept), small
+
+
+def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it is within the bound, else left as it is."""
+    return bounded(df, max_rows)[0]
 
 
 def hot_keys(
@@ -43,11 +52,8 @@ def hot_keys(
         sample = sample.where(F.pmod(F.xxhash64(*row_key), F.lit(every)) == 0)
     sizes = sample.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_n")).where(F.col("_n") >= rows)
     salts = F.least(F.floor(F.col("_n") / rows) + 1, F.lit(MAX_SALTS).cast("bigint"))
-    hot = written(sizes.select(*on, salts.alias(COPIES)))
-    keys = hot.count()
-    if keys == 0:
-        return None
-    return F.broadcast(hot) if keys <= SMALL_ROWS else hot
+    hot, small = bounded(sizes.select(*on, salts.alias(COPIES)))
+    return None if small and hot.isEmpty() else hot
 
 
 def salted_join(

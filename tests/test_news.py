@@ -47,10 +47,10 @@ def test_first_company_wins_and_unknown_stays(companies, tickers):
     assert rows(found.where("ticker = 'Z'"), "cid", "url") == [(None, None)]
 
 
-def test_lookup_in_a_large_list_is_the_same(companies, tickers, monkeypatch):
-    expected = rows(news.company_lookup(tickers, companies).fillna("-"), "ticker", "cid")
-    monkeypatch.setattr(news, "small_side", lambda df: df)
-    assert rows(news.company_lookup(tickers, companies).fillna("-"), "ticker", "cid") == expected
+def test_lookup_in_a_large_list_is_the_same(companies, tickers):
+    small = news.company_lookup(tickers, companies)
+    large = news.company_lookup(tickers, companies, small_rows=0)
+    assert rows(small.fillna("-"), "ticker", "cid") == rows(large.fillna("-"), "ticker", "cid")
 
 
 def test_company_news(spark, companies, tickers):
@@ -138,8 +138,10 @@ def test_links_by_class_accept_every_quoting(spark):
 def test_a_hot_address_is_salted(spark):
     links = spark.range(500).select(F.lit("A").alias("ticker"), F.col("id").alias("link_no"), F.lit("u").alias("link"))
     pages = landed(spark, {"u": "page", "v": "other"})
-    out = news.join_articles(links, pages, row_key=["ticker", "link_no"], rows=50)
-    assert out.count() == 500 and out.select("link_no").distinct().count() == 500
+    for small_rows in (0, 1000):
+        out = news.join_articles(links, pages, row_key=["ticker", "link_no"], rows=50, small_rows=small_rows)
+        assert out.count() == 500 and out.select("link_no").distinct().count() == 500
+        assert sorted(out.columns) == ["html", "link_no", "ticker", "url"]
 
 
 def test_templates(spark):

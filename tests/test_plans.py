@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import catalog
 from catalog import market
 from conftest import TESTDATA
-from marketspark.operators import cleaning, encoding, features, ordering, reshape
+from marketspark.operators import cleaning, encoding, features, news, ordering, reshape
 
 FOLDER = f"{TESTDATA}/sf0.001"
 catalog.load()
@@ -77,3 +77,11 @@ def test_counts_are_combined_before_the_shuffle(spark):
     for name in ("value_counts", "confusion_cells", "class_report", "overall_sentiment", "binary_metrics"):
         text = plan(catalog.QUERIES[name](spark, FOLDER))
         assert "partial_" in text, name
+
+
+def test_few_links_leave_the_pages_where_they_are(spark):
+    pages = catalog.table(spark, FOLDER, "pages")
+    links = pages.select("page_id", F.col("url").alias("link"))
+    text = plan(news.join_articles(links, pages, row_key=["page_id"]))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+    assert "_salt" in plan(news.join_articles(links, pages, row_key=["page_id"], rows=1, small_rows=0))
