@@ -39,4 +39,4 @@ def r6(column: Column | str) -> Column:
 
 def load() -> None:
     """Import the modules that register queries."""
-    from catalog import cleaning, evaluation, files, market, news, prompts  # noqa: F401
+    from marketspark.catalog import cleaning, evaluation, files, market, news, prompts  # noqa: F401

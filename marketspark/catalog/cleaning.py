@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import query, r6, table
-from catalog.market import hot_series, series
+from marketspark.catalog import query, r6, table
+from marketspark.catalog.market import hot_series, series
 from marketspark import schemas
 from marketspark.functions import dates, text
 from marketspark.operators import cleaning, encoding, evaluation

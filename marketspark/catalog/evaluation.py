@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import query, r6, table
+from marketspark.catalog import query, r6, table
 from marketspark.operators import evaluation as E
 
 

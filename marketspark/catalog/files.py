@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from marketspark.catalog import query, table
 from marketspark import schemas
 from marketspark.session import scratch_path
 from marketspark.sources import files, store

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalog import query, r6, table
+from marketspark.catalog import query, r6, table
 from marketspark import schemas
 from marketspark.operators import features, reshape
 from marketspark.plans import market as plans

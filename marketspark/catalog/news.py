@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from marketspark.catalog import query, table
 from marketspark.functions.text import fill_template
 from marketspark.operators import news, reshape
 from marketspark.operators.news import ArticleRule

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import query, table
+from marketspark.catalog import query, table
 from marketspark.operators import prompts, sampling, scoring
 from marketspark.plans import evaluation as plans
 

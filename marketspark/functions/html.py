@@ -90,7 +90,8 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
 
         import pandas as pd
 
-        # Elements that never have content.
+        # Elements whose text is not read, and elements that never have content.
+        unread = {"script", "style", "template"}
         void = {
             "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
             "source", "track", "wbr",
@@ -101,7 +102,8 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
 
             def __init__(self):
                 super().__init__(convert_charrefs=True)
-                self.open, self.found, self.texts, self.containers = [], [], [], 0
+                self.open, self.found, self.texts = [], [], []
+                self.containers = self.hidden = 0
 
             def handle_starttag(self, name, attrs):
                 attrs = dict(attrs)
@@ -125,6 +127,7 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
                     self.shut(records)
                 else:
                     self.open.append((name, container, records))
+                    self.hidden += name in unread
 
             def handle_startendtag(self, name, attrs):
                 self.handle_starttag(name, attrs)
@@ -135,10 +138,11 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
                     last = None
                     while last != name:
                         last, _, records = self.open.pop()
+                        self.hidden -= last in unread
                         self.shut(records)
 
             def handle_data(self, data):
-                if not self.open or self.open[-1][0] not in ("script", "style"):
+                if not self.hidden:
                     self.texts.append(data)
 
             def shut(self, records):

@@ -83,7 +83,7 @@ def test_company_updates(spark, companies, tickers):
 
 
 YAHOO = """<h1>other</h1><h1 data-test-locator="headline">Big&nbsp;news</h1><time datetime="2024-08-05T10:11:12.000Z">x</time>
-<div class="caas-body"><p>One &lt;1&gt;</p><div><p>Two <i>b</i><script>no()</script></p></div></div><p>outside</p>"""
+<div class="caas-body"><p>One &lt;1&gt;</p><div><p>Two <i>b</i><script>no()</script><template><b>no</b></template></p></div></div><p>outside</p>"""
 
 
 def test_anchor_news(spark, tickers):

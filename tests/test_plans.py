@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import catalog
-from catalog import market
+from marketspark import catalog
+from marketspark.catalog import market
 from conftest import TESTDATA
 from marketspark.operators import cleaning, encoding, features, news, ordering, reshape
 
