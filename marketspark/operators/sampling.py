@@ -6,13 +6,13 @@ The order of rows is the order of ``md5(key-seed)``, the same for any partitioni
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import with_positions
-from marketspark.operators.skew import small_side, written
+from marketspark.operators.skew import bounded, salted_join, written
 
 PREFIX = 4
 FEW = 50_000
@@ -29,8 +29,8 @@ def _number(token: Column, digits: int) -> Column:
     return F.conv(F.substring(token, 1, digits), 16, 10).cast("bigint")
 
 
-def _kth_token(tokens: DataFrame, share: float) -> str | None:
-    """The ceil(share * n)-th smallest token, found by counting prefixes of growing length."""
+def _kth_token(tokens: DataFrame, place: Callable[[int], int]) -> str | None:
+    """The k-th smallest token, k = place(rows), found by counting prefixes of growing length."""
     prefix, wanted = "", None
     while True:
         size = len(prefix) + PREFIX
@@ -38,7 +38,7 @@ def _kth_token(tokens: DataFrame, share: float) -> str | None:
         counts = inside.groupBy(F.substring("token", 1, size).alias("p")).count().collect()
         counts.sort()
         if wanted is None:
-            wanted = math.ceil(share * sum(c["count"] for c in counts))
+            wanted = place(sum(c["count"] for c in counts))
             if wanted == 0:
                 return None
         for row in counts:
@@ -53,6 +53,12 @@ def _kth_token(tokens: DataFrame, share: float) -> str | None:
             raise ValueError("the key is not unique")
 
 
+def _first_tokens(df: DataFrame, token: Column, place: Callable[[int], int]) -> Column:
+    """Is a row among the first place(rows) in hash order?"""
+    limit = _kth_token(df.select(token.alias("token")), place)
+    return F.lit(False) if limit is None else token <= limit
+
+
 def split_exact(
     df: DataFrame, *, key: Sequence[str], test_size: float = 0.2, seed: int = 42, name: str = "split"
 ) -> DataFrame:
@@ -61,11 +67,8 @@ def split_exact(
     The limiting hash is found from counts of hash prefixes over the key column alone; marking
     the rows is then a filter-like projection, with no shuffle of the rows.
     """
-    token = row_token(key, seed)
-    limit = _kth_token(df.select(token.alias("token")), test_size)
-    if limit is None:
-        return df.withColumn(name, F.lit("train"))
-    return df.withColumn(name, F.when(token <= limit, "test").otherwise("train"))
+    test = _first_tokens(df, row_token(key, seed), lambda rows: math.ceil(test_size * rows))
+    return df.withColumn(name, F.when(test, "test").otherwise("train"))
 
 
 def split_hash(
@@ -78,8 +81,11 @@ def split_hash(
 
 
 def take_sample(df: DataFrame, n: int, *, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """The first ``n`` rows in hash order."""
-    return df.orderBy(row_token(key, seed), *key).limit(n)
+    """The first ``n`` rows in hash order; a large sample is cut off by its limiting hash, unsorted."""
+    token = row_token(key, seed)
+    if n > FEW:
+        return df.where(_first_tokens(df, token, lambda rows: min(n, rows)))
+    return df.orderBy(token, *key).limit(n)
 
 
 def head(df: DataFrame, *, order: Sequence[str], n: int = 1) -> DataFrame:
@@ -120,9 +126,9 @@ def oversample(
         F.pmod(_number(pick, 15), F.col("_n")).alias("_place"),
         F.pmod(F.col("_draw"), F.col("_salts")).alias("_salt"),
     )
-    minority = df.join(small_side(short.select(label, "_salts")), label).withColumn(
-        "_token", _number(row_token(key, seed), 15)
-    )
+    classes, small = bounded(short.select(label, "_salts"))
+    minority = df.join(classes, label) if small else salted_join(df, classes, [label], row_key=key)
+    minority = minority.withColumn("_token", _number(row_token(key, seed), 15))
     placed = with_positions(
         minority, by=[label], order=["_token", *key], name="_place", largest=largest
     )

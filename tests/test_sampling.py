@@ -62,3 +62,12 @@ def test_hash_split_and_sample(spark):
     sample = sampling.take_sample(df, 100, key=["id"])
     assert sample.distinct().count() == 100
     assert sampling.head(df, order=["id"]).first().id == 0
+
+
+@pytest.mark.parametrize("n", [0, 100, 4000])
+def test_large_samples_are_the_same_rows(spark, n, monkeypatch):
+    df = spark.range(3000)
+    small = sorted(r.id for r in sampling.take_sample(df, n, key=["id"]).collect())
+    monkeypatch.setattr(sampling, "FEW", 5)
+    large = sorted(r.id for r in sampling.take_sample(df, n, key=["id"]).collect())
+    assert small == large and len(small) == min(n, 3000)
