@@ -47,10 +47,10 @@ def _open_tag(tag: str, cls: str | None, where: str | None) -> str:
 
 
 def first_text(html: Column, tag: str, cls: str | None = None, where: str | None = None) -> Column:
-    """Text of the first such element, entities still encoded; null when there is none."""
-    pattern = rf"(?is){_open_tag(tag, cls, where)}[^>]*>(.*?)(?:</{tag}\s*>|\z)"
-    inner = F.regexp_extract(F.regexp_substr(html, F.lit(pattern)), pattern, 1)
-    return F.regexp_replace(inner, _TAG, "")
+    """Text of the first such element (to the end of the page if it is not closed), entities still
+    encoded; null when there is none."""
+    element = rf"(?is){_open_tag(tag, cls, where)}[^>]*>(?:.*?</{tag}\s*>|.*)"
+    return F.regexp_replace(F.regexp_substr(html, F.lit(element)), _TAG, "")
 
 
 def first_tag(html: Column, tag: str, cls: str | None = None) -> Column:
