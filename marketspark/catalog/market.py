@@ -155,7 +155,7 @@ def history_join_options(spark, folder):
         F.col("l_extendedprice").alias("option_price"),
     )
     return reshape.history_join_options(
-        history, options, on=["ticker"], option_key=["ticker", "strike", "option_price"]
+        history, options, on=["ticker"]
     )
 
 
@@ -174,7 +174,7 @@ def history_join_options_hot(spark, folder):
         F.col("l_extendedprice").alias("option_price"),
     )
     return reshape.history_join_options(
-        history, options, on=["ticker"], option_key=["ticker", "strike", "option_price"], rows=1000
+        history, options, on=["ticker"], rows=1000
     )
 
 

@@ -71,15 +71,16 @@ def unpivot_chain(
 
 def history_join_options(
     history: DataFrame, options: DataFrame, *, on: Sequence[str] = ("ticker", "trade_date"),
-    option_key: Sequence[str], rows: int = BLOCK_ROWS,
+    option_key: Sequence[str] | None = None, rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Every history row with its option rows, or with nulls. ``history`` is unique over ``on``.
 
-    The option rows are the side that can be hot. If they are, they are spread over salts, and
+    The option rows are the side that can be hot. If they are, they are spread over salts
+    (by ``option_key``, columns that tell option rows apart, all by default), and
     history rows without options are found apart, by an anti join with the distinct keys.
     """
     on = list(on)
-    hot = hot_keys(options, on, row_key=option_key, rows=rows)
+    hot = hot_keys(options, on, rows=rows)
     if hot is None:
         return history.join(options, on, "left")
     matched = salted_join(options, history, on, "inner", row_key=option_key, rows=rows, hot=hot)

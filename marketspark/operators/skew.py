@@ -11,6 +11,7 @@ from marketspark.operators.ordering import BLOCK_ROWS, keyed_join
 from marketspark.session import shared_folder
 
 SMALL_ROWS = 100_000
+HOT_KEYS = 1_000_000
 SAMPLED = 1000
 MAX_SALTS = 10_000
 SALT = "_salt"
@@ -38,37 +39,37 @@ def small_side(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return bounded(df, max_rows)[0]
 
 
-def hot_keys(
-    df: DataFrame, on: Sequence[str], *, row_key: Sequence[str], rows: int = BLOCK_ROWS
-) -> DataFrame | None:
+def hot_keys(df: DataFrame, on: Sequence[str], *, rows: int = BLOCK_ROWS) -> DataFrame | None:
     """Keys of about ``rows`` rows or more with the number of salts for each, or None.
 
-    Counted on a hash sample by ``row_key``: it decides only how rows are spread, and the sample
-    is the same in every run.
+    Counted on every n-th row of each task, so that copies of a row count like any others, and
+    written once: it decides only how rows are spread.
     """
     every = max(1, rows // SAMPLED)
-    sample = df.select(*on, *[c for c in row_key if c not in on])
+    sample = df.select(*on)
     if every > 1:
-        sample = sample.where(F.pmod(F.xxhash64(*row_key), F.lit(every)) == 0)
+        sample = sample.where(F.monotonically_increasing_id() % every == 0)
     sizes = sample.groupBy(*on).agg((F.count(F.lit(1)) * every).alias("_n")).where(F.col("_n") >= rows)
     salts = F.least(F.floor(F.col("_n") / rows) + 1, F.lit(MAX_SALTS).cast("bigint"))
-    hot, small = bounded(sizes.select(*on, salts.alias(COPIES)))
+    hot, small = bounded(sizes.select(*on, salts.alias(COPIES)), HOT_KEYS)
     return None if small and hot.isEmpty() else hot
 
 
 def salted_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", *,
-    row_key: Sequence[str], rows: int = BLOCK_ROWS, hot: DataFrame | None = None,
+    row_key: Sequence[str] | None = None, rows: int = BLOCK_ROWS, hot: DataFrame | None = None,
 ) -> DataFrame:
     """``left`` join ``right`` (inner or left) with the hot keys of ``left`` spread over salts.
 
-    Rows of a hot key get a salt from the hash of ``row_key`` (columns that tell rows apart, so a
-    rerun gives the same salt); the ``right`` rows of that key, which should be few, are repeated
-    once per salt. Other keys are joined as they are.
+    Rows of a hot key get a salt from the hash of ``row_key``, columns that tell rows apart such
+    as an ordinal (all columns by default), so that a rerun of a lost task gives the same salt.
+    The ``right`` rows of that key, which should be few, are repeated once per salt. Other keys
+    are joined as they are.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    hot = hot_keys(left, on, row_key=row_key, rows=rows) if hot is None else hot
+    row_key = row_key or left.columns
+    hot = hot_keys(left, on, rows=rows) if hot is None else hot
     if hot is None:
         return left.join(right, list(on), how)
     spread = keyed_join(left, hot, on).withColumn(

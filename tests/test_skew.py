@@ -25,9 +25,14 @@ def test_salted_join_is_a_join(sides, how, rows):
 
 def test_hot_keys_and_salts(sides):
     left, _ = sides
-    hot = {r["k"]: r[skew.COPIES] for r in skew.hot_keys(left, ["k"], row_key=["id"], rows=100).collect()}
+    hot = {r["k"]: r[skew.COPIES] for r in skew.hot_keys(left, ["k"], rows=100).collect()}
     assert hot == {None: 11, 5: 11}
-    assert skew.hot_keys(left, ["k"], row_key=["id"], rows=5000) is None
+    assert skew.hot_keys(left, ["k"], rows=5000) is None
+
+
+def test_copies_of_one_row_are_seen_as_hot(spark):
+    copies = spark.range(40_000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    assert [r.k for r in skew.hot_keys(copies, ["k"], rows=20_000).collect()] == [1]
 
 
 def test_broadcast_only_up_to_the_checked_size(spark):
