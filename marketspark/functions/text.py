@@ -37,7 +37,7 @@ def amount(column: Column, on_error: str = "raise") -> Column:
     if on_error != "raise":
         raise ValueError("on_error must be raise or null")
     message = F.concat(F.lit("could not convert to a number: "), column)
-    return F.when(number.isNull() & column.isNotNull(), F.raise_error(message).cast("double")).otherwise(number)
+    return F.coalesce(number, F.when(column.isNotNull(), F.raise_error(message).cast("double")))
 
 
 def part_after(column: Column, marker: str) -> Column:

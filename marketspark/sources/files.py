@@ -19,11 +19,20 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
 
 
+def with_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
+    """A unique number per row, rising in reading order; use it right after the scan.
+
+    The same files and settings give the same numbers. Write the table when several jobs share
+    them as a key.
+    """
+    return df.withColumn(name, F.monotonically_increasing_id())
+
+
 def read_companies(spark: SparkSession, path: str) -> DataFrame:
     """Company list from XML: ordinal, ticker, ticker_name, cid (all text)."""
     raw = spark.read.format("xml").option("rowTag", "Company").schema(schemas.COMPANIES_XML).load(path)
-    return raw.select(
-        F.monotonically_increasing_id().alias("ordinal"),
+    return with_ordinal(raw).select(
+        "ordinal",
         F.col("Ticker").alias("ticker"),
         F.col("Ticker_Name").alias("ticker_name"),
         F.col("CID").alias("cid"),

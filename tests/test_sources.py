@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from marketspark import schemas
 from marketspark.operators import prompts, reshape
+from marketspark.plans import evaluation
 from marketspark.plans import market as plans
 from marketspark.session import scratch_path, shared_folder
 from marketspark.sources import files, store
@@ -30,6 +31,20 @@ def test_jsonl_with_broken_lines(spark, tmp_path):
     assert [r.line for r in files.bad_rows(files.read_jsonl(spark, path, schemas.TRAIN_JSONL)).collect()] == ['{"instruc']
 
 
+def test_training_set_from_landed_lines(spark):
+    path = scratch_path(spark, "lines")
+    rows = spark.range(50).select(
+        F.lit("do").alias("instruction"), F.col("id").cast("string").alias("input"),
+        F.when(F.col("id") % 5 == 0, "bullish").otherwise("bearish").alias("response"),
+    )
+    store.write_jsonl(rows.repartition(3), path)
+    landed = files.with_ordinal(files.read_train_jsonl(spark, path))
+    balanced, test = evaluation.training_set(landed, eos="</s>", key=["ordinal"])
+    sizes = {r.response: r["count"] for r in balanced.groupBy("response").count().collect()}
+    assert test.count() == 10 and sizes["bullish"] == sizes["bearish"] >= 20
+    assert balanced.join(test, "text").count() == 0
+
+
 def test_csv_with_newlines_and_quotes(spark, tmp_path):
     path = write(tmp_path, "t.csv", 'Prompt,Target\n"a, ""b""\n\nc",bullish\nplain,bearish\n')
     assert [tuple(r) for r in files.read_test_csv(spark, path).collect()] == [('a, "b"\n\nc', "bullish"), ("plain", "bearish")]
