@@ -178,10 +178,10 @@ def history_join_options_hot(spark, folder):
     )
 
 
-def _series_sql(columns: str, source: str = "events", extra: str = "") -> str:
+def _series_sql(columns: str, source: str = "events") -> str:
     return f"""
-        with s as (select *, value - lag(value) over (partition by user_id order by ts, event_id) as diff from {source})
-        select event_id, {columns} from s
+        with series as (select *, value - lag(value) over (partition by user_id order by ts, event_id) as diff from {source})
+        select event_id, {columns} from series
         window w as (partition by user_id order by ts, event_id),
                w7 as (partition by user_id order by ts, event_id rows between 6 preceding and current row),
                w14 as (partition by user_id order by ts, event_id rows between 13 preceding and current row),
@@ -189,18 +189,27 @@ def _series_sql(columns: str, source: str = "events", extra: str = "") -> str:
     """
 
 
-LAGS_SQL = "lag(value, 1) over w as lag1_close, lag(value, 3) over w as lag3_close"
-SMA_SQL = """case when count(value) over w7 >= 7 then round(avg(value) over w7, 6) + 0.0 end as sma_7,
-    case when count(value) over w30 >= 30 then round(avg(value) over w30, 6) + 0.0 end as sma_30"""
-VOLATILITY_SQL = "case when count(value) over w30 >= 30 then round(stddev_samp(value) over w30, 6) + 0.0 end as volatility"
-RSI_SQL = """case when count(diff) over w14 >= 14
-    and sum(greatest(diff, 0)) over w14 + sum(greatest(-diff, 0)) over w14 > 0
-    then round(100 * sum(greatest(diff, 0)) over w14
-        / (sum(greatest(diff, 0)) over w14 + sum(greatest(-diff, 0)) over w14), 6) + 0.0 end as rsi"""
+GAINS, LOSSES = "sum(greatest(diff, 0)) over w14", "sum(greatest(-diff, 0)) over w14"
+FEATURE_SQL = {
+    "lag1_close": "lag(value, 1) over w",
+    "lag3_close": "lag(value, 3) over w",
+    "sma_7": "case when count(value) over w7 >= 7 then avg(value) over w7 end",
+    "sma_30": "case when count(value) over w30 >= 30 then avg(value) over w30 end",
+    "volatility": "case when count(value) over w30 >= 30 then stddev_samp(value) over w30 end",
+    "rsi": f"""case when count(diff) over w14 >= 14 and {GAINS} + {LOSSES} > 0
+        then 100 * {GAINS} / ({GAINS} + {LOSSES}) end""",
+    "sentiment_rolling": """avg(case event_type when 'purchase' then 1.0::double when 'error' then -1.0 else 0.0 end)
+        over w7""",
+}
 TARGET_SQL = """case when lead(value) over w > value then 'bullish'
     when lead(value) over w is not null then 'bearish' end as target"""
-SENTIMENT_SQL = """round(avg(case event_type when 'purchase' then 1.0 when 'error' then -1.0 else 0.0 end)
-    over w7, 6) + 0.0 as sentiment_rolling"""
+
+
+def _feature_sql(*names: str) -> str:
+    """The features, rounded to six decimals."""
+    return ", ".join(f"round({FEATURE_SQL[n]}, 6) + 0.0 as {n}" for n in names)
+
+
 HOT_EVENTS = "(select * replace (case when event_type in ('click', 'view') then -1 else user_id end as user_id) from events)"
 PRICE_COLUMNS = ("lag1_close", "lag3_close", "sma_7", "sma_30", "volatility", "rsi")
 
@@ -210,27 +219,27 @@ def _price(spark, folder, *columns):
     return out.select("event_id", *[r6(c).alias(c) for c in columns])
 
 
-@query("feat_lags", _series_sql(LAGS_SQL))
+@query("feat_lags", _series_sql(_feature_sql("lag1_close", "lag3_close")))
 def feat_lags(spark, folder):
     return _price(spark, folder, "lag1_close", "lag3_close")
 
 
-@query("feat_sma", _series_sql(SMA_SQL))
+@query("feat_sma", _series_sql(_feature_sql("sma_7", "sma_30")))
 def feat_sma(spark, folder):
     return _price(spark, folder, "sma_7", "sma_30")
 
 
-@query("feat_volatility", _series_sql(VOLATILITY_SQL))
+@query("feat_volatility", _series_sql(_feature_sql("volatility")))
 def feat_volatility(spark, folder):
     return _price(spark, folder, "volatility")
 
 
-@query("feat_rsi", _series_sql(RSI_SQL))
+@query("feat_rsi", _series_sql(_feature_sql("rsi")))
 def feat_rsi(spark, folder):
     return _price(spark, folder, "rsi")
 
 
-@query("feat_hot_series", _series_sql(", ".join((LAGS_SQL, SMA_SQL, VOLATILITY_SQL, RSI_SQL, TARGET_SQL)), HOT_EVENTS))
+@query("feat_hot_series", _series_sql(_feature_sql(*PRICE_COLUMNS) + ", " + TARGET_SQL, HOT_EVENTS))
 def feat_hot_series(spark, folder):
     rows = features.price_features(hot_series(spark, folder), **KEY, rows=500)
     rows = features.target(rows, **KEY, rows=500)
@@ -265,7 +274,7 @@ def _with_sentiment(spark, folder):
     return series(spark, folder, mood.alias("sentiment"))
 
 
-@query("feat_sentiment", _series_sql(SENTIMENT_SQL))
+@query("feat_sentiment", _series_sql(_feature_sql("sentiment_rolling")))
 def feat_sentiment(spark, folder):
     rows = features.sentiment_rolling(_with_sentiment(spark, folder), **KEY, sentiment="sentiment")
     return rows.select("event_id", r6("sentiment_rolling").alias("sentiment_rolling"))
@@ -280,18 +289,19 @@ def _text(column: str) -> str:
     return f"regexp_replace(round({column}, 3)::decimal(38, 3)::varchar, '(\\.\\d+?)0+$', '\\1')"
 
 
+PROMPT_SQL = _series_sql(", ".join(f"{sql} as {n}" for n, sql in FEATURE_SQL.items()))
+
+
 @query("feat_prompt", MACD_CTE + f""",
-    f as ({_series_sql(", ".join((LAGS_SQL, SMA_SQL, VOLATILITY_SQL, RSI_SQL, SENTIMENT_SQL))).replace("with s as", "with t as").replace("from s", "from t")})
+    f as ({PROMPT_SQL})
     select event_id, concat_ws(', ',
         'Lag1_ClosePrice: ' || {_text('lag1_close')}, 'Lag3_ClosePrice: ' || {_text('lag3_close')},
         '7-day SMA: ' || {_text('sma_7')}, '30-day SMA: ' || {_text('sma_30')},
         'Volatility: ' || {_text('volatility')}, 'RSI: ' || {_text('rsi')},
-        'MACD: ' || {_text('round(e12 - e26, 6)')}, 'MACD Signal: ' || {_text('round(sig, 6)')},
+        'MACD: ' || {_text('e12 - e26')}, 'MACD Signal: ' || {_text('sig')},
         'Sentiment Rolling: ' || {_text('sentiment_rolling')}) || '.' as prompt
     from f join m using (event_id)
 """)
 def feat_prompt(spark, folder):
     rows = features.prompt_features(_with_sentiment(spark, folder), **KEY, price="close_price", sentiment="sentiment")
-    rounded = rows.select("event_id", *[r6(c).alias(c) for c in features.PROMPT_LABELS])
-    line = features.feature_text(rounded, end=".", digits=3)
-    return rounded.select("event_id", line.alias("prompt"))
+    return rows.select("event_id", features.feature_text(rows, end=".", digits=3).alias("prompt"))

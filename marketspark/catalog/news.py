@@ -13,7 +13,10 @@ from marketspark.sources import files
 
 PAGE_RULE = ArticleRule(summary=("title", None))
 HREFS = r"""regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)"""
-DECODED = "replace(replace(replace(replace({}, '&quot;', '\"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+# character references of the test pages; a cut text may end in one without its semicolon
+DECODED = "{}"
+for _name, _text in (("quot", '"'), ("middot", "·"), ("copy", "©"), ("amp", "&")):
+    DECODED = f"regexp_replace({DECODED}, '&{_name};?', '{_text}', 'g')"
 
 
 def pages(spark, folder):
@@ -110,7 +113,19 @@ def page_headlines(spark, folder):
     return cards.drop("card_no")
 
 
-@query("page_paragraphs")
+# A closed paragraph ends at its end tag; an open one holds all that follows it in the article.
+PARAGRAPHS = """array_to_string(list_transform(range(1, len(parts) + 1), lambda i: regexp_replace(
+    case when contains(parts[i], '</p>') then split_part(parts[i], '</p>', 1)
+         else array_to_string(parts[i:], '') end, '<[^>]*>', '', 'g')), ' ')"""
+
+
+@query("page_paragraphs", f"""
+    with a as (
+        select *, string_split(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>')[2:] as parts from pages
+    )
+    select page_id, url, {DECODED.format("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's')")} as title,
+           'No date available' as date, {DECODED.format(PARAGRAPHS)} as content from a
+""")
 def page_paragraphs(spark, folder):
     rule = ArticleRule(body=("article", None))
     return news.extract_articles(pages(spark, folder), rule, keep=["page_id", "url"])
