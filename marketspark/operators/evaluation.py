@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from marketspark.operators.ordering import BLOCK_ROWS, POSITION, moving, running_total
 from marketspark.operators.skew import written
@@ -161,97 +162,97 @@ def class_report(df: DataFrame, *, y: str, p: str) -> DataFrame:
     return labels.select("label", *metrics, "support").unionByName(summary)
 
 
-def _score_counts(df: DataFrame, y: str, score: str, positive) -> DataFrame:
-    """Positives and negatives per distinct score, written once: a curve passes over it often."""
-    usable = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
-    hit = F.col(y) == positive
-    counts = usable.groupBy(F.col(score).alias("threshold")).agg(
-        F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
-    )
-    return written(counts.withColumn("_rank", -F.col("threshold")))
-
-
-def _curve(
-    df: DataFrame, y: str, score: str, positive, block_rows: int, reduced: bool = False
-) -> tuple[DataFrame, int, int]:
-    """(running counts from the top score down, positives, negatives)."""
-    counts = _score_counts(df, y, score, positive)
-    size, positives, negatives = counts.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
-    ).first()
-    same = {"order": ["_rank"], "largest": size, "block_rows": block_rows}
-    totals = {"tps": F.col("pos"), "fps": F.col("neg")}
-    if not reduced:
-        return running_total(counts, totals, **same).drop("_rank"), positives, negatives
-
-    def corners(part: DataFrame, w) -> DataFrame:
-        turns = (F.lead("pos").over(w) != F.col("pos")) | (F.lead("neg").over(w) != F.col("neg"))
-        first = F.lag("pos").over(w).isNull()
-        return part.withColumn("_corner", first | F.coalesce(turns, F.lit(True)))
-
-    one = F.lit(1).cast("bigint")
-    running = running_total(counts, {**totals, POSITION: one}, **same)
-    running = running.withColumn(POSITION, F.col(POSITION) - 1)
-    running = moving(running, corners, before=1, after=1, rows=max(2, block_rows), **same)
-    return running.where("_corner").drop("_corner", "_rank", POSITION), positives, negatives
-
-
-def roc_points(
-    df: DataFrame, *, y: str, score: str, positive=1, drop_intermediate: bool = False,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
+class ScoreCurve:
+    """Positives and negatives per distinct score: counted and written once, read by every curve."""
+
+    def __init__(self, df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS):
+        usable = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
+        hit = F.col(y) == positive
+        counts = usable.groupBy(F.col(score).alias("threshold")).agg(
+            F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
+        )
+        self.counts = written(counts.withColumn("_rank", -F.col("threshold")))
+        self.scores, self.positives, self.negatives = self.counts.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
+        ).first()
+        self.block_rows = block_rows
+
+    def running(self, corners_only: bool = False) -> DataFrame:
+        """True and false positives (``tps``, ``fps``) from the top score down to each score."""
+        same = {"order": ["_rank"], "largest": self.scores, "block_rows": self.block_rows}
+        totals = {"tps": F.col("pos"), "fps": F.col("neg")}
+        if not corners_only:
+            return running_total(self.counts, totals, **same).drop("_rank")
+
+        def corners(part: DataFrame, w: WindowSpec) -> DataFrame:
+            turns = (F.lead("pos").over(w) != F.col("pos")) | (F.lead("neg").over(w) != F.col("neg"))
+            first = F.lag("pos").over(w).isNull()
+            return part.withColumn("_corner", first | F.coalesce(turns, F.lit(True)))
+
+        one = F.lit(1).cast("bigint")
+        running = running_total(self.counts, {**totals, POSITION: one}, **same)
+        running = running.withColumn(POSITION, F.col(POSITION) - 1)
+        rows = max(2, self.block_rows)
+        marked = moving(running, corners, before=1, after=1, rows=rows, **same)
+        return marked.where("_corner").drop("_corner", "_rank", POSITION)
+
+    def _with_end(self, points: DataFrame, **values: float) -> DataFrame:
+        """The points and the one that belongs to no score."""
+        threshold = F.lit(None).cast(self.counts.schema["threshold"].dataType).alias("threshold")
+        end = points.sparkSession.range(0, 1, 1, 1).select(
+            threshold, *[F.lit(v).alias(name) for name, v in values.items()]
+        )
+        return points.unionByName(end)
+
+    def roc_points(self, drop_intermediate: bool = False) -> DataFrame:
+        points = self.running(drop_intermediate).select(
+            "threshold",
+            _ratio(F.col("fps"), F.lit(self.negatives)).alias("fpr"),
+            _ratio(F.col("tps"), F.lit(self.positives)).alias("tpr"),
+        )
+        return self._with_end(points, fpr=0.0, tpr=0.0)
+
+    def roc_auc(self) -> DataFrame:
+        area = F.col("neg") * (2 * F.col("tps") - F.col("pos")).cast("double") / 2
+        whole = F.lit(float(self.positives) * float(self.negatives))
+        return self.running().agg(F.try_divide(F.sum(area), whole).alias("roc_auc"))
+
+    def pr_points(self) -> DataFrame:
+        points = self.running().select(
+            "threshold",
+            _ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("precision"),
+            _ratio(F.col("tps"), F.lit(self.positives)).alias("recall"),
+        )
+        return self._with_end(points, precision=1.0, recall=0.0)
+
+    def average_precision(self) -> DataFrame:
+        step = F.col("pos") * F.col("tps").cast("double") / (F.col("tps") + F.col("fps"))
+        whole = F.lit(float(self.positives))
+        return self.running().agg(F.try_divide(F.sum(step), whole).alias("average_precision"))
+
+
+def roc_points(df: DataFrame, *, drop_intermediate: bool = False, **columns) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score and the start (null, 0, 0).
 
-    ``drop_intermediate`` leaves out the points on a straight line between their neighbours.
+    ``columns`` are those of ``ScoreCurve``: y, score, positive. ``drop_intermediate`` leaves out
+    the points on a straight line between their neighbours.
     """
-    curve, positives, negatives = _curve(df, y, score, positive, block_rows, drop_intermediate)
-    points = curve.select(
-        "threshold",
-        _ratio(F.col("fps"), F.lit(negatives)).alias("fpr"),
-        _ratio(F.col("tps"), F.lit(positives)).alias("tpr"),
-    )
-    start = df.sparkSession.range(1).select(
-        F.lit(None).cast(df.schema[score].dataType).alias("threshold"),
-        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"),
-    )
-    return start.unionByName(points)
+    return ScoreCurve(df, **columns).roc_points(drop_intermediate)
 
 
-def roc_auc(
-    df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def roc_auc(df: DataFrame, **columns) -> DataFrame:
     """Area under the ROC points; equal scores count one half."""
-    curve, positives, negatives = _curve(df, y, score, positive, block_rows)
-    area = F.col("neg") * (2 * F.col("tps") - F.col("pos")).cast("double") / 2
-    return curve.agg(
-        F.try_divide(F.sum(area), F.lit(float(positives) * float(negatives))).alias("roc_auc")
-    )
+    return ScoreCurve(df, **columns).roc_auc()
 
 
-def pr_points(
-    df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def pr_points(df: DataFrame, **columns) -> DataFrame:
     """(threshold, precision, recall) per distinct score and the end (null, 1, 0)."""
-    curve, positives, _ = _curve(df, y, score, positive, block_rows)
-    points = curve.select(
-        "threshold",
-        _ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("precision"),
-        _ratio(F.col("tps"), F.lit(positives)).alias("recall"),
-    )
-    end = df.sparkSession.range(1).select(
-        F.lit(None).cast(df.schema[score].dataType).alias("threshold"),
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
-    )
-    return points.unionByName(end)
+    return ScoreCurve(df, **columns).pr_points()
 
 
-def average_precision(
-    df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
+def average_precision(df: DataFrame, **columns) -> DataFrame:
     """Sum of recall steps times precision, without interpolation."""
-    curve, positives, _ = _curve(df, y, score, positive, block_rows)
-    step = F.col("pos") * F.col("tps").cast("double") / (F.col("tps") + F.col("fps"))
-    return curve.agg(F.try_divide(F.sum(step), F.lit(float(positives))).alias("average_precision"))
+    return ScoreCurve(df, **columns).average_precision()
 
 
 def _vote(up: Column, down: Column, positive: str, negative: str) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.operators import evaluation, prompts, sampling, scoring
+from marketspark.operators.skew import written
 
 
 def training_set(
@@ -35,20 +36,24 @@ def score(test: DataFrame, *, make_predict_fn: Callable, prompt: str = "prompt")
 
 
 def report(scored: DataFrame, *, y: str = "target", p: str = "prediction") -> dict[str, DataFrame]:
-    """Every table of the evaluation; curves use the label codes of the predictions."""
-    coded = scored.select(
+    """Every table of the evaluation; curves use the label codes of the predictions.
+
+    Truth and prediction are written first, so that the model runs once for all tables.
+    """
+    judged = written(scored.select(y, p))
+    coded = judged.select(
         evaluation.label_code(F.col(y)).alias("y"), evaluation.label_code(F.col(p)).alias("score")
     )
-    curve = {"y": "y", "score": "score"}
+    curve = evaluation.ScoreCurve(coded, y="y", score="score")
     return {
-        "predicted_counts": evaluation.value_counts(scored, p),
-        "target_counts": evaluation.value_counts(scored, y),
-        "metrics": evaluation.binary_metrics(scored, y=y, p=p),
-        "class_report": evaluation.class_report(scored, y=y, p=p),
-        "confusion_matrix": evaluation.confusion_matrix(scored, y=y, p=p),
-        "roc_points": evaluation.roc_points(coded, drop_intermediate=True, **curve),
-        "roc_auc": evaluation.roc_auc(coded, **curve),
-        "pr_points": evaluation.pr_points(coded, **curve),
-        "average_precision": evaluation.average_precision(coded, **curve),
-        "overall_sentiment": evaluation.overall_sentiment(scored, y=y, p=p),
+        "predicted_counts": evaluation.value_counts(judged, p),
+        "target_counts": evaluation.value_counts(judged, y),
+        "metrics": evaluation.binary_metrics(judged, y=y, p=p),
+        "class_report": evaluation.class_report(judged, y=y, p=p),
+        "confusion_matrix": evaluation.confusion_matrix(judged, y=y, p=p),
+        "roc_points": curve.roc_points(drop_intermediate=True),
+        "roc_auc": curve.roc_auc(),
+        "pr_points": curve.pr_points(),
+        "average_precision": curve.average_precision(),
+        "overall_sentiment": evaluation.overall_sentiment(judged, y=y, p=p),
     }

@@ -120,6 +120,15 @@ def test_one_class_only_has_no_area(spark):
     assert E.roc_auc(df, y="y", score="score").first()[0] is None
 
 
+def counting(calls):
+    @F.udf("string")
+    def same(text):
+        calls.add(1)
+        return text
+
+    return same
+
+
 def test_whole_evaluation(spark):
     rows = [(i, "up" if i % 4 else "down", B if i % 4 else S) for i in range(40)]
     test = spark.createDataFrame(rows, "id bigint, prompt string, target string")
@@ -131,7 +140,10 @@ def test_whole_evaluation(spark):
 
     result = plans.score(test, make_predict_fn=make_model)
     assert result.columns == ["id", "prompt", "target", "prediction"]
-    tables = {name: df.collect() for name, df in plans.report(result).items()}
+    calls = spark.sparkContext.accumulator(0)
+    counted = result.withColumn("prediction", counting(calls)(F.col("prediction")))
+    tables = {name: df.collect() for name, df in plans.report(counted).items()}
+    assert calls.value == 40, "the model runs once per row for all tables"
     assert tables["metrics"][0].n_unmapped == 10 and tables["metrics"][0].recall == 1.0
     assert tables["predicted_counts"][0].asDict() == {"prediction": B, "n": 30}
     assert tables["overall_sentiment"][0].predicted_sentiment == B
