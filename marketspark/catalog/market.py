@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marketspark.catalog import query, r6, table
 from marketspark import schemas
 from marketspark.operators import features, reshape
+from marketspark.operators.prompts import EVAL_TEMPLATE
 from marketspark.plans import market as plans
 from marketspark.session import scratch_path
 from marketspark.sources import files, store
@@ -285,8 +286,8 @@ def feat_target(spark, folder):
     return features.target(series(spark, folder), **KEY).select("event_id", "target")
 
 
-def _text(column: str) -> str:
-    return f"regexp_replace(round({column}, 3)::decimal(38, 3)::varchar, '(\\.\\d+?)0+$', '\\1')"
+def _text(column: str, digits: int = 3) -> str:
+    return f"regexp_replace(round({column}, {digits})::decimal(38, {digits})::varchar, '(\\.\\d+?)0+$', '\\1')"
 
 
 PROMPT_SQL = _series_sql(", ".join(f"{sql} as {n}" for n, sql in FEATURE_SQL.items()))
@@ -305,3 +306,23 @@ PROMPT_SQL = _series_sql(", ".join(f"{sql} as {n}" for n, sql in FEATURE_SQL.ite
 def feat_prompt(spark, folder):
     rows = features.prompt_features(_with_sentiment(spark, folder), **KEY, price="close_price", sentiment="sentiment")
     return rows.select("event_id", features.feature_text(rows, end=".", digits=3).alias("prompt"))
+
+
+PROMPT_START, PROMPT_END = (part.replace("'", "''") for part in EVAL_TEMPLATE.split("{}"))
+
+
+@query("prompt_rows", MACD_CTE + f""",
+    f as ({PROMPT_SQL}),
+    p as (
+        select user_id as ticker, event_id, concat_ws(', ',
+            'Lag1_ClosePrice: ' || {_text('lag1_close', 6)}, 'Lag3_ClosePrice: ' || {_text('lag3_close', 6)},
+            '7-day SMA: ' || {_text('sma_7', 6)}, '30-day SMA: ' || {_text('sma_30', 6)},
+            'Volatility: ' || {_text('volatility', 6)}, 'RSI: ' || {_text('rsi', 6)},
+            'MACD: ' || {_text('e12 - e26', 6)}, 'MACD Signal: ' || {_text('sig', 6)}) || '.' as prompt
+        from f join m using (event_id)
+    )
+    select ticker, event_id, prompt, '{PROMPT_START}' || prompt || '{PROMPT_END}' as text from p
+""")
+def prompt_rows(spark, folder):
+    rows = series(spark, folder)
+    return plans.prompt_rows(rows, **KEY, price="close_price", keep=["ticker", "event_id"])

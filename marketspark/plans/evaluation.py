@@ -27,7 +27,10 @@ def training_set(
 
 
 def score(test: DataFrame, *, make_predict_fn: Callable, prompt: str = "prompt") -> DataFrame:
-    """Add ``prediction``: the answer part of what the model makes of each prompt."""
+    """Add ``prediction``: the answer part of what the model makes of each prompt.
+
+    Lazy: write the result when more than one job reads it, or the model runs for each.
+    """
     asked = test.withColumn("_text", prompts.eval_text(prompt))
     generated = scoring.batch_predict(
         asked, make_predict_fn=make_predict_fn, input_col="_text", output_col="_generated"
