@@ -27,6 +27,8 @@ def standardize(df: DataFrame, columns: Sequence[str], *, by: str | None = None)
     rows are not shuffled; ``by`` fits each group and joins the few fitted rows back.
     """
     columns = list(columns)
+    if not columns:
+        return df
     if by is None:
         fitted = df.agg(F.struct(*_fit(columns))).scalar()
         return df.withColumns({

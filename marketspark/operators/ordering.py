@@ -183,17 +183,17 @@ def with_blocks(
         return plain
     # rows outside the shared values stay in their block: without an axis value they pass no cut
     lead = f"_own_{order[1]}"
-    outer = done.df.withColumnsRenamed({BLOCK: "_outer", CUT: "_outer_cut", TIED: "_outer_tied"})
-    outer = outer.withColumn(lead, F.when(F.col("_outer_tied"), F.col(order[1])))
+    block, cut, tied = (f"{name}_{len(order)}" for name in (BLOCK, CUT, TIED))
+    outer = done.df.withColumnsRenamed({BLOCK: block, CUT: cut, TIED: tied})
+    outer = outer.withColumn(lead, F.when(F.col(tied), F.col(order[1])))
     inner = with_blocks(
-        outer, order=[lead, *order[2:]], by=[*by, "_outer"], largest=crowd, block_rows=block_rows
+        outer, order=[lead, *order[2:]], by=[*by, block], largest=crowd, block_rows=block_rows
     )
     both = inner.df.withColumns({
-        BLOCK: F.col("_outer") * (2 * MAX_BLOCKS) ** (len(order) - 1) + F.col(BLOCK),
-        CUT: F.col("_outer_cut"),
+        BLOCK: F.col(block) * (2 * MAX_BLOCKS) ** (len(order) - 1) + F.col(BLOCK),
+        CUT: F.col(cut),
     })
-    # every outer block may hold as many inner ones as the inner cuts allow
-    return Blocked(both.drop("_outer", "_outer_cut", "_outer_tied", lead), done.blocks + inner.blocks)
+    return Blocked(both.drop(block, cut, tied, lead), done.blocks + inner.blocks)
 
 
 def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
@@ -243,6 +243,8 @@ def last_known(
     largest: int | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Replace nulls with the latest earlier value; a block starts from the one before it."""
+    if not columns:
+        return df
     largest = largest_group(df, by) if largest is None else largest
     whole = Window.partitionBy(*by).orderBy(*order)
     if largest <= block_rows:

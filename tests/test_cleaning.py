@@ -134,3 +134,9 @@ def test_the_optional_steps(spark):
     assert [r.close_price for r in stock.orderBy("ordinal").collect()] == [-1.0, 1.0]
     assert tuple(index.first()) == (1, "N", 0.0, True)
     assert [r.date for r in news.orderBy("ordinal").collect()] == ["05-08-2024", "05-08-2024"]
+
+
+def test_frames_without_the_columns_pass(spark):
+    df = spark.range(3)
+    assert cleaning.standardize_amounts(df, ["close_price"]) is df
+    assert cleaning.ffill(df, order=["id"], scope="global") is df

@@ -82,6 +82,22 @@ def test_a_value_shared_by_a_third_of_the_rows_is_divided_too(spark):
     assert placed.join(plain, "id").where(F.col("p") != F.col(O.POSITION)).count() == 0
 
 
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_values_shared_in_two_columns_are_divided_along_the_third(spark, by):
+    mostly = F.when(F.col("id") < 2000, 7)
+    df = spark.range(3000).select(
+        F.lit(None).cast("string").alias("k"), mostly.otherwise(F.col("id") % 20).alias("t"),
+        mostly.otherwise(F.col("id") % 30).alias("u"), "id",
+    )
+    order = ["t", "u", "id"]
+    blocked, bound = O.with_blocks(df, order=order, by=by, largest=3000, block_rows=100)
+    assert O.largest_group(blocked, [*by, O.BLOCK]) <= 400
+    assert blocked.select(O.BLOCK).distinct().count() <= bound
+    placed = O.with_positions(df, order=order, by=by, block_rows=100)
+    plain = df.withColumn("p", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+    assert placed.join(plain, "id").where(F.col("p") != F.col(O.POSITION)).count() == 0
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "double", "decimal(20,3)"])
 def test_order_columns_of_every_kind(spark, kind):
     day = F.expr("date'2024-01-01'")
