@@ -256,10 +256,16 @@ def last_known(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    rank = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    ends = blocked.where(CUT).groupBy(*by, BLOCK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in columns]
-    )
+
+    def last_of_block(c: str) -> Column:
+        known = F.col(c).isNotNull()
+        if len(order) > 1:
+            return F.max_by(c, F.when(known, F.struct(*order)))
+        # a plain column, unlike a struct, can be combined in a hash table; its null comes first
+        first = F.max_by(c, F.when(known & F.col(order[0]).isNull(), F.lit(1)))
+        return F.coalesce(F.max_by(c, F.when(known, F.col(order[0]))), first)
+
+    ends = blocked.where(CUT).groupBy(*by, BLOCK).agg(*[last_of_block(c).alias(c) for c in columns])
     ends = ends.select(
         *by, BLOCK, *[F.last(c, ignorenulls=True).over(earlier).alias(f"_prev_{c}") for c in columns]
     )

@@ -11,7 +11,7 @@ from marketspark.operators import ordering as O
 
 rows_of = st.lists(
     st.tuples(
-        st.sampled_from(["a", "b", None]), st.integers(0, 6) | st.just(3), st.none() | st.integers(-5, 5)
+        st.sampled_from(["a", "b", None]), st.integers(0, 6) | st.just(3) | st.none(), st.none() | st.integers(-5, 5)
     ),
     min_size=1, max_size=60,
 )
@@ -21,7 +21,8 @@ def frame(spark, rows, parts=4):
     pdf = pd.DataFrame(
         {"k": [r[0] for r in rows], "t": [r[1] for r in rows], "id": range(len(rows)), "v": [r[2] for r in rows]}
     )
-    data = [(k, int(t), int(i), None if pd.isna(v) else int(v)) for k, t, i, v in pdf.itertuples(index=False)]
+    whole = lambda x: None if pd.isna(x) else int(x)
+    data = [(k, whole(t), int(i), whole(v)) for k, t, i, v in pdf.itertuples(index=False)]
     return spark.createDataFrame(data, "k string, t bigint, id bigint, v bigint").repartition(parts, "id")
 
 
@@ -32,7 +33,7 @@ def by_id(df):
 def brute(rows, by):
     """position and last known value per id."""
     groups, out = {}, {}
-    order = sorted(range(len(rows)), key=lambda i: (rows[i][1], i))
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][1] is not None, rows[i][1] or 0, i))
     for i in order:
         key = rows[i][0] if by else "all"
         n, known = groups.get(key, (0, None))
@@ -109,6 +110,13 @@ def test_order_columns_of_every_kind(spark, kind):
     assert placed.where(F.col(O.POSITION) != 499 - F.col("id")).count() == 0
 
 
+@pytest.mark.parametrize("order", [["t"], ["t", "id"]])
+def test_a_null_in_the_order_comes_first(spark, order):
+    df = spark.range(60).select("id", F.when(F.col("id") > 0, F.col("id")).alias("t"), F.when(F.col("id") < 1, 9).alias("v"))
+    filled = O.last_known(df, ["v"], order=order, block_rows=10)
+    assert {r.v for r in filled.collect()} == {9}
+
+
 def test_text_cannot_place_cuts(spark):
     df = spark.range(50).select(F.col("id").cast("string").alias("t"))
     with pytest.raises(TypeError):
