@@ -29,6 +29,7 @@ from marketspark.session import shared_folder
 
 BLOCK_ROWS = 500_000
 MAX_BLOCKS = 32_768
+INNER_BLOCKS = 4 * MAX_BLOCKS
 SAMPLES_PER_BLOCK = 64
 BROADCAST_CUTS = 16_000_000
 BROADCAST_BLOCKS = 1_000_000
@@ -36,6 +37,7 @@ BROADCAST_BLOCKS = 1_000_000
 BLOCK = "_block"
 CUT = "_cut"
 TIED = "_tied"
+OPEN = "_open"
 POSITION = "_pos"
 PIECE = "_piece"
 AXIS = "_axis"
@@ -83,12 +85,13 @@ def _axis(df: DataFrame, name: str) -> Column:
 
 
 class CutPoints(NamedTuple):
-    """Rows with the ``_cuts`` of their group, most cuts of a group, bound on all blocks, any cut twice?"""
+    """Rows with the ``_cuts`` of their group, most cuts of a group, bound on all blocks, and
+    whether very many rows of a group share one value (a cut that occurs twice, or null)."""
 
     df: DataFrame
     parts: int
     blocks: int
-    repeated: bool
+    crowded: bool
 
 
 def _number_array(values: Sequence, kind: str) -> Column:
@@ -105,32 +108,37 @@ def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int)
     """
     parts = min(math.ceil(largest / block_rows) + 1, MAX_BLOCKS)
     every = max(1, largest // (parts * SAMPLES_PER_BLOCK))
-    sample = df.select(*by, AXIS, *_tie_breakers(df)).where(F.col(AXIS).isNotNull())
+    sample = df.select(*by, AXIS, OPEN, *_tie_breakers(df))
     if every > 1:
         sample = sample.where(F.pmod(F.xxhash64(AXIS, *_tie_breakers(df)), F.lit(every)) == 0)
+    kind = df.schema[AXIS].dataType.simpleString()
     shares = _number_array([i / parts for i in range(1, parts)], "double")
-    cuts = F.percentile_approx(AXIS, shares, max(10_000, 16 * parts)).alias(CUTS)
+    found = F.percentile_approx(AXIS, shares, max(10_000, 16 * parts))
+    cuts = F.coalesce(found, F.array().cast(f"array<{kind}>")).alias(CUTS)
+    nulls = (F.count_if(F.col(AXIS).isNull() & F.col(OPEN)) * every > block_rows).alias("_nulls")
     if not by:
-        found = sample.agg(cuts).first()[0] or []
-        values = _number_array(found, df.schema[AXIS].dataType.simpleString())
-        cut = df.withColumn(CUTS, values if found else F.array().cast("array<int>"))
-        return CutPoints(cut, parts, 2 * parts, len(set(found)) < len(found))
+        values, many_nulls = sample.agg(cuts, nulls).first()
+        array = _number_array(values, kind) if values else F.array().cast(f"array<{kind}>")
+        crowded = many_nulls or len(set(values)) < len(values)
+        return CutPoints(df.withColumn(CUTS, array), parts, 2 * parts, crowded)
     limits = (
         sample.groupBy(*by)
-        .agg((F.count(F.lit(1)) * every).alias("_n"), cuts)
+        .agg((F.count(F.lit(1)) * every).alias("_n"), cuts, nulls)
         .where(F.col("_n") > block_rows)
         .withColumn("_stride", F.greatest(F.floor(parts / F.ceil(F.col("_n") / block_rows)), F.lit(1)))
-        .select(*by, F.expr(f"filter({CUTS}, (cut, i) -> (i + 1) % _stride = 0)").alias(CUTS))
+        .select(*by, "_nulls", F.expr(f"filter({CUTS}, (cut, i) -> (i + 1) % _stride = 0)").alias(CUTS))
     )
     shared_folder(df.sparkSession)
     limits = limits.checkpoint()
-    groups, cells, repeated = limits.agg(
+    repeated = F.size(F.array_distinct(CUTS)) < F.size(CUTS)
+    groups, cells, crowded = limits.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.size(CUTS)), F.lit(0)),
-        F.count_if(F.size(F.array_distinct(CUTS)) < F.size(CUTS)),
+        F.count_if(repeated | F.col("_nulls")),
     ).first()
+    limits = limits.drop("_nulls")
     if cells <= BROADCAST_CUTS:
         limits = F.broadcast(limits)
-    return CutPoints(keyed_join(df, limits, by), parts, 2 * cells + groups, repeated > 0)
+    return CutPoints(keyed_join(df, limits, by), parts, 2 * (cells + groups), crowded > 0)
 
 
 def _tie_breakers(df: DataFrame) -> list[str]:
@@ -149,7 +157,10 @@ def _count_cuts(cuts: Column, parts: int, passed: Callable[[Column], Column]) ->
 
 
 def _divide(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int, block_rows: int) -> CutPoints:
-    """Blocks along ``order[0]``. A value that is a cut gets a block of its own (``_tied``)."""
+    """Blocks along ``order[0]``. Null, and a value that is a cut, get a block of their own.
+
+    Open rows in such a block are ``_tied``: they share one value.
+    """
     ties = {f"_tie_{i}": F.col(c) for i, c in enumerate(order[1:])}
     placed = _cut_points(
         df.withColumn(AXIS, _axis(df, order[0])).withColumns(ties), by, largest, block_rows
@@ -157,12 +168,13 @@ def _divide(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int
     value, cuts = F.col(AXIS), F.col(CUTS)
     below = F.coalesce(_count_cuts(cuts, placed.parts, lambda c: c < value), F.lit(0))
     upto = F.coalesce(_count_cuts(cuts, placed.parts, lambda c: c <= value), F.lit(0))
+    block = F.when(value.isNull(), F.lit(-1)).otherwise(F.col("_below") + F.col("_upto"))
     divided = placed.df.withColumns({"_below": below, "_upto": upto}).withColumns({
-        BLOCK: (F.col("_below") + F.col("_upto")).cast("bigint"),
-        TIED: F.col("_below") < F.col("_upto"),
+        BLOCK: F.when(cuts.isNotNull(), block).otherwise(F.lit(0)).cast("bigint"),
+        TIED: F.col(OPEN) & (value.isNull() | (F.col("_below") < F.col("_upto"))),
         CUT: cuts.isNotNull(),
     })
-    return placed._replace(df=divided.drop(AXIS, CUTS, "_below", "_upto", *ties))
+    return placed._replace(df=divided.drop(AXIS, CUTS, OPEN, "_below", "_upto", *ties))
 
 
 def with_blocks(
@@ -171,29 +183,30 @@ def with_blocks(
 ) -> Blocked:
     """Add ``_block``: contiguous runs of each group in ``order``, of about ``block_rows`` rows.
 
-    A value of ``order[0]`` that very many rows share shows as a repeated cut. Its block is
-    divided along the next order column in the same way.
+    Where very many rows share a value of ``order[0]``, or have none, their block is divided along
+    the next order column in the same way.
     """
+    if OPEN not in df.columns:
+        df = df.withColumn(OPEN, F.lit(True))
     done = _divide(df, order, by, largest, block_rows)
     plain = Blocked(done.df.drop(TIED), done.blocks)
-    if len(order) == 1 or not done.repeated:
+    if len(order) == 1 or not done.crowded:
         return plain
     crowd = largest_group(done.df.where(TIED), [*by, BLOCK])
     if crowd <= 2 * block_rows:
         return plain
-    # rows outside the shared values stay in their block: without an axis value they pass no cut
+    # the other rows stay in their block: they are not open to cuts and have no value to cut at
     lead = f"_own_{order[1]}"
-    block, cut, tied = (f"{name}_{len(order)}" for name in (BLOCK, CUT, TIED))
-    outer = done.df.withColumnsRenamed({BLOCK: block, CUT: cut, TIED: tied})
-    outer = outer.withColumn(lead, F.when(F.col(tied), F.col(order[1])))
+    block, cut = (f"{name}_{len(order)}" for name in (BLOCK, CUT))
+    outer = done.df.withColumnsRenamed({BLOCK: block, CUT: cut, TIED: OPEN})
+    outer = outer.withColumn(lead, F.when(F.col(OPEN), F.col(order[1])))
     inner = with_blocks(
         outer, order=[lead, *order[2:]], by=[*by, block], largest=crowd, block_rows=block_rows
     )
     both = inner.df.withColumns({
-        BLOCK: F.col(block) * (2 * MAX_BLOCKS) ** (len(order) - 1) + F.col(BLOCK),
-        CUT: F.col(cut),
+        BLOCK: F.col(block) * INNER_BLOCKS ** (len(order) - 1) + F.col(BLOCK), CUT: F.col(cut),
     })
-    return Blocked(both.drop(block, cut, tied, lead), done.blocks + inner.blocks)
+    return Blocked(both.drop(block, cut, lead), done.blocks + inner.blocks)
 
 
 def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:

@@ -83,6 +83,24 @@ def test_a_value_shared_by_a_third_of_the_rows_is_divided_too(spark):
     assert placed.join(plain, "id").where(F.col("p") != F.col(O.POSITION)).count() == 0
 
 
+@pytest.mark.parametrize("by", [[], ["k"]])
+@pytest.mark.parametrize("nulls", [1000, 3000])
+def test_rows_without_a_first_value_are_divided_too(spark, by, nulls):
+    df = spark.range(3000).select(
+        F.lit(1).alias("k"), F.when(F.col("id") >= nulls, F.col("id") % 20).alias("t"),
+        F.when(F.col("id") > 0, F.col("id")).alias("id"),
+    )
+    order = ["t", "id"]
+    blocked, bound = O.with_blocks(df, order=order, by=by, largest=3000, block_rows=100)
+    assert sorted(blocked.columns) == sorted([*df.columns, O.BLOCK, O.CUT])
+    assert O.largest_group(blocked, [*by, O.BLOCK]) <= 400
+    assert blocked.select(O.BLOCK).distinct().count() <= bound
+    placed = O.with_positions(df, order=order, by=by, block_rows=100)
+    plain = df.withColumn("p", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
+    both = placed.join(plain, placed["id"].eqNullSafe(plain["id"]))
+    assert both.count() == 3000 and both.where(F.col("p") != F.col(O.POSITION)).count() == 0
+
+
 @pytest.mark.parametrize("by", [[], ["k"]])
 def test_values_shared_in_two_columns_are_divided_along_the_third(spark, by):
     mostly = F.when(F.col("id") < 2000, 7)
