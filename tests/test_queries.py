@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from marketspark import catalog
 from compare import connect, spark_rows, sql_rows
 
 from conftest import TESTDATA
@@ -27,7 +28,7 @@ def test_query_gives_the_rows_of_its_sql(name, spark, duck):
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(QUERIES)
+    assert set(catalog.SQL) == set(catalog.QUERIES)
 
 
 def test_entry(spark):
