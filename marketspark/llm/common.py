@@ -28,6 +28,13 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tokenizer() -> str:
+    """The public vocabulary file that queries are given."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, with ``value`` computed once however often the body names it."""
     return F.transform(F.array(value), body)[0]
@@ -44,14 +51,6 @@ def draw(key: Column, seed: int) -> Column:
     return (number + F.lit(0.5)) / F.lit(float(1 << 52))
 
 
-def same(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Column:
-    """Equal in all the columns, null matching null."""
-    condition = F.lit(True)
-    for name in on:
-        condition = condition & left[name].eqNullSafe(right[name])
-    return condition
-
-
 def ranked(
     rows: DataFrame, group: Sequence[str], uniform: str, order: Sequence[str], *,
     rank: str, total: str, buckets: int = 1024,

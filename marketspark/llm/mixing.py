@@ -22,22 +22,24 @@ def quality(text: Column) -> Column:
     return F.lit(0.5) + F.coalesce(letters / F.nullif(F.length(text), F.lit(0)), F.lit(0.0))
 
 
-def keyed(docs: DataFrame, *, key: str, text: str, source: str, weight: Column | None = None, seed: int = 17) -> DataFrame:
-    """Narrow rows: key, source, size in words, exponential sort key and its two buckets.
+def keyed(docs: DataFrame, *, key: str, text: str, source: str, weight: Column | None = None, seed: int = 17,
+          carry: Column | None = None) -> DataFrame:
+    """Key, source, size in words, exponential sort key and its two buckets; ``carry`` goes along.
 
     The sort key is ``-ln(u) / weight`` (Efraimidis-Spirakis): ordered by it, a prefix is a draw
     without replacement in proportion to the weights.
     """
     weight = quality(F.col(text)) if weight is None else weight
+    carried = [] if carry is None else ["row"]
     rows = docs.select(
         F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-        (-F.log(draw(F.col(key), seed)) / weight).alias("sort_key"),
+        (-F.log(draw(F.col(key), seed)) / weight).alias("sort_key"), *[carry.alias(c) for c in carried],
     )
     even = (F.lit(1.0) - F.exp(-F.col("sort_key"))) * BUCKETS
     rows = rows.withColumn("_even", F.least(even, F.lit(BUCKETS - 0.5)))
     first = F.floor("_even")
     second = F.least(F.floor((F.col("_even") - first) * BUCKETS), F.lit(BUCKETS - 1))
-    return rows.select("doc_id", "source", "size", "sort_key", first.alias("b1"), second.alias("b2"))
+    return rows.select("doc_id", "source", "size", "sort_key", first.alias("b1"), second.alias("b2"), *carried)
 
 
 def targets(rows: DataFrame, *, weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = SHARE, most: int = MOST) -> DataFrame:
@@ -102,8 +104,25 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return plan.join(ends.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
+def planned(rows: DataFrame, **shares) -> DataFrame:
+    """The written plan for ``rows`` as ``keyed`` gives them: one row a source."""
+    return kept(cuts(rows, kept(targets(rows, **shares), "mix-targets")), "mix-plan")
+
+
+def decided(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with source_size, target and copies: looked up in the plan, row by row."""
+    plan = plan.select(F.col("source").alias("_source"), "source_size", "target", "epochs",
+                       F.col("b1").alias("_b1"), F.col("b2").alias("_b2"), "last")
+    placed = F.struct("sort_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "size")
+    drawn = F.struct("b1", "b2") < F.struct("_b1", "_b2")
+    drawn = drawn | ((F.col("b1") == F.col("_b1")) & (F.col("b2") == F.col("_b2")) & (placed <= F.col("last")))
+    copies = F.col("epochs") + F.when(F.col("_b1").isNotNull() & drawn, 1).otherwise(0)
+    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
+    return joined.select(*rows.columns, "source_size", "target", copies.cast("bigint").alias("copies"))
+
+
 def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", weight: Column | None = None,
-        weights: Sequence[int] = WEIGHTS, share: tuple[int, int] = SHARE, most: int = MOST, seed: int = 17) -> DataFrame:
+        seed: int = 17, **shares) -> DataFrame:
     """One row a document: doc_id, source, size, source_size, target, copies, taken.
 
     ``copies`` counts a document's uses: the whole epochs of its source, and one more if the draw
@@ -115,27 +134,17 @@ def mix(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str
     columns are not looked at. Nothing is larger than one row a source and bucket but the rows.
     """
     rows = kept(keyed(docs, key=key, text=text, source=source, weight=weight, seed=seed), "mix-rows")
-    plan = kept(cuts(rows, kept(targets(rows, weights=weights, share=share, most=most), "mix-targets")), "mix-plan")
-    plan = plan.select(F.col("source").alias("_source"), "source_size", "target", "epochs",
-                       F.col("b1").alias("_b1"), F.col("b2").alias("_b2"), "last")
-    placed = F.struct("sort_key", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "size")
-    drawn = F.struct("b1", "b2") < F.struct("_b1", "_b2")
-    drawn = drawn | ((F.col("b1") == F.col("_b1")) & (F.col("b2") == F.col("_b2")) & (placed <= F.col("last")))
-    copies = F.col("epochs") + F.when(F.col("_b1").isNotNull() & drawn, 1).otherwise(0)
-    joined = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.cast("bigint").alias("copies")).withColumn(
-        "taken", F.col("copies") * F.col("size")
-    )
+    found = decided(rows, planned(rows, **shares))
+    return found.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, *, key: str = "doc_id", source: str = "source", **settings) -> DataFrame:
+def mixed_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", source: str = "source", weight: Column | None = None,
+                    seed: int = 17, **shares) -> DataFrame:
     """The documents of the mix, as often as it uses them, with the columns of ``docs``.
 
-    Repeated rows of one key and source are each used as often as the mix says for that key.
+    Each row is decided where it is: the texts are not shuffled.
     """
-    plan = mix(docs, key=key, source=source, **settings)
-    uses = plan.where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source")).agg(F.max("copies").alias("_copies"))
-    condition = docs[key].eqNullSafe(F.col("_id")) & docs[source].eqNullSafe(F.col("_source"))
-    rows = docs.select(F.struct("*").alias("_row"), F.col(key), F.col(source))
-    rows = rows.join(uses, rows[key].eqNullSafe(uses["_id"]) & rows[source].eqNullSafe(uses["_source"]))
-    return rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")
+    settings = {"key": key, "text": text, "source": source, "weight": weight, "seed": seed}
+    plan = planned(kept(keyed(docs, **settings), "mix-rows"), **shares)
+    found = decided(keyed(docs, **settings, carry=F.struct("*")), plan).where("copies > 0")
+    return found.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")

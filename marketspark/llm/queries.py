@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketspark.llm import mixing, sharding
-from marketspark.llm.common import table
+from marketspark.llm import language, minhash, mixing, packing, quality, scoring, sharding, suffixes, urls, vectors
+from marketspark.llm.common import table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,3 +64,80 @@ def op7_sharding(spark, folder):
     return rows.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source",
     )
+
+
+#: Links of a table l (x, y) followed from every x: the least id reached.
+REACH = """
+r as (select x, y from l union select r.x, l.y from r join l on r.y = l.x),
+c as (select x, least(x, min(y)) as component from r group by x)
+"""
+
+VECTOR_SQL = f"""
+with recursive v as (
+    select vec_id, label, embedding::double[] as e from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as x, b.vec_id as y from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+      where list_cosine_similarity(a.e, b.e) >= 0.98),
+{REACH}, n as (select x, count(*) as links from l group by x)
+select vec_id, coalesce(links, 0)::bigint as n_links, coalesce(component, vec_id) as component_id, coalesce(component, vec_id) = vec_id as kept
+from embeddings left join c on vec_id = c.x left join n on vec_id = n.x
+"""
+
+
+@query("op1_vectors", VECTOR_SQL)
+def op1_vectors(spark, folder):
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+NEAR_SQL = f"""
+with recursive w as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') as words from documents),
+s as materialized (
+    select doc_id, unnest(list_distinct(case when len(words) = 0 then [] when len(words) < 4 then [words]
+        else list_transform(range(1, len(words) - 2), lambda i: words[i:i + 3]) end)) as shingle from w),
+n as materialized (select doc_id, count(*) as size from s group by 1),
+p as (select a.doc_id as x, b.doc_id as y, count(*) as both_have from s a join s b on a.shingle = b.shingle and a.doc_id <> b.doc_id group by 1, 2),
+l as materialized (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * both_have >= 80 * (a.size + b.size - both_have)),
+{REACH}
+select d.doc_id, coalesce(size, 0)::bigint as n_shingles, coalesce(component, d.doc_id) as component_id, coalesce(component, d.doc_id) = d.doc_id as kept
+from documents d left join n on n.doc_id = d.doc_id left join c on c.x = d.doc_id
+"""
+
+
+@query("op2_minhash", NEAR_SQL)
+def op2_minhash(spark, folder):
+    return minhash.near_documents(table(spark, folder, "documents"), words=4, percent=80)
+
+
+@query("op3_scoring")
+def op3_scoring(spark, folder):
+    return scoring.score_documents(table(spark, folder, "documents"))
+
+
+@query("op5_urls")
+def op5_urls(spark, folder):
+    return urls.filter_urls(table(spark, folder, "pages"))
+
+
+@query("op6_language")
+def op6_language(spark, folder):
+    return language.predict_languages(table(spark, folder, "documents"))
+
+
+@query("op8_packing")
+def op8_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), tokenizer=tokenizer())
+
+
+@query("op9_quality")
+def op9_quality(spark, folder):
+    judged = quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op10_suffixes")
+def op10_suffixes(spark, folder):
+    return suffixes.removed_passages(table(spark, folder, "documents"))
+
