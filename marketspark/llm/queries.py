@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from marketspark.llm import language, minhash, mixing, packing, quality, scoring, sharding, suffixes, urls, vectors
 from marketspark.llm.common import table, tokenizer
 
@@ -141,3 +142,7 @@ def op9_quality(spark, folder):
 def op10_suffixes(spark, folder):
     return suffixes.removed_passages(table(spark, folder, "documents"))
 
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
