@@ -151,7 +151,7 @@ def one_hot(spark, folder):
     rows = table(spark, folder, "events").select(
         "event_id", F.when(F.col("value") >= 5, F.col("event_type")).alias("kind")
     )
-    return encoding.one_hot(rows, "kind")
+    return encoding.one_hot(rows, "kind", values=KINDS)
 
 
 @query("normalize_dates", """
@@ -223,5 +223,43 @@ def preprocess_market(spark, folder):
         F.col("text").alias("content"), F.lit("x").alias("date"),
     )
     empty = rows.drop("option_type").limit(0)
-    stock, _, _, _ = cleaning.preprocess(rows, empty, empty, news)
+    stock, _, _, _ = cleaning.preprocess(rows, empty, empty, news, option_values=["purchase", "signup"])
     return stock.drop("ticker").withColumnRenamed("ordinal", "event_id")
+
+
+@query("ffill_text_order", """
+    select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls)
+        over (order by event_type, event_id::varchar rows between unbounded preceding and current row) as value from events
+""")
+def ffill_text_order(spark, folder):
+    """Rows in the order of texts, of which very many begin alike, in small blocks."""
+    rows = table(spark, folder, "events").select(
+        "event_id", F.concat(F.lit("the same beginning "), "event_type").alias("kind"),
+        F.col("event_id").cast("string").alias("name"), F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"),
+    )
+    filled = cleaning.ffill(rows, ["value"], order=["kind", "name"], scope="global", block_rows=300)
+    return filled.select("event_id", "value")
+
+
+@query("parse_amount_odd", """
+    select event_id, case event_type when 'click' then 1234.5 when 'view' then -7.0 when 'purchase' then 0.5 end::double as amount
+    from events
+""")
+def parse_amount_odd(spark, folder):
+    """Numbers as Python's float reads them, and texts that it does not read or reads as no number."""
+    texts = {"click": "1,234.5", "view": " -7 ", "purchase": ".5e0", "error": "10d", "signup": "nan"}
+    text = F.lit("0x10")
+    for kind, value in texts.items():
+        text = F.when(F.col("event_type") == kind, value).otherwise(text)
+    rows = table(spark, folder, "events").select("event_id", text.alias("amount"))
+    return cleaning.parse_amounts(rows, ["amount"], on_error="null")
+
+
+@query("standardize_nan", """
+    with v as (select event_id, case when event_type <> 'error' then value end as value from events)
+    select event_id, round((value - avg(value) over ()) / stddev_pop(value) over (), 6) + 0.0 as value from v
+""")
+def standardize_nan(spark, folder):
+    value = F.when(F.col("event_type") == "error", float("nan")).otherwise(F.col("value"))
+    rows = table(spark, folder, "events").select("event_id", value.alias("value"))
+    return encoding.standardize(rows, ["value"]).select("event_id", r6("value").alias("value"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marketspark.catalog import query, r6, table
 from marketspark.operators import evaluation as E
+from marketspark.plans.evaluation import report
 
 
 def _judged(spark, folder):
@@ -40,12 +41,12 @@ def confusion_cells(spark, folder):
 
 
 @query("confusion_matrix", f"""
-    with j as {JUDGED}, l as (select y as label from j union select p from j)
+    with j as {JUDGED}, l as (select unnest(['bearish', 'bullish', 'other']) as label)
     select a.label as truth, b.label as predicted, count(j.y)::bigint as n
     from l a cross join l b left join j on j.y = a.label and j.p = b.label group by 1, 2
 """)
 def confusion_matrix(spark, folder):
-    return E.confusion_matrix(_judged(spark, folder), y="y", p="p")
+    return E.confusion_matrix(_judged(spark, folder), y="y", p="p", labels=["bearish", "bullish"])
 
 
 @query("binary_metrics", f"""
@@ -170,3 +171,54 @@ def event_roc_auc(spark, folder):
         table(spark, folder, "events"), y="event_type", score="value", positive="purchase"
     )
     return result.select(r6("roc_auc").alias("roc_auc"))
+
+
+UNMAPPED_SQL = """
+    with j as (select case when toxic = 0 then quality end as y, case when n_chars > 60 then n_chars::double end as score
+               from labels join documents using (doc_id)),
+    g as (select score, count_if(y = 1) as pos, count_if(y <> 1) as neg from j where y is not null and score is not null group by 1),
+    r as (select score, pos, neg, sum(pos) over (order by score desc) as tps, sum(neg) over (order by score desc) as fps,
+                 sum(pos) over () as p, sum(neg) over () as n from g),
+    u as (select count(*)::bigint as n_unmapped from j where y is null or score is null)
+"""
+
+
+def _half_mapped(spark, folder):
+    """Toxic documents have no truth and very short ones no score."""
+    rows = _scored(spark, folder).join(table(spark, folder, "labels").select("doc_id", "toxic"), "doc_id")
+    return rows.select(
+        F.when(F.col("toxic") == 0, F.col("quality")).alias("quality"), F.when(F.col("score") > 60, F.col("score")).alias("score")
+    )
+
+
+@query("roc_unmapped", UNMAPPED_SQL + """
+    select round((select sum(neg * (2 * tps - pos) / 2) / (max(p) * max(n)) from r), 6) as roc_auc, n_unmapped from u
+""")
+def roc_unmapped(spark, folder):
+    return E.roc_auc(_half_mapped(spark, folder), **CURVE).select(r6("roc_auc").alias("roc_auc"), "n_unmapped")
+
+
+@query("pr_unmapped", UNMAPPED_SQL + """
+    select round((select sum(pos / p * tps / (tps + fps)) from r), 6) as average_precision, n_unmapped from u
+""")
+def pr_unmapped(spark, folder):
+    result = E.average_precision(_half_mapped(spark, folder), **CURVE)
+    return result.select(r6("average_precision").alias("average_precision"), "n_unmapped")
+
+
+@query("report_free_text", """
+    with j as (select case when quality = 1 then 'bullish' else 'bearish' end as y,
+                      case when lang = 'en' then 'bullish' when lang = 'de' then 'bearish' else 'other' end as p
+               from labels join documents using (doc_id)),
+    l as (select unnest(['bearish', 'bullish', 'other']) as label)
+    select a.label as truth, b.label as predicted, count(j.y)::bigint as n
+    from l a cross join l b left join j on j.y = a.label and j.p = b.label group by 1, 2
+""")
+def report_free_text(spark, folder):
+    """The matrix of a report on a model that answers with as many texts as there are documents."""
+    docs = table(spark, folder, "documents")
+    answer = F.when(F.col("lang") == "en", "bullish").when(F.col("lang") == "de", "bearish").otherwise(F.col("text"))
+    rows = table(spark, folder, "labels").join(docs, "doc_id").select(
+        F.when(F.col("quality") == 1, "bullish").otherwise("bearish").alias("target"), answer.alias("prediction")
+    )
+    return report(rows)["confusion_matrix"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marketspark.catalog import query, table
 from marketspark import schemas
+from marketspark.operators import reshape
 from marketspark.session import scratch_path
 from marketspark.sources import files, store
 
@@ -62,3 +63,67 @@ def test_csv(spark, folder):
     rows = table(spark, folder, "conversations").select(prompt.alias("Prompt"), F.col("role").alias("Target"))
     store.write_csv(rows, path)
     return files.read_test_csv(spark, path)
+
+
+@query("test_csv_reordered", """
+    select conv_id || ' "' || role || '", ' || turn as prompt, role as target from conversations
+""")
+def test_csv_reordered(spark, folder):
+    """A file with a number in front and the target before the prompt, as a table export writes it."""
+    path = scratch_path(spark, "reordered")
+    prompt = F.concat(F.col("conv_id").cast("string"), F.lit(' "'), "role", F.lit('", '), F.col("turn").cast("string"))
+    rows = table(spark, folder, "conversations").select(
+        F.col("conv_id").alias("Number"), F.col("role").alias("Target"), prompt.alias("Prompt")
+    )
+    store.write_csv(rows, path)
+    return files.read_test_csv(spark, path)
+
+
+@query("jsonl_errors", """
+    select 'line' as part, '{"instruction": broken ' || conv_id || '-' || turn as value from conversations where role = 'user'
+    union all
+    select 'input', text from conversations where role <> 'user'
+""")
+def jsonl_errors(spark, folder):
+    """Good lines and broken ones of one folder, each in its table."""
+    path = scratch_path(spark, "mixed")
+    good = F.to_json(F.struct(F.col("role").alias("instruction"), F.col("text").alias("input")))
+    broken = F.concat(
+        F.lit('{"instruction": broken '), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")
+    )
+    table(spark, folder, "conversations").select(
+        F.when(F.col("role") == "user", broken).otherwise(good).alias("value")
+    ).write.text(path)
+    lines = files.bad_rows(files.read_jsonl(spark, path, schemas.TRAIN_JSONL)).select(F.lit("line").alias("part"), F.col("line").alias("value"))
+    rows = files.read_train_jsonl(spark, path, on_error="skip")
+    return lines.unionByName(rows.select(F.lit("input").alias("part"), F.col("input").alias("value")))
+
+
+@query("empty_source", """
+    select o_orderkey as ordinal, 'Stock' as asset_type from orders where o_orderstatus = 'F'
+""")
+def empty_source(spark, folder):
+    """A source without data put together with one that has rows."""
+    rows = table(spark, folder, "orders").where(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("ordinal"), F.lit(schemas.STOCK).alias("asset_type")
+    )
+    return reshape.union_all(files.empty(spark, schemas.PRICE_HISTORY), rows).select("ordinal", "asset_type")
+
+
+@query("history_since", """
+    select o_orderkey as ordinal, case o_orderstatus when 'F' then 'Stock' else 'Index' end as asset_type from orders
+    where o_orderstatus in ('F', 'O') and o_orderdate::date >= date '1996-01-01'
+    union all
+    select o_orderkey, 'ETF' from orders where o_orderstatus = 'P' and o_orderdate::date <= date '1997-12-31'
+""")
+def history_since(spark, folder):
+    """Ranges with one open end."""
+    path = scratch_path(spark, "orders")
+    kind = F.when(F.col("o_orderstatus") == "F", schemas.STOCK).when(F.col("o_orderstatus") == "P", schemas.ETF)
+    store.write_store(table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ordinal"), F.col("o_custkey").cast("string").alias("ticker"),
+        kind.otherwise(schemas.INDEX).alias("asset_type"), F.col("o_orderdate").cast("date").alias("trade_date"),
+    ), path)
+    since = [files.read_history(spark, path, asset_type=a, start="1996-01-01") for a in (schemas.STOCK, schemas.INDEX)]
+    upto = files.read_history(spark, path, asset_type=schemas.ETF, end="1997-12-31")
+    return reshape.union_all(*since, upto).select("ordinal", "asset_type")

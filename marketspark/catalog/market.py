@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketspark.catalog import query, r6, table
+from marketspark.catalog.prompts import EVAL_TEXT, filled_sql
 from marketspark import schemas
 from marketspark.operators import features, reshape
-from marketspark.operators.prompts import EVAL_TEMPLATE
 from marketspark.plans import market as plans
 from marketspark.session import scratch_path
 from marketspark.sources import files, store
@@ -269,7 +269,7 @@ def feat_macd(spark, folder):
     )
 
 
-def _with_sentiment(spark, folder):
+def with_mood(spark, folder):
     """Series with the mood of each row's event type."""
     mood = F.when(F.col("event_type") == "purchase", 1.0).when(F.col("event_type") == "error", -1.0).otherwise(0.0)
     return series(spark, folder, mood.alias("sentiment"))
@@ -277,7 +277,7 @@ def _with_sentiment(spark, folder):
 
 @query("feat_sentiment", _series_sql(_feature_sql("sentiment_rolling")))
 def feat_sentiment(spark, folder):
-    rows = features.sentiment_rolling(_with_sentiment(spark, folder), **KEY, sentiment="sentiment")
+    rows = features.sentiment_rolling(with_mood(spark, folder), **KEY, sentiment="sentiment")
     return rows.select("event_id", r6("sentiment_rolling").alias("sentiment_rolling"))
 
 
@@ -304,25 +304,78 @@ PROMPT_SQL = _series_sql(", ".join(f"{sql} as {n}" for n, sql in FEATURE_SQL.ite
     from f join m using (event_id)
 """)
 def feat_prompt(spark, folder):
-    rows = features.prompt_features(_with_sentiment(spark, folder), **KEY, price="close_price", sentiment="sentiment")
+    rows = features.prompt_features(with_mood(spark, folder), **KEY, price="close_price", sentiment="sentiment")
     return rows.select("event_id", features.feature_text(rows, end=".", digits=3).alias("prompt"))
 
 
-PROMPT_START, PROMPT_END = (part.replace("'", "''") for part in EVAL_TEMPLATE.split("{}"))
+LINE_SQL = f"""concat_ws(', ',
+    'Lag1_ClosePrice: ' || {_text('lag1_close', 6)}, 'Lag3_ClosePrice: ' || {_text('lag3_close', 6)},
+    '7-day SMA: ' || {_text('sma_7', 6)}, '30-day SMA: ' || {_text('sma_30', 6)},
+    'Volatility: ' || {_text('volatility', 6)}, 'RSI: ' || {_text('rsi', 6)},
+    'MACD: ' || {_text('e12 - e26', 6)}, 'MACD Signal: ' || {_text('sig', 6)},
+    'Sentiment Rolling: ' || {_text('sentiment_rolling', 6)}) || '.'"""
 
 
 @query("prompt_rows", MACD_CTE + f""",
-    f as ({PROMPT_SQL}),
-    p as (
-        select user_id as ticker, event_id, concat_ws(', ',
-            'Lag1_ClosePrice: ' || {_text('lag1_close', 6)}, 'Lag3_ClosePrice: ' || {_text('lag3_close', 6)},
-            '7-day SMA: ' || {_text('sma_7', 6)}, '30-day SMA: ' || {_text('sma_30', 6)},
-            'Volatility: ' || {_text('volatility', 6)}, 'RSI: ' || {_text('rsi', 6)},
-            'MACD: ' || {_text('e12 - e26', 6)}, 'MACD Signal: ' || {_text('sig', 6)}) || '.' as prompt
-        from f join m using (event_id)
-    )
-    select ticker, event_id, prompt, '{PROMPT_START}' || prompt || '{PROMPT_END}' as text from p
+    f as ({PROMPT_SQL}), p as (select user_id as ticker, event_id, {LINE_SQL} as prompt from f join m using (event_id))
+    select ticker, event_id, prompt, {filled_sql(EVAL_TEXT, 'prompt')} as text from p
 """)
 def prompt_rows(spark, folder):
-    rows = series(spark, folder)
-    return plans.prompt_rows(rows, **KEY, price="close_price", keep=["ticker", "event_id"])
+    rows = with_mood(spark, folder)
+    return plans.prompt_rows(rows, **KEY, price="close_price", sentiment="sentiment", keep=["ticker", "event_id"])
+
+
+TRAIN_SQL = _series_sql(", ".join([*[f"{sql} as {n}" for n, sql in FEATURE_SQL.items()], TARGET_SQL]))
+
+
+@query("training_rows", MACD_CTE + f""",
+    f as ({TRAIN_SQL})
+    select event_id, 'Predict.' as instruction, {LINE_SQL} as input, target as response
+    from f join m using (event_id) where target is not null
+""")
+def training_rows(spark, folder):
+    rows = with_mood(spark, folder)
+    return plans.training_rows(
+        rows, **KEY, price="close_price", sentiment="sentiment", instruction="Predict.", keep=["event_id"]
+    )
+
+
+GAPS = "(select * replace (case when event_type <> 'error' and event_id % 5 > 0 then value end as value) from events)"
+
+
+@query("feat_macd_gaps", """
+    with recursive e as (select * from %s), s as (
+        select user_id, event_id, value, row_number() over (partition by user_id order by ts, event_id) as rn
+        from e where value is not null
+    ), m as (
+        select user_id, event_id, rn, value as e12, value as e26, 0.0::double as sig from s where rn = 1
+        union all
+        select s.user_id, s.event_id, s.rn,
+               m.e12 * 11 / 13 + s.value * 2 / 13, m.e26 * 25 / 27 + s.value * 2 / 27,
+               m.sig * 0.8 + 0.2 * ((m.e12 * 11 / 13 + s.value * 2 / 13) - (m.e26 * 25 / 27 + s.value * 2 / 27))
+        from m join s on s.user_id = m.user_id and s.rn = m.rn + 1
+    )
+    select event_id, round(last_value(e12 - e26 ignore nulls) over w, 6) + 0.0 as macd,
+           round(last_value(sig ignore nulls) over w, 6) + 0.0 as macd_signal
+    from e left join m using (event_id)
+    window w as (partition by e.user_id order by ts, event_id rows between unbounded preceding and current row)
+""" % GAPS)
+def feat_macd_gaps(spark, folder):
+    """Prices that are missing at the beginning of a series and inside it."""
+    priced = (F.col("event_type") != "error") & (F.col("event_id") % 5 > 0)
+    rows = series(spark, folder, "event_type").withColumn("close_price", F.when(priced, F.col("close_price")))
+    return features.macd(rows, **KEY).select("event_id", r6("macd").alias("macd"), r6("macd_signal").alias("macd_signal"))
+
+
+@query("daily_sentiment", """
+    select 'T' || user_id as ticker, cast(ts as date) as trade_date, avg(value) as sentiment from events
+    where event_type <> 'error' and value is not null group by 1, 2
+""")
+def daily_sentiment(spark, folder):
+    """Scored articles of each ticker, their date as the text of a page; errors have none."""
+    page_date = F.concat(F.lit("Last Updated: "), F.date_format("ts", "MMM d, yyyy, hh:mm:ss a"), F.lit(" IST"))
+    articles = table(spark, folder, "events").select(
+        F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("ticker"), F.col("value").alias("score"),
+        F.when(F.col("event_type") != "error", page_date).alias("date"),
+    )
+    return plans.daily_sentiment(articles)

@@ -4,8 +4,9 @@ Elements that do not nest (headings, times, links) are found with regular expres
 JVM. Text of a container whose extent depends on balanced tags needs a parser: ``elements_in``
 gives the elements inside each container as an array, and Spark expressions do the rest.
 
-The two Python functions are marked as not deterministic, though they are: Spark would otherwise
-push a filter on their result below them and run them twice for each row.
+What the Python functions give is put behind an ``explode`` before it is filtered (``once``): Spark
+then does not run them a second time in a filter below, while filters on other columns still go
+down to the scan.
 """
 
 from __future__ import annotations
@@ -17,6 +18,15 @@ ELEMENTS = "array<struct<container:int,tag:string,classes:string,href:string,dat
 
 _HIDDEN = r"(?is)<(?:!--.*?--|(script|style)\b.*?</\1\s*)>"
 _TAG = r"<[^>]*>"
+# what may stand inside an opening tag: quoted values hold any sign, a lone quote is taken as it is
+_QUOTED = r"""(?:"[^"]*"|'[^']*')"""
+_INSIDE = rf"""(?:[^>"']*(?:{_QUOTED}[^>"']*)*|[^>]*)"""
+_BEFORE = rf"""[^>"']*?(?:{_QUOTED}[^>"']*?)*?(?<![^\s"'/])"""
+
+
+def once(column: Column) -> Column:
+    """The value as a row of its own, computed once; rows without a value are left out."""
+    return F.explode(F.array_compact(F.array(column)))
 
 
 def visible(html: Column) -> Column:
@@ -24,43 +34,40 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "")
 
 
-def _quoted(name: str, value: str) -> str:
-    return rf"""\b{name}\s*=\s*(?:"{value}"|'{value}')"""
-
-
 def has_class(name: str) -> str:
-    """Pattern of a class attribute in which ``name`` is one of the classes."""
-    value = rf"(?:[^\"']*\s)?\Q{name}\E(?:\s[^\"']*)?"
-    return _quoted("class", value)
+    """Pattern of a class attribute in which ``name`` is one of the classes, in its own case."""
+    exact = rf"(?-i:\Q{name}\E)"
+    quoted = (rf"{q}(?:[^{q}]*\s)?{exact}(?:\s[^{q}]*)?{q}" for q in ('"', "'"))
+    return rf"class\s*=\s*(?:{'|'.join(quoted)}|{exact}(?=[\s>]))"
 
 
-def attribute(attrs: Column, name: str) -> Column:
-    """Value of an attribute in the text of an opening tag, null when absent."""
-    pattern = rf"""(?is)(?<![\w-]){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    found = F.regexp_extract(F.regexp_substr(attrs, F.lit(pattern)), pattern, 1)
+def attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of an opening tag, null when absent."""
+    pattern = rf"""(?is)^<[^\s/>]+{_BEFORE}{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    found = F.regexp_extract(F.regexp_substr(tag, F.lit(pattern)), pattern, 1)
     return F.regexp_replace(found, r"""^["']|["']$""", "")
 
 
 def _open_tag(tag: str, cls: str | None, where: str | None) -> str:
-    looks = [f"(?=[^>]*{p})" for p in (has_class(cls) if cls else None, where) if p]
-    return rf"<{tag}\b{''.join(looks)}"
+    looks = [f"(?={_BEFORE}{p})" for p in (has_class(cls) if cls else None, where) if p]
+    return rf"<{tag}(?=[\s/>]){''.join(looks)}"
 
 
 def first_text(html: Column, tag: str, cls: str | None = None, where: str | None = None) -> Column:
     """Text of the first such element (to the end of the page if it is not closed), entities still
     encoded; null when there is none."""
-    element = rf"(?is){_open_tag(tag, cls, where)}[^>]*>(?:.*?</{tag}\s*>|.*)"
-    return F.regexp_replace(F.regexp_substr(html, F.lit(element)), _TAG, "")
+    element = rf"(?is){_open_tag(tag, cls, where)}{_INSIDE}>(?:.*?</{tag}\s*>|.*)"
+    return F.regexp_replace(F.regexp_substr(html, F.lit(element)), rf"<(?:{_INSIDE})>", "")
 
 
 def first_tag(html: Column, tag: str, cls: str | None = None) -> Column:
     """The first such opening tag; null when there is none."""
-    return F.regexp_substr(html, F.lit(rf"(?is){_open_tag(tag, cls, None)}[^>]*>"))
+    return F.regexp_substr(html, F.lit(rf"(?is){_open_tag(tag, cls, None)}{_INSIDE}>"))
 
 
 def anchors(html: Column, cls: str | None = None) -> Column:
     """Link targets of all such anchors that have one, in page order."""
-    tags = F.regexp_extract_all(html, F.lit(rf"(?is)({_open_tag('a', cls, None)}[^>]*>)"), F.lit(1))
+    tags = F.regexp_extract_all(html, F.lit(rf"(?is)({_open_tag('a', cls, None)}{_INSIDE}>)"), F.lit(1))
     return F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
 
 
@@ -73,15 +80,16 @@ def unescape(column: Column) -> Column:
 
         return texts.map(plain, na_action="ignore")
 
-    return decode.asNondeterministic()(column)
+    return decode(column)
 
 
-def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]) -> Column:
+def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...], text: tuple[str, ...] = ()) -> Column:
     """Elements named in ``wanted`` inside each ``tag`` (class ``cls``), in page order.
 
     Tags are closed only by their own end tag or an outer one, so an unclosed paragraph holds the
     text of the paragraphs after it. ``container`` numbers the containers of a page from 0; one
-    with no wanted element still gives one entry, with a null tag.
+    with no wanted element still gives one entry, with a null tag. The text is given for the
+    elements named in ``text`` only. Pages that do not name the class are not sent to Python.
     """
 
     @F.pandas_udf(ELEMENTS)
@@ -151,14 +159,12 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
 
             def rows(self):
                 for record in self.found:
-                    text = "".join(self.texts[record.pop("start"):record.pop("end")])
-                    yield {**record, "text": text}
+                    pieces = slice(record.pop("start"), record.pop("end"))
+                    yield {**record, "text": "".join(self.texts[pieces]) if record["tag"] in text else None}
 
         def one(page):
             if page is None:
                 return None
-            if cls is not None and cls not in page:
-                return []
             parser = Inside()
             parser.feed(page)
             parser.close()
@@ -172,7 +178,10 @@ def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...]
 
         return pd.Series([one(p) for p in pages])
 
-    return parse.asNondeterministic()(html)
+    if cls is None:
+        return parse(html)
+    named = html.contains(cls)
+    return F.when(html.isNull() | named, parse(F.when(named, html))).otherwise(F.array().cast(ELEMENTS))
 
 
 def of_container(elements: Column, number: int, tag: str) -> Column:

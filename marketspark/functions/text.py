@@ -28,16 +28,29 @@ def without_commas(column: Column) -> Column:
     return F.replace(column, F.lit(","), F.lit(""))
 
 
+#: What Python's float reads, in plain digits: no type letters, hexadecimals or digit groups by underscore.
+_NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$"
+_NAN = r"(?i)^[+-]?nan$"
+_INFINITE = r"(?i)^([+-]?)inf(inity)?$"
+
+
 def amount(column: Column, on_error: str = "raise") -> Column:
-    """``1,234.5`` as a double; text that is no number raises, or is null with ``on_error="null"``."""
-    plain = without_commas(column)
-    number = plain.try_cast("double")
+    """``1,234.5`` as a double; text that is no number raises, or is null with ``on_error="null"``.
+
+    ``nan`` is a missing value and becomes null.
+    """
+    if on_error not in ("raise", "null"):
+        raise ValueError("on_error must be raise or null")
+    plain = strip(without_commas(column))
+    number = F.when(plain.rlike(_NUMBER), plain.try_cast("double")).when(
+        plain.rlike(_INFINITE), F.when(plain.startswith("-"), float("-inf")).otherwise(float("inf"))
+    )
     if on_error == "null":
         return number
-    if on_error != "raise":
-        raise ValueError("on_error must be raise or null")
     message = F.concat(F.lit("could not convert to a number: "), column)
-    return F.coalesce(number, F.when(column.isNotNull(), F.raise_error(message).cast("double")))
+    return F.when(number.isNotNull() | plain.rlike(_NAN), number).otherwise(
+        F.when(column.isNotNull(), F.raise_error(message).cast("double"))
+    )
 
 
 def part_after(column: Column, marker: str) -> Column:

@@ -97,10 +97,11 @@ def clean_news(
 def preprocess(
     stock: DataFrame, index: DataFrame, etf: DataFrame, news: DataFrame, *,
     order: Sequence[str] = ("ordinal",), by: str = "ticker", scope: str = "group",
-    scores: bool = False, dates: bool = False, option_values: Sequence[str] | None = None,
+    option_values: Sequence[str], scores: bool = False, dates: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """The four frames cleaned: news as in ``clean_news``, the others filled and one-hot encoded.
 
+    ``option_values`` are the option types that become columns, the same for every frame.
     ``scores`` also turns the amounts of each frame into standard scores.
     """
     frames = []

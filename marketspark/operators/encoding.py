@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from marketspark.operators.ordering import keyed_join
 from marketspark.operators.skew import small_side
-
-MAX_ONE_HOT = 1000
+from marketspark.sources.files import nan_to_null
 
 
 def _fit(columns: Sequence[str]) -> list[Column]:
@@ -21,7 +20,7 @@ def _fit(columns: Sequence[str]) -> list[Column]:
 
 
 def standardize(df: DataFrame, columns: Sequence[str], *, by: str | None = None) -> DataFrame:
-    """(x - mean) / population deviation, a zero deviation counting as 1; nulls pass through.
+    """(x - mean) / population deviation, a zero deviation counting as 1; nulls and NaN become null.
 
     One narrow aggregate fits all columns. Over the whole frame it is a scalar subquery, so the
     rows are not shuffled; ``by`` fits each group and joins the few fitted rows back.
@@ -29,6 +28,7 @@ def standardize(df: DataFrame, columns: Sequence[str], *, by: str | None = None)
     columns = list(columns)
     if not columns:
         return df
+    df = nan_to_null(df, columns)
     if by is None:
         fitted = df.agg(F.struct(*_fit(columns))).scalar()
         return df.withColumns({
@@ -40,21 +40,20 @@ def standardize(df: DataFrame, columns: Sequence[str], *, by: str | None = None)
     }).drop(*[f"_{kind}_{c}" for c in columns for kind in ("mean", "scale")])
 
 
-def categories(df: DataFrame, column: str) -> list:
-    """Sorted distinct non-null values; refuses a column with too many to become columns."""
-    values = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
-    found = [row[0] for row in values.limit(MAX_ONE_HOT + 1).collect()]
-    if len(found) > MAX_ONE_HOT:
-        raise ValueError(f"{column} has more than {MAX_ONE_HOT} values")
-    return found
+def categories(df: DataFrame, column: str) -> DataFrame:
+    """Sorted distinct non-null values: collect them for ``one_hot`` where they are few."""
+    return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column)
+
 
+def one_hot(df: DataFrame, column: str, *, values: Sequence) -> DataFrame:
+    """Replace ``column`` by one boolean per value, sorted, at the end; null is false everywhere.
 
-def one_hot(df: DataFrame, column: str, *, values: Sequence | None = None) -> DataFrame:
-    """Replace ``column`` by one boolean per value, sorted, at the end; null is false everywhere."""
+    The caller names the values, so that the columns do not depend on the rows; ``categories``
+    lists those of a table.
+    """
     if column not in df.columns:
         return df
-    values = categories(df, column) if values is None else sorted(values)
     flags = [
-        F.coalesce(F.col(column) == F.lit(v), F.lit(False)).alias(f"{column}_{v}") for v in values
+        F.coalesce(F.col(column) == F.lit(v), F.lit(False)).alias(f"{column}_{v}") for v in sorted(values)
     ]
     return df.select(*[c for c in df.columns if c != column], *flags)

@@ -19,7 +19,8 @@ from marketspark.operators.skew import written
 POSITIVE, NEGATIVE, TIE = "bullish", "bearish", "neutral"
 LABEL_CODES = {"bearish": 0, "bullish": 1}
 
-MAX_AXIS_LABELS = 1000
+#: Stands for every label that is not named.
+OTHER = "other"
 
 
 def value_counts(df: DataFrame, column: str, *, name: str = "n") -> DataFrame:
@@ -50,32 +51,23 @@ def confusion_cells(df: DataFrame, *, y: str, p: str) -> DataFrame:
     )
 
 
-def _axis_labels(cells: DataFrame) -> list:
-    labels = cells.select(F.explode(F.array("truth", "predicted")).alias("label"))
-    labels = labels.where(F.col("label").isNotNull()).distinct().orderBy("label")
-    found = [row[0] for row in labels.limit(MAX_AXIS_LABELS + 1).collect()]
-    if len(found) > MAX_AXIS_LABELS:
-        raise ValueError(
-            f"more than {MAX_AXIS_LABELS} labels: pass labels, or use confusion_cells"
-        )
-    return found
+def confusion_matrix(df: DataFrame, *, y: str, p: str, labels: Sequence, other: str = OTHER) -> DataFrame:
+    """Every (truth, predicted) cell of the named labels and ``other``, zero cells too, as text.
 
+    Any other value of either side, null too, is counted under ``other``, so the cells add up to
+    all rows and a model that answers freely makes the table no larger. ``confusion_cells`` has
+    the values as they are.
+    """
+    axis = [*[str(label) for label in labels], other]
 
-def confusion_matrix(df: DataFrame, *, y: str, p: str, labels: Sequence | None = None) -> DataFrame:
-    """Every (truth, predicted) cell of the label axis, zero cells too.
+    def named(column: str) -> Column:
+        text = F.col(column).cast("string")
+        return F.when(text.isin(axis[:-1]), text).otherwise(F.lit(other))
 
-    The axis is the sorted union of both columns unless ``labels`` names it; it is bounded, and
-    the raw rows have been combined to their cells before they meet it.
-    """
-    cells = confusion_cells(df, y=y, p=p)
-    labels = _axis_labels(cells) if labels is None else list(labels)
-    kind = df.schema[p].dataType
-    def axis(column: str) -> Column:
-        kind = df.schema[column].dataType.simpleString()
-        return F.explode(F.array(*[F.lit(label) for label in labels]).cast(f"array<{kind}>"))
-
-    one = df.sparkSession.range(0, 1, 1, 1)
-    matrix = one.select(axis(y).alias("truth")).select("truth", axis(p).alias("predicted"))
+    counts = df.select(named(y).alias("truth"), named(p).alias("predicted")).groupBy("truth", "predicted")
+    cells = counts.agg(F.count(F.lit(1)).alias("n"))
+    one = df.sparkSession.range(0, 1, 1, 1).select(F.explode(F.lit(axis)).alias("truth"))
+    matrix = one.select("truth", F.explode(F.lit(axis)).alias("predicted"))
     counted = matrix.join(cells, ["truth", "predicted"], "left")
     return counted.select("truth", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -123,8 +115,12 @@ def binary_metrics(
 
 
 def class_report(df: DataFrame, *, y: str, p: str) -> DataFrame:
-    """Precision, recall, F1 and support per label, then accuracy, macro and weighted rows."""
-    cells = confusion_cells(df, y=y, p=p).where(F.col("truth").isNotNull() & F.col("predicted").isNotNull())
+    """Precision, recall, F1 and support per label in order, then accuracy, macro and weighted rows.
+
+    A null counts as the label ``None``, so that the accuracy is over all rows.
+    """
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in {y, p}}
+    cells = confusion_cells(df.select(*[t.alias(c) for c, t in texts.items()]), y=y, p=p)
     sides = F.array(
         F.struct(F.col("truth").cast("string").alias("label"), F.col("n").alias("support"), F.lit(0).alias("called")),
         F.struct(F.col("predicted").cast("string").alias("label"), F.lit(0).alias("support"), F.col("n").alias("called")),
@@ -150,33 +146,50 @@ def class_report(df: DataFrame, *, y: str, p: str) -> DataFrame:
         _ratio(F.sum("tp"), weight).alias("accuracy"),
     )
 
-    def line(label: str, values: Sequence[Column]) -> Column:
+    def line(place: int, label: str, values: Sequence[Column]) -> Column:
         named = [v.alias(m) for m, v in zip(metrics, values)]
-        return F.struct(F.lit(label).alias("label"), *named, F.col("support"))
+        return F.struct(F.lit(place).alias("_place"), F.lit(label).alias("label"), *named, F.col("support"))
 
     summary = totals.select(F.inline(F.array(
-        line("accuracy", [F.col("accuracy")] * 3),
-        line("macro avg", [F.col(f"macro_{m}") for m in metrics]),
-        line("weighted avg", [F.col(f"weighted_{m}") for m in metrics]),
+        line(1, "accuracy", [F.col("accuracy")] * 3),
+        line(2, "macro avg", [F.col(f"macro_{m}") for m in metrics]),
+        line(3, "weighted avg", [F.col(f"weighted_{m}") for m in metrics]),
     )))
-    return labels.select("label", *metrics, "support").unionByName(summary)
+    lines = labels.select(F.lit(0).alias("_place"), "label", *metrics, "support").unionByName(summary)
+    return lines.orderBy("_place", "label").drop("_place")
 
 
 class ScoreCurve:
-    """Positives and negatives per distinct score: counted and written once, read by every curve."""
+    """Positives and negatives per distinct score: counted and written once, read by every curve.
+
+    Rows without a truth or a score have no place on a curve; ``n_unmapped`` is their number, and
+    ``strict`` raises if there are any.
+    """
 
-    def __init__(self, df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS):
-        usable = df.where(F.col(y).isNotNull() & F.col(score).isNotNull())
+    def __init__(
+        self, df: DataFrame, *, y: str, score: str, positive=1, block_rows: int = BLOCK_ROWS, strict: bool = False
+    ):
         hit = F.col(y) == positive
-        counts = usable.groupBy(F.col(score).alias("threshold")).agg(
-            F.count_if(hit).alias("pos"), F.count_if(~hit).alias("neg")
+        mapped = F.col(y).isNotNull()
+        counts = df.groupBy(F.col(score).alias("threshold")).agg(
+            F.count_if(hit).alias("pos"), F.count_if(mapped & ~hit).alias("neg"), F.count_if(~mapped).alias("_lost")
         )
-        self.counts = written(counts.withColumn("_rank", -F.col("threshold")))
+        every = written(counts.withColumn("_rank", -F.col("threshold")))
+        scored = F.col("threshold").isNotNull()
+        self.counts = every.where(scored & (F.col("pos") + F.col("neg") > 0)).drop("_lost")
+        self.n_unmapped = every.agg(F.coalesce(F.sum(
+            F.col("_lost") + F.when(scored, F.lit(0)).otherwise(F.col("pos") + F.col("neg"))
+        ), F.lit(0))).first()[0]
+        if strict and self.n_unmapped:
+            raise ValueError(f"{self.n_unmapped} rows without a truth or a score")
         self.scores, self.positives, self.negatives = self.counts.agg(
             F.count(F.lit(1)), F.coalesce(F.sum("pos"), F.lit(0)), F.coalesce(F.sum("neg"), F.lit(0))
         ).first()
         self.block_rows = block_rows
 
+    def _area(self, value: Column, name: str) -> DataFrame:
+        return self.running().agg(value.alias(name)).withColumn("n_unmapped", F.lit(self.n_unmapped).cast("bigint"))
+
     def running(self, corners_only: bool = False) -> DataFrame:
         """True and false positives (``tps``, ``fps``) from the top score down to each score."""
         same = {"order": ["_rank"], "largest": self.scores, "block_rows": self.block_rows}
@@ -210,12 +223,12 @@ class ScoreCurve:
             _ratio(F.col("fps"), F.lit(self.negatives)).alias("fpr"),
             _ratio(F.col("tps"), F.lit(self.positives)).alias("tpr"),
         )
-        return self._with_end(points, fpr=0.0, tpr=0.0)
+        return self._with_end(points, fpr=0.0, tpr=0.0).orderBy(F.desc_nulls_first("threshold"))
 
     def roc_auc(self) -> DataFrame:
         area = F.col("neg") * (2 * F.col("tps") - F.col("pos")).cast("double") / 2
         whole = F.lit(float(self.positives) * float(self.negatives))
-        return self.running().agg(F.try_divide(F.sum(area), whole).alias("roc_auc"))
+        return self._area(F.try_divide(F.sum(area), whole), "roc_auc")
 
     def pr_points(self) -> DataFrame:
         points = self.running().select(
@@ -223,35 +236,35 @@ class ScoreCurve:
             _ratio(F.col("tps"), F.col("tps") + F.col("fps")).alias("precision"),
             _ratio(F.col("tps"), F.lit(self.positives)).alias("recall"),
         )
-        return self._with_end(points, precision=1.0, recall=0.0)
+        return self._with_end(points, precision=1.0, recall=0.0).orderBy(F.asc_nulls_last("threshold"))
 
     def average_precision(self) -> DataFrame:
         step = F.col("pos") * F.col("tps").cast("double") / (F.col("tps") + F.col("fps"))
         whole = F.lit(float(self.positives))
-        return self.running().agg(F.try_divide(F.sum(step), whole).alias("average_precision"))
+        return self._area(F.try_divide(F.sum(step), whole), "average_precision")
 
 
 def roc_points(df: DataFrame, *, drop_intermediate: bool = False, **columns) -> DataFrame:
-    """(threshold, fpr, tpr) per distinct score and the start (null, 0, 0).
+    """(threshold, fpr, tpr) from the start (null, 0, 0) down the distinct scores.
 
-    ``columns`` are those of ``ScoreCurve``: y, score, positive. ``drop_intermediate`` leaves out
+    ``columns`` are those of ``ScoreCurve``: y, score, positive, strict. ``drop_intermediate`` leaves out
     the points on a straight line between their neighbours.
     """
     return ScoreCurve(df, **columns).roc_points(drop_intermediate)
 
 
 def roc_auc(df: DataFrame, **columns) -> DataFrame:
-    """Area under the ROC points; equal scores count one half."""
+    """Area under the ROC points, equal scores counting one half, and ``n_unmapped``."""
     return ScoreCurve(df, **columns).roc_auc()
 
 
 def pr_points(df: DataFrame, **columns) -> DataFrame:
-    """(threshold, precision, recall) per distinct score and the end (null, 1, 0)."""
+    """(threshold, precision, recall) up the distinct scores to the end (null, 1, 0)."""
     return ScoreCurve(df, **columns).pr_points()
 
 
 def average_precision(df: DataFrame, **columns) -> DataFrame:
-    """Sum of recall steps times precision, without interpolation."""
+    """Sum of recall steps times precision, without interpolation, and ``n_unmapped``."""
     return ScoreCurve(df, **columns).average_precision()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from marketspark.operators.ordering import BLOCK_ROWS, largest_group, moving
+from marketspark.operators.ordering import BLOCK_ROWS, largest_group, last_known, moving
 
 # The feature names as the prompts print them, in prompt order.
 PROMPT_LABELS = {
@@ -75,9 +75,10 @@ def _decay(span: int) -> float:
 def _with_emas(df: DataFrame, averages: Sequence[tuple[str, str, int]], w: WindowSpec) -> DataFrame:
     """Add ``(name, column, span)`` averages with alpha = 2/(span+1), from the first value on.
 
-    With keep = 1 - alpha, row j is keep^j * (x0 + sum of alpha * xi / keep^i): one running sum
+    With keep = 1 - alpha, value j is keep^j * (x0 + sum of alpha * xi / keep^i): one running sum
     per average, all in one window. The powers stay inside the double range because ``macd``
-    limits the rows of a window. ``_j`` is the row number in the window, from 0.
+    limits the rows of a window. ``_j`` numbers the rows with a price, from 0; a row without one
+    adds nothing and keeps the last average, and before the first price there is none.
     """
     j = F.col("_j")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -99,30 +100,41 @@ def _ema_pieces(spans: Sequence[int]) -> tuple[int, int]:
     return math.floor(LARGEST_POWER / max(decays)) - margin, margin
 
 
-def _numbered(part: DataFrame, w: WindowSpec) -> DataFrame:
-    return part.withColumn("_j", F.row_number().over(w).cast("double") - 1)
+def _numbered(part: DataFrame, w: WindowSpec, column: str) -> DataFrame:
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return part.withColumn("_j", F.count(column).over(upto).cast("double") - 1)
 
 
 def _macd_columns(
     part: DataFrame, w: WindowSpec, price: str, fast: int, slow: int, signal: int
 ) -> DataFrame:
     prices = [("_fast", price, fast), ("_slow", price, slow)]
-    part = _with_emas(_numbered(part, w), prices, w)
-    part = part.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
-    return _with_emas(part, [("macd_signal", "macd", signal)], w).drop("_j")
+    part = _with_emas(_numbered(part, w, price), prices, w)
+    apart = F.col("_fast") - F.col("_slow")
+    part = part.withColumns({"macd": apart, "_new": F.when(F.col(price).isNotNull(), apart)}).drop("_fast", "_slow")
+    return _with_emas(part, [("macd_signal", "_new", signal)], w).drop("_j", "_new")
 
 
 def macd(
     df: DataFrame, *, key: str, order: Sequence[str], price: str = "close_price", fast: int = 12,
     slow: int = 26, signal: int = 9, largest: int | None = None,
 ) -> DataFrame:
-    """MACD (fast minus slow average) and its signal average; fill price gaps first.
+    """MACD (fast minus slow average) and its signal average.
 
-    A series longer than a piece starts each piece ``margin`` rows early. By the first row kept
-    the weight of the unknown start is below exp(-45), far under double precision.
+    Rows without a price keep the last averages and do not count; before the first price both are
+    null. A series longer than a piece starts each piece ``margin`` prices early. By the first row
+    kept the weight of the unknown start is below exp(-45), far under double precision.
     """
     same = {"by": [key], "order": order, "largest": largest_group(df, [key]) if largest is None else largest}
     rows, margin = _ema_pieces([fast, slow, signal])
+    if same["largest"] > max(rows, 0) and not df.where(F.col(price).isNull()).isEmpty():
+        priced = macd(
+            df.where(F.col(price).isNotNull()), key=key, order=order, price=price, fast=fast, slow=slow, signal=signal,
+            largest=same["largest"],
+        )
+        gaps = df.where(F.col(price).isNull())
+        whole = priced.unionByName(gaps, allowMissingColumns=True)
+        return last_known(whole, ["macd", "macd_signal"], **same)
     if rows > margin:
         compute = functools.partial(_macd_columns, price=price, fast=fast, slow=slow, signal=signal)
         return moving(df, compute, before=margin, rows=rows, **same)
@@ -130,7 +142,7 @@ def macd(
     # spans too far apart for common pieces: one average at a time
     def one(part: DataFrame, name: str, column: str, span: int) -> DataFrame:
         def compute(piece: DataFrame, w: WindowSpec) -> DataFrame:
-            return _with_emas(_numbered(piece, w), [(name, column, span)], w).drop("_j")
+            return _with_emas(_numbered(piece, w, column), [(name, column, span)], w).drop("_j")
 
         rows, margin = _ema_pieces([span])
         return moving(part, compute, before=margin, rows=rows, **same)
@@ -175,14 +187,22 @@ def prompt_features(
     df: DataFrame, *, key: str, order: Sequence[str], price: str = "close_price",
     sentiment: str | None = None, largest: int | None = None,
 ) -> DataFrame:
-    """All features of the prompt line, with the default spans, over one shuffle and one sort."""
+    """All features of the prompt line, with the default spans, over one shuffle and one sort.
+
+    Only long series with rows without a price take a second pass, for the averages.
+    """
     spans = (12, 26, 9)
+    rows, margin = _ema_pieces(spans)
+    largest = largest_group(df, [key]) if largest is None else largest
+    if largest > rows and not df.where(F.col(price).isNull()).isEmpty():
+        same = {"key": key, "order": order, "largest": largest}
+        out = macd(price_features(df, **same, price=price), **same, price=price)
+        return sentiment_rolling(out, **same, sentiment=sentiment) if sentiment else out
 
     def compute(part: DataFrame, w: WindowSpec) -> DataFrame:
         part = _macd_columns(_price_columns(part, w, price), w, price, *spans)
         return _sentiment_column(part, w, sentiment, 7) if sentiment else part
 
-    rows, margin = _ema_pieces(spans)
     return moving(
         df, compute, by=[key], order=order, before=max(margin, PRICE_REACH), rows=rows,
         largest=largest,

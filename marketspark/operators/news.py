@@ -13,6 +13,9 @@ from marketspark.functions.text import fill_template, resolve
 from marketspark.operators.ordering import BLOCK_ROWS
 from marketspark.operators.skew import SMALL_ROWS, bounded, salted_join
 
+#: Hashes of wanted addresses that are broadcast at most.
+WANTED_HASHES = 4_000_000
+
 # Addresses, class names, defaults and the blocked link of the three news sites.
 ET_BASE = "https://economictimes.indiatimes.com"
 COMPANY_PAGE = ET_BASE + "/{ticker_name}/stocks/companyid-{cid}.cms"
@@ -33,7 +36,7 @@ ANCHOR_PATTERN = r'<a\s[^>]*class="[^"]*subtle-link[^"]*"[^>]*href="([^"]*\.html
 BLOCKED_LINKS = ("https://policies.oath.com/us/en/oath/privacy/adinfo/index.html",)
 CARD_CLASS = "yY3Lee"
 CARD_TEXT_CLASS = "Adak"
-HEADLINE_MARK = r"""\bdata-test-locator\s*=\s*["']headline["']"""
+HEADLINE_MARK = r"""data-test-locator\s*=\s*["']?headline["'\s>]"""
 
 
 @dataclass(frozen=True)
@@ -95,7 +98,7 @@ def extract_links(
         found = H.anchors(H.visible(F.col("html")), cls)
     links = pages.select(*keep, F.posexplode(found).alias("link_no", "link"))
     if not pattern:
-        links = links.withColumn("link", H.unescape(F.col("link")))
+        links = links.select(*keep, "link_no", H.once(H.unescape(F.col("link"))).alias("link"))
     if suffix:
         links = links.where(F.col("link").endswith(suffix))
     if blocked:
@@ -124,8 +127,7 @@ def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_L
     """The link of the first such anchor; pages without it are left out."""
     anchor = H.first_tag(H.visible(F.col("html")), "a", cls)
     # exploding the one link drops the nulls without finding it a second time for a filter
-    link = F.array_compact(F.array(H.attribute(anchor, "href")))
-    found = pages.select(*keep, F.explode(link).alias("link"))
+    found = pages.select(*keep, H.once(H.attribute(anchor, "href")).alias("link"))
     return found.withColumn("link", H.unescape(F.col("link")))
 
 
@@ -136,14 +138,19 @@ def join_articles(
     """Each link with the landed page it points to; ``pages`` is unique over ``url``.
 
     The links are written and counted first: they are few bytes next to the pages they were found
-    on. Up to ``small_rows`` they are broadcast and the pages are not shuffled at all; beyond
-    that, addresses with about ``rows`` links or more are salted by ``row_key``.
+    on. Up to ``small_rows`` they are broadcast and the pages are not shuffled at all. Beyond that
+    the pages are first reduced to those whose address has the hash of a wanted one (8 bytes each,
+    counted before they are broadcast), so only these are shuffled, and addresses with about
+    ``rows`` links or more are salted by ``row_key``.
     """
     known = links.where(F.col("link").isNotNull()).withColumnRenamed("link", "url")
     known, small = bounded(known, small_rows)
     targets = pages.select("url", "html")
     if small:
         return known.join(targets, "url")
+    hashes, few = bounded(known.select(F.xxhash64("url").alias("_wanted")).distinct(), WANTED_HASHES)
+    if few:
+        targets = targets.join(hashes, F.xxhash64("url") == F.col("_wanted"), "left_semi")
     return salted_join(known, targets, ["url"], row_key=row_key, rows=rows)
 
 
@@ -153,12 +160,11 @@ def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str
     body = F.col("_visible")
     if rule.summary:
         # exploding the one text drops pages without it in the same pass that finds it
-        content = F.array_compact(F.array(H.first_text(body, *rule.summary)))
-        rows = rows.withColumn("_content", F.explode(content))
+        rows = rows.withColumn("_content", H.once(H.first_text(body, *rule.summary)))
         content = H.unescape(F.col("_content"))
     else:
-        rows = rows.withColumn("_content", H.elements_in(F.col("html"), *rule.body, ("p",)))
-        rows = rows.where(F.size("_content") > 0)
+        found = rows.withColumn("_found", H.elements_in(F.col("html"), *rule.body, ("p",), text=("p",)))
+        rows = found.withColumn("_content", H.once(F.when(F.size("_found") > 0, F.col("_found")))).drop("_found")
         paragraphs = H.of_container(F.col("_content"), 0, "p")
         content = F.array_join(F.transform(paragraphs, lambda e: e["text"]), " ")
     title = H.unescape(H.first_text(body, "h1", rule.title_class, rule.title_where))
@@ -184,7 +190,7 @@ def extract_headlines(
     """
     text_tag, text_class = text
     wanted = tuple(dict.fromkeys(("a", "time", text_tag)))
-    elements = H.elements_in(F.col("html"), *card, wanted)
+    elements = H.elements_in(F.col("html"), *card, wanted, text=("a", text_tag))
     rows = pages.select(*keep, elements.alias("_e")).withColumn("_n", F.explode(
         F.array_distinct(F.transform("_e", lambda e: e["container"]))
     ))

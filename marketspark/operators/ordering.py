@@ -7,9 +7,12 @@ values of the order columns, for running totals, positions and fills, or into *p
 fixed number of rows with a margin of neighbours, for moving windows. The cut points decide
 only where a group is divided; every row is kept and the results do not depend on them.
 
-``order`` is a list of columns, ascending with nulls first, together unique within a group. A
-column that has to place cuts must be numeric, a date or a timestamp: the first one, and the
-next one where very many rows share a value of the first.
+``order`` is a list of columns, ascending with nulls first, together unique within a group. Cuts
+are placed along the first one, and along the next one where very many rows share a value of the
+first. Numbers, dates and timestamps are cut at their values, booleans as 0 and 1, text and
+binary at the number that their first six bytes make (exact in the doubles of the sampled
+quantiles), and where very many rows share these,
+at the next six.
 """
 
 from __future__ import annotations
@@ -29,10 +32,10 @@ from marketspark.session import shared_folder
 
 BLOCK_ROWS = 500_000
 MAX_BLOCKS = 32_768
-INNER_BLOCKS = 4 * MAX_BLOCKS
 SAMPLES_PER_BLOCK = 64
 BROADCAST_CUTS = 16_000_000
 BROADCAST_BLOCKS = 1_000_000
+BROADCAST_TEXTS = 10_000
 
 BLOCK = "_block"
 CUT = "_cut"
@@ -42,6 +45,7 @@ POSITION = "_pos"
 PIECE = "_piece"
 AXIS = "_axis"
 CUTS = "_cuts"
+LEAD = 6
 
 
 class Blocked(NamedTuple):
@@ -81,7 +85,25 @@ def _axis(df: DataFrame, name: str) -> Column:
         seconds = F.hour(name) * 3600 + F.minute(name) * 60 + F.date_part(F.lit("SECOND"), F.col(name))
         days = F.unix_date(F.to_date(name)).cast("bigint")
         return days * 86_400_000_000 + (seconds * 1_000_000).cast("bigint")
-    raise TypeError(f"order column {name} must be numeric, a date or a timestamp")
+    if isinstance(kind, T.BooleanType):
+        return F.col(name).cast("int")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        data = _bytes(df, name)
+        number = F.conv(F.rpad(F.hex(F.substring(data, 1, LEAD)), 2 * LEAD, "0"), 16, 10).cast("bigint")
+        return number * 8 + F.least(F.octet_length(data), F.lit(LEAD))
+    raise TypeError(f"rows cannot be put in order by {name}: {kind.simpleString()}")
+
+
+def _bytes(df: DataFrame, name: str) -> Column:
+    kind = df.schema[name].dataType
+    return F.col(name) if isinstance(kind, T.BinaryType) else F.encode(F.col(name), "UTF-8")
+
+
+def _rest(df: DataFrame, name: str) -> Column | None:
+    """What follows the bytes that placed the cuts, for text and binary."""
+    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
+        return None
+    return F.substring(_bytes(df, name), LEAD + 1, 1 << 30)
 
 
 class CutPoints(NamedTuple):
@@ -184,34 +206,47 @@ def with_blocks(
     """Add ``_block``: contiguous runs of each group in ``order``, of about ``block_rows`` rows.
 
     Where very many rows share a value of ``order[0]``, or have none, their block is divided along
-    the next order column in the same way.
+    the next order column in the same way, and ``_block`` is an array of the numbers of each level.
+    For text what is shared may be its beginning only; then its rest comes next.
     """
     if OPEN not in df.columns:
         df = df.withColumn(OPEN, F.lit(True))
     done = _divide(df, order, by, largest, block_rows)
     plain = Blocked(done.df.drop(TIED), done.blocks)
-    if len(order) == 1 or not done.crowded:
+    rest = _rest(done.df, order[0])
+    if not done.crowded or len(order) == 1 and rest is None:
         return plain
-    crowd = largest_group(done.df.where(TIED), [*by, BLOCK])
+    tied = done.df.where(TIED)
+    crowd = largest_group(tied, [*by, BLOCK])
     if crowd <= 2 * block_rows:
         return plain
+    following = [(c, F.col(c)) for c in order[1:]]
+    if rest is not None:
+        ends = tied.groupBy(*by, BLOCK).agg((F.min(rest) < F.max(rest)).alias("_differ"))
+        if not ends.where("_differ").isEmpty():
+            following.insert(0, (order[0], rest))
+    if not following:
+        return plain
     # the other rows stay in their block: they are not open to cuts and have no value to cut at
-    lead = f"_own_{order[1]}"
-    block, cut = (f"{name}_{len(order)}" for name in (BLOCK, CUT))
-    outer = done.df.withColumnsRenamed({BLOCK: block, CUT: cut, TIED: OPEN})
-    outer = outer.withColumn(lead, F.when(F.col(OPEN), F.col(order[1])))
+    lead, (_, value) = f"_own_{len(by)}", following[0]
+    block, cut = (f"{n}_{len(by)}" for n in (BLOCK, CUT))
+    outer = done.df.withColumn(lead, F.when(F.col(TIED), value))
+    outer = outer.withColumnsRenamed({BLOCK: block, CUT: cut, TIED: OPEN})
     inner = with_blocks(
-        outer, order=[lead, *order[2:]], by=[*by, block], largest=crowd, block_rows=block_rows
+        outer, order=[lead, *[c for c, _ in following[1:]]], by=[*by, block], largest=crowd, block_rows=block_rows
     )
-    both = inner.df.withColumns({
-        BLOCK: F.col(block) * INNER_BLOCKS ** (len(order) - 1) + F.col(BLOCK), CUT: F.col(cut),
-    })
+    deeper = F.col(BLOCK) if isinstance(inner.df.schema[BLOCK].dataType, T.ArrayType) else F.array(BLOCK)
+    both = inner.df.withColumns({BLOCK: F.concat(F.array(block), deeper), CUT: F.col(cut)})
     return Blocked(both.drop(block, cut, lead), done.blocks + inner.blocks)
 
 
 def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
-    """Join what earlier blocks left to the rows of each later block; few rows, bound known."""
-    if blocks <= BROADCAST_BLOCKS:
+    """Join what earlier blocks left to the rows of each later block; few rows, bound known.
+
+    Values of unknown length, such as texts, are broadcast for far fewer blocks than numbers.
+    """
+    sized = all(isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType)) for f in carried.schema if f.name not in {*by, BLOCK})
+    if blocks <= (BROADCAST_BLOCKS if sized else BROADCAST_TEXTS):
         carried = F.broadcast(carried)
     return keyed_join(local, carried, [*by, BLOCK])
 

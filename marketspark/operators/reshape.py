@@ -78,12 +78,13 @@ def history_join_options(
     The option rows are the side that can be hot. If they are, they are spread over salts
     (by ``option_key``, columns that tell option rows apart, all by default), and
     history rows without options are found apart, by an anti join with the distinct keys.
+    Columns are those of ``history``, then the other ones of ``options``.
     """
     on = list(on)
+    columns = [*history.columns, *[c for c in options.columns if c not in on]]
     hot = hot_keys(options, on, rows=rows)
     if hot is None:
-        return history.join(options, on, "left")
+        return history.join(options, on, "left").select(*columns)
     matched = salted_join(options, history, on, "inner", row_key=option_key, rows=rows, hot=hot)
     alone = history.join(options.select(*on).distinct(), on, "left_anti")
-    columns = [*history.columns, *[c for c in options.columns if c not in on]]
     return alone.unionByName(matched, allowMissingColumns=True).select(*columns)

@@ -21,8 +21,15 @@ MAX_DRAW_TASKS = 20_000
 
 
 def row_token(key: Sequence[str], seed: int) -> Column:
-    """Hash of the key and seed that gives a row its place."""
-    return F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in key], F.lit(str(seed))))
+    """Hash of the key and seed that gives a row its place.
+
+    Each part has its length in front and a null reads ``-``, so different keys stay different.
+    """
+    def part(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text))
+
+    return F.md5(F.concat_ws("|", *[part(c) for c in key], F.lit(str(seed))))
 
 
 def _number(token: Column, digits: int) -> Column:
@@ -30,7 +37,10 @@ def _number(token: Column, digits: int) -> Column:
 
 
 def _kth_token(tokens: DataFrame, place: Callable[[int], int]) -> str | None:
-    """The k-th smallest token, k = place(rows), found by counting prefixes of growing length."""
+    """The k-th smallest token, k = place(rows), found by counting prefixes of growing length.
+
+    Rows that share the limiting token cannot be told apart: that is an error at any size.
+    """
     prefix, wanted = "", None
     while True:
         size = len(prefix) + PREFIX
@@ -47,10 +57,14 @@ def _kth_token(tokens: DataFrame, place: Callable[[int], int]) -> str | None:
             wanted -= row["count"]
         prefix = row["p"]
         if row["count"] <= FEW:
-            few = tokens.where(F.col("token").startswith(prefix)).collect()
-            return sorted(r["token"] for r in few)[wanted - 1]
+            few = sorted(r["token"] for r in tokens.where(F.col("token").startswith(prefix)).collect())
+            if few[wanted:wanted + 1] == few[wanted - 1:wanted]:
+                raise ValueError("the key is not unique")
+            return few[wanted - 1]
         if size >= 32:
-            raise ValueError("the key is not unique")
+            if wanted < row["count"]:
+                raise ValueError("the key is not unique")
+            return prefix
 
 
 def _first_tokens(df: DataFrame, token: Column, place: Callable[[int], int]) -> Column:
@@ -81,11 +95,8 @@ def split_hash(
 
 
 def take_sample(df: DataFrame, n: int, *, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """The first ``n`` rows in hash order; a large sample is cut off by its limiting hash, unsorted."""
-    token = row_token(key, seed)
-    if n > FEW:
-        return df.where(_first_tokens(df, token, lambda rows: min(n, rows)))
-    return df.orderBy(token, *key).limit(n)
+    """The first ``n`` rows in hash order, cut off by their limiting hash: a filter, not a sort."""
+    return df.where(_first_tokens(df, row_token(key, seed), lambda rows: min(n, rows)))
 
 
 def head(df: DataFrame, *, order: Sequence[str], n: int = 1) -> DataFrame:

@@ -6,11 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketspark.operators.ordering import BLOCK_ROWS, keyed_join
 from marketspark.session import shared_folder
 
 SMALL_ROWS = 100_000
+SMALL_BYTES = 64 << 20
 HOT_KEYS = 1_000_000
 SAMPLED = 1000
 MAX_SALTS = 10_000
@@ -25,12 +27,15 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def bounded(df: DataFrame, max_rows: int = SMALL_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` written once and counted, and whether it has at most ``max_rows`` rows.
+    """``df`` written once and measured, and whether it has at most ``max_rows`` rows and SMALL_BYTES of text.
 
     A side that small is marked for broadcast; a larger one is left to another way of joining.
     """
     kept = written(df)
-    small = kept.count() <= max_rows
+    texts = [f.name for f in kept.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(0).cast("bigint"))
+    rows, length = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    small = rows <= max_rows and length <= SMALL_BYTES
     return (F.broadcast(kept) if small else kept), small
 
 

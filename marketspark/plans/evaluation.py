@@ -41,6 +41,8 @@ def score(test: DataFrame, *, make_predict_fn: Callable, prompt: str = "prompt")
 def report(scored: DataFrame, *, y: str = "target", p: str = "prediction") -> dict[str, DataFrame]:
     """Every table of the evaluation; curves use the label codes of the predictions.
 
+    Answers other than the two labels are counted: ``n_unmapped`` of the metrics and areas, ``other``
+    in the matrix.
     Truth and prediction are written first, so that the model runs once for all tables.
     """
     judged = written(scored.select(y, p))
@@ -53,7 +55,9 @@ def report(scored: DataFrame, *, y: str = "target", p: str = "prediction") -> di
         "target_counts": evaluation.value_counts(judged, y),
         "metrics": evaluation.binary_metrics(judged, y=y, p=p),
         "class_report": evaluation.class_report(judged, y=y, p=p),
-        "confusion_matrix": evaluation.confusion_matrix(judged, y=y, p=p),
+        "confusion_matrix": evaluation.confusion_matrix(
+            judged, y=y, p=p, labels=[evaluation.NEGATIVE, evaluation.POSITIVE]
+        ),
         "roc_points": curve.roc_points(drop_intermediate=True),
         "roc_auc": curve.roc_auc(),
         "pr_points": curve.pr_points(),

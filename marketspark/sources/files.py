@@ -13,9 +13,12 @@ from marketspark import schemas
 BAD_LINE = "_bad_line"
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """NaN in floating columns becomes null; one NaN would spoil every average."""
-    floating = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+def nan_to_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NaN in floating columns (all, or those named) becomes null; one NaN would spoil every average."""
+    floating = [
+        f.name for f in df.schema
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)) and (columns is None or f.name in columns)
+    ]
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
 
 
@@ -55,20 +58,34 @@ def bad_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
 
 
-def read_train_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """instruction, input, response of the lines that parse."""
-    return good_rows(read_jsonl(spark, path, schemas.TRAIN_JSONL))
+def read_train_jsonl(spark: SparkSession, path: str, *, on_error: str = "raise") -> DataFrame:
+    """instruction, input, response of every line; a line that does not parse raises.
+
+    With ``on_error="skip"`` such lines are left out; ``bad_rows(read_jsonl(...))`` lists them.
+    """
+    if on_error not in ("raise", "skip"):
+        raise ValueError("on_error must be raise or skip")
+    rows = read_jsonl(spark, path, schemas.TRAIN_JSONL)
+    if on_error == "skip":
+        return good_rows(rows)
+    message = F.concat(F.lit("a line is no JSON object: "), F.col(BAD_LINE))
+    parsed = F.when(F.col(BAD_LINE).isNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return rows.where(parsed).drop(BAD_LINE)
 
 
 def read_test_csv(spark: SparkSession, path: str) -> DataFrame:
-    """prompt and target from header CSV whose quoted fields may hold newlines.
+    """prompt and target from header CSV, found by the names in the header, whatever their order.
 
-    A file with multi-line fields is read by one task, so land many files, not one.
+    Quoted fields may hold newlines. A file with multi-line fields is read by one task, so land
+    many files with one header, not one.
     """
     raw = (
         spark.read.option("header", True).option("multiLine", True).option("quote", '"')
-        .option("escape", '"').schema(schemas.TEST_CSV).csv(path)
+        .option("escape", '"').option("inferSchema", False).csv(path)
     )
+    absent = [c for c in schemas.TEST_CSV.names if c not in raw.columns]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)} in {path}")
     return raw.select(F.col("Prompt").alias("prompt"), F.col("Target").alias("target"))
 
 
@@ -78,9 +95,27 @@ def check_asset_type(asset_type: str, known: Sequence[str] = schemas.ASSET_TYPES
     return asset_type
 
 
-def in_dates(column: str, start: str, end: str) -> Column:
-    """``start <= column <= end`` for yyyy-MM-dd limits."""
-    return F.col(column).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+def in_dates(column: str, start: str | None, end: str | None) -> Column:
+    """``start <= column <= end`` for yyyy-MM-dd limits; either side may be open."""
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (F.col(column) >= F.lit(start).cast("date"))
+    if end is not None:
+        inside = inside & (F.col(column) <= F.lit(end).cast("date"))
+    return inside
+
+
+def unread_files(spark: SparkSession, path: str) -> DataFrame:
+    """file, bytes of the Parquet files below ``path`` of which not one row can be read.
+
+    What ``skip_bad_files`` leaves out is in this list, and so are files without rows.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    listed = listed.load(path).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+    rows = _landed(spark, True).option("recursiveFileLookup", True).parquet(path)
+    name = F.regexp_replace(F.url_decode("_metadata.file_path"), "^file:/+", "file:/")
+    read = rows.select(name.alias("file")).distinct()
+    return listed.withColumn("file", F.regexp_replace(F.url_decode("file"), "^file:/+", "file:/")).join(read, "file", "left_anti")
 
 
 def _landed(spark: SparkSession, skip_bad_files: bool) -> DataFrameReader:
@@ -96,16 +131,16 @@ def read_history(
     """Landed price history of one asset type.
 
     Stock and ETF take the last ``months`` months up to ``as_of`` (today), whatever the dates of
-    the job, unless a range is given; Index takes the range ``start``..``end``.
+    the job, unless a range is given; Index takes the range. One end of a range may be left open.
     """
     check_asset_type(asset_type)
     df = _landed(spark, skip_bad_files).parquet(path).where(F.col("asset_type") == asset_type)
     if tickers is not None:
         df = df.where(F.col("ticker").isin(list(tickers)))
-    if start is not None and end is not None:
+    if start is not None or end is not None:
         return nan_to_null(df.where(in_dates("trade_date", start, end)))
     if asset_type == schemas.INDEX:
-        raise ValueError("Index history needs start and end")
+        raise ValueError("Index history needs start or end")
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     first = F.add_months(today, -months)
     return nan_to_null(df.where((F.col("trade_date") >= first) & (F.col("trade_date") <= today)))

@@ -59,15 +59,33 @@ def test_standard_scores(spark):
 
 def test_one_hot(spark):
     df = spark.createDataFrame([("put", 1), (None, 2), ("call", 3)], "option_type string, x int")
-    out = encoding.one_hot(df, "option_type")
+    out = encoding.one_hot(df, "option_type", values=[r[0] for r in encoding.categories(df, "option_type").collect()])
     assert out.columns == ["x", "option_type_call", "option_type_put"]
     assert [tuple(r) for r in out.collect()] == [(1, False, True), (2, False, False), (3, True, False)]
-    assert encoding.one_hot(df, "absent") is df
+    assert encoding.one_hot(df, "absent", values=["x"]) is df
+    assert encoding.one_hot(df.limit(0), "option_type", values=["b", "a"]).columns == ["x", "option_type_a", "option_type_b"]
 
 
-def test_one_hot_refuses_endless_values(spark):
-    with pytest.raises(ValueError):
-        encoding.one_hot(spark.range(2000), "id")
+@pytest.mark.parametrize("raw,value", [
+    ("1,234.5", 1234.5), (" 7 ", 7.0), ("-.5", -0.5), ("1e3", 1000.0), ("+2.", 2.0), ("nan", None), ("-NaN", None), ("inf", float("inf")),
+    ("-Infinity", float("-inf")), (None, None),
+])
+def test_amounts_that_are_numbers(spark, raw, value):
+    df = spark.createDataFrame([(raw,)], "v string")
+    assert cleaning.parse_amounts(df, ["v"]).first().v == value
+
+
+@pytest.mark.parametrize("raw", ["10d", "1f", "0x10", "", ".", "e5", "1 2", "one"])
+def test_amounts_that_are_no_numbers(spark, raw):
+    df = spark.createDataFrame([(raw,)], "v string")
+    assert cleaning.parse_amounts(df, ["v"], on_error="null").first().v is None
+    with pytest.raises(Exception, match="could not convert"):
+        cleaning.parse_amounts(df, ["v"]).collect()
+
+
+def test_one_nan_does_not_spoil_standard_scores(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),)], "v double")
+    assert [r.v for r in encoding.standardize(df, ["v"]).collect()] == [-1.0, 1.0, None]
 
 
 def test_clean_text_example(spark):
@@ -113,7 +131,7 @@ def test_the_four_frames(spark):
         [(1, "A", None, "x", "d1"), (2, "A", "t\n 1", None, None), (3, "A", None, "x", "d3"), (4, "B", "t", "y", None)],
         "ordinal bigint, ticker string, title string, content string, date string",
     )
-    stock, index, etf, cleaned = cleaning.preprocess(stock, plain, plain, news)
+    stock, index, etf, cleaned = cleaning.preprocess(stock, plain, plain, news, option_values=["call", "put"])
     rows = {r.ordinal: r for r in stock.collect()}
     assert rows[2].close_price == "1" and rows[2].option_type_call and rows[3].close_price is None
     assert index.columns == etf.columns == ["ordinal", "ticker", "close_price"]
@@ -130,7 +148,9 @@ def test_the_optional_steps(spark):
         [(1, "A", "t", "x", "2024-08-05T10:11:12.5Z"), (2, "A", "u", "y", "junk")],
         "ordinal bigint, ticker string, title string, content string, date string",
     )
-    stock, index, _, news = cleaning.preprocess(stock, index, stock, news, scores=True, dates=True)
+    stock, index, _, news = cleaning.preprocess(
+        stock, index, stock, news, option_values=["put"], scores=True, dates=True
+    )
     assert [r.close_price for r in stock.orderBy("ordinal").collect()] == [-1.0, 1.0]
     assert tuple(index.first()) == (1, "N", 0.0, True)
     assert [r.date for r in news.orderBy("ordinal").collect()] == ["05-08-2024", "05-08-2024"]

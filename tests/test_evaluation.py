@@ -32,17 +32,16 @@ def test_binary_metrics_edges(spark):
 
 
 def test_matrix_has_zero_cells(spark):
-    cells = E.confusion_matrix(judged(spark, [(B, S), (B, S), (S, "x")]), y="y", p="p").collect()
-    assert len(cells) == 9 and {(c.truth, c.predicted): c.n for c in cells}[B, S] == 2
-    assert sum(c.n for c in cells) == 3
-    fixed = E.confusion_matrix(judged(spark, [(B, S)]), y="y", p="p", labels=[S, B]).collect()
-    assert sorted((c.truth, c.predicted, c.n) for c in fixed) == [(S, S, 0), (S, B, 0), (B, S, 1), (B, B, 0)]
+    rows = judged(spark, [(B, S), (B, S), (S, "x"), (S, None), ("y", B)])
+    cells = {(c.truth, c.predicted): c.n for c in E.confusion_matrix(rows, y="y", p="p", labels=[S, B]).collect()}
+    assert len(cells) == 9 and sum(cells.values()) == 5
+    assert (cells[B, S], cells[S, "other"], cells["other", B], cells[B, B]) == (2, 2, 1, 0)
 
 
-def test_matrix_refuses_endless_labels(spark):
+def test_matrix_of_endless_answers(spark):
     df = spark.range(2000).select(F.col("id").alias("y"), F.col("id").alias("p"))
-    with pytest.raises(ValueError, match="confusion_cells"):
-        E.confusion_matrix(df, y="y", p="p")
+    cells = {(c.truth, c.predicted): c.n for c in E.confusion_matrix(df, y="y", p="p", labels=[1, 2]).collect()}
+    assert len(cells) == 9 and cells["1", "1"] == 1 and cells["other", "other"] == 1998
     assert E.confusion_cells(df, y="y", p="p").count() == 2000
 
 
@@ -115,6 +114,23 @@ def turns(pairs, rows, i):
     return own(i) != own(i + 1)
 
 
+def test_rows_without_truth_or_score_are_counted(spark):
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (None, 0.5), (1, None), (None, None)], "y int, score double")
+    assert tuple(E.roc_auc(df, y="y", score="score").first()) == (1.0, 3)
+    assert tuple(E.average_precision(df, y="y", score="score").first()) == (1.0, 3)
+    with pytest.raises(ValueError, match="3 rows"):
+        E.roc_points(df, y="y", score="score", strict=True)
+    assert [r.threshold for r in E.roc_points(df, y="y", score="score").collect()] == [None, 0.9, 0.1]
+    assert [r.threshold for r in E.pr_points(df, y="y", score="score").collect()] == [0.1, 0.9, None]
+
+
+def test_nulls_count_in_the_class_report(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", None), (None, "b"), ("b", "b")], "y string, p string")
+    rows = E.class_report(df, y="y", p="p").collect()
+    assert [r.label for r in rows] == ["None", "a", "b", "accuracy", "macro avg", "weighted avg"]
+    assert rows[3].precision == 0.5 and rows[3].support == 4
+
+
 def test_one_class_only_has_no_area(spark):
     df = scored(spark, [(1, 0.5), (1, 0.7)])
     assert E.roc_auc(df, y="y", score="score").first()[0] is None
@@ -148,6 +164,8 @@ def test_whole_evaluation(spark):
     assert tables["predicted_counts"][0].asDict() == {"prediction": B, "n": 30}
     assert tables["overall_sentiment"][0].predicted_sentiment == B
     assert len(tables["confusion_matrix"]) == 9
+    assert sum(r.n for r in tables["confusion_matrix"]) == 40
+    assert tables["roc_auc"][0].n_unmapped == 10
 
 
 def test_value_counts_order(spark):

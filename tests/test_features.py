@@ -76,3 +76,37 @@ def test_feature_text(spark):
         "Lag1_ClosePrice: 1178.3, 7-day SMA: 1079.585714, RSI: 0.0, MACD: -1.0, "
         "MACD Signal: 12345678.25, Sentiment Rolling: 1.0E40."
     )
+
+
+@pytest.mark.parametrize("long", [False, True])
+def test_macd_over_gaps(spark, long, monkeypatch):
+    """Rows without a price keep the last averages; the same in one window and in pieces."""
+    import random
+
+    rng = random.Random(4)
+    values = [None, None, 100.0, *[None if rng.random() < 0.3 else 100 + rng.random() for _ in range(300)]]
+    expected, fast, slow, signal = [], None, None, None
+    for v in values:
+        if v is not None:
+            fast = v if fast is None else fast + (v - fast) * 2 / 13
+            slow = v if slow is None else slow + (v - slow) * 2 / 27
+            signal = fast - slow if signal is None else signal + (fast - slow - signal) * 2 / 10
+        expected.append((None, None) if fast is None else (fast - slow, signal))
+    df = spark.createDataFrame([("A", i, v) for i, v in enumerate(values)], "ticker string, ordinal bigint, close_price double")
+    if long:
+        monkeypatch.setattr(features, "FADED", 4.0)
+        monkeypatch.setattr(features, "LARGEST_POWER", 20.0)
+    found = [(r.macd, r.macd_signal) for r in features.macd(df, key="ticker", order=["ordinal"]).orderBy("ordinal").collect()]
+    assert found[:2] == [(None, None)] * 2
+    close = 0.2 if long else 1e-9
+    for i in (0, 1):
+        assert [x[i] for x in found[2:]] == pytest.approx([x[i] for x in expected[2:]], abs=close)
+    every = features.prompt_features(df, key="ticker", order=["ordinal"]).orderBy("ordinal").collect()
+    assert [(r.macd, r.macd_signal) for r in every[:2]] == [(None, None)] * 2
+    assert [r.macd for r in every[2:]] == pytest.approx([m for m, _ in found[2:]], abs=close)
+
+
+def test_a_constant_price_with_gaps_has_no_macd(spark):
+    df = spark.createDataFrame([("A", i, None if i in (0, 3) else 100.0) for i in range(8)], "ticker string, ordinal bigint, close_price double")
+    rows = features.macd(df, key="ticker", order=["ordinal"]).orderBy("ordinal").collect()
+    assert rows[0].macd is None and [r.macd for r in rows[1:]] == pytest.approx([0.0] * 7, abs=1e-9)

@@ -197,3 +197,39 @@ def test_decoding_follows_python(spark):
     raw = "a&amp;b &#39;x&#x27; &middot; &amp;lt; &nope; &copy"
     df = spark.createDataFrame([(raw,), (None,)], "t string")
     assert [r.d for r in df.select(H.unescape(F.col("t")).alias("d")).collect()] == [plain_html.unescape(raw), None]
+
+
+TAGS = [
+    '<a class=full_btn href=/x>', '<a data-class="full_btn" href="/x">', '<a class="FULL_BTN" href="/x">', '<a class="a full_btn b" href=\'/x\'>',
+    '<a title="a > b" class="full_btn" href="/x">', '<a title="class=full_btn" href="/x">', '<abbr class="full_btn" href="/x">', '<a class="full_btn_2" href="/x">',
+    '<A HREF="/x" CLASS=\'full_btn\'>', '<a data-href="/y" class="full_btn" href="/x">', '<a class="full_btn" title="href=/z" href="/x">', '<a/class="full_btn"href="/x">',
+    '<a class="full_btn">', '<a class="full-btn full_btn\tx" href="">', "<a class='x \"full_btn\"' href='/x'>",
+]
+
+
+@pytest.mark.parametrize("tag", TAGS)
+def test_tags_are_matched_like_a_parser(spark, tag):
+    from html.parser import HTMLParser
+
+    seen = []
+
+    class First(HTMLParser):
+        def handle_starttag(self, name, attrs):
+            attrs = dict(attrs)
+            if name == "a" and "full_btn" in (attrs.get("class") or "").split():
+                seen.append(attrs.get("href"))
+
+    page = f"<p>before</p>{tag}text</a>"
+    First().feed(page)
+    pages = spark.createDataFrame([("k", page)], "key string, html string")
+    found = [r.link for r in news.more_link(pages, keep=["key"]).collect()]
+    assert found == [x for x in seen[:1] if x is not None]
+
+
+def test_a_filter_on_the_ticker_reaches_the_scan(spark, tmp_path):
+    pages = spark.createDataFrame([("A", "u", "<h1>t</h1><h2 class='summary'>s</h2>")], "ticker string, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    landed = spark.read.parquet(str(tmp_path / "pages"))
+    for rule in (news.ET_ARTICLE, news.YAHOO_ARTICLE):
+        found = news.extract_articles(landed, rule, keep=["ticker"]).where("ticker = 'A'")
+        assert "EqualTo(ticker,A)" in found._jdf.queryExecution().executedPlan().toString()

@@ -135,10 +135,34 @@ def test_a_null_in_the_order_comes_first(spark, order):
     assert {r.v for r in filled.collect()} == {9}
 
 
-def test_text_cannot_place_cuts(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("t"))
-    with pytest.raises(TypeError):
-        O.with_positions(df, order=["t"], block_rows=10)
+TEXTS = ["", "a", "a\x00", "a\x00\x00b", "abcdefg", "abcdefg\x00", "abcdefgh", "abcdefghijklmnopq", "abcdefghijklmnopqr", "é", "日本語", "zz"]
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "boolean"])
+@pytest.mark.parametrize("block_rows", [3, 10, 100_000])
+def test_text_and_booleans_place_cuts(spark, kind, block_rows):
+    """Many equal texts, texts that begin alike, and zero bytes at the end; the size changes nothing."""
+    rows = [(i, TEXTS[i * 7 % len(TEXTS)] if i % 3 else "abcdefghijklmnopq" + "x" * (i % 5)) for i in range(300)]
+    df = spark.createDataFrame([*rows, (300, None)], "id bigint, t string")
+    df = df.withColumn("t", F.length("t") % 2 == 0 if kind == "boolean" else F.col("t").cast(kind))
+    placed = O.with_positions(df, order=["t", "id"], block_rows=block_rows)
+    plain = df.withColumn("p", F.row_number().over(Window.partitionBy().orderBy("t", "id")) - 1)
+    both = placed.join(plain.select("id", "p"), "id")
+    assert both.count() == 301 and both.where(F.col("p") != F.col(O.POSITION)).count() == 0
+
+
+def test_one_text_column_alone_places_cuts(spark):
+    df = spark.range(500).select(F.format_string("https://example.org/pages/%05d", "id").alias("t"), "id")
+    placed = O.with_positions(df, order=["t"], block_rows=20)
+    assert placed.where(F.col(O.POSITION) != F.col("id")).count() == 0
+    blocked, _ = O.with_blocks(df, order=["t"], largest=500, block_rows=20)
+    assert O.largest_group(blocked, [O.BLOCK]) <= 100
+
+
+def test_columns_without_an_order_are_refused(spark):
+    df = spark.range(50).select(F.create_map(F.lit("a"), "id").alias("t"))
+    with pytest.raises(Exception):
+        O.with_positions(df, order=["t"], block_rows=10).collect()
 
 
 @pytest.mark.parametrize("parts", [1, 4, 17])

@@ -30,6 +30,23 @@ def test_a_key_that_is_not_unique_is_refused(spark, monkeypatch):
         sampling.split_exact(spark.range(100).select(F.lit(1).alias("k")), key=["k"])
 
 
+@pytest.mark.parametrize("few", [1, 50_000])
+def test_a_tie_at_the_limit_is_refused_at_any_size(spark, few, monkeypatch):
+    monkeypatch.setattr(sampling, "FEW", few)
+    twice = spark.range(100).select(F.floor(F.col("id") / 2).alias("k"))
+    with pytest.raises(ValueError, match="unique"):
+        sampling.take_sample(twice, 49, key=["k"])
+    assert sampling.take_sample(twice, 50, key=["k"]).count() == 50
+
+
+def test_parts_of_a_key_do_not_run_together(spark):
+    rows = [(a, b) for a in (None, "", "1", "1-2", "-", "1|1:2") for b in (None, "", "1", "2-3", "3", "-")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    tokens = df.select(sampling.row_token(["a", "b"], 42).alias("t"))
+    assert tokens.distinct().count() == len(rows)
+    assert sampling.split_exact(df, key=["a", "b"]).where("split = 'test'").count() == math.ceil(0.2 * len(rows))
+
+
 @pytest.mark.parametrize("draw_rows", [1, 2, 1000])
 @pytest.mark.parametrize("parts", [1, 5])
 def test_oversample(spark, draw_rows, parts):

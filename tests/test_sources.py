@@ -27,7 +27,10 @@ def test_companies(spark, tmp_path):
 
 def test_jsonl_with_broken_lines(spark, tmp_path):
     path = write(tmp_path, "t.jsonl", '{"instruction": "i", "input": "a\\nb", "response": "bullish"}\n\n{"instruc\n{"input": "x"}\n')
-    assert [tuple(r) for r in files.read_train_jsonl(spark, path).collect()] == [("i", "a\nb", "bullish"), (None, "x", None)]
+    good = files.read_train_jsonl(spark, path, on_error="skip")
+    assert [tuple(r) for r in good.collect()] == [("i", "a\nb", "bullish"), (None, "x", None)]
+    with pytest.raises(Exception, match="no JSON"):
+        files.read_train_jsonl(spark, path).collect()
     assert [r.line for r in files.bad_rows(files.read_jsonl(spark, path, schemas.TRAIN_JSONL)).collect()] == ['{"instruc']
 
 
@@ -50,6 +53,13 @@ def test_csv_with_newlines_and_quotes(spark, tmp_path):
     assert [tuple(r) for r in files.read_test_csv(spark, path).collect()] == [('a, "b"\n\nc', "bullish"), ("plain", "bearish")]
 
 
+def test_csv_by_name(spark, tmp_path):
+    path = write(tmp_path, "t.csv", ',Target,Prompt\n0,bullish,"a\nb"\n1,bearish,c\n')
+    assert [tuple(r) for r in files.read_test_csv(spark, path).collect()] == [("a\nb", "bullish"), ("c", "bearish")]
+    with pytest.raises(ValueError, match="Target"):
+        files.read_test_csv(spark, write(tmp_path, "u.csv", "Prompt,target2\nx,y\n"))
+
+
 @pytest.fixture(scope="module")
 def history(spark):
     path = scratch_path(spark, "history")
@@ -72,6 +82,9 @@ def test_history_windows(spark, history):
     assert ordinals(read(asset_type="Stock", as_of="2024-02-01")) == [1]
     assert ordinals(read(asset_type="Stock", start="2022-01-01", end="2022-12-31")) == [2]
     assert ordinals(read(asset_type="Index", start="2020-01-01", end="2020-01-31")) == [4]
+    assert ordinals(read(asset_type="Stock", start="2024-01-01")) == [1]
+    assert ordinals(read(asset_type="Stock", end="2023-01-01")) == [2]
+    assert ordinals(read(asset_type="Index", start="2020-01-15")) == [5]
     assert ordinals(read(asset_type="Stock", tickers=["Z"], as_of="2024-02-01")) == []
     assert read(asset_type="ETF", as_of="2024-01-01").first().close_price is None
     with pytest.raises(ValueError):
@@ -123,6 +136,24 @@ def test_a_broken_file_counts_as_empty(spark, tmp_path):
         files.read_pages(spark, str(tmp_path / "pages")).collect()
 
 
+def test_errors_of_a_tolerant_run(spark, history, tmp_path):
+    import pathlib
+    import shutil
+
+    folder = tmp_path / "history"
+    shutil.copytree(history.removeprefix("file:"), folder)
+    (pathlib.Path(folder) / "asset_type=Stock").mkdir(exist_ok=True)
+    (folder / "asset_type=Stock" / "broken.parquet").write_bytes(b"PAR1 not really")
+    jobs = {"Stock": ["A", "Z"], "Index": ["N"]}
+    found = plans.ingest_history(
+        spark, str(folder), jobs, start="2020-01-01", end="2020-12-31", as_of="2024-02-01", skip_bad_files=True
+    )
+    errors = plans.ingest_errors(spark, str(folder), jobs, found).collect()
+    assert sorted((r.ticker or "", (r.file or "").split("/")[-1], r.reason) for r in errors) == [
+        ("", "broken.parquet", "not readable"), ("Z", "", "no rows")
+    ]
+
+
 def test_empty_source_adds_nothing(spark):
     none = files.empty(spark, schemas.NEWS_ARTICLES)
     assert reshape.union_all(none, none).count() == 0 and none.columns[0] == "ordinal"
