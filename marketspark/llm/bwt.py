@@ -10,15 +10,21 @@ import numpy as np
 
 DEPTH = 50
 STOP = 255
-#: Bytes that one step of the refinement goes back.
-STRIDE = 2
+#: Bytes that one step of the refinement goes back; the first step takes what is left over.
+STRIDE = 4
+#: Bits of a rank or a place in a shard; three fit in a 64-bit number.
+BITS = 21
+LOW = np.uint64((1 << BITS) - 1)
+SHIFT = np.uint64(BITS)
 
 
 class Shard:
-    """The order of a shard's rotations by DEPTH bytes, and the two bytes before each, in that order."""
+    """The order of a shard's rotations by DEPTH bytes, and the four bytes before each, in that order."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray):
         """``data``: strings one after the other, each ended by STOP; ``starts``: where they begin."""
+        if len(data) > int(LOW):
+            raise ValueError("a shard holds less than 2**21 bytes")
         self.data, self.starts = data, starts
         lengths = np.diff(np.append(starts, len(data)))
         own = np.repeat(np.arange(len(starts)), lengths)
@@ -26,32 +32,45 @@ class Shard:
         self.offset = np.arange(len(data)) - starts[own]
         self.length = lengths[own]
         self.order = self._sorted()
-        back = [self._moved(-1), self._moved(-2)]
-        #: As a 16-bit number: the byte two before, then the byte before.
-        self.before = (data[back[1]].astype(np.uint16) << 8 | data[back[0]])[self.order]
+        before = np.zeros(len(data), np.uint32)
+        for k in range(STRIDE, 0, -1):
+            before = before << np.uint32(8) | data[self._moved(-k)]
+        #: The bytes before, the nearest in the low byte.
+        self.before = before[self.order]
 
     def _moved(self, by: int) -> np.ndarray:
-        return self.starts[self.string] + (self.offset + by) % self.length
+        at = self.offset + by
+        if by < 0:
+            at = np.where(at < 0, at % self.length, at)
+        else:
+            at = np.where(at >= self.length, at % self.length, at)
+        return self.starts[self.string] + at
 
     def _sorted(self) -> np.ndarray:
-        """Prefix doubling: order by 8 bytes, then by 16, 32 and 50 from pairs of ranks."""
+        """Prefix doubling: order by 5 bytes, then by 10, 20, 40 and 50 from pairs of ranks.
+
+        The place is the low part of the number that is sorted, so no index sort is needed.
+        """
         key = np.zeros(len(self.data), np.uint64)
-        for k in range(8):
+        for k in range(5):
             key = key << np.uint64(8) | self.data[self._moved(k)]
-        order, rank = _ranked(key)
-        for reach, to in ((8, 16), (16, 32), (32, DEPTH)):
-            if rank[order[-1]] == len(order) - 1:
-                break
-            order, rank = _ranked(rank << np.uint64(32) | rank[self._moved(to - reach)])
+        place = np.arange(len(self.data), dtype=np.uint64)
+        for reach, to in ((0, 5), (5, 10), (10, 20), (20, 40), (40, DEPTH)):
+            if reach:
+                key = rank << SHIFT | rank[self._moved(to - reach)]
+            line = np.sort(key << SHIFT | place)
+            order = (line & LOW).astype(np.int64)
+            line >>= SHIFT
+            rank = np.empty(len(key), np.uint64)
+            rank[order] = np.cumsum(np.concatenate(([False], line[1:] != line[:-1])))
         return order
 
 
-def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(key, kind="stable")
-    of = key[order]
-    rank = np.empty(len(key), np.uint64)
-    rank[order] = np.cumsum(np.concatenate(([False], of[1:] != of[:-1])))
-    return order, rank
+def _by_shard(shard: np.ndarray, shards: int) -> np.ndarray:
+    """Places in the interleave, those of the first shard first."""
+    if shards > 8:
+        return np.argsort(shard, kind="stable")
+    return np.concatenate([np.flatnonzero(shard == s) for s in range(shards)])
 
 
 def merged(befores: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
@@ -59,23 +78,29 @@ def merged(befores: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, n
 
     The interleave starts with the shards one after the other. A step reads every shard's
     preceding bytes in the present interleave and deals the shard numbers into stable buckets
-    by those bytes: what was in the order of k bytes is then in the order of k + 2. Two
-    neighbours have a common prefix of k + 2 bytes if their bytes are the same and the places
+    by those bytes: what was in the order of k bytes is then in the order of k + 4. Two
+    neighbours have a common prefix of k + 4 bytes if their bytes are the same and the places
     they come from were in one block of common prefixes of k bytes. No suffix is looked at.
     """
     count = sum(len(b) for b in befores)
     flat = np.concatenate(befores)
-    shard = np.repeat(np.arange(len(befores), dtype=np.uint8), [len(b) for b in befores])
+    shard = np.repeat(np.arange(len(befores), dtype=np.uint16), [len(b) for b in befores])
     opens = np.zeros(count, bool)
     opens[:1] = True
-    symbol = np.empty(count, np.uint16)
-    for _ in range(0, depth, STRIDE):
-        symbol[np.argsort(shard, kind="stable")] = flat
-        dealt = np.argsort(symbol, kind="stable")
+    place = np.arange(count, dtype=np.uint64)
+    symbol = np.empty(count, np.uint64)
+    left = depth
+    while left:
+        back = left % STRIDE or STRIDE
+        left -= back
+        near = flat if back == STRIDE else flat & np.uint32((1 << 8 * back) - 1)
+        symbol[_by_shard(shard, len(befores))] = near
+        line = np.sort(symbol << np.uint64(32) | place)
+        dealt = (line & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        line >>= np.uint64(32)
         block = np.cumsum(opens, dtype=np.int32)[dealt]
-        sorted_symbol = symbol[dealt]
         shard = shard[dealt]
-        opens[1:] = (sorted_symbol[1:] != sorted_symbol[:-1]) | (block[1:] != block[:-1])
+        opens[1:] = (line[1:] != line[:-1]) | (block[1:] != block[:-1])
     return shard, opens
 
 
@@ -86,5 +111,5 @@ def common_prefixes(shards: list[Shard], depth: int = DEPTH) -> tuple[np.ndarray
     """
     shard, opens = merged([s.before for s in shards], depth)
     place = np.empty(len(shard), np.int64)
-    place[np.argsort(shard, kind="stable")] = np.concatenate([s.order for s in shards])
+    place[_by_shard(shard, len(shards))] = np.concatenate([s.order for s in shards])
     return shard, place, np.cumsum(opens) - 1

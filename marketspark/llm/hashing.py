@@ -12,7 +12,7 @@ BASE = 0x9E3779B97F4A7C15
 MIX_A, MIX_B = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 STEP = U(0x2545F4914F6CDD1D)
 #: Bytes of text that are worked on at a time; one longer text is worked on alone.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 _lower = np.arange(256, dtype=np.uint64)

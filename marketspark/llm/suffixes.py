@@ -26,9 +26,10 @@ ANCHOR = 16
 WINDOWS = DEPTH - ANCHOR + 1
 #: Bytes of text in a group of documents, and in what is brought together by anchor.
 GROUP = 8 << 20
-#: Bytes of stretches in one shard.
-SHARD = 1 << 20
-SHARDS = 200
+#: Bytes of stretches that are merged together where their anchors allow it, and bytes of a shard.
+BATCH = 1 << 19
+SHARD = 1 << 18
+SHARDS = 60_000
 #: Anchors after which a task hands them on.
 FLUSH = 1_000_000
 PLACE = U((1 << 28) - 1)
@@ -174,16 +175,21 @@ def _stretch_task(buckets: int):
                 take = (wanted[place] == key) & known[text]
                 text, start, size, key = text[take], start[take], count[take] + DEPTH - 1, key[take]
                 if len(text):
-                    parts.append(_distinct(contents(data, start, size), (key >> U(32)).astype(np.int64), ids[text], size, _cut(data, start, size)))
+                    parts.append(_distinct(contents(data, start, size), _bins(key), ids[text], size, _cut(data, start, size)))
             if parts:
                 rows = _packed(*_distinct(*_joined(parts)))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, STRETCH_TYPES, strict=True)], STRETCH_NAMES)
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, STRETCH_TYPES, strict=True)], STRETCH_NAMES)
 
     return task
 
 
-STRETCH_NAMES = ["bucket", "hashes", "docs", "multi", "sizes", "body"]
-STRETCH_TYPES = [pa.int64(), *[pa.binary()] * 5]
+STRETCH_NAMES = ["bucket", "parts", "hashes", "docs", "multi", "sizes", "body"]
+STRETCH_TYPES = [pa.int64(), *[pa.binary()] * 6]
+
+
+def _bins(key: np.ndarray) -> np.ndarray:
+    """Bucket, and in the low byte one of its 256 parts, of each anchor's key."""
+    return (key >> U(32) << U(8) | key & U(0xFF)).astype(np.int64)
 
 
 def _cut(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -198,7 +204,7 @@ def _joined(parts):
 
 
 def _distinct(hashes, bucket, docs, sizes, body, multi=None):
-    """Each string once: hash, bucket, least doc, whether several docs have it, size, and bytes."""
+    """Each string once: hash, bucket and part, least doc, whether several docs have it, size, and bytes."""
     order = np.lexsort((docs, hashes))
     of = hashes[order]
     first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
@@ -214,11 +220,12 @@ def _distinct(hashes, bucket, docs, sizes, body, multi=None):
 def _packed(hashes, bucket, docs, multi, sizes, body):
     order = np.argsort(bucket, kind="stable")
     starts = (np.cumsum(sizes) - sizes)[order]
-    hashes, bucket, docs, multi, sizes = hashes[order], bucket[order], docs[order], multi[order], sizes[order]
+    hashes, part, docs, multi, sizes = hashes[order], bucket[order], docs[order], multi[order], sizes[order]
+    bucket = part >> 8
     cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True])))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         yield (
-            int(bucket[a]), hashes[a:b].tobytes(), docs[a:b].astype(np.int64).tobytes(), multi[a:b].astype(np.uint8).tobytes(),
+            int(bucket[a]), part[a:b].astype(np.uint8).tobytes(), hashes[a:b].tobytes(), docs[a:b].astype(np.int64).tobytes(), multi[a:b].astype(np.uint8).tobytes(),
             sizes[a:b].astype(np.uint8).tobytes(), _cut(body, starts[a:b], sizes[a:b]).tobytes(),
         )
 
@@ -229,7 +236,7 @@ def first_documents(docs: np.ndarray, multi: np.ndarray, sizes: np.ndarray, body
     The strings are dealt over shards, each shard's transform is made, and the transforms are merged.
     """
     total = int(sizes.sum())
-    parts = max(1, min(SHARDS, -(-total // SHARD)))
+    parts = max(min(2, len(sizes)), min(SHARDS, -(-total // SHARD)))
     starts = np.cumsum(sizes) - sizes
     cut = np.searchsorted(starts, np.arange(parts) * (total / parts))
     shards, strings = [], []
@@ -261,6 +268,16 @@ def first_documents(docs: np.ndarray, multi: np.ndarray, sizes: np.ndarray, body
     return out
 
 
+def _batches(part: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Strings in batches of about BATCH bytes that never divide a part: equal windows share one."""
+    order = np.argsort(part, kind="stable")
+    ends = np.flatnonzero(np.append(part[order][1:] != part[order][:-1], True)) + 1
+    bytes_to = np.cumsum(sizes[order])[ends - 1]
+    batch = bytes_to // BATCH
+    cuts = ends[np.append(batch[1:] != batch[:-1], True)]
+    return np.split(order, cuts[:-1])
+
+
 def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """For each group of documents and stretch: runs of windows that have an earlier owner."""
     lengths = [len(x) // 8 for x in rows["hashes"]]
@@ -270,8 +287,14 @@ def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     multi = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["multi"]]).astype(bool)
     sizes = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["sizes"]]).astype(np.int64)
     body = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["body"]])
-    distinct, _, least, several, size, text = _distinct(hashes, groups, docs, sizes, body, multi)
-    owner = first_documents(least, several, size, text)
+    part = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["parts"]])
+    distinct, part, least, several, size, text = _distinct(hashes, part, docs, sizes, body, multi)
+    owner = np.full(len(text), NONE)
+    places = np.cumsum(size) - size
+    for own in _batches(part, size):
+        ends = np.cumsum(size[own])
+        at = np.arange(ends[-1]) + np.repeat(places[own] - (ends - size[own]), size[own])
+        owner[at] = first_documents(least[own], several[own], size[own], text[at])
     string = np.repeat(np.arange(len(size)), size)
     opens = np.concatenate(([True], (owner[1:] != owner[:-1]) | (string[1:] != string[:-1]))) if len(owner) else np.empty(0, bool)
     begin = np.flatnonzero(opens)
@@ -379,7 +402,7 @@ def _with_group(pair, task) -> DataFrame:
         out = task(docs, other)
         return out.append_column("g", pa.array([key[0].as_py()] * out.num_rows, pa.int64()))
 
-    return pair.applyInArrow(named, "bucket bigint, hashes binary, docs binary, multi binary, sizes binary, body binary, g bigint")
+    return pair.applyInArrow(named, "bucket bigint, parts binary, hashes binary, docs binary, multi binary, sizes binary, body binary, g bigint")
 
 
 def removed_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
