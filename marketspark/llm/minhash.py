@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import kept
+from marketspark.llm.common import kept, unused
 from marketspark.llm.graph import components
 from marketspark.llm.hashing import U, mix, shingle_sets
 
@@ -91,11 +91,13 @@ def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def postings(reps: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """token, doc_id: every document under its COORDINATES - matches + 1 rarest coordinate values.
+    """token, doc_id, score: every document under its COORDINATES - matches + 1 rarest coordinate values.
 
     Two signatures that agree in ``matches`` coordinates share one of these, whatever the order
     of values, as long as it is one order for all. Here it goes by a table of COUNTERS counts (a
-    fixed size) and then by the value, so that values of common passages come last.
+    fixed size) and then by the value, so that values of common passages come last. The score adds up
+    the counts of all values of a document: of a text and its copies it is highest for the text that
+    most resemble.
     """
     counts = reps.mapInArrow(_count_tokens, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     table = np.zeros(COUNTERS, np.uint64)
@@ -110,13 +112,22 @@ def postings(reps: DataFrame, matches: int = MATCHES) -> DataFrame:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 tokens = _tokens(_matrix(part.column("signature").to_pylist()))
-                order = np.minimum(table[tokens % U(COUNTERS)], U((1 << 24) - 1)) << U(40) | tokens >> U(24)
+                seen = table[tokens % U(COUNTERS)]
+                order = np.minimum(seen, U((1 << 24) - 1)) << U(40) | tokens >> U(24)
+                score = np.repeat(seen.sum(axis=1).view(np.int64), length)
                 first = np.argsort(order, axis=1, kind="stable")[:, :length]
                 chosen = np.take_along_axis(tokens, first, axis=1)
                 ids = np.repeat(part.column("doc_id").to_numpy(), length)
-                yield pa.record_batch([pa.array(chosen.ravel().view(np.int64)), pa.array(ids)], ["token", "doc_id"])
+                yield pa.record_batch([pa.array(chosen.ravel().view(np.int64)), pa.array(ids), pa.array(score)], ["token", "doc_id", "score"])
 
-    return reps.mapInArrow(task, "token bigint, doc_id bigint")
+    return reps.mapInArrow(task, "token bigint, doc_id bigint, score bigint")
+
+
+def with_hubs(posted: DataFrame) -> DataFrame:
+    """token, doc_id, hub of the lists that have several documents; the hub has the highest score."""
+    best = F.max(F.struct("score", (-F.col("doc_id")).alias("id")))
+    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"), best.alias("best")).where("n > 1")
+    return posted.select("token", "doc_id").join(lists.select("token", (-F.col("best.id")).alias("hub")), "token")
 
 
 def _agree(matches: int):
@@ -137,40 +148,47 @@ def agreeing(pairs: DataFrame, reps: DataFrame, matches: int = MATCHES) -> DataF
     return pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(_agree(matches), "a bigint, b bigint")
 
 
-def _cross_task(matches: int):
+def _cross_task(matches: int, percent: int):
+    """Pairs of two blocks, compared in the order of set sizes: far larger sets share too little."""
     def task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         low, high = key[-2:]
+        rows = rows.sort_values(["n_shingles", "doc_id"], kind="stable")
         marks, ids, names = _matrix(rows["signature"]), rows["doc_id"].to_numpy(), rows["component"].to_numpy()
-        side = rows["block"].to_numpy()
-        left, right = np.flatnonzero(side == low), np.flatnonzero(side == high)
+        sizes, right = rows["n_shingles"].to_numpy(), rows["block"].to_numpy() == high
+        ends = np.searchsorted(sizes * percent, sizes * 100, side="right")
         found = []
-        for i in left:
-            others = right[names[right] != names[i]]
-            others = others[ids[others] > ids[i]] if low == high else others
-            hits = others[(marks[others] == marks[i]).sum(axis=1) >= matches]
-            found.append(np.stack([np.full(len(hits), ids[i]), ids[hits]], axis=1))
+        for i in range(len(rows)):
+            near = slice(i + 1, ends[i])
+            hits = (marks[near] == marks[i]).sum(axis=1, dtype=np.uint8) >= matches
+            if hits.any():
+                hits &= (names[near] != names[i]) & ((low == high) | (right[near] != right[i]))
+                found.append(np.stack(np.broadcast_arrays(ids[i], ids[near][hits]), axis=1))
         pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
         return pd.DataFrame({"a": pairs.min(axis=1, initial=1 << 62), "b": pairs.max(axis=1, initial=-(1 << 62))})
 
     return task
 
 
-def crossing(posted: DataFrame, reps: DataFrame, named: DataFrame, matches: int = MATCHES, block: int = BLOCK) -> DataFrame:
+def crossing(posted: DataFrame, reps: DataFrame, named: DataFrame, matches: int = MATCHES, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """Pairs of one list that are in different components and agree in ``matches`` coordinates.
 
-    Only lists with several components are looked at. A list is spread over blocks of about
-    ``block`` documents, and every pair of blocks is a group of its own.
+    Lists with the same hub are one: the documents around one passage share many values, and a pair
+    need not be met under each. Only lists with several components are looked at. A list is
+    spread over blocks of about ``block`` documents; every pair of blocks is a group of its own.
     """
-    members = posted.select("token", "doc_id").join(named.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
+    members = posted.select("hub", "doc_id").distinct().join(named.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     members = members.withColumn("component", F.coalesce("component", "doc_id"))
-    lists = members.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
-    lists = lists.where("least <> most").select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    spread = members.join(lists, "token").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    spread = spread.join(reps.select("doc_id", "signature"), "doc_id")
+    lists = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
+    lists = lists.where("least <> most").select("hub", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    spread = members.join(lists, "hub").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    spread = spread.join(reps, "doc_id")
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "token", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "doc_id", "component", "block", "signature"
+        "hub", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "doc_id", "component", "block", "n_shingles", "signature",
     )
-    return spread.groupBy("token", "low", "high").applyInPandas(_cross_task(matches), "a bigint, b bigint").distinct()
+    tasks = int(spread.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = spread.repartition(tasks, "hub", "low", "high")  # little data, much work: not to be merged into few tasks
+    return spread.groupBy("hub", "low", "high").applyInPandas(_cross_task(matches, percent), "a bigint, b bigint").distinct()
 
 
 def _sets(n: int):
@@ -231,8 +249,8 @@ def near_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     """doc_id, n_shingles, component_id and kept of every row.
 
     Equal sets are one class from the start. Classes are posted under their rarest signature
-    values; each list first compares its least member with the others, and then only pairs that
-    are not yet in one component, so a large group of near copies costs about its size. Pairs that
+    values; each list first compares its hub with the others, and then only pairs that are not yet
+    in one component, so a large group of copies of a text costs about its size. Pairs that
     agree in enough coordinates are confirmed on their full sets. The links' components decide;
     the least doc_id of each is kept.
 
@@ -243,16 +261,15 @@ def near_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     marked = kept(signatures(docs, key=key, text=text, words=words), "near-signatures")
     linked = marked.where("n_shingles > 0 and doc_id is not null")
     classes = kept(linked.groupBy("low", "high").agg(F.min("doc_id").alias("rep")), "near-classes")
-    reps = linked.join(classes, ["low", "high"]).where("doc_id = rep").select("doc_id", "signature").dropDuplicates(["doc_id"])
+    reps = linked.join(classes, ["low", "high"]).where("doc_id = rep").select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"])
     reps = kept(reps, "near-reps")
     posted = kept(postings(reps, matches), "near-postings")
-    lists = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("hub")).where("n > 1")
-    posted = kept(posted.join(lists.select("token", "hub"), "token"), "near-lists")
+    posted = kept(with_hubs(posted), "near-lists")
     pairs = posted.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = kept(agreeing(pairs, reps, matches), "near-pairs")
     links = kept(confirmed(near, docs, key=key, text=text, words=words, percent=percent), "near-links")
     named = components(links)
-    near = kept(crossing(posted, reps, named, matches), "near-pairs")
+    near = kept(crossing(posted, reps, named, matches, percent), "near-pairs")
     more = kept(confirmed(near, docs, key=key, text=text, words=words, percent=percent), "near-links")
     named = kept(components(links.unionByName(more)), "near-components")
     named = named.select(F.col("node").alias("rep"), "component")
@@ -269,9 +286,10 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **s
     Of repeated rows of a key one stays. Rows without a key stay.
     """
     verdicts = kept(near_documents(docs, key=key, text=text, **settings), "near-verdicts")
-    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
+    name = unused(docs, "_gone")
+    gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
     small = gone.count() <= SMALL_IDS
-    rows = docs.join(F.broadcast(gone) if small else gone, docs[key].cast("bigint") == F.col("_id"), "left_anti")
+    rows = docs.join(F.broadcast(gone) if small else gone, F.col(key).cast("bigint") == F.col(name), "left_anti")
     repeated = verdicts.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if repeated.isEmpty():
         return rows
