@@ -14,8 +14,8 @@ import numpy as np
 HIDDEN = 16
 CLASSES = 48
 #: Streams that run side by side and steps that a gradient goes back.
-STREAMS, STEPS = 256, 16
-RATE = 0.02
+STREAMS, STEPS = 256, 32
+RATE = 0.03
 CLIP = 5.0
 
 
