@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 CAPACITY = 1024
 END = 0
 #: Pieces of text whose ids a worker remembers, and the longest of them.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST = 64
 #: Stops that are pieces of their own behind a letter; the apostrophe is not, it joins contractions.
 STOPS = ".,;:!?)"
@@ -76,6 +76,10 @@ class Encoder:
         ranks = {bytes(signs[c] for c in token): rank for token, rank in vocabulary.items() if token not in self.added}
         return tiktoken.Encoding("own", pat_str=CUT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    def forget(self) -> None:
+        """Drop the remembered pieces: a worker goes on to other work."""
+        self.words, self.others, self.older = {}, {}, {}
+
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
@@ -294,6 +298,7 @@ def pack(docs: DataFrame, *, tokenizer: str, key: str = "doc_id", text: str = "t
                     packer.add(doc, ids + end)
                 if len(packer.rows) >= ROWS:
                     yield packer.taken()
+        own.forget()
         packer.finish()
         yield packer.taken()
 
