@@ -28,6 +28,23 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished steps go now.
+
+    Spark deletes them once the driver's JVM has noticed that nothing refers to them any more,
+    which a driver with little to do notices late.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with signs added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tokenizer() -> str:
     """The public vocabulary file that queries are given."""
     import public_tokenizers

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketspark.llm.bwt import DEPTH, STOP, Shard, common_prefixes
-from marketspark.llm.common import kept
+from marketspark.llm.common import kept, release
 from marketspark.llm.hashing import U, mix, powers, texts
 
 ANCHOR = 16
@@ -390,9 +390,11 @@ def _removal(rows: DataFrame, carried: list[str], finish, names: list[tuple[str,
     narrow = dealt.where("doc_id is not null").select("g", F.coalesce("text", F.lit("")).alias("text"))
     anchors = narrow.mapInArrow(_anchor_task(buckets), "bucket bigint, anchors binary, groups binary")
     shared = kept(anchors.groupBy("bucket").applyInPandas(_shared_anchors, "g bigint, bucket bigint, anchors binary"), "shared-anchors")
+    release(rows.sparkSession)
     plain = dealt.select("g", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     stretch = _with_group(plain.groupBy("g").cogroup(shared.groupBy("g")), _stretch_task(buckets))
     runs = kept(stretch.groupBy("bucket").applyInPandas(_merge_task, "g bigint, hashes binary, begins binary, ends binary, owners binary"), "shared-runs")
+    release(rows.sparkSession)
     ended = dealt.select("g", "doc_id", "text", *carried).groupBy("g").cogroup(runs.groupBy("g"))
     return ended.applyInArrow(_apply_task(finish, arrow), T.StructType([T.StructField(n, t) for n, t in names]))
 
