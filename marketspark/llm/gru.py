@@ -12,19 +12,30 @@ from collections.abc import Iterator
 import numpy as np
 
 HIDDEN = 16
+#: Classes of a short list; a longer one has about the square root of its words.
 CLASSES = 48
 #: Streams that run side by side and steps that a gradient goes back.
 STREAMS, STEPS = 256, 32
+#: A trainer has a stream for so many words of its list, up to WIDE: a step changes most classes of a long one.
+SPARE, WIDE = 512, 1024
+#: Numbers that are worked out at a time for the classes.
+BLOCK = 1 << 18
 RATE = 0.03
 CLIP = 5.0
+#: Numbers of a slice of the weights.
+SLICE = 1 << 16
 
 
 class Words:
-    """Ids of listed words by count: 0 the most frequent; ``size`` is any other word."""
+    """Ids of listed words by count: 0 the most frequent; ``size`` is any other word.
 
-    def __init__(self, counts: np.ndarray, rest: float, classes: int = CLASSES):
+    Classes widen with the rank, so a frequent word costs little however long the list is.
+    """
+
+    def __init__(self, counts: np.ndarray, rest: float, classes: int | None = None):
         self.size = len(counts)
-        self.bounds = np.unique(np.linspace(0, self.size, min(classes, self.size) + 1).astype(np.int64))
+        classes = max(CLASSES, int(0.7 * self.size ** 0.5)) if classes is None else classes
+        self.bounds = np.unique(np.ceil(np.linspace(0, 1, min(classes, self.size) + 1) ** 2 * self.size).astype(np.int64))
         self.classes = len(self.bounds) - 1
         self.counts, self.rest = counts.astype(np.float64), rest
         self.class_of = np.append(np.searchsorted(self.bounds, np.arange(self.size), side="right") - 1, self.classes).astype(np.int64)
@@ -80,23 +91,32 @@ def _softmax(x):
     return x
 
 
-def output(p, words: Words, states, targets, grads=None):
+def output(p, words: Words, states, targets, grads=None, touched=None):
     """Natural log probability of each target; with ``grads`` also the gradient of the states.
 
-    The word's part is 0 for words outside the list.
+    The word's part is 0 for words outside the list. ``touched``, if given, is called with the bounds
+    and the gradients of ``ww`` and ``bw`` of each class that has a target, in place of whole arrays.
     """
     n = len(targets)
     chosen = words.class_of[targets]
-    probability = _softmax(states @ p["wc"] + p["bc"])
-    rows = np.arange(n)
-    logp = np.log(np.maximum(probability[rows, chosen], 1e-30))
-    d_states = None
+    logp, d_states = np.empty(n, states.dtype), None
+    if grads is not None:
+        d_states = np.empty_like(states)
+        grads["wc"], grads["bc"] = np.zeros_like(p["wc"]), np.zeros_like(p["bc"])
+    size = max(1, BLOCK // (words.classes + 1))
+    for first in range(0, n, size):
+        block = slice(first, first + size)
+        probability = _softmax(states[block] @ p["wc"] + p["bc"])
+        rows, own = np.arange(len(probability)), chosen[block]
+        logp[block] = np.log(np.maximum(probability[rows, own], 1e-30))
+        if grads is not None:
+            probability[rows, own] -= 1.0
+            grads["wc"] += states[block].T @ probability
+            grads["bc"] += probability.sum(axis=0)
+            d_states[block] = probability @ p["wc"].T
     if grads is not None:
-        probability[rows, chosen] -= 1.0
-        grads["wc"] = states.T @ probability
-        grads["bc"] = probability.sum(axis=0)
-        d_states = probability @ p["wc"].T
-        grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+        if touched is None:
+            grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
     order = np.argsort(chosen.astype(np.int16), kind="stable")
     ends = np.searchsorted(chosen[order], np.arange(words.classes + 1))
     for c in range(words.classes):
@@ -111,9 +131,12 @@ def output(p, words: Words, states, targets, grads=None):
         logp[at] += np.log(np.maximum(inside[own, target], 1e-30))
         if grads is not None:
             inside[own, target] -= 1.0
-            grads["ww"][:, a:b] = h.T @ inside
-            grads["bw"][a:b] = inside.sum(axis=0)
             d_states[at] += inside @ p["ww"][:, a:b].T
+            if touched is None:
+                grads["ww"][:, a:b] = h.T @ inside
+                grads["bw"][a:b] = inside.sum(axis=0)
+            else:
+                touched(a, b, h.T @ inside, inside.sum(axis=0))
     return logp, d_states
 
 
@@ -197,7 +220,8 @@ class Streams:
 class Trainer:
     """Truncated backpropagation with adaptive steps from given weights."""
 
-    def __init__(self, p: dict[str, np.ndarray], words: Words, start: int, rate: float = RATE, streams: int = STREAMS):
+    def __init__(self, p: dict[str, np.ndarray], words: Words, start: int, rate: float = RATE, streams: int | None = None):
+        streams = streams or max(STREAMS, min(WIDE, words.size // SPARE))
         self.p = {k: v.copy() for k, v in p.items()}
         self.words, self.rate, self.tokens = words, rate, 0
         self.squares = {k: np.full_like(v, 1e-2) for k, v in p.items()}
@@ -220,8 +244,19 @@ class Trainer:
             real = np.flatnonzero(texts.ravel() >= 0)
             flat = states.reshape(-1, states.shape[2])
             grads: dict = {}
-            _, d = output(self.p, self.words, flat[real], targets.ravel()[real], grads)
-            scale = 1.0 / np.sqrt(len(real))
+            scale = np.float32(1.0 / np.sqrt(len(real)))
+
+            def touched(a, b, ww, bw, scale=scale):
+                for name, grad in (("ww", ww), ("bw", bw)):
+                    grad *= scale
+                    np.clip(grad, -CLIP, CLIP, out=grad)
+                    squares, root = self.squares[name][..., a:b], grad * grad
+                    squares += root
+                    grad /= np.sqrt(squares, out=root)
+                    grad *= np.float32(self.rate)
+                    self.p[name][..., a:b] -= grad
+
+            _, d = output(self.p, self.words, flat[real], targets.ravel()[real], grads, touched)
             d_states = np.zeros_like(flat)
             d_states[real] = d
             backward(self.p, inputs, fresh, saved, d_states.reshape(states.shape), grads)
@@ -259,13 +294,9 @@ class Scorer:
             np.add.at(self.sums, texts.ravel()[real], logp)
 
 
-def packed(p: dict[str, np.ndarray]) -> bytes:
-    return b"".join(p[k].astype("<f4").tobytes() for k in sorted(p))
-
-
-def unpacked(data: bytes, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    flat, out, at = np.frombuffer(data, "<f4"), {}, 0
-    for k in sorted(like):
-        out[k] = flat[at:at + like[k].size].reshape(like[k].shape).copy()
-        at += like[k].size
-    return out
+def slices(p: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
+    """Views of all weights, SLICE numbers at most in each, always in the same order."""
+    for name in sorted(p):
+        flat = p[name].reshape(-1)
+        for at in range(0, flat.size, SLICE):
+            yield flat[at:at + SLICE]

@@ -12,19 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm import gru
-from marketspark.llm.common import kept
+from marketspark.llm.common import kept, release
 from marketspark.llm.hashing import U, mix, texts, words
 
 #: Most frequent words whose counts every task holds (16 bytes each); counts of others are joined.
 HEAD = 1 << 19
-#: Words of the model's list.
+#: The model's list has every word of the head that is there so often, and the most frequent ones anyway.
+LEAST = 4
 LISTED = 2048
 #: Times that the replicas' weights are averaged; each round trains on its share of the texts.
 ROUNDS = 3
 #: Word hashes after which a counting task hands its counts on.
 FLUSH = 4_000_000
-#: Groups in which the replicas' weights are added up before they reach the driver.
-SUMMED = 16
+#: Tokens that a replica reads at least, where there are more tasks than ``FEW``: its weights are then small beside its texts.
+REPLICA = 4_000_000
+FEW = 16
+#: Tasks that average slices of the weights.
+SUMMED = 64
 #: The end of a text as a word: no word has this hash but by the chance of any two words.
 END = int(mix(np.array([0xE4D], np.uint64))[0])
 
@@ -91,9 +95,9 @@ def word_counts(docs: DataFrame, *, text: str = "text") -> DataFrame:
 class Model:
     """What every task needs: the frequent words, the totals, and the weights."""
 
-    def __init__(self, head: np.ndarray, counts: np.ndarray, total: int, distinct: int, listed: int = LISTED):
+    def __init__(self, head: np.ndarray, counts: np.ndarray, total: int, distinct: int, least: int = LEAST):
         self.head, self.counts, self.total, self.distinct = head, counts, total, distinct
-        listed = min(listed, len(head))
+        listed = max(min(LISTED, len(head)), int((counts >= least).sum()))
         ends = np.flatnonzero(head[:listed] == U(END))
         self.start = int(ends[0]) if len(ends) else listed
         others = float(total - counts[:listed].sum())
@@ -138,31 +142,40 @@ def _train_task(shared):
                 trainer.run(False)
         trainer.run(True)
         if trainer.tokens:
-            yield pa.record_batch(
-                [pa.array([TaskContext.get().partitionId()]), pa.array([trainer.tokens]), pa.array([gru.packed(trainer.p)], pa.binary())],
-                ["task", "tokens", "weights"],
-            )
+            for number, (new, old) in enumerate(zip(gru.slices(trainer.p), gru.slices(model.p), strict=True)):
+                change = (new - old).astype("<f2").tobytes()
+                yield pa.record_batch([pa.array([number]), pa.array([trainer.tokens]), pa.array([change], pa.binary())], CHANGES)
 
     return task
 
 
-def _sum_weights(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    total, tokens = None, 0
+CHANGES = ["slice", "tokens", "change"]
+
+
+def _average_changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The mean change of each weight over the replicas that changed it, by the tokens they read.
+
+    A replica without a word says nothing about its weights.
+    """
+    sums: dict[int, list[np.ndarray]] = {}
     for rows in batches:
-        for n, data in zip(rows["tokens"], rows["weights"], strict=True):
-            part = np.frombuffer(data, "<f4").astype(np.float64) * n
-            total, tokens = part if total is None else total + part, tokens + n
-    if tokens:
-        yield pd.DataFrame({"tokens": [tokens], "weights": [(total / tokens).astype("<f4").tobytes()]})
+        for number, n, data in zip(*(rows[c] for c in CHANGES), strict=True):
+            change = np.frombuffer(data, "<f2").astype(np.float64)
+            total, tokens = sums.setdefault(number, [np.zeros(len(change)), np.zeros(len(change))])
+            total += change * n
+            tokens += (change != 0) * n
+    for number, (total, tokens) in sums.items():
+        yield pd.DataFrame({"slice": [number], "change": [(total / np.maximum(tokens, 1.0)).astype("<f4").tobytes()]})
 
 
 def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", head: int = HEAD, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model fitted on all rows of ``docs``, and the written counts of all their words.
 
     In each round every task continues from the shared weights on its own texts of that round,
-    each text being in one round by its key's hash; then the weights are averaged, weighted by
-    the tokens seen. More texts mean more replicas. The driver gets the frequent words (a fixed
-    number) and at most ``SUMMED`` sets of weights a round (a fixed size).
+    each text being in one round by its key's hash; then the changes of the weights are averaged,
+    weighted by the tokens seen. More texts mean more replicas. The list and with it the weights
+    grow with the words that are there ``LEAST`` times, up to ``head``. The driver gets the
+    frequent words and one set of weights a round.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -173,13 +186,13 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", head: int
     for part in range(rounds if total else 0):
         shared = spark.sparkContext.broadcast(model)
         own = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(rounds)) == part).select("text")
-        weights = kept(own.mapInArrow(_train_task(shared), "task bigint, tokens bigint, weights binary"), "model-replicas")
-        dealt = weights.select("tokens", "weights").repartition(SUMMED, F.pmod(F.col("task"), F.lit(SUMMED)))
-        sums = dealt.mapInPandas(_sum_weights, "tokens bigint, weights binary").collect()
-        if sums:
-            every = sum(s["tokens"] for s in sums)
-            flat = sum(np.frombuffer(s["weights"], "<f4").astype(np.float64) * (s["tokens"] / every) for s in sums)
-            model.p = gru.unpacked(flat.astype("<f4").tobytes(), model.p)
+        replicas = max(min(spark.sparkContext.defaultParallelism, FEW), total // rounds // REPLICA)
+        changes = kept(own.coalesce(replicas).mapInArrow(_train_task(shared), "slice bigint, tokens bigint, change binary"), "model-replicas")
+        means = changes.repartition(SUMMED, "slice").mapInPandas(_average_changes, "slice bigint, change binary").collect()
+        views = list(gru.slices(model.p))
+        for mean in means:
+            views[mean["slice"]] += np.frombuffer(mean["change"], "<f4")
+        release(spark)
         shared.unpersist()
     return model, counts
 

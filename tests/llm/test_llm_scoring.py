@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_cases import documents, edge_rows, prose
 
@@ -138,3 +139,39 @@ def test_long_text_has_one_probability(spark):
     found = {r["doc_id"]: r for r in scoring.score_documents(documents(spark, rows)).collect()}
     assert found[900]["n_tokens"] == 20_001
     assert found[900]["score"] > 1.05 * found[900]["base_score"]
+
+
+def test_words_beyond_the_most_frequent_are_told_apart_by_context(spark):
+    """5,000 equally frequent words, of which each decides the next."""
+    n, rng = 5000, np.random.default_rng(2)
+    order = rng.permutation(n)
+    following = np.empty(n, np.int64)
+    following[order] = np.roll(order, -1)
+    rows = []
+    for i in range(4000):
+        word, text = rng.integers(n), []
+        for _ in range(60):
+            text.append(f"w{word}")
+            word = following[word]
+        rows.append((i, " ".join(text), None, None, None))
+    docs = documents(spark, rows)
+    model, _ = scoring.train(docs, rounds=1)
+    assert model.words.size == n + 1
+    assert model.words.classes >= 0.5 * n ** 0.5
+    before = gru.initial(model.words)
+    moved = (model.p["embed"][:-1] != before["embed"][:-1]).any(axis=1)
+    assert moved.mean() > 0.99
+    assert (model.p["ww"] != 0).any(axis=0).mean() > 0.99
+
+
+def test_list_grows_with_the_counts_up_to_the_head():
+    counts = np.sort(np.random.default_rng(3).integers(1, 9, 9000))[::-1]
+    head = np.arange(9000, dtype=np.uint64)
+    assert scoring.Model(head, counts, int(counts.sum()), 9000).words.size == (counts >= scoring.LEAST).sum() > scoring.LISTED
+    assert scoring.Model(head[:50], counts[-50:], 50, 50).words.size == 50
+
+
+def test_mean_change_is_over_the_replicas_that_changed_a_weight():
+    rows = pd.DataFrame({"slice": [0, 0, 1], "tokens": [1, 3, 3], "change": [np.array(c, "<f2").tobytes() for c in ([1, 0, 2], [0, 0, 4], [5])]})
+    found = {r["slice"].iloc[0]: np.frombuffer(r["change"].iloc[0], "<f4").tolist() for r in scoring._average_changes(iter([rows]))}
+    assert found == {0: [1.0, 0.0, 3.5], 1: [5.0]}
