@@ -3,7 +3,8 @@
 Every window of DEPTH bytes belongs to its least 16-byte string by hash, its anchor, so equal
 windows have equal anchors wherever they are. Windows in a row with one anchor are a stretch of at
 most 84 bytes. Only stretches whose anchor another document has are brought together, by anchor;
-there their transforms are merged and equal windows found.
+there their transforms are merged and equal windows found. Of an anchor with very many stretches
+every window is a stretch of its own, brought together by the hash of its bytes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SHARD = 1 << 18
 SHARDS = 60_000
 #: Anchors after which a task hands them on.
 FLUSH = 1_000_000
+#: Stretches of an anchor from which on its windows go one by one; below 2**16, where counts end.
+HOT = 1 << 15
 PLACE = U((1 << 28) - 1)
 NONE = np.int64(-1 << 63)
 
@@ -78,6 +81,29 @@ def keys(anchors: np.ndarray, buckets: int) -> np.ndarray:
     return ((anchors >> U(32)) % U(buckets)) << U(32) | anchors & U(0xFFFFFFFF)
 
 
+def _among(wanted: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each key is in the sorted array ``wanted``."""
+    if not len(wanted):
+        return np.zeros(len(key), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
+
+
+def divided(data, text, start, count, key, buckets: int, hot: np.ndarray):
+    """The stretches, those of a key in ``hot`` cut into single windows with a key of their bytes.
+
+    Equal windows have one anchor, so they are cut everywhere or nowhere, and their new keys are equal.
+    """
+    cut = _among(hot, key)
+    if not cut.any():
+        return text, start, count, key
+    n = np.where(cut, count, 1)
+    of = np.repeat(np.arange(len(n)), n)
+    start = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    text, count, key, cut = text[of], np.where(cut, 1, count)[of], key[of], cut[of]
+    key[cut] = keys(contents(data, start[cut], np.full(int(cut.sum()), DEPTH)), buckets)
+    return text, start, count, key
+
+
 def _long_texts(column: pa.Array):
     for first, end, data, offsets in texts(column):
         if len(data) > int(PLACE):
@@ -86,7 +112,10 @@ def _long_texts(column: pa.Array):
 
 
 def _anchor_task(buckets: int):
-    """Anchors of a task's documents by bucket: at most two for each anchor and group of documents."""
+    """Anchors of a task's documents by bucket: at most two for each anchor and group of documents.
+
+    The first of them has the number of their stretches, 65,535 at most.
+    """
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
 
@@ -95,19 +124,22 @@ def _anchor_task(buckets: int):
             order = np.lexsort((doc, group, key))
             key, group, doc = key[order], group[order], doc[order]
             same = np.concatenate(([False], (key[1:] == key[:-1]) & (group[1:] == group[:-1])))
+            first = np.flatnonzero(~same)
+            count = np.zeros(len(key), np.uint16)
+            count[first] = np.minimum(np.diff(np.append(first, len(key))), 0xFFFF)
             keep = ~same | np.concatenate(([True], doc[1:] != doc[:-1]))
-            key, group = key[keep], group[keep]
+            key, group, count = key[keep], group[keep], count[keep]
             third = np.zeros(len(key), bool)
             third[2:] = (key[2:] == key[:-2]) & (group[2:] == group[:-2])
-            key, group = key[~third], group[~third]
+            key, group, count = key[~third], group[~third], count[~third]
             bucket = (key >> U(32)).astype(np.int64)
             ends = np.flatnonzero(np.concatenate((bucket[1:] != bucket[:-1], [True]))) + 1
             begin = 0
             rows = []
             for end in ends:
-                rows.append((int(bucket[begin]), key[begin:end].astype(np.uint32).tobytes(), group[begin:end].astype(np.uint32).tobytes()))
+                rows.append((int(bucket[begin]), key[begin:end].astype(np.uint32).tobytes(), group[begin:end].astype(np.uint32).tobytes(), count[begin:end].tobytes()))
                 begin = end
-            return pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], ["bucket", "anchors", "groups"])
+            return pa.record_batch([pa.array(c) for c in zip(*rows, strict=True)], ["bucket", "anchors", "groups", "counts"])
 
         number = 0
         for batch in batches:
@@ -127,21 +159,34 @@ def _anchor_task(buckets: int):
     return task
 
 
-def _shared_anchors(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket, for each group of documents the anchors that some other document has too."""
-    anchors = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["anchors"]])
-    groups = np.concatenate([np.frombuffer(x, np.uint32) for x in rows["groups"]])
-    order = np.argsort(anchors, kind="stable")
-    of = anchors[order]
-    same = of[1:] == of[:-1]
-    twice = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
-    pairs = np.unique(groups[twice].astype(np.uint64) << U(32) | anchors[twice])
-    group = (pairs >> U(32)).astype(np.int64)
-    cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, np.int64)
-    return pd.DataFrame({
-        "g": pd.Series([int(group[a]) for a in cuts[:-1]], dtype="int64"), "bucket": int(key[0]),
-        "anchors": [pairs[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
-    })
+def _shared_anchors(hot: int):
+    def task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        """Of one bucket, for each group of documents the anchors that some other document has too.
+
+        Group -1 has those with ``hot`` stretches or more.
+        """
+        anchors, groups, counts = (np.concatenate([np.frombuffer(x, t) for x in rows[c]]) for c, t in (("anchors", np.uint32), ("groups", np.uint32), ("counts", np.uint16)))
+        order = np.argsort(anchors, kind="stable")
+        of = anchors[order]
+        same = of[1:] == of[:-1]
+        twice = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        pairs = np.unique(groups[twice].astype(np.uint64) << U(32) | anchors[twice])
+        group = (pairs >> U(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, np.int64)
+        first = np.flatnonzero(np.concatenate(([True], ~same)))
+        many = of[first][np.add.reduceat(counts[order].astype(np.int64), first) >= hot]
+        return pd.DataFrame({
+            "g": pd.Series([-1] * bool(len(many)) + [int(group[a]) for a in cuts[:-1]], dtype="int64"), "bucket": int(key[0]),
+            "anchors": [many.tobytes()] * bool(len(many)) + [pairs[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)],
+        })
+
+    return task
+
+
+def _keys_of(rows) -> np.ndarray:
+    """The sorted keys of (bucket, anchors) pairs."""
+    found = [np.frombuffer(a, np.uint32).astype(np.uint64) | U(b) << U(32) for b, a in rows]
+    return np.sort(np.concatenate(found)) if found else np.empty(0, np.uint64)
 
 
 def _ids(column: pa.Array) -> np.ndarray:
@@ -157,23 +202,19 @@ def _runs(table: pa.Table):
             yield batch, first, end, _ids(ids)[first:end], known[first:end], data, offsets
 
 
-def _stretch_task(buckets: int):
+def _stretch_task(buckets: int, hot: np.ndarray):
     """Distinct stretches of a group of documents whose anchors are shared, by bucket of the anchor."""
     def task(docs: pa.Table, shared: pa.Table) -> pa.Table:
-        wanted = [
-            np.frombuffer(a, np.uint32).astype(np.uint64) | U(b) << U(32)
-            for b, a in zip(shared.column("bucket").to_pylist(), shared.column("anchors").to_pylist(), strict=True)
-        ]
+        wanted = _keys_of(zip(shared.column("bucket").to_pylist(), shared.column("anchors").to_pylist(), strict=True))
         rows = []
-        if wanted and docs.num_rows:
-            wanted = np.sort(np.concatenate(wanted))
+        if len(wanted) and docs.num_rows:
             parts = []
             for _, _, _, ids, known, data, offsets in _runs(docs):
                 text, start, count, anchors = stretches(data, offsets)
                 key = keys(anchors, buckets)
-                place = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
-                take = (wanted[place] == key) & known[text]
-                text, start, size, key = text[take], start[take], count[take] + DEPTH - 1, key[take]
+                take = _among(wanted, key) & known[text]
+                text, start, count, key = divided(data, text[take], start[take], count[take], key[take], buckets, hot)
+                size = count + DEPTH - 1
                 if len(text):
                     parts.append(_distinct(contents(data, start, size), _bins(key), ids[text], size, _cut(data, start, size)))
             if parts:
@@ -319,11 +360,12 @@ def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["g", "hashes", "begins", "ends", "owners"])
 
 
-def removed_bytes(ids, known, data, offsets, hashes, begins, ends, owners) -> np.ndarray:
+def removed_bytes(ids, known, data, offsets, hashes, begins, ends, owners, buckets: int, hot: np.ndarray) -> np.ndarray:
     """Mask of the bytes of the texts in ``data`` that a document with a smaller id owns."""
     cover = np.zeros(len(data) + 1, np.int32)
-    text, start, count, _ = stretches(data, offsets)
+    text, start, count, anchors = stretches(data, offsets)
     if len(text) and len(hashes):
+        text, start, count, _ = divided(data, text, start, count, keys(anchors, buckets), buckets, hot)
         mark = contents(data, start, count + DEPTH - 1)
         first, last = np.searchsorted(hashes, mark), np.searchsorted(hashes, mark, side="right")
         n = last - first
@@ -336,7 +378,7 @@ def removed_bytes(ids, known, data, offsets, hashes, begins, ends, owners) -> np
     return np.cumsum(cover[:-1]) > 0
 
 
-def _apply_task(finish, schema: pa.Schema):
+def _apply_task(finish, schema: pa.Schema, buckets: int, hot: np.ndarray):
     def task(docs: pa.Table, runs: pa.Table) -> pa.Table:
         columns = [
             np.frombuffer(b"".join(runs.column(c).to_pylist()), t)
@@ -347,7 +389,7 @@ def _apply_task(finish, schema: pa.Schema):
         begins, ends = begins.astype(np.int64), ends.astype(np.int64)
         out = []
         for batch, first, end, ids, known, data, offsets in _runs(docs) if docs.num_rows else ():
-            mask = removed_bytes(ids, known, data, offsets, hashes, begins, ends, owners)
+            mask = removed_bytes(ids, known, data, offsets, hashes, begins, ends, owners, buckets, hot)
             out.append(finish(batch.slice(first, end - first), data, offsets, mask))
         return pa.Table.from_batches(out, schema) if out else schema.empty_table()
 
@@ -382,21 +424,23 @@ def _kept_texts(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, mas
     return pa.record_batch([part.column("row"), pa.array(left, pa.string())], ["row", "text"])
 
 
-def _removal(rows: DataFrame, carried: list[str], finish, names: list[tuple[str, T.DataType]], arrow: pa.Schema, group: int) -> DataFrame:
+def _removal(rows: DataFrame, carried: list[str], finish, names: list[tuple[str, T.DataType]], arrow: pa.Schema, group: int, hot: int) -> DataFrame:
     """``finish`` over all groups of documents of ``rows`` (doc_id, text and ``carried`` columns)."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = buckets = max(1, -(-size // group))
     dealt = rows.withColumn("g", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(groups)).cast("bigint"))
     narrow = dealt.where("doc_id is not null").select("g", F.coalesce("text", F.lit("")).alias("text"))
-    anchors = narrow.mapInArrow(_anchor_task(buckets), "bucket bigint, anchors binary, groups binary")
-    shared = kept(anchors.groupBy("bucket").applyInPandas(_shared_anchors, "g bigint, bucket bigint, anchors binary"), "shared-anchors")
+    anchors = narrow.mapInArrow(_anchor_task(buckets), "bucket bigint, anchors binary, groups binary, counts binary")
+    shared = kept(anchors.groupBy("bucket").applyInPandas(_shared_anchors(hot), "g bigint, bucket bigint, anchors binary"), "shared-anchors")
     release(rows.sparkSession)
+    many = _keys_of((r["bucket"], r["anchors"]) for r in shared.where("g < 0").select("bucket", "anchors").collect())
+    shared = shared.where("g >= 0")
     plain = dealt.select("g", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    stretch = _with_group(plain.groupBy("g").cogroup(shared.groupBy("g")), _stretch_task(buckets))
+    stretch = _with_group(plain.groupBy("g").cogroup(shared.groupBy("g")), _stretch_task(buckets, many))
     runs = kept(stretch.groupBy("bucket").applyInPandas(_merge_task, "g bigint, hashes binary, begins binary, ends binary, owners binary"), "shared-runs")
     release(rows.sparkSession)
     ended = dealt.select("g", "doc_id", "text", *carried).groupBy("g").cogroup(runs.groupBy("g"))
-    return ended.applyInArrow(_apply_task(finish, arrow), T.StructType([T.StructField(n, t) for n, t in names]))
+    return ended.applyInArrow(_apply_task(finish, arrow, buckets, many), T.StructType([T.StructField(n, t) for n, t in names]))
 
 
 def _with_group(pair, task) -> DataFrame:
@@ -407,7 +451,7 @@ def _with_group(pair, task) -> DataFrame:
     return pair.applyInArrow(named, "bucket bigint, parts binary, hashes binary, docs binary, multi binary, sizes binary, body binary, g bigint")
 
 
-def removed_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", group: int = GROUP) -> DataFrame:
+def removed_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", group: int = GROUP, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row.
 
     A byte goes if it is in a string of DEPTH bytes that also begins in a document with a smaller
@@ -417,6 +461,9 @@ def removed_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     to buckets, at most two for an anchor, task and group, and come back where another document has
     them; stretches go to buckets with each group's least key, each once a group, and come back as
     runs with the least key of all. So a passage in a third of all documents is one row a group.
+    An anchor with ``hot`` stretches or more is divided by its windows, so a short line in a third
+    of all documents, with other text around it in each, is no group. The keys of such anchors go to
+    every task: one for ``hot`` stretches at most.
     Strings and anchors are told apart by 64-bit hashes.
 
     Null and empty texts have no bytes. Rows without a key lose nothing and take nothing away.
@@ -426,10 +473,11 @@ def removed_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     names = [("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType())]
     arrow = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
-    return _removal(rows, [], _digests, names, arrow, group)
+    return _removal(rows, [], _digests, names, arrow, group, hot)
 
 
-def without_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: str | None = "n_chars", group: int = GROUP) -> DataFrame:
+def without_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: str | None = "n_chars", group: int = GROUP,
+                     hot: int = HOT) -> DataFrame:
     """The rows of ``docs`` with what ``removed_passages`` removes cut out of their texts.
 
     Column ``length``, where there is one, is set to the new number of characters of rows with a text.
@@ -440,7 +488,7 @@ def without_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.struct(*others).alias("row"))
     names = [("row", rows.schema["row"].dataType), ("text", T.StringType())]
     arrow = to_arrow_schema(T.StructType([T.StructField(n, t) for n, t in names]))
-    cut = _removal(rows, ["row"], _kept_texts, names, arrow, group)
+    cut = _removal(rows, ["row"], _kept_texts, names, arrow, group, hot)
     columns = [F.col("text").alias(text) if c == text else F.col(f"row.{c}").alias(c) for c in docs.columns]
     cut = cut.select(*columns)
     if length in docs.columns:

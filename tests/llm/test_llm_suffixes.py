@@ -4,6 +4,8 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from llm_cases import documents, edge_rows, prose, same_columns
 
@@ -91,3 +93,37 @@ def test_merged_transforms_order_and_group_rotations(parts):
     assert texts == sorted(texts)
     assert len(set(zip(shard.tolist(), place.tolist(), strict=True))) == sum(len(s.data) for s in shards)
     assert (np.diff(block) == [a != b for a, b in zip(texts[:-1], texts[1:], strict=True)]).all()
+
+
+def lined(n):
+    """A line of 40 bytes with different text around it, and each tenth time with the same."""
+    line = "this short line is in all the documents."
+    return [(7000 + i, f"{prose(i // 10 * 10 if i % 10 < 2 else 500 + i, 12)} {line} {prose(90_000 + i, 12)}", "en", "a", 1) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [1, 30])
+def test_frequent_anchors_divided_by_their_windows(spark, hot):
+    rows = [r for r in edge_rows() if r[0] not in (8, 9)] + passages(5) + lined(200)
+    found = suffixes.removed_passages(documents(spark, rows), group=4000, hot=hot).collect()
+    expected = [(*r[:4], hashlib.sha256(r[4]).hexdigest()) for r in brute(rows)]
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+
+
+def test_no_bucket_holds_a_frequent_anchor():
+    """One short line in many documents is found to be hot, and its windows are spread over the buckets."""
+    rows, buckets = lined(2000), 16
+    docs = pa.table({"g": [0] * len(rows), "doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    anchors = pd.concat([b.to_pandas() for b in suffixes._anchor_task(buckets)(iter(docs.to_batches()))])
+    shared = pd.concat([suffixes._shared_anchors(1000)((b,), part) for b, part in anchors.groupby("bucket")])
+    many = shared[shared.g < 0]
+    hot = suffixes._keys_of(zip(many["bucket"], many["anchors"], strict=True))
+    assert 1 <= len(hot) < 10
+    wanted = pa.Table.from_pandas(shared[shared.g >= 0])
+
+    def bytes_of_buckets(hot):
+        out = suffixes._stretch_task(buckets, hot)(docs, wanted).to_pandas()
+        sizes = out["body"].map(len).groupby(out["bucket"]).sum()
+        return sizes.max() / sizes.sum()
+
+    assert bytes_of_buckets(hot[:0]) > 0.3
+    assert bytes_of_buckets(hot) < 0.15
