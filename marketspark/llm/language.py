@@ -124,7 +124,7 @@ class Profiles:
 
 
 def identify(rows: DataFrame, learned: DataFrame, *, text: str = "text", size: int = PROFILE) -> DataFrame:
-    """``rows`` as a struct column ``row``, with lang_pred and score.
+    """``rows`` as a struct column ``row``, with lang_pred, score, and whether the text has a letter.
 
     The profiles go to every task: ``size`` rows a language, read from the written table. A text
     that is null or has no letter is ``und`` with score 0. Any other columns travel in the struct.
@@ -132,15 +132,17 @@ def identify(rows: DataFrame, learned: DataFrame, *, text: str = "text", size: i
     model = Profiles([tuple(r) for r in learned.select("lang", "code", "rank").collect()], size)
     shared = rows.sparkSession.sparkContext.broadcast(model)
     inner = rows.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    schema = inner.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = inner.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("letters")).schema
 
     def task(batches):
         model = shared.value
         for batch in batches:
-            found = [model.predict(t) for t in batch.column("text").to_pylist()]
+            given = batch.column("text").to_pylist()
+            found = [model.predict(t) for t in given]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                ["row", "lang_pred", "score"],
+                [batch.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
+                 pa.array([any(map(str.isalpha, t or "")) for t in given], pa.bool_())],
+                ["row", "lang_pred", "score", "letters"],
             )
 
     return inner.mapInArrow(task, schema)
@@ -168,6 +170,6 @@ def predict_languages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
 
 
 def known_language(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs``, unchanged, whose text has a language; those that are ``und`` go."""
+    """The rows of ``docs``, unchanged, whose text has a letter, whether or not any language was learned."""
     found = identify(docs, learn(docs, key=key, text=text, lang=lang), text=text)
-    return found.where(F.col("lang_pred") != UNDECIDED).select("row.*")
+    return found.where("letters").select("row.*")

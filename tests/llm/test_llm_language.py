@@ -117,3 +117,11 @@ def test_small_flushes_give_the_same_profiles(spark, monkeypatch):
 @pytest.mark.parametrize("text,n", [(None, 0), ("", 0), ("12 !", 0), ("ab", 7), ("a", 4)])
 def test_ngrams_of_short_texts(text, n):
     assert len(language.ngrams(text)) == n
+
+
+def test_texts_with_letters_stay_without_any_label(spark):
+    rows = [(i, t, None, "a", 1) for i, t in enumerate(["plain words", "日本語", "Ünder", None, "", "12 34 ++ |", "3 x 4"])]
+    df = documents(spark, rows, extra=True)
+    left = language.known_language(df)
+    assert same_columns(left, df)
+    assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 6]
