@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,9 +19,11 @@ from marketspark.llm.hashing import U, mix, shingle_sets
 #: Words of a shingle, and least share of common shingles in percent.
 WORDS = 5
 PERCENT = 80
-#: Coordinates of a signature, and how many must agree for a pair to be confirmed. A pair at 0.8
-#: agrees in fewer with a chance of 1.1e-6.
+#: Coordinates of a signature, and the greatest chance that a pair at the least share agrees in too few
+#: of them to be confirmed.
 COORDINATES = 64
+MISSED = 1e-5
+#: Coordinates that must agree at PERCENT.
 MATCHES = 36
 #: Counters by which coordinate values are put in order, the rarest first.
 COUNTERS = 1 << 16
@@ -244,20 +247,37 @@ def confirmed(pairs: DataFrame, docs: DataFrame, *, key: str, text: str, words:
     return lined.mapInArrow(_confirm(percent), "a bigint, b bigint")
 
 
+def enough(percent: int) -> int:
+    """Coordinates that must agree: the most with which a pair at ``percent`` is missed with a chance of MISSED at most.
+
+    At 80 they are 36, and the chance is 4.2e-6. A share that no number of coordinates covers is refused.
+    """
+    share, below, matches = percent / 100, 0.0, 0
+    while matches < COORDINATES:
+        below += math.comb(COORDINATES, matches) * share**matches * (1 - share) ** (COORDINATES - matches)
+        if below > MISSED:
+            break
+        matches += 1
+    if not matches:
+        raise ValueError(f"signatures of {COORDINATES} coordinates do not find pairs at {percent} percent")
+    return matches
+
+
 def near_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT,
-                   matches: int = MATCHES) -> DataFrame:
+                   matches: int | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
     Equal sets are one class from the start. Classes are posted under their rarest signature
     values; each list first compares its hub with the others, and then only pairs that are not yet
     in one component, so a large group of copies of a text costs about its size. Pairs that
-    agree in enough coordinates are confirmed on their full sets. The links' components decide;
+    agree in enough coordinates (``matches``, by default those of ``enough``) are confirmed on their full sets. The links' components decide;
     the least doc_id of each is kept.
 
     Null and empty texts, and texts without a word, have no shingle, link with nothing and are kept.
     A row without a key links with nothing and is kept, its component null. Repeated rows of one
     key are one document. An empty table gives no rows. Other columns are not looked at.
     """
+    matches = enough(percent) if matches is None else matches
     marked = kept(signatures(docs, key=key, text=text, words=words), "near-signatures")
     linked = marked.where("n_shingles > 0 and doc_id is not null")
     classes = kept(linked.groupBy("low", "high").agg(F.min("doc_id").alias("rep")), "near-classes")

@@ -192,3 +192,18 @@ def test_rows_of_one_key_stay_one_document(spark):
     found = minhash.near_documents(documents(spark, rows)).collect()
     assert by_id(found, "component_id", "kept") == [(False, 1, 1, True)] * 3 + [(False, 2, 1, False)]
     assert minhash.one_of_each(documents(spark, rows)).count() == 1
+
+
+@pytest.mark.parametrize("percent", [50, 60, 70, 80, 95])
+def test_pairs_at_the_least_share_are_hardly_missed(percent):
+    rng = np.random.default_rng(percent)
+    matches = minhash.enough(percent)
+    agreeing = rng.binomial(minhash.COORDINATES, percent / 100, 200_000)
+    assert (agreeing < matches).mean() <= 1e-4
+    assert (agreeing < matches + 4).any()
+
+
+def test_least_shares_that_signatures_do_not_cover_are_refused():
+    assert minhash.enough(80) == 36
+    with pytest.raises(ValueError, match="percent"):
+        minhash.enough(5)
