@@ -187,13 +187,15 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", head: int
         shared = spark.sparkContext.broadcast(model)
         own = rows.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(rounds)) == part).select("text")
         replicas = max(min(spark.sparkContext.defaultParallelism, FEW), total // rounds // REPLICA)
-        changes = kept(own.coalesce(replicas).mapInArrow(_train_task(shared), "slice bigint, tokens bigint, change binary"), "model-replicas")
-        means = changes.repartition(SUMMED, "slice").mapInPandas(_average_changes, "slice bigint, change binary").collect()
+        changes = own.coalesce(replicas).mapInArrow(_train_task(shared), "slice bigint, tokens bigint, change binary")
+        changes = changes.repartition(SUMMED, "slice").mapInPandas(_average_changes, "slice bigint, change binary")
+        means = changes.collect()
+        del changes
         views = list(gru.slices(model.p))
         for mean in means:
             views[mean["slice"]] += np.frombuffer(mean["change"], "<f4")
         release(spark)
-        shared.unpersist()
+        shared.destroy()
     return model, counts
 
 
