@@ -51,11 +51,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     Frames that read it are lazy, so it cannot go earlier.
     """
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(remove_path, spark, path)
     return path
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what lies at ``path``, if the session still can."""
     with contextlib.suppress(Exception):  # the session may have ended
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
