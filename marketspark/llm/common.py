@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marketspark.session import scratch_path
+from marketspark.session import remove_path, scratch_path
 
 #: Fixed by the task: words are runs of anything but these ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,7 +25,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    again = df.sparkSession.read.schema(df.schema).parquet(path)
+    again.kept_path = path
+    return again
+
+
+def forget(df: DataFrame) -> None:
+    """Delete what ``kept`` wrote; for tables that nothing returned reads any more."""
+    remove_path(df.sparkSession, df.kept_path)
 
 
 def release(spark: SparkSession) -> None:

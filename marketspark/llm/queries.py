@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketspark.llm import language, minhash, mixing, packing, quality, scoring, sharding, suffixes, urls, vectors
+from marketspark.llm import codes, language, minhash, mixing, packing, quality, scoring, sharding, suffixes, urls, vectors
 from marketspark.llm.common import table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,41 @@ def op10_suffixes(spark, folder):
     return suffixes.removed_passages(table(spark, folder, "documents"))
 
 
+#: One assignment of parts p to the entries of a codebook: the nearest, the lower index of equals.
+ASSIGN = """
+a{t} as materialized (
+    select vec_id, part, x, best // 64 as error, best % 64 as entry from (
+        select p.vec_id, p.part, p.x, min(list_sum(list_transform(list_zip(p.x, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + c.entry)::bigint as best
+        from p join c{t} c on c.part = p.part group by all))"""
+#: The floor of the mean of an entry's parts; an unused entry stays.
+MOVE = """
+s{t} as (select part, entry, pos, sum(y)::bigint as total, count(*) as n
+         from (select part, entry, unnest(range(1, len(x) + 1)) as pos, unnest(x) as y from a{t}) group by all),
+m{t} as (select part, entry, list((total - ((total % n) + n) % n) // n order by pos) as c from s{t} group by all),
+c{n} as materialized (select o.part, o.entry, coalesce(m.c, o.c) as c from c{t} o left join m{t} m on m.part = o.part and m.entry = o.entry)"""
+
+CODE_SQL = f"""
+with v as materialized (
+    select vec_id, label, list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as q from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as materialized (
+    select vec_id, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] as x from (select *, unnest(range(16)) as part from v)),
+c0 as materialized (
+    select part, entry, x as c from (select part, x, row_number() over (partition by part order by vec_id) - 1 as entry from p) where entry < 64),
+{ASSIGN.format(t=0)},{MOVE.format(t=0, n=1)},
+{ASSIGN.format(t=1)},{MOVE.format(t=1, n=2)},
+{ASSIGN.format(t=2)},
+k as (select vec_id, string_agg(printf('%02x', entry), '' order by part) as code, sum(error)::bigint as error from a2 group by 1),
+b as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as codebooks_sha256 from c2)
+select k.vec_id, code, error, sum(error) over (partition by label)::bigint as label_error, codebooks_sha256 from k join v on v.vec_id = k.vec_id, b
+"""
+
+
+@query("op12_codes", CODE_SQL)
+def op12_codes(spark, folder):
+    return codes.code_vectors(table(spark, folder, "embeddings"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
