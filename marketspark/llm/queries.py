@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketspark.llm import codes, language, minhash, mixing, packing, quality, scoring, sharding, suffixes, urls, vectors
+from marketspark.llm import codes, language, minhash, mixing, packing, phrases, quality, scoring, sharding, suffixes, urls, vectors
 from marketspark.llm.common import table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,6 +143,31 @@ def op10_suffixes(spark, folder):
     return suffixes.removed_passages(table(spark, folder, "documents"))
 
 
+PHRASE_SQL = r"""
+with p as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                    '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+n as (select lang, sum(len(ws))::bigint as n from w group by 1),
+g as (select lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) as phrase
+      from (select *, unnest(range(1, 6)) as size from w) where len(ws) >= size),
+f as materialized (select lang, phrase, size, count(*) as f from g group by all having count(*) >= 100),
+c as (select lang, phrase, f as a, string_split(phrase, ' ') as ws from f where size >= 2
+      and not exists (select 1 from f o where o.lang = f.lang and o.size > f.size and 100 * o.f >= 100 * f.f and contains(' ' || o.phrase || ' ', ' ' || f.phrase || ' '))),
+k as (select *, unnest(range(1, len(ws))) as k from c),
+s as (select k.lang, k.phrase, a, k, x.f as l, y.f as r, n, ((1000::hugeint * a * n) // (x.f::hugeint * y.f))::bigint as score
+      from k join n on n.lang = k.lang join f x on x.lang = k.lang and x.phrase = array_to_string(ws[1:k], ' ')
+      join f y on y.lang = k.lang and y.phrase = array_to_string(ws[k + 1:], ' ')),
+b as (select * from s qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score from b qualify rank <= 2000
+"""
+
+
+@query("op11_phrases", PHRASE_SQL)
+def op11_phrases(spark, folder):
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 #: One assignment of parts p to the entries of a codebook: the nearest, the lower index of equals.
 ASSIGN = """
 a{t} as materialized (
