@@ -7,12 +7,10 @@ values of the order columns, for running totals, positions and fills, or into *p
 fixed number of rows with a margin of neighbours, for moving windows. The cut points decide
 only where a group is divided; every row is kept and the results do not depend on them.
 
-``order`` is a list of columns, ascending with nulls first, together unique within a group. Cuts
-are placed along the first one, and along the next one where very many rows share a value of the
-first. Numbers, dates and timestamps are cut at their values, booleans as 0 and 1, text and
-binary at the number that their first six bytes make (exact in the doubles of the sampled
-quantiles), and where very many rows share these,
-at the next six.
+``order`` is a list of columns of any types that can be sorted, ascending with nulls first, together
+unique within a group. Cuts are whole tuples of the group's and the order columns, sampled once, sorted,
+and given to every task as one constant of bounded size; a row finds its block by one search among them.
+Ties in some of the columns, nulls and texts with long shared beginnings are divided like anything else.
 """
 
 from __future__ import annotations
@@ -33,19 +31,15 @@ from marketspark.session import shared_folder
 BLOCK_ROWS = 500_000
 MAX_BLOCKS = 32_768
 SAMPLES_PER_BLOCK = 64
-BROADCAST_CUTS = 16_000_000
+CUT_BYTES = 4 << 20
 BROADCAST_BLOCKS = 1_000_000
 BROADCAST_TEXTS = 10_000
 
 BLOCK = "_block"
 CUT = "_cut"
-TIED = "_tied"
-OPEN = "_open"
 POSITION = "_pos"
 PIECE = "_piece"
-AXIS = "_axis"
-CUTS = "_cuts"
-LEAD = 6
+PLACE = "_place"
 
 
 class Blocked(NamedTuple):
@@ -72,172 +66,69 @@ def keyed_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str =
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
-def _axis(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name)
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name)
-    if isinstance(kind, T.TimestampNTZType):
-        # from its own fields, because a cast to a timestamp would bring in the session's time zone
-        seconds = F.hour(name) * 3600 + F.minute(name) * 60 + F.date_part(F.lit("SECOND"), F.col(name))
-        days = F.unix_date(F.to_date(name)).cast("bigint")
-        return days * 86_400_000_000 + (seconds * 1_000_000).cast("bigint")
-    if isinstance(kind, T.BooleanType):
-        return F.col(name).cast("int")
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        data = _bytes(df, name)
-        number = F.conv(F.rpad(F.hex(F.substring(data, 1, LEAD)), 2 * LEAD, "0"), 16, 10).cast("bigint")
-        return number * 8 + F.least(F.octet_length(data), F.lit(LEAD))
-    raise TypeError(f"rows cannot be put in order by {name}: {kind.simpleString()}")
-
-
-def _bytes(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    return F.col(name) if isinstance(kind, T.BinaryType) else F.encode(F.col(name), "UTF-8")
-
-
-def _rest(df: DataFrame, name: str) -> Column | None:
-    """What follows the bytes that placed the cuts, for text and binary."""
-    if not isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType)):
-        return None
-    return F.substring(_bytes(df, name), LEAD + 1, 1 << 30)
-
-
-class CutPoints(NamedTuple):
-    """Rows with the ``_cuts`` of their group, most cuts of a group, bound on all blocks, and
-    whether very many rows of a group share one value (a cut that occurs twice, or null)."""
+def _place(by: Sequence[str], order: Sequence[str]) -> Column:
+    """Where a row stands among all rows of all groups."""
+    named = [F.col(c).alias(f"b{i}") for i, c in enumerate(by)] + [F.col(c).alias(f"t{i}") for i, c in enumerate(order)]
+    return F.struct(*named)
 
-    df: DataFrame
-    parts: int
-    blocks: int
-    crowded: bool
-
-
-def _number_array(values: Sequence, kind: str) -> Column:
-    """Numbers as one literal, folded from text rather than built one by one."""
-    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
 
+def _cut_points(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int, block_rows: int) -> tuple[list[str], T.DataType]:
+    """Places (as JSON) at which the groups that look bigger than a block are cut, and their type.
 
-def _cut_points(df: DataFrame, by: Sequence[str], largest: int, block_rows: int) -> CutPoints:
-    """Quantiles of a hash sample of ``_axis``, for the groups that look bigger than a block.
-
-    Quantiles may differ between two runs of the same plan, so they are frozen before use:
-    collected for a single group (fewer than ``MAX_BLOCKS`` numbers), checkpointed otherwise,
-    where each group keeps as many cuts as its size calls for.
+    About every ``block_rows``-th row of such a group, found among a hash sample of its rows. If all
+    places together were longer than CUT_BYTES, only every second, fourth, ... one is taken, so
+    that blocks grow and not what the driver and the tasks hold.
     """
     parts = min(math.ceil(largest / block_rows) + 1, MAX_BLOCKS)
     every = max(1, largest // (parts * SAMPLES_PER_BLOCK))
-    sample = df.select(*by, AXIS, OPEN, *_tie_breakers(df))
+    step = max(math.ceil(block_rows / every), math.ceil(largest / every / MAX_BLOCKS))
+    sample = df.select(_place(by, order).alias(PLACE))
+    kind = sample.schema[PLACE].dataType
     if every > 1:
-        sample = sample.where(F.pmod(F.xxhash64(AXIS, *_tie_breakers(df)), F.lit(every)) == 0)
-    kind = df.schema[AXIS].dataType.simpleString()
-    shares = _number_array([i / parts for i in range(1, parts)], "double")
-    found = F.percentile_approx(AXIS, shares, max(10_000, 16 * parts))
-    cuts = F.coalesce(found, F.array().cast(f"array<{kind}>")).alias(CUTS)
-    nulls = (F.count_if(F.col(AXIS).isNull() & F.col(OPEN)) * every > block_rows).alias("_nulls")
-    if not by:
-        values, many_nulls = sample.agg(cuts, nulls).first()
-        array = _number_array(values, kind) if values else F.array().cast(f"array<{kind}>")
-        crowded = many_nulls or len(set(values)) < len(values)
-        return CutPoints(df.withColumn(CUTS, array), parts, 2 * parts, crowded)
-    limits = (
-        sample.groupBy(*by)
-        .agg((F.count(F.lit(1)) * every).alias("_n"), cuts, nulls)
-        .where(F.col("_n") > block_rows)
-        .withColumn("_stride", F.greatest(F.floor(parts / F.ceil(F.col("_n") / block_rows)), F.lit(1)))
-        .select(*by, "_nulls", F.expr(f"filter({CUTS}, (cut, i) -> (i + 1) % _stride = 0)").alias(CUTS))
-    )
+        sample = sample.where(F.pmod(F.xxhash64(PLACE), F.lit(every)) == 0)
+    group = Window.partitionBy(*[F.col(PLACE)[f"b{i}"] for i in range(len(by))])
+    numbered = sample.select(PLACE, F.row_number().over(group.orderBy(PLACE)).alias("n"), F.count(F.lit(1)).over(group).alias("size"))
+    cuts = numbered.where((F.col("size") * every > block_rows) & (F.col("n") % step == 0))
     shared_folder(df.sparkSession)
-    limits = limits.checkpoint()
-    repeated = F.size(F.array_distinct(CUTS)) < F.size(CUTS)
-    groups, cells, crowded = limits.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.size(CUTS)), F.lit(0)),
-        F.count_if(repeated | F.col("_nulls")),
-    ).first()
-    limits = limits.drop("_nulls")
-    if cells <= BROADCAST_CUTS:
-        limits = F.broadcast(limits)
-    return CutPoints(keyed_join(df, limits, by), parts, 2 * (cells + groups), crowded > 0)
-
-
-def _tie_breakers(df: DataFrame) -> list[str]:
-    """Later order columns, so that rows that share an axis value are sampled one by one."""
-    return [c for c in df.columns if c.startswith("_tie_")]
-
-
-def _count_cuts(cuts: Column, parts: int, passed: Callable[[Column], Column]) -> Column:
-    """How many of the ascending ``cuts`` are passed, by halving steps."""
-    steps = [1 << i for i in reversed(range(parts.bit_length()))]
+    cuts = cuts.select(F.to_json(PLACE).alias("cut"), F.floor(F.col("n") / step).alias("number")).checkpoint()
+    length = cuts.agg(F.sum(F.octet_length("cut") + 1)).first()[0] or 0
+    thin = 1 << max(0, math.ceil(math.log2(max(1, length) / CUT_BYTES)))
+    return [r["cut"] for r in cuts.where(F.col("number") % thin == 0).select("cut").collect()], kind
+
+
+def _passed(cuts: Column, n: int, place: Column) -> Column:
+    """How many of the ``n`` ascending cuts are at or before ``place``, by halving steps."""
+    steps = [1 << i for i in reversed(range(n.bit_length()))]
     return F.aggregate(
         F.lit(steps),
         F.lit(0),
-        lambda found, step: F.when(passed(F.get(cuts, found + step - 1)), found + step).otherwise(found),
+        lambda found, step: F.when(F.get(cuts, found + step - 1) <= place, found + step).otherwise(found),
     )
 
 
-def _divide(df: DataFrame, order: Sequence[str], by: Sequence[str], largest: int, block_rows: int) -> CutPoints:
-    """Blocks along ``order[0]``. Null, and a value that is a cut, get a block of their own.
-
-    Open rows in such a block are ``_tied``: they share one value.
-    """
-    ties = {f"_tie_{i}": F.col(c) for i, c in enumerate(order[1:])}
-    placed = _cut_points(
-        df.withColumn(AXIS, _axis(df, order[0])).withColumns(ties), by, largest, block_rows
-    )
-    value, cuts = F.col(AXIS), F.col(CUTS)
-    below = F.coalesce(_count_cuts(cuts, placed.parts, lambda c: c < value), F.lit(0))
-    upto = F.coalesce(_count_cuts(cuts, placed.parts, lambda c: c <= value), F.lit(0))
-    block = F.when(value.isNull(), F.lit(-1)).otherwise(F.col("_below") + F.col("_upto"))
-    divided = placed.df.withColumns({"_below": below, "_upto": upto}).withColumns({
-        BLOCK: F.when(cuts.isNotNull(), block).otherwise(F.lit(0)).cast("bigint"),
-        TIED: F.col(OPEN) & (value.isNull() | (F.col("_below") < F.col("_upto"))),
-        CUT: cuts.isNotNull(),
-    })
-    return placed._replace(df=divided.drop(AXIS, CUTS, OPEN, "_below", "_upto", *ties))
-
-
 def with_blocks(
     df: DataFrame, *, order: Sequence[str], by: Sequence[str] = (), largest: int,
     block_rows: int = BLOCK_ROWS,
 ) -> Blocked:
     """Add ``_block``: contiguous runs of each group in ``order``, of about ``block_rows`` rows.
 
-    Where very many rows share a value of ``order[0]``, or have none, their block is divided along
-    the next order column in the same way, and ``_block`` is an array of the numbers of each level.
-    For text what is shared may be its beginning only; then its rest comes next.
+    ``_block`` is the number of cuts at or before the row, over all groups. What the cuts are
+    decides only where a group is divided, so their way through JSON need not be exact.
     """
-    if OPEN not in df.columns:
-        df = df.withColumn(OPEN, F.lit(True))
-    done = _divide(df, order, by, largest, block_rows)
-    plain = Blocked(done.df.drop(TIED), done.blocks)
-    rest = _rest(done.df, order[0])
-    if not done.crowded or len(order) == 1 and rest is None:
-        return plain
-    tied = done.df.where(TIED)
-    crowd = largest_group(tied, [*by, BLOCK])
-    if crowd <= 2 * block_rows:
-        return plain
-    following = [(c, F.col(c)) for c in order[1:]]
-    if rest is not None:
-        ends = tied.groupBy(*by, BLOCK).agg((F.min(rest) < F.max(rest)).alias("_differ"))
-        if not ends.where("_differ").isEmpty():
-            following.insert(0, (order[0], rest))
-    if not following:
-        return plain
-    # the other rows stay in their block: they are not open to cuts and have no value to cut at
-    lead, (_, value) = f"_own_{len(by)}", following[0]
-    block, cut = (f"{n}_{len(by)}" for n in (BLOCK, CUT))
-    outer = done.df.withColumn(lead, F.when(F.col(TIED), value))
-    outer = outer.withColumnsRenamed({BLOCK: block, CUT: cut, TIED: OPEN})
-    inner = with_blocks(
-        outer, order=[lead, *[c for c, _ in following[1:]]], by=[*by, block], largest=crowd, block_rows=block_rows
-    )
-    deeper = F.col(BLOCK) if isinstance(inner.df.schema[BLOCK].dataType, T.ArrayType) else F.array(BLOCK)
-    both = inner.df.withColumns({BLOCK: F.concat(F.array(block), deeper), CUT: F.col(cut)})
-    return Blocked(both.drop(block, cut, lead), done.blocks + inner.blocks)
+    found, kind = _cut_points(df, order, by, largest, block_rows)
+    if not found:
+        return Blocked(df.withColumns({BLOCK: F.lit(0).cast("bigint"), CUT: F.lit(False)}), 0)
+    # folded by the optimizer into one literal
+    cuts = F.sort_array(F.from_json(F.lit(f"[{','.join(found)}]"), T.ArrayType(kind)))
+    placed = df.withColumn(PLACE, _place(by, order))
+    placed = placed.withColumn(BLOCK, _passed(cuts, len(found), F.col(PLACE)).cast("bigint"))
+
+    def own(cut: Column) -> Column:
+        same = [cut[f"b{i}"].eqNullSafe(F.col(c)) for i, c in enumerate(by)]
+        return functools.reduce(operator.and_, same, cut.isNotNull())
+
+    near = F.exists(F.array(F.get(cuts, F.col(BLOCK) - 1), F.get(cuts, F.col(BLOCK))), own)
+    return Blocked(placed.withColumn(CUT, near if by else F.lit(True)).drop(PLACE), 2 * len(found))
 
 
 def _bring(local: DataFrame, carried: DataFrame, by: Sequence[str], blocks: int) -> DataFrame:
