@@ -1,8 +1,10 @@
 """HTML fields as Spark expressions, and one Arrow-batched parser for nested containers.
 
-Elements that do not nest (headings, times, links) are found with regular expressions inside the
-JVM. Text of a container whose extent depends on balanced tags needs a parser: ``elements_in``
-gives the elements inside each container as an array, and Spark expressions do the rest.
+``tokens`` reads a page once, inside the JVM, into its tags and the text between them; title, date,
+summary and links are looked up among these. The patterns give nothing back once they have taken it
+(possessive), so no page makes them recurse or try again: not unbalanced quotes, nor a tag with very
+many attributes. Text of a container whose extent depends on balanced tags needs a parser:
+``elements_in`` gives the elements inside each container as an array, and Spark expressions do the rest.
 
 What the Python functions give is put behind an ``explode`` before it is filtered (``once``): Spark
 then does not run them a second time in a filter below, while filters on other columns still go
@@ -11,17 +13,25 @@ down to the scan.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ELEMENTS = "array<struct<container:int,tag:string,classes:string,href:string,datetime:string,text:string>>"
 
-_HIDDEN = r"(?is)<(?:!--.*?--|(script|style)\b.*?</\1\s*)>"
-_TAG = r"<[^>]*>"
-# what may stand inside an opening tag: quoted values hold any sign, a lone quote is taken as it is
-_QUOTED = r"""(?:"[^"]*"|'[^']*')"""
-_INSIDE = rf"""(?:[^>"']*(?:{_QUOTED}[^>"']*)*|[^>]*)"""
-_BEFORE = rf"""[^>"']*?(?:{_QUOTED}[^>"']*?)*?(?<![^\s"'/])"""
+# A value that is not closed is none: its quote then begins an attribute, or is part of a bare value.
+_VALUE = r"""(?:\s*+(?:=++\s*+(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+)|=++\s++|(?:=(?==))++=[^>\s]*+))?+"""
+_ATTRIBUTE = rf"""(?<=['"\s/])[^\s/>][^\s/=>]*+{_VALUE}"""
+_NAME = r"[a-zA-Z][^\t\n\r\f />\x00]*+"
+_START = rf"<{_NAME}[\s/]*+(?:{_ATTRIBUTE}(?:\s|/(?!>))*+)*+\s*+/?+>"
+_UNREAD = rf"""<(script|style)(?=[\t\n\r\f >/])(?:\s|/(?!>))*+(?:{_ATTRIBUTE}(?:\s|/(?!>))*+)*+>.*?(?:</\s*+\1\s*+>|\z)"""
+_COMMENT = r"<!--.*?--\s*+>"
+_MARKUP = rf"<(?:/(?=[^>])|\?|!(?!--))[^>]*+>|</>|{_UNREAD}|{_START}"
+# what looks like a tag but is not closed as one is text up to the next >, or to the end if there is none
+_TEXT = rf"<{_NAME}(?=\x00)|<(?:[a-zA-Z]|!--)[^>]*+>|<(?=[a-zA-Z/!?])[^>]*+\z|[^<]++|<"
+_TOKEN = rf"(?is){_COMMENT}|<!--.*+|{_MARKUP}|{_TEXT}"
+_TOKEN_AFTER_OPEN_COMMENT = rf"(?is){_MARKUP}|{_TEXT}"
 
 
 def once(column: Column) -> Column:
@@ -29,46 +39,98 @@ def once(column: Column) -> Column:
     return F.explode(F.array_compact(F.array(column)))
 
 
-def visible(html: Column) -> Column:
-    """Markup without comments, scripts and styles."""
-    return F.regexp_replace(html, _HIDDEN, "")
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def tokens(html: Column) -> Column:
+    """The page as an array of its tags and the texts between them, in order; null for no page.
+
+    Read as ``html.parser`` does: quoted values hold any sign, a script or style is one token to its end
+    tag, and what is not closed is text. Marked sections (``<![``) end at the next ``>``.
+    """
+    def whole(found: Column) -> Column:
+        last = F.get(found, F.size(found) - 1)
+        is_open = last.startswith("<!--") & ~last.rlike(rf"(?s)\A{_COMMENT}\z")
+        # after a comment that is not closed no other one is
+        rest = F.regexp_extract_all(last, F.lit(_TOKEN_AFTER_OPEN_COMMENT), F.lit(0))
+        return F.when(is_open, F.concat(F.slice(found, F.lit(1), F.size(found) - 1), rest)).otherwise(found)
+
+    return _bind(F.regexp_extract_all(html, F.lit(_TOKEN), F.lit(0)), whole)
+
+
+def is_start(token: Column, tag: str) -> Column:
+    """Is it an opening ``tag``?"""
+    near = F.lower(F.substring(token, 1, len(tag) + 1)) == f"<{tag}"
+    return near & token.rlike(rf"(?is)\A(?=<{tag}[\t\n\r\f />\x00])(?:{_UNREAD}|{_START})\z")
 
 
-def has_class(name: str) -> str:
-    """Pattern of a class attribute in which ``name`` is one of the classes, in its own case."""
-    exact = rf"(?-i:\Q{name}\E)"
-    quoted = (rf"{q}(?:[^{q}]*\s)?{exact}(?:\s[^{q}]*)?{q}" for q in ('"', "'"))
-    return rf"class\s*=\s*(?:{'|'.join(quoted)}|{exact}(?=[\s>]))"
+def is_end(token: Column, tag: str) -> Column:
+    """Is it a closing ``tag``?"""
+    return token.startswith("</") & token.rlike(rf"(?i)\A</(?:\s*+{tag}\s*+>|{tag}[\t\n\r\f />\x00])")
+
+
+def is_text(token: Column) -> Column:
+    """Is it text, and no tag, comment, script or style?"""
+    return ~token.startswith("<") | ~token.rlike(rf"(?is)\A(?:{_COMMENT}|{_MARKUP})\z")
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute of an opening tag, null when absent."""
-    pattern = rf"""(?is)^<[^\s/>]+{_BEFORE}{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    found = F.regexp_extract(F.regexp_substr(tag, F.lit(pattern)), pattern, 1)
-    return F.regexp_replace(found, r"""^["']|["']$""", "")
+    """Value of an attribute of an opening tag, references still encoded; the last one if it is there
+    more than once, null without a value."""
+    def is_own(a: Column) -> Column:
+        return (F.lower(F.substring(a, 1, len(name))) == name) & a.rlike(rf"(?s)\A.{{{len(name)}}}(?:[\s=]|\z)")
+
+    def value(a: Column) -> Column:
+        given = F.regexp_extract(a, rf"(?s)\A.{{{len(name)}}}\s*+(=.*+)?+\z", 1)
+        quoted = given.rlike(r"""(?s)\A=++\s*+(?:"[^"]*+"|'[^']*+')\z""")
+        return (
+            F.when(given == "", F.lit(None).cast("string"))
+            .when(quoted, F.regexp_extract(given, r"(?s)\A=++\s*+.(.*).\z", 1))
+            .when(given.rlike(r"""\A={2,}+['"]"""), F.regexp_replace(given, r"\A=++", "="))
+            .otherwise(F.regexp_replace(given, r"\A=++\s*+", ""))
+        )
+
+    each = F.regexp_extract_all(tag, F.lit(rf"(?is)\G(?:\A<{_NAME})?+(?:\s|/(?!>))*+({_ATTRIBUTE})"), F.lit(1))
+    return _bind(F.filter(each, is_own), lambda own: value(F.get(own, F.size(own) - 1)))
+
+
+def has_class(tag: Column, name: str) -> Column:
+    """Is ``name``, in its own case, among the classes of an opening tag?"""
+    return F.coalesce(F.array_contains(F.split(attribute(tag, "class"), r"\s+"), name), F.lit(False))
+
 
+def _fits(token: Column, tag: str, cls: str | None, where: tuple[str, str] | None) -> Column:
+    found = is_start(token, tag)
+    if cls:
+        found = found & has_class(token, cls)
+    if where:
+        found = found & attribute(token, where[0]).eqNullSafe(where[1])
+    return found
 
-def _open_tag(tag: str, cls: str | None, where: str | None) -> str:
-    looks = [f"(?={_BEFORE}{p})" for p in (has_class(cls) if cls else None, where) if p]
-    return rf"<{tag}(?=[\s/>]){''.join(looks)}"
 
+def first_text(page: Column, tag: str, cls: str | None = None, where: tuple[str, str] | None = None) -> Column:
+    """Text of the first such element among the tokens of a page, up to its end tag or else to the end,
+    references still encoded; null when there is none. ``where`` is an attribute and its value."""
+    def joined(rest: Column) -> Column:
+        end = F.array_min(F.transform(rest, lambda t, i: F.when(is_end(t, tag), i)))
+        inside = F.slice(rest, F.lit(1), F.coalesce(end, F.size(rest)))
+        return F.array_join(F.filter(inside, is_text), "")
 
-def first_text(html: Column, tag: str, cls: str | None = None, where: str | None = None) -> Column:
-    """Text of the first such element (to the end of the page if it is not closed), entities still
-    encoded; null when there is none."""
-    element = rf"(?is){_open_tag(tag, cls, where)}{_INSIDE}>(?:.*?</{tag}\s*>|.*)"
-    return F.regexp_replace(F.regexp_substr(html, F.lit(element)), rf"<(?:{_INSIDE})>", "")
+    start = F.array_min(F.transform(page, lambda t, i: F.when(_fits(t, tag, cls, where), i)))
+    return _bind(start, lambda at: F.when(at.isNotNull(), _bind(F.slice(page, at + 2, F.size(page)), joined)))
 
 
-def first_tag(html: Column, tag: str, cls: str | None = None) -> Column:
-    """The first such opening tag; null when there is none."""
-    return F.regexp_substr(html, F.lit(rf"(?is){_open_tag(tag, cls, None)}{_INSIDE}>"))
+def first_tag(page: Column, tag: str, cls: str | None = None) -> Column:
+    """The first such opening tag among the tokens of a page; null when there is none."""
+    return F.get(F.filter(page, lambda t: _fits(t, tag, cls, None)), F.lit(0))
 
 
-def anchors(html: Column, cls: str | None = None) -> Column:
-    """Link targets of all such anchors that have one, in page order."""
-    tags = F.regexp_extract_all(html, F.lit(rf"(?is)({_open_tag('a', cls, None)}{_INSIDE}>)"), F.lit(1))
-    return F.filter(F.transform(tags, lambda t: attribute(t, "href")), lambda h: h.isNotNull())
+def anchors(page: Column, cls: str | None = None) -> Column:
+    """Link targets of all such anchors that have one, in page order, from the tokens of a page."""
+    found = F.transform(F.filter(page, lambda t: _fits(t, "a", cls, None)), lambda t: attribute(t, "href"))
+    return F.filter(found, lambda h: h.isNotNull())
 
 
 def unescape(column: Column) -> Column:

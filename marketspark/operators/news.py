@@ -36,7 +36,7 @@ ANCHOR_PATTERN = r'<a\s[^>]*class="[^"]*subtle-link[^"]*"[^>]*href="([^"]*\.html
 BLOCKED_LINKS = ("https://policies.oath.com/us/en/oath/privacy/adinfo/index.html",)
 CARD_CLASS = "yY3Lee"
 CARD_TEXT_CLASS = "Adak"
-HEADLINE_MARK = r"""data-test-locator\s*=\s*["']?headline["'\s>]"""
+HEADLINE_MARK = ("data-test-locator", "headline")
 
 
 @dataclass(frozen=True)
@@ -44,7 +44,7 @@ class ArticleRule:
     """Where title, date and body of an article stand on the pages of a site."""
 
     title_class: str | None = None
-    title_where: str | None = None
+    title_where: tuple[str, str] | None = None
     date_class: str | None = None
     date_from_attribute: bool = False
     summary: tuple[str, str | None] | None = None
@@ -95,7 +95,7 @@ def extract_links(
     if pattern:
         found = F.regexp_extract_all("html", F.lit(pattern), F.lit(1))
     else:
-        found = H.anchors(H.visible(F.col("html")), cls)
+        found = H.anchors(H.tokens(F.col("html")), cls)
     links = pages.select(*keep, F.posexplode(found).alias("link_no", "link"))
     if not pattern:
         links = links.select(*keep, "link_no", H.once(H.unescape(F.col("link"))).alias("link"))
@@ -125,7 +125,7 @@ def extract_story_links(
 
 def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_LINK_CLASS) -> DataFrame:
     """The link of the first such anchor; pages without it are left out."""
-    anchor = H.first_tag(H.visible(F.col("html")), "a", cls)
+    anchor = H.first_tag(H.tokens(F.col("html")), "a", cls)
     # exploding the one link drops the nulls without finding it a second time for a filter
     found = pages.select(*keep, H.once(H.attribute(anchor, "href")).alias("link"))
     return found.withColumn("link", H.unescape(F.col("link")))
@@ -156,8 +156,8 @@ def join_articles(
 
 def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:
     """Title, date and content of each page; a page without a body is left out first."""
-    rows = pages.withColumn("_visible", H.visible(F.col("html")))
-    body = F.col("_visible")
+    rows = pages.withColumn("_tokens", H.tokens(F.col("html")))
+    body = F.col("_tokens")
     if rule.summary:
         # exploding the one text drops pages without it in the same pass that finds it
         rows = rows.withColumn("_content", H.once(H.first_text(body, *rule.summary)))
