@@ -65,6 +65,20 @@ def test_csv(spark, folder):
     return files.read_test_csv(spark, path)
 
 
+@query("test_csv_split", """
+    select conv_id || chr(10) || text || ' "' || role || '", ' || turn as prompt, role as target from conversations
+""")
+def test_csv_split(spark, folder):
+    """Files with newlines and doubled quotes in their fields, each read by many tasks."""
+    path = scratch_path(spark, "split")
+    prompt = F.concat(
+        F.col("conv_id").cast("string"), F.lit("\n"), "text", F.lit(' "'), "role", F.lit('", '), F.col("turn").cast("string")
+    )
+    rows = table(spark, folder, "conversations").select(prompt.alias("Prompt"), F.col("role").alias("Target"))
+    store.write_csv(rows, path)
+    return files.read_test_csv_split(spark, path, chunk_bytes=1 << 18)
+
+
 @query("test_csv_reordered", """
     select conv_id || ' "' || role || '", ' || turn as prompt, role as target from conversations
 """)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+import csv
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketspark import schemas
+from marketspark.operators.skew import small_side, written
 
 BAD_LINE = "_bad_line"
 
@@ -76,8 +79,8 @@ def read_train_jsonl(spark: SparkSession, path: str, *, on_error: str = "raise")
 def read_test_csv(spark: SparkSession, path: str) -> DataFrame:
     """prompt and target from header CSV, found by the names in the header, whatever their order.
 
-    Quoted fields may hold newlines. A file with multi-line fields is read by one task, so land
-    many files with one header, not one.
+    Quoted fields may hold newlines. A file is read by one task; ``read_test_csv_split`` reads large
+    ones in parallel.
     """
     raw = (
         spark.read.option("header", True).option("multiLine", True).option("quote", '"')
@@ -89,6 +92,72 @@ def read_test_csv(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("Prompt").alias("prompt"), F.col("Target").alias("target"))
 
 
+@contextlib.contextmanager
+def _chunks_of(spark: SparkSession, size: int | None) -> Iterator[None]:
+    """Scans in this block read files in splits of ``size`` bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {name: spark.conf.get(name) for name in names} if size else {}
+    try:
+        for name in before:
+            spark.conf.set(name, size)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def split_records(spark: SparkSession, path: str, *, chunk_bytes: int | None = None) -> DataFrame:
+    """file, block, number, record: the records of CSV files, whose quoted fields may hold newlines.
+
+    Each task reads one chunk (a split of a file). Quotes are counted by chunk and their parity summed up
+    along the file, so that every chunk knows whether it begins inside a field; a record begins at each
+    line with an even number of quotes before it. What a chunk holds of a record that began earlier, and
+    its last record, are then put together along the file. Only quoted fields may hold quotes, doubled.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path)
+    lines = raw.select(
+        F.regexp_replace("value", r"\r$", "").alias("line"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"),
+    )
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file", "block")
+    upto = inside.orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    with _chunks_of(spark, chunk_bytes):
+        sums = lines.groupBy("file", "block").agg(F.sum(quotes).alias("q"))
+        opening = small_side(sums.select("file", "block", F.coalesce(F.sum("q").over(earlier) % 2, F.lit(0)).alias("odd")))
+        known = lines.withColumn("q", quotes).join(opening, ["file", "block"])
+        begins = F.when((F.col("odd") + F.sum("q").over(upto) - F.col("q")) % 2 == 0, 1).otherwise(0)
+        numbered = known.withColumn("begins", begins).withColumn("number", F.sum("begins").over(upto))
+        numbered = numbered.withColumn("last", F.max("number").over(inside))
+        pieces = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
+        parts = written(numbered.groupBy("file", "block", "number").agg(F.first("last").alias("last"), F.array_join(pieces, "\n").alias("record")))
+    # a chunk's beginning and its last record may belong to records of other chunks
+    edge = (F.col("number") == 0) | (F.col("number") == F.col("last"))
+    along = Window.partitionBy("file").orderBy("block", "number").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    owner = F.last(F.when(F.col("number") > 0, F.struct("block", "number")), ignorenulls=True).over(along)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("block", "number", "record"))), lambda x: x["record"])
+    edges = parts.where(edge).withColumn("owner", owner).groupBy("file", "owner").agg(F.array_join(ordered, "\n").alias("record"))
+    return parts.where(~edge).select("file", "block", "number", "record").unionByName(edges.select("file", "owner.block", "owner.number", "record"))
+
+
+def read_test_csv_split(spark: SparkSession, path: str, *, chunk_bytes: int | None = None) -> DataFrame:
+    """As ``read_test_csv``, with every file read by many tasks; all files have the same header."""
+    records = split_records(spark, path, chunk_bytes=chunk_bytes)
+    first = (F.col("block") == 0) & (F.col("number") == 1)
+    headers = [r["record"] for r in records.where(first).select("record").distinct().limit(2).collect()]
+    if len(headers) != 1:
+        raise ValueError(f"the files below {path} have {'different headers' if headers else 'no header'}")
+    names = next(csv.reader([headers[0]]))
+    absent = [c for c in schemas.TEST_CSV.names if c not in names]
+    if absent:
+        raise ValueError(f"no column {', '.join(absent)} in {path}")
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))]).toDDL()
+    rows = records.where(~first & (F.col("record") != ""))
+    fields = rows.select(F.from_csv("record", schema, {"quote": '"', "escape": '"'}).alias("r"))
+    return fields.select(F.col(f"r.c{names.index('Prompt')}").alias("prompt"), F.col(f"r.c{names.index('Target')}").alias("target"))
+
+
 def check_asset_type(asset_type: str, known: Sequence[str] = schemas.ASSET_TYPES) -> str:
     if asset_type not in known:
         raise ValueError(f"unknown asset type {asset_type!r}; known: {', '.join(known)}")

@@ -1,4 +1,6 @@
+import csv
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,6 +55,34 @@ def test_csv_with_newlines_and_quotes(spark, tmp_path):
     assert [tuple(r) for r in files.read_test_csv(spark, path).collect()] == [('a, "b"\n\nc', "bullish"), ("plain", "bearish")]
 
 
+@pytest.mark.parametrize("chunk_bytes", [7, 40, 300, None])
+def test_csv_in_chunks_equals_the_whole_file(spark, tmp_path, chunk_bytes):
+    rng = random.Random(chunk_bytes)
+    cells = ["", "a", '"', '""', "\n", "\n\n", ",", "x, y", 'say "so"', "é日本", "one long text without any end " * 3, "\n" * 30, '"\n"']
+    for name in ("a.csv", "b.csv"):
+        rows = [(str(i), "".join(rng.choice(cells) for _ in range(rng.randrange(5))), rng.choice(["bullish", "bearish"])) for i in range(60)]
+        with open(tmp_path / name, "w", newline="") as out:
+            writer = csv.writer(out, lineterminator="\n")
+            writer.writerows([("Number", "Prompt", "Target"), *rows])
+    whole = files.read_test_csv(spark, str(tmp_path))
+    split = files.read_test_csv_split(spark, str(tmp_path), chunk_bytes=chunk_bytes)
+    assert split.columns == whole.columns
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    if chunk_bytes:
+        blocks = files.split_records(spark, str(tmp_path), chunk_bytes=chunk_bytes).select("file", "block").distinct().count()
+        assert blocks > 4
+
+
+def test_csv_with_windows_line_ends_and_one_header(spark, tmp_path):
+    path = write(tmp_path, "t.csv", 'Target,Prompt\r\nbullish,"a\r\nb"\r\nbearish,c\r\n')
+    assert [tuple(r) for r in files.read_test_csv_split(spark, path, chunk_bytes=9).collect()] == [("a\nb", "bullish"), ("c", "bearish")]
+    write(tmp_path, "u.csv", "Prompt,Target\nx,y\n")
+    with pytest.raises(ValueError):
+        files.read_test_csv_split(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        files.read_test_csv_split(spark, write(tmp_path, "w.csv", "Prompt,other\nx,y\n"))
+
+
 def test_csv_by_name(spark, tmp_path):
     path = write(tmp_path, "t.csv", ',Target,Prompt\n0,bullish,"a\nb"\n1,bearish,c\n')
     assert [tuple(r) for r in files.read_test_csv(spark, path).collect()] == [("a\nb", "bullish"), ("c", "bearish")]
