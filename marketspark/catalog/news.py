@@ -9,7 +9,7 @@ from marketspark.functions.text import fill_template
 from marketspark.operators import news, reshape
 from marketspark.operators.news import ArticleRule
 from marketspark.plans import news as flows
-from marketspark.sources import files
+from marketspark.sources import files, store
 
 PAGE_RULE = ArticleRule(summary=("title", None))
 HREFS = r"""regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"', 1)"""
@@ -131,6 +131,34 @@ def page_paragraphs(spark, folder):
     return news.extract_articles(pages(spark, folder), rule, keep=["page_id", "url"])
 
 
+FLAT_PARAGRAPHS = """array_to_string(list_transform(parts, lambda x: regexp_replace(split_part(x, '</p>', 1), '<[^>]*>', '', 'g')), ' ')"""
+
+
+@query("page_paragraphs_flat", f"""
+    with a as (
+        select *, string_split(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<p>')[2:] as parts from pages
+    )
+    select page_id, url, {DECODED.format(FLAT_PARAGRAPHS)} as content from a
+""")
+def page_paragraphs_flat(spark, folder):
+    """A new paragraph ends an open one: no more text than the page has."""
+    rule = ArticleRule(body=("article", None), nested_paragraphs=False)
+    return news.extract_articles(pages(spark, folder), rule, keep=["page_id", "url"]).drop("title", "date")
+
+
+@query("links_not_in_table", f"""
+    with l as (select page_id, unnest({HREFS}) as link, unnest(generate_series(0, len({HREFS}) - 1)) as link_no from pages)
+    select page_id, link_no::int as link_no, link from l
+    where link not in (select ({HREFS})[1] from pages where page_id % 3 = 0 and len({HREFS}) > 0)
+""")
+def links_not_in_table(spark, folder):
+    """Links of all pages that are no first link of every third page; the list is too long to be broadcast."""
+    landed = pages(spark, folder)
+    links = news.extract_links(landed, keep=["page_id"], suffix=None)
+    firsts = news.more_link(landed.where("page_id % 3 = 0"), keep=["page_id"], cls=None)
+    return news.exclude_links(links, firsts, row_key=["page_id", "link_no"], rows=50, small_rows=0)
+
+
 LINKED_SQL = f"""
     with l as (select page_id, unnest({HREFS}) as link, unnest(generate_series(0, len({HREFS}) - 1)) as link_no from pages),
     landed as (select link, min(page_id) as target from (select ({HREFS})[1] as link, page_id from pages) group by 1)
@@ -220,6 +248,78 @@ def company_updates(spark, folder):
     return flows.company_updates(docs.select("ticker"), _companies(docs), pages)
 
 
+SHARED_STORIES = STORIES + """<div class="eachStory"><a href="/news/of-{lang}.cms">{lang}</a></div>
+<div class="eachStory"><p>no link</p></div><div class="eachStory"><a href="/news/all.cms">all</a></div>
+<div class="eachStory"><a href="/news/gone-{lang}.cms">not landed</a></div>"""
+EMPTY_PAGE = """<h1 class="artTitle">{source}</h1><![no body here"""
+UPDATES = news.ET_BASE + "/{lang}/stocksupdate/companyid-{ticker}.cms"
+
+
+def _shared_pages(docs):
+    """A ticker a document, with a story of its own (without a body if it is French), one that all of its
+    language have, and one that everybody has."""
+    languages = docs.select("lang", "lang", F.lit("lang").alias("source"), F.lit("").alias("ticker")).distinct()
+    languages = languages.toDF("lang", "body", "source", "ticker")
+    everybody = docs.select(F.lit("all").alias("lang"), F.lit("all").alias("body"), F.lit("all").alias("source"), F.lit("").alias("ticker")).distinct()
+    return reshape.union_all(
+        _landed(docs, (UPDATES, SHARED_STORIES)),
+        _landed(docs.where("lang <> 'fr'"), (news.ET_BASE + "/news/{ticker}.cms", STORY_PAGE)),
+        _landed(docs.where("lang = 'fr'"), (news.ET_BASE + "/news/{ticker}.cms", EMPTY_PAGE)),
+        _landed(languages, (news.ET_BASE + "/news/of-{lang}.cms", STORY_PAGE)),
+        _landed(everybody, (news.ET_BASE + "/news/all.cms", STORY_PAGE)),
+    )
+
+
+@query("company_updates_shared", f"""
+    select * from ({STORY_SQL}) where ticker not in (select doc_id::varchar from documents where lang = 'fr')
+    union all
+    select 'https://economictimes.indiatimes.com/news/of-' || lang || '.cms', doc_id::varchar, 'lang & ' || lang, 'Last Updated: ' || lang, lang from documents
+    union all
+    select 'https://economictimes.indiatimes.com/news/all.cms', doc_id::varchar, 'all & all', 'Last Updated: all', 'all' from documents
+""")
+def company_updates_shared(spark, folder):
+    """Several stories a ticker, stories that many tickers share, and an address that all have."""
+    docs = _documents(spark, folder)
+    return flows.company_updates(docs.select("ticker"), _companies(docs), _shared_pages(docs))
+
+
+@query("stored_updates_shared", f"""
+    select ticker, url, title, content from ({STORY_SQL}) where ticker not in (select doc_id::varchar from documents where lang = 'fr')
+    union all
+    select doc_id::varchar, 'https://economictimes.indiatimes.com/news/of-' || lang || '.cms', 'lang & ' || lang, lang from documents
+    union all
+    select doc_id::varchar, 'https://economictimes.indiatimes.com/news/all.cms', 'all & all', 'all' from documents
+""")
+def stored_updates_shared(spark, folder):
+    """The same over pages in buckets, with links too many to be broadcast and addresses too hot for a bucket."""
+    docs = _documents(spark, folder)
+    landed = store.store_pages(_shared_pages(docs), buckets=16)
+    listing = news.join_articles(
+        news.company_urls(_companies(docs), news.COMPANY_NEWS_PAGE, name="link").select("ticker", "link"), landed, row_key=["ticker"], small_rows=0
+    )
+    links = news.extract_story_links(listing, keep=["ticker"])
+    stories = news.join_articles(links, landed, row_key=["ticker", "link_no"], rows=100, small_rows=0)
+    return news.extract_articles(stories, news.ET_ARTICLE, keep=["ticker", "url"]).drop("date")
+
+
+@query("page_errors", """
+    with d as (select doc_id, doc_id::varchar as ticker, lang, 'https://economictimes.indiatimes.com' as base from documents),
+    l as (select *, base || '/' || lang || '/stocksupdate/companyid-' || ticker || '.cms' as listing,
+                 'https://www.google.com/finance/quote/' || ticker || ':NSE?sa=X&ved=2ahUKEwiDhJPLw5LzAhUhyzgGHYzqBDQQ3ecFegQINBAH' as quote from d)
+    select ticker, base || '/news/gone-' || lang || '.cms' as url, null::int as part, 'page not landed' as error from l
+    union all select ticker, listing, 3, 'no link' from l
+    union all select ticker, base || '/news/' || ticker || '.cms', null, 'no body' from l where lang = 'fr'
+    union all select ticker, quote, 2, 'no description' from l
+    union all select ticker, quote, 3, 'no link' from l
+""")
+def page_errors(spark, folder):
+    """What two flows leave out, by page and card, beside the pages and cards that are good."""
+    docs = _documents(spark, folder)
+    tickers = docs.select("ticker")
+    cards = _landed(docs, (news.GOOGLE_QUOTE_PAGE, CARDS + '<div class="yY3Lee"><div class="Adak">no link</div></div>'))
+    return flows.update_errors(tickers, _companies(docs), _shared_pages(docs)).unionByName(flows.headline_errors(tickers, cards))
+
+
 ANCHORS = """<a class="subtle-link big" href="https://site.example/{ticker}.html">{lang}</a>
 <a class="subtle-link" href="https://policies.oath.com/us/en/oath/privacy/adinfo/index.html">ad</a>
 <a class="subtle-link" href="https://site.example/{ticker}.htm">other kind</a><a class="subtle-link">none</a>"""

@@ -13,12 +13,25 @@ down to the scan.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Callable
+from html import unescape as unescape_text
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ELEMENTS = "array<struct<container:int,tag:string,classes:string,href:string,datetime:string,text:string>>"
+READ = f"found {ELEMENTS}, error string"
+#: Signs of text that the elements of one page may hold together in a worker.
+MOST_TEXT = 64 << 20
+
+# Elements that are one token, elements whose text is not read, and those that never have content.
+RAW = frozenset(("script", "style"))
+UNREAD = frozenset(("template",))
+VOID = frozenset((
+    "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
+))
 
 # A value that is not closed is none: its quote then begins an attribute, or is part of a bare value.
 _VALUE = r"""(?:\s*+(?:=++\s*+(?:'[^']*+'|"[^"]*+"|(?!['"])[^>\s]*+)|=++\s++|(?:=(?==))++=[^>\s]*+))?+"""
@@ -33,6 +46,12 @@ _TEXT = rf"<{_NAME}(?=\x00)|<(?:[a-zA-Z]|!--)[^>]*+>|<(?=[a-zA-Z/!?])[^>]*+\z|[^
 _TOKEN = rf"(?is){_COMMENT}|<!--.*+|{_MARKUP}|{_TEXT}"
 _TOKEN_AFTER_OPEN_COMMENT = rf"(?is){_MARKUP}|{_TEXT}"
 
+# The same in Python, for one token.
+_START_NAME = re.compile(rf"<({_NAME})")
+_END_NAME = re.compile(r"</(?:\s*+([a-zA-Z][-.a-zA-Z0-9:_]*+)\s*+>|([a-zA-Z][^\t\n\r\f />\x00]*+))", re.A)
+_NEXT_ATTRIBUTE = re.compile(rf"(?:\s|/(?!>))*+({_ATTRIBUTE})", re.A)
+_NAME_AND_VALUE = re.compile(r"([^\s/>][^\s/=>]*+)\s*+(=.*)?\Z", re.A | re.S)
+
 
 def once(column: Column) -> Column:
     """The value as a row of its own, computed once; rows without a value are left out."""
@@ -138,112 +157,147 @@ def unescape(column: Column) -> Column:
 
     @F.pandas_udf("string")
     def decode(texts):
-        from html import unescape as plain
-
-        return texts.map(plain, na_action="ignore")
+        return texts.map(unescape_text, na_action="ignore")
 
     return decode(column)
 
 
-def elements_in(html: Column, tag: str, cls: str | None, wanted: tuple[str, ...], text: tuple[str, ...] = ()) -> Column:
-    """Elements named in ``wanted`` inside each ``tag`` (class ``cls``), in page order.
+def read_elements(
+    html: Column, tag: str, cls: str | None, wanted: tuple[str, ...], text: tuple[str, ...] = (), *,
+    nested: bool = True, most_text: int = MOST_TEXT,
+) -> Column:
+    """(found, error): elements named in ``wanted`` inside each ``tag`` (class ``cls``), in page order.
 
     Tags are closed only by their own end tag or an outer one, so an unclosed paragraph holds the
-    text of the paragraphs after it. ``container`` numbers the containers of a page from 0; one
+    text of the paragraphs after it; the text of many of these grows with their square. With
+    ``nested=False`` a wanted tag ends an open one of its name in the same container, and all texts
+    together are no longer than the page. ``container`` numbers the containers of a page from 0; one
     with no wanted element still gives one entry, with a null tag. The text is given for the
     elements named in ``text`` only. Pages that do not name the class are not sent to Python.
+
+    What goes wrong with a page is its ``error`` (then nothing is found), and no other page's: texts of
+    more than ``most_text`` signs together, or what Python says.
     """
 
-    @F.pandas_udf(ELEMENTS)
+    @F.pandas_udf(READ)
     def parse(pages):
-        from html.parser import HTMLParser
-
         import pandas as pd
 
-        # Elements whose text is not read, and elements that never have content.
-        unread = {"script", "style", "template"}
-        void = {
-            "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param",
-            "source", "track", "wbr",
-        }
-
-        class Inside(HTMLParser):
-            """Marks each wanted element with its range in the list of text pieces."""
-
-            def __init__(self):
-                super().__init__(convert_charrefs=True)
-                self.open, self.found, self.texts = [], [], []
-                self.containers = self.hidden = 0
-
-            def handle_starttag(self, name, attrs):
-                attrs = dict(attrs)
-                classes = attrs.get("class") or ""
-                records = []
-                if name in wanted:
-                    records = [
-                        {
-                            "container": container, "tag": name, "classes": classes,
-                            "href": attrs.get("href"), "datetime": attrs.get("datetime"),
-                            "start": len(self.texts), "end": None,
-                        }
-                        for _, container, _ in self.open if container is not None
-                    ]
-                    self.found += records
-                container = None
-                if name == tag and (cls is None or cls in classes.split()):
-                    container = self.containers
-                    self.containers += 1
-                if name in void:
-                    self.shut(records)
-                else:
-                    self.open.append((name, container, records))
-                    self.hidden += name in unread
-
-            def handle_startendtag(self, name, attrs):
-                self.handle_starttag(name, attrs)
-                self.handle_endtag(name)
-
-            def handle_endtag(self, name):
-                if any(name == opened for opened, _, _ in self.open):
-                    last = None
-                    while last != name:
-                        last, _, records = self.open.pop()
-                        self.hidden -= last in unread
-                        self.shut(records)
-
-            def handle_data(self, data):
-                if not self.hidden:
-                    self.texts.append(data)
-
-            def shut(self, records):
-                for record in records:
-                    record["end"] = len(self.texts)
-
-            def rows(self):
-                for record in self.found:
-                    pieces = slice(record.pop("start"), record.pop("end"))
-                    yield {**record, "text": "".join(self.texts[pieces]) if record["tag"] in text else None}
-
-        def one(page):
+        def one(page, is_text):
             if page is None:
-                return None
-            parser = Inside()
-            parser.feed(page)
-            parser.close()
-            rows = list(parser.rows())
-            filled = {r["container"] for r in rows}
-            rows += [
-                dict.fromkeys(("tag", "classes", "href", "datetime", "text")) | {"container": c}
-                for c in range(parser.containers) if c not in filled
-            ]
-            return sorted(rows, key=lambda r: r["container"])
+                return None, None
+            try:
+                return _elements(page, is_text, tag, cls, wanted, text, nested, most_text), None
+            except Exception as problem:  # one page must not end the others
+                return [], f"{type(problem).__name__}: {problem}"
 
-        return pd.Series([one(p) for p in pages])
+        return pd.DataFrame([one(p, t) for p, t in zip(pages["tokens"], pages["texts"])], columns=["found", "error"])
+
+    def both(page: Column) -> Column:
+        return parse(_bind(tokens(page), lambda t: F.struct(t.alias("tokens"), F.transform(t, is_text).alias("texts"))))
 
     if cls is None:
-        return parse(html)
+        return both(html)
     named = html.contains(cls)
-    return F.when(html.isNull() | named, parse(F.when(named, html))).otherwise(F.array().cast(ELEMENTS))
+    none = F.struct(F.array().cast(ELEMENTS).alias("found"), F.lit(None).cast("string").alias("error"))
+    return F.when(html.isNull() | named, both(F.when(named, html))).otherwise(none)
+
+
+def _attributes(token: str, at: int) -> tuple[dict[str, str | None], int]:
+    """Attributes of an opening tag, whose name ends at ``at``, with references decoded, and where they end.
+
+    Of each name the last one counts.
+    """
+    out = {}
+    while found := _NEXT_ATTRIBUTE.match(token, at):
+        name, given = _NAME_AND_VALUE.match(found[1]).groups()
+        if given:
+            value = given.lstrip("=").lstrip(" \t\n\r\f\v")
+            if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'":
+                value = value[1:-1]
+            elif value[:1] in ("'", '"'):
+                value = "=" + value
+            given = unescape_text(value)
+        out[name.lower()] = given
+        at = found.end()
+    return out, at
+
+
+def _elements(page, is_text, tag, cls, wanted, text, nested, most_text) -> list[dict]:
+    """The entries of one page, from its tokens and whether each is text; every token is met once."""
+    opened, counts, containers = [], Counter(), []  # (name, container, records); open ones of a name; places in opened
+    found, pieces, hidden, numbered = [], [], 0, 0
+
+    def shut(records):
+        for record in records:
+            record["end"] = len(pieces)
+
+    def close(name):
+        nonlocal hidden
+        last = None
+        while last != name:
+            last, container, records = opened.pop()
+            counts[last] -= 1
+            hidden -= last in UNREAD
+            if container is not None:
+                containers.pop()
+            shut(records)
+
+    for token, plain in zip(page, is_text):
+        if plain:
+            if not hidden:
+                pieces.append(unescape_text(token))
+            continue
+        if token.startswith("</"):
+            end = _END_NAME.match(token)
+            name = (end[1] or end[2]).lower() if end else None
+            if counts[name]:
+                close(name)
+            continue
+        start = _START_NAME.match(token)
+        if not start:
+            continue
+        name = start[1].lower()
+        if not nested and name in wanted and counts[name]:
+            inner = containers[-1] if containers else -1
+            if any(opened[i][0] == name for i in range(len(opened) - 1, inner, -1)):
+                close(name)
+        attributes, at = {}, 0
+        if name == tag or name in wanted or token.endswith("/>"):
+            attributes, at = _attributes(token, start.end())
+        classes, records, container = attributes.get("class") or "", [], None
+        if name in wanted:
+            records = [
+                {"container": opened[i][1], "tag": name, "classes": classes, "href": attributes.get("href"),
+                 "datetime": attributes.get("datetime"), "start": len(pieces), "end": None}
+                for i in containers
+            ]
+            found += records
+        if name == tag and (cls is None or cls in classes.split()):
+            container = numbered
+            numbered += 1
+        if name in VOID or name in RAW or at and token[at:].strip() == "/>":
+            shut(records)
+            continue
+        if container is not None:
+            containers.append(len(opened))
+        opened.append((name, container, records))
+        counts[name] += 1
+        hidden += name in UNREAD
+    for _, _, records in opened:
+        shut(records)
+    before = [0]
+    for piece in pieces:
+        before.append(before[-1] + len(piece))
+    total = sum(before[r["end"]] - before[r["start"]] for r in found if r["tag"] in text)
+    if total > most_text:
+        raise ValueError(f"{total} signs of text in nested elements, {most_text} at most")
+    for record in found:
+        start, end = record.pop("start"), record.pop("end")
+        record["text"] = "".join(pieces[start:end]) if record["tag"] in text else None
+    filled = {r["container"] for r in found}
+    found += [dict.fromkeys(("tag", "classes", "href", "datetime", "text")) | {"container": c} for c in range(numbered) if c not in filled]
+    return sorted(found, key=lambda r: r["container"])
 
 
 def of_container(elements: Column, number: int, tag: str) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marketspark.functions import html as H
 from marketspark.functions.text import fill_template, resolve
 from marketspark.operators.ordering import BLOCK_ROWS
-from marketspark.operators.skew import SMALL_ROWS, bounded, salted_join
+from marketspark.operators.skew import SMALL_ROWS, bounded, hash_bits, hot_keys, maybe_among, salted_join, small_side
 
 #: Hashes of wanted addresses that are broadcast at most.
 WANTED_HASHES = 4_000_000
@@ -41,7 +41,11 @@ HEADLINE_MARK = ("data-test-locator", "headline")
 
 @dataclass(frozen=True)
 class ArticleRule:
-    """Where title, date and body of an article stand on the pages of a site."""
+    """Where title, date and body of an article stand on the pages of a site.
+
+    With ``nested_paragraphs`` an unclosed paragraph of the body also has the text of those after it;
+    without, a new one ends it, and the content is no longer than the page.
+    """
 
     title_class: str | None = None
     title_where: tuple[str, str] | None = None
@@ -49,6 +53,7 @@ class ArticleRule:
     date_from_attribute: bool = False
     summary: tuple[str, str | None] | None = None
     body: tuple[str, str | None] | None = None
+    nested_paragraphs: bool = True
 
 
 ET_ARTICLE = ArticleRule(title_class="artTitle", date_class="jsdtTime", summary=("h2", "summary"))
@@ -106,21 +111,72 @@ def extract_links(
     return links.withColumn("link", resolve(base, F.col("link")))
 
 
-def extract_story_links(
+def exclude_links(
+    links: DataFrame, excluded: DataFrame, *, row_key: Sequence[str], rows: int = BLOCK_ROWS, small_rows: int = SMALL_ROWS
+) -> DataFrame:
+    """``links`` without those whose ``link`` is among the links of the table ``excluded``.
+
+    The table is reduced to its different links, written and counted; a small one is broadcast. To a
+    large one the links are joined, hot ones salted by ``row_key``. A null link is excluded only if the
+    table has a null.
+    """
+    listed, small = bounded(excluded.select(F.col("link").alias("_listed")).distinct(), small_rows)
+    if small:
+        return links.join(listed, F.col("link").eqNullSafe(F.col("_listed")), "left_anti")
+    # null and text as one key that is never null, so that the salted join can be a plain one
+    def key(link: str) -> Column:
+        return F.when(F.col(link).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(link))).alias("_key")
+
+    right = listed.select(key("_listed"), F.lit(True).alias("_found"))
+    joined = salted_join(links.withColumn("_key", key("link")), right, ["_key"], "left", row_key=row_key, rows=rows)
+    return joined.where(F.col("_found").isNull()).drop("_key", "_found")
+
+
+def read_story_links(
     pages: DataFrame, *, keep: Sequence[str], container: tuple[str, str | None] = ("div", STORY_CLASS),
     suffix: str | None = STORY_SUFFIX, base: str = ET_BASE,
 ) -> DataFrame:
-    """The first anchor of each story container, if it has a link with the suffix."""
-    elements = H.elements_in(F.col("html"), *container, ("a",))
+    """link_no, link and error of each story container: its first anchor, or why there is none.
+
+    A page that cannot be read is one row with a null ``link_no``. Links without the suffix are other
+    kinds of pages and left out.
+    """
+    rows = _elements(pages, keep, H.read_elements(F.col("html"), *container, ("a",)))
     firsts = F.filter(
         "_e", lambda e, i: (i == 0) | (F.get(F.col("_e"), i - 1)["container"] != e["container"])
     )
-    rows = pages.select(*keep, elements.alias("_e")).select(*keep, F.explode(firsts).alias("a"))
-    rows = rows.select(*keep, F.col("a.container").alias("link_no"), F.col("a.href").alias("link"))
-    kept = rows.where(F.col("link").isNotNull())
+    rows = rows.select(*keep, "_error", F.explode_outer(firsts).alias("a"))
+    rows = rows.select(
+        *keep, F.col("a.container").alias("link_no"), F.col("a.href").alias("link"),
+        F.coalesce("_error", F.when(F.col("a.container").isNotNull() & F.col("a.href").isNull(), "no link")).alias("error"),
+    ).where(F.col("link").isNotNull() | F.col("error").isNotNull())
     if suffix:
-        kept = kept.where(F.col("link").endswith(suffix))
-    return kept.withColumn("link", resolve(base, F.col("link")))
+        rows = rows.where(F.col("link").isNull() | F.col("link").endswith(suffix))
+    return rows.withColumn("link", resolve(base, F.col("link")))
+
+
+def _elements(pages: DataFrame, keep: Sequence[str], read: Column) -> DataFrame:
+    """``_e`` and ``_error`` of each page that was read, behind an explode so that they are read once."""
+    rows = pages.select(*keep, H.once(read).alias("_read"))
+    return rows.select(*keep, F.col("_read.found").alias("_e"), F.col("_read.error").alias("_error"))
+
+
+def _good(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col("error").isNull()).drop("error")
+
+
+def _bad(rows: DataFrame, keep: Sequence[str], part: str) -> DataFrame:
+    return rows.where(F.col("error").isNotNull()).select(*keep, F.col(part).alias("part"), "error")
+
+
+def extract_story_links(pages: DataFrame, *, keep: Sequence[str], **where) -> DataFrame:
+    """The first anchor of each story container, if it has a link with the suffix."""
+    return _good(read_story_links(pages, keep=keep, **where))
+
+
+def story_errors(pages: DataFrame, *, keep: Sequence[str], **where) -> DataFrame:
+    """part (number of the container) and error of what ``extract_story_links`` leaves out."""
+    return _bad(read_story_links(pages, keep=keep, **where), keep, "link_no")
 
 
 def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_LINK_CLASS) -> DataFrame:
@@ -131,42 +187,74 @@ def more_link(pages: DataFrame, *, keep: Sequence[str], cls: str | None = MORE_L
     return found.withColumn("link", H.unescape(F.col("link")))
 
 
+@dataclass(frozen=True)
+class StoredPages:
+    """Pages landed once in a table that is bucketed and sorted by address (``sources.store.store_pages``).
+
+    The flows take it in place of a frame of pages; every hop then reads the pages where they are.
+    """
+
+    frame: DataFrame
+
+
 def join_articles(
-    links: DataFrame, pages: DataFrame, *, row_key: Sequence[str], rows: int = BLOCK_ROWS,
-    small_rows: int = SMALL_ROWS,
+    links: DataFrame, pages: DataFrame | StoredPages, *, row_key: Sequence[str], rows: int = BLOCK_ROWS,
+    small_rows: int = SMALL_ROWS, wanted: int = WANTED_HASHES,
 ) -> DataFrame:
     """Each link with the landed page it points to; ``pages`` is unique over ``url``.
 
     The links are written and counted first: they are few bytes next to the pages they were found
     on. Up to ``small_rows`` they are broadcast and the pages are not shuffled at all. Beyond that
-    the pages are first reduced to those whose address has the hash of a wanted one (8 bytes each,
-    counted before they are broadcast), so only these are shuffled, and addresses with about
-    ``rows`` links or more are salted by ``row_key``.
+    the links go to the buckets of stored pages. Other pages are first reduced to those whose address
+    has the hash of a wanted one (8 bytes each, counted before they are broadcast; more than ``wanted``
+    are a filter of bounded size), so only these are shuffled. Addresses with about ``rows`` links
+    or more are salted by ``row_key``.
     """
+    stored = isinstance(pages, StoredPages)
     known = links.where(F.col("link").isNotNull()).withColumnRenamed("link", "url")
     known, small = bounded(known, small_rows)
-    targets = pages.select("url", "html")
+    targets = (pages.frame if stored else pages).select("url", "html")
     if small:
         return known.join(targets, "url")
-    hashes, few = bounded(known.select(F.xxhash64("url").alias("_wanted")).distinct(), WANTED_HASHES)
+    if stored:
+        return _join_stored(known, targets, row_key, rows)
+    hashes, few = bounded(known.select(F.xxhash64("url").alias("_wanted")).distinct(), wanted)
     if few:
         targets = targets.join(hashes, F.xxhash64("url") == F.col("_wanted"), "left_semi")
+    else:
+        targets = maybe_among(targets, ["url"], hash_bits(known.select("url").distinct(), ["url"]))
     return salted_join(known, targets, ["url"], row_key=row_key, rows=rows)
 
 
-def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:
-    """Title, date and content of each page; a page without a body is left out first."""
+def _join_stored(links: DataFrame, pages: DataFrame, row_key: Sequence[str], rows: int) -> DataFrame:
+    """Links go to the buckets; only the pages of hot addresses, one each, are taken out and repeated."""
+    hot = hot_keys(links, ["url"], rows=rows)
+    if hot is None:
+        return links.join(pages, "url")
+    # an address is hot for at least ``rows`` links, so these are few
+    names = hot.select(F.col("url").alias("_hot"))
+    cold = links.join(names, F.col("url") == F.col("_hot"), "left_anti").join(pages, "url")
+    warm = links.join(names, F.col("url") == F.col("_hot"), "left_semi")
+    hot_pages = small_side(pages.join(names, F.col("url") == F.col("_hot"), "left_semi"))
+    return cold.unionByName(salted_join(warm, hot_pages, ["url"], row_key=row_key, hot=hot))
+
+
+def read_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:
+    """Title, date, content and error of each page; what has no body says so in ``error``."""
     rows = pages.withColumn("_tokens", H.tokens(F.col("html")))
     body = F.col("_tokens")
     if rule.summary:
-        # exploding the one text drops pages without it in the same pass that finds it
-        rows = rows.withColumn("_content", H.once(H.first_text(body, *rule.summary)))
+        # exploding the one text keeps a filter on it from finding it a second time
+        rows = rows.withColumn("_content", F.explode(F.array(H.first_text(body, *rule.summary))))
         content = H.unescape(F.col("_content"))
+        error = F.when(F.col("_content").isNull(), "no body")
     else:
-        found = rows.withColumn("_found", H.elements_in(F.col("html"), *rule.body, ("p",), text=("p",)))
-        rows = found.withColumn("_content", H.once(F.when(F.size("_found") > 0, F.col("_found")))).drop("_found")
-        paragraphs = H.of_container(F.col("_content"), 0, "p")
+        read = H.read_elements(F.col("html"), *rule.body, ("p",), text=("p",), nested=rule.nested_paragraphs)
+        rows = rows.withColumn("_read", F.explode(F.array(read)))
+        found = F.col("_read.found")
+        paragraphs = H.of_container(found, 0, "p")
         content = F.array_join(F.transform(paragraphs, lambda e: e["text"]), " ")
+        error = F.coalesce(F.col("_read.error"), F.when(F.coalesce(F.size(found), F.lit(0)) <= 0, "no body"))
     title = H.unescape(H.first_text(body, "h1", rule.title_class, rule.title_where))
     if rule.date_from_attribute:
         date = H.unescape(H.attribute(H.first_tag(body, "time", rule.date_class), "datetime"))
@@ -177,23 +265,35 @@ def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str
         F.coalesce(title, F.lit(NO_TITLE)).alias("title"),
         F.coalesce(date, F.lit(NO_DATE)).alias("date"),
         content.alias("content"),
+        F.when(F.col("html").isNull(), "no page").otherwise(error).alias("error"),
     )
 
 
-def extract_headlines(
+def extract_articles(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str | Column]) -> DataFrame:
+    """Title, date and content of each page; a page without a body is left out first."""
+    return _good(read_articles(pages, rule, keep=keep))
+
+
+def article_errors(pages: DataFrame, rule: ArticleRule, *, keep: Sequence[str]) -> DataFrame:
+    """part (null) and error of the pages that ``extract_articles`` leaves out."""
+    rows = read_articles(pages, rule, keep=keep).withColumn("part", F.lit(None).cast("int"))
+    return _bad(rows, keep, "part")
+
+
+def read_headlines(
     pages: DataFrame, *, keep: Sequence[str], card: tuple[str, str | None] = ("div", CARD_CLASS),
     text: tuple[str, str | None] = ("div", CARD_TEXT_CLASS), base: str = GOOGLE_BASE,
 ) -> DataFrame:
-    """Title, description, url and date (first ten characters) of each headline card.
+    """Title, description, url, date (first ten characters) and error of each headline card.
 
-    A card without a link or a description is dropped, the others of its page stay.
+    A card without a link or a description has an error, the others of its page do not. A page that
+    cannot be read is one row with a null ``card_no``.
     """
     text_tag, text_class = text
     wanted = tuple(dict.fromkeys(("a", "time", text_tag)))
-    elements = H.elements_in(F.col("html"), *card, wanted, text=("a", text_tag))
-    rows = pages.select(*keep, elements.alias("_e")).withColumn("_n", F.explode(
-        F.array_distinct(F.transform("_e", lambda e: e["container"]))
-    ))
+    rows = _elements(pages, keep, H.read_elements(F.col("html"), *card, wanted, text=("a", text_tag)))
+    rows = rows.withColumn("_n", F.explode_outer(F.array_distinct(F.transform("_e", lambda e: e["container"]))))
+    rows = rows.where(F.col("_n").isNotNull() | F.col("_error").isNotNull())
 
     def first(tag: str, cls: str | None = None) -> Column:
         def fits(e):
@@ -203,7 +303,7 @@ def extract_headlines(
         return F.get(F.filter("_e", fits), F.lit(0))
 
     cards = rows.select(
-        *keep, F.col("_n").alias("card_no"), first("a").alias("_a"),
+        *keep, F.col("_n").alias("card_no"), "_error", first("a").alias("_a"),
         first(text_tag, text_class).alias("_t"), first("time").alias("_d"),
     )
     return cards.select(
@@ -212,4 +312,30 @@ def extract_headlines(
         F.col("_a.text").alias("title"),
         F.col("_t.text").alias("description"),
         resolve(base, F.col("_a.href")).alias("url"),
-    ).where(F.col("url").isNotNull() & F.col("description").isNotNull())
+        F.coalesce("_error", F.when(F.col("_a.href").isNull(), "no link"), F.when(F.col("_t.text").isNull(), "no description")).alias("error"),
+    )
+
+
+def extract_headlines(pages: DataFrame, *, keep: Sequence[str], **where) -> DataFrame:
+    """Title, description, url and date of each headline card.
+
+    A card without a link or a description is dropped, the others of its page stay.
+    """
+    return _good(read_headlines(pages, keep=keep, **where))
+
+
+def headline_errors(pages: DataFrame, *, keep: Sequence[str], **where) -> DataFrame:
+    """part (number of the card) and error of what ``extract_headlines`` leaves out."""
+    return _bad(read_headlines(pages, keep=keep, **where), keep, "card_no")
+
+
+def unlanded(links: DataFrame, pages: DataFrame | StoredPages, *, keep: Sequence[str]) -> DataFrame:
+    """part (null) and error of the links whose page has not landed.
+
+    The different addresses are looked up, once each, so a hot one is a single row; what is left of them
+    is then joined to the links again.
+    """
+    landed = (pages.frame if isinstance(pages, StoredPages) else pages).select(F.col("url").alias("link"))
+    gone = links.select("link").where(F.col("link").isNotNull()).distinct().join(landed, "link", "left_anti")
+    rows = salted_join(links.select(*keep, "link"), gone.withColumn("_gone", F.lit(True)), ["link"], row_key=[*keep, "link"])
+    return rows.select(*keep, F.lit(None).cast("int").alias("part"), F.lit("page not landed").alias("error"))

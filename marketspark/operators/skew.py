@@ -16,6 +16,8 @@ SMALL_BYTES = 64 << 20
 HOT_KEYS = 1_000_000
 SAMPLED = 1000
 MAX_SALTS = 10_000
+#: Bits of a filter: 32 megabytes.
+FILTER_BITS = 1 << 28
 SALT = "_salt"
 COPIES = "_copies"
 
@@ -60,6 +62,22 @@ def hot_keys(df: DataFrame, on: Sequence[str], *, rows: int = BLOCK_ROWS) -> Dat
     return None if small and hot.isEmpty() else hot
 
 
+def hash_bits(df: DataFrame, on: Sequence[str], bits: int = FILTER_BITS) -> DataFrame:
+    """A filter of the keys in ``df`` as rows (part, bits): ``bits`` bits altogether, however many keys."""
+    place = F.pmod(F.xxhash64(*on), F.lit(bits)) + 1
+    places = df.select(place.alias("p"))
+    return written(places.groupBy(F.bitmap_bucket_number("p").alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bits")))
+
+
+def maybe_among(df: DataFrame, on: Sequence[str], filter_rows: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """Rows whose key may be one of those behind ``filter_rows`` (from ``hash_bits``, which is broadcast)."""
+    place = (F.pmod(F.xxhash64(*on), F.lit(bits)) + 1).alias("p")
+    position = F.bitmap_bit_position(place)
+    octet = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = df.join(F.broadcast(filter_rows), F.bitmap_bucket_number(place) == F.col("_part"))
+    return found.where(F.getbit(octet, (position % 8).cast("int")) == 1).drop("_part", "_bits")
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", *,
     row_key: Sequence[str] | None = None, rows: int = BLOCK_ROWS, hot: DataFrame | None = None,

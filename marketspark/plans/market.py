@@ -36,20 +36,26 @@ def ingest_history(
     return reshape.union_all(*frames)
 
 
-def ingest_errors(spark: SparkSession, path: str, jobs: Jobs, history: DataFrame) -> DataFrame:
+def ingest_errors(
+    spark: SparkSession, path: str, jobs: Jobs, history: DataFrame, page_errors: DataFrame | None = None
+) -> DataFrame:
     """asset_type, ticker, file, reason: what a tolerant run has left out.
 
-    Files of which no row can be read, and tickers that were asked for and have no row in
-    ``history``.
+    Files of which no row can be read, tickers that were asked for and have no row in ``history``, and
+    the ``page_errors`` (ticker, url, part, error) of ``plans.news``, by page and card.
     """
     asked = [(kind, ticker) for kind, tickers in jobs.items() for ticker in tickers or []]
     named = spark.createDataFrame(asked, "asset_type string, ticker string")
     silent = named.join(history.select("asset_type", "ticker").distinct(), ["asset_type", "ticker"], "left_anti")
     none = F.lit(None).cast("string")
     broken = files.unread_files(spark, path)
-    return silent.select("asset_type", "ticker", none.alias("file"), F.lit("no rows").alias("reason")).unionByName(
+    listed = silent.select("asset_type", "ticker", none.alias("file"), F.lit("no rows").alias("reason")).unionByName(
         broken.select(none.alias("asset_type"), none.alias("ticker"), "file", F.lit("not readable").alias("reason"))
     )
+    if page_errors is None:
+        return listed
+    reason = F.concat_ws(" ", F.concat(F.lit("part "), F.col("part"), F.lit(":")), "error")
+    return listed.unionByName(page_errors.select(none.alias("asset_type"), "ticker", F.col("url").alias("file"), reason.alias("reason")))
 
 
 def ingest_options(spark: SparkSession, path: str, jobs: Jobs, *, skip_bad_files: bool = False) -> DataFrame:

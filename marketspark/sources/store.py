@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marketspark.operators.news import StoredPages
+from marketspark.session import scratch_path
+
 
 def write_store(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet partitioned by ``asset_type``; each task writes its own rows, so no shuffle."""
@@ -16,6 +21,20 @@ def read_store(spark: SparkSession, path: str, asset_type: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("asset_type") == asset_type)
 
 
+def store_pages(pages: DataFrame, *, buckets: int = 200, path: str | None = None) -> StoredPages:
+    """Land ``pages`` (url, html) as a table bucketed and sorted by address, for flows of several hops.
+
+    The pages are shuffled once, here. ``path`` is a shared folder; without it one below
+    ``spark.checkpoint.dir`` is taken, which goes with the session.
+    """
+    spark = pages.sparkSession
+    name = f"pages_{uuid.uuid4().hex}"
+    rows = pages.select("url", "html").repartition(buckets, "url")
+    writer = rows.write.bucketBy(buckets, "url").sortBy("url").option("path", path or scratch_path(spark, name))
+    writer.format("parquet").saveAsTable(name)
+    return StoredPages(spark.table(name))
+
+
 def get_data(
     spark: SparkSession, history_path: str, options_path: str, asset_type: str
 ) -> tuple[DataFrame, DataFrame]:
