@@ -227,6 +227,70 @@ def preprocess_market(spark, folder):
     return stock.drop("ticker").withColumnRenamed("ordinal", "event_id")
 
 
+FRAMES_SQL = """
+    with s as (
+        select event_id as ordinal, 'U' || user_id as ticker,
+               last_value(case when event_type <> 'error' then floor(value * 100) end ignore nulls) over w as price,
+               last_value(case when event_type in ('purchase', 'signup') then event_type end ignore nulls) over w as kind
+        from events window w as (partition by user_id order by event_id rows between unbounded preceding and current row)),
+    o as (
+        select o_orderkey as ordinal, 'T' || o_custkey as ticker, o_orderstatus as status,
+               last_value(case when o_orderkey % 3 > 0 then o_totalprice end ignore nulls)
+                   over (partition by o_orderstatus, o_custkey order by o_orderkey rows between unbounded preceding and current row) as price
+        from orders where o_orderstatus in ('O', 'P')),
+    p as (
+        select 'stock' as frame, ordinal, ticker, price, kind from s union all
+        select case status when 'O' then 'index' else 'etf' end, ordinal, ticker, price, null from o),
+    f as (select frame, avg(price) as mean, case when stddev_pop(price) = 0 then 1 else stddev_pop(price) end as scale from p group by 1),
+    raw as (
+        select doc_id, source as ticker, case when lang <> 'de' then lang || '  ' || source end as title,
+               case when lang <> 'fr' then text end as content,
+               case when n_chars >= 500 then '2024-01-0' || (doc_id % 9 + 1) || 'T10:00:00.000Z' end as date from documents),
+    firsts as (
+        select *, trim(regexp_replace(coalesce(title, 'None'), '\\s+', ' ', 'g')) as clean_title,
+               row_number() over (partition by title, content order by doc_id) as n from raw)
+    select p.frame, ordinal, ticker,
+           case when p.frame <> 'index' then round((price - mean) / scale, 6) + 0 end as close_price,
+           case when p.frame = 'index' then round((price - mean) / scale, 6) + 0 end as closing_price,
+           coalesce(kind = 'purchase', false) as option_type_purchase, coalesce(kind = 'signup', false) as option_type_signup,
+           null as title, null as content, null as clean_title, null as date
+    from p join f on f.frame = p.frame
+    union all
+    select 'news', doc_id, ticker, null, null, null, null, coalesce(title, 'No Title'), coalesce(content, 'No Content'), clean_title,
+           last_value(case when date is null then null else '0' || date[10] || '-01-2024' end ignore nulls)
+               over (partition by ticker order by doc_id rows between unbounded preceding and current row)
+    from firsts where n = 1
+"""
+
+
+@query("preprocess_frames", FRAMES_SQL)
+def preprocess_frames(spark, folder):
+    """All four frames from whole tables, filled together, with scores and dates."""
+    kind = F.col("event_type")
+    # a grouped number text, as the landed files have it
+    price = F.format_number(F.floor(F.col("value") * 100), 0)
+    stock = table(spark, folder, "events").select(
+        F.col("event_id").alias("ordinal"), F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("ticker"),
+        F.when(kind != "error", price).alias("close_price"), F.when(kind.isin("purchase", "signup"), kind).alias("option_type"),
+    )
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("ordinal"), F.concat(F.lit("T"), F.col("o_custkey").cast("string")).alias("ticker"),
+        F.when(F.col("o_orderkey") % 3 > 0, F.col("o_totalprice").cast("string")).alias("price"), "o_orderstatus",
+    )
+    index = orders.where("o_orderstatus = 'O'").drop("o_orderstatus").withColumnRenamed("price", "closing_price")
+    etf = orders.where("o_orderstatus = 'P'").drop("o_orderstatus").withColumnRenamed("price", "close_price")
+    stamp = F.concat(F.lit("2024-01-0"), (F.col("doc_id") % 9 + 1).cast("string"), F.lit("T10:00:00.000Z"))
+    news = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("ordinal"), F.col("source").alias("ticker"),
+        F.when(F.col("lang") != "de", F.concat("lang", F.lit("  "), "source")).alias("title"),
+        F.when(F.col("lang") != "fr", F.col("text")).alias("content"), F.when(F.col("n_chars") >= 500, stamp).alias("date"),
+    )
+    frames = cleaning.preprocess_frames(
+        stock, index, etf, news, option_values=["purchase", "signup"], scores=True, dates=True
+    )
+    return frames.withColumns({c: r6(c) for c in ("close_price", "closing_price")})
+
+
 @query("ffill_text_order", """
     select event_id, last_value(case when event_type = 'purchase' then value end ignore nulls)
         over (order by event_type, event_id::varchar rows between unbounded preceding and current row) as value from events
@@ -241,6 +305,17 @@ def ffill_text_order(spark, folder):
     return filled.select("event_id", "value")
 
 
+@query("ffill_url_order", """
+    select page_id, last_value(case when page_id % 5 = 0 then page_id end ignore nulls)
+        over (order by url nulls first, page_id rows between unbounded preceding and current row) as value from pages
+""")
+def ffill_url_order(spark, folder):
+    """Rows in the order of addresses, which share long beginnings, in small blocks."""
+    rows = table(spark, folder, "pages").select("page_id", "url", F.when(F.col("page_id") % 5 == 0, F.col("page_id")).alias("value"))
+    filled = cleaning.ffill(rows, ["value"], order=["url", "page_id"], scope="global", block_rows=100)
+    return filled.select("page_id", "value")
+
+
 @query("parse_amount_odd", """
     select event_id, case event_type when 'click' then 1234.5 when 'view' then -7.0 when 'purchase' then 0.5 end::double as amount
     from events

@@ -12,7 +12,7 @@ from marketspark.functions.dates import normalize_date
 from marketspark.functions.text import amount, as_text, clean_text
 from marketspark.operators.encoding import one_hot, standardize
 from marketspark.operators.ordering import BLOCK_ROWS, last_known
-from marketspark.operators.reshape import existing
+from marketspark.operators.reshape import existing, tag, union_all
 from marketspark.schemas import HISTORY_AMOUNTS, INDEX_AMOUNTS
 
 # What stands for a missing title or body.
@@ -86,12 +86,49 @@ def clean_news(
     The clean title is taken before the fills, so a missing title reads ``None`` there. With
     ``dates`` the page dates become ``dd-MM-yyyy`` text before they are filled.
     """
+    dated = ffill(_titled_news(news, order, dates), ["date"], order=order, by=by, scope=scope, largest=largest)
+    return fill_defaults(dated)
+
+
+def _titled_news(news: DataFrame, order: Sequence[str], dates: bool) -> DataFrame:
+    """News with a clean title, the first of each (title, content), dates as text; nothing filled yet."""
     titled = news.withColumn("clean_title", clean_text(as_text(F.col("title"))))
     unique = drop_duplicates_first(titled, ["title", "content"], order=order)
-    if dates:
-        unique = unique.withColumn("date", normalize_date(F.col("date")))
-    dated = ffill(unique, ["date"], order=order, by=by, scope=scope, largest=largest)
-    return fill_defaults(dated)
+    return unique.withColumn("date", normalize_date(F.col("date"))) if dates else unique
+
+
+def preprocess_frames(
+    stock: DataFrame, index: DataFrame, etf: DataFrame, news: DataFrame, *,
+    order: Sequence[str] = ("ordinal",), by: str = "ticker", scope: str = "group",
+    option_values: Sequence[str], scores: bool = False, dates: bool = False,
+    largest: int | None = None, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """The four frames of ``preprocess`` as one, told apart by ``frame``: stock, index, etf, news.
+
+    They are put together first, so that one shuffle and one sort fill them all, and one narrow
+    aggregate fits the scores of each frame. What a frame does not have is null in it.
+    """
+    if scope not in ("group", "global"):
+        raise ValueError("scope must be group or global")
+    prices = {"stock": (stock, HISTORY_AMOUNTS), "index": (index, INDEX_AMOUNTS), "etf": (etf, HISTORY_AMOUNTS)}
+    keys = ["frame", by] if scope == "group" else ["frame"]
+    filled = dict.fromkeys(c for df, _ in prices.values() for c in df.columns if c not in {by, *order})
+    frames = [tag(df, frame=name) for name, (df, _) in prices.items()]
+    whole = union_all(*frames, tag(_titled_news(news, order, dates), frame="news"))
+    whole = last_known(whole, [*filled, *({"date"} - set(filled))], order=list(order), by=keys, largest=largest, block_rows=block_rows)
+    is_news = F.col("frame") == "news"
+    if scores:
+        amounts = [c for c in dict.fromkeys((*HISTORY_AMOUNTS, *INDEX_AMOUNTS)) if c in filled]
+        scored = standardize_amounts(whole.withColumns({f"_own_{c}": F.col(c) for c in amounts}), amounts, by="frame")
+        own = {c: F.col("frame").isin([n for n, (df, listed) in prices.items() if c in listed and c in df.columns]) for c in amounts}
+        own_value = {c: F.col(f"_own_{c}") for c in amounts}
+        kinds = dict(scored.dtypes)
+        whole = scored.withColumns({
+            c: F.when(own[c], F.col(c)).otherwise(own_value[c].try_cast(kinds[c])) for c in amounts
+        }).drop(*[f"_own_{c}" for c in amounts])
+    whole = one_hot(whole, "option_type", values=option_values)
+    flags = {c: F.when(~is_news, F.col(c)) for c in whole.columns if c.startswith("option_type_")}
+    return whole.withColumns(flags | {c: F.when(is_news, F.coalesce(F.col(c), F.lit(v))).otherwise(F.col(c)) for c, v in NEWS_DEFAULTS.items()})
 
 
 def preprocess(
