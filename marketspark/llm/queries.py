@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from marketspark.llm import codes, language, minhash, mixing, packing, phrases, quality, scoring, sharding, suffixes, urls, vectors
+from marketspark.llm import codes, fingerprints, language, minhash, mixing, packing, phrases, quality, scoring, sharding, suffixes, urls, vectors
 from marketspark.llm.common import table, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -203,6 +203,11 @@ def op12_codes(spark, folder):
     return codes.code_vectors(table(spark, folder, "embeddings"))
 
 
+@query("op13_fingerprints")
+def op13_fingerprints(spark, folder):
+    return fingerprints.compare_edited(table(spark, folder, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
