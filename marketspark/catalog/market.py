@@ -82,6 +82,33 @@ def history_by_asset(spark, folder):
     return history.select("ordinal", "ticker", "price", "asset_type")
 
 
+@query("asset_data", """
+    with o as (select o_orderkey, 'T' || o_custkey % 200 as ticker, o_orderdate::date as d, o_totalprice as price from orders where o_orderstatus = 'P')
+    select 'history' as side, o_orderkey as ordinal, ticker, d as trade_date, price,
+           case when row_number() over w >= 7 then round(avg(price) over (w rows between 6 preceding and current row), 6) end as sma_7, null::bigint as strike
+    from o window w as (partition by ticker order by d, o_orderkey)
+    union all
+    select 'options', l_orderkey, 'T' || l_suppkey % 200, null, l_extendedprice, null, l_linenumber::bigint from lineitem where l_returnflag = 'A'
+""")
+def asset_data(spark, folder):
+    """Both halves of an asset type from stores laid out for windows, after an append and a compaction."""
+    orders = _orders(spark, folder).withColumn("ticker", F.concat(F.lit("T"), F.pmod(F.substring("ticker", 2, 20).cast("bigint"), F.lit(200)).cast("string")))
+    orders = orders.select("ordinal", "ticker", "asset_type", "trade_date", F.col("price").alias("close_price"))
+    history = store.WindowStore(scratch_path(spark, "series"), buckets=16, order=("trade_date", "ordinal"))
+    history.create(orders.where("ordinal % 3 > 0")).append(orders.where("ordinal % 3 = 0"))
+    history = history.compact(spark, scratch_path(spark, "series"))
+    kind = F.when(F.col("l_returnflag") == "A", schemas.ETF).otherwise(schemas.STOCK)
+    chains = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("ordinal"), F.concat(F.lit("T"), (F.col("l_suppkey") % 200).cast("string")).alias("ticker"),
+        kind.alias("asset_type"), F.col("l_extendedprice").alias("price"), F.col("l_linenumber").cast("bigint").alias("strike"),
+    )
+    options = store.WindowStore(scratch_path(spark, "chains"), buckets=16, order=("ordinal", "strike")).create(chains)
+    rows, chain = store.get_data(spark, history, options, schemas.ETF)
+    rows = features.price_features(rows, key="ticker", order=["trade_date", "ordinal"])
+    rows = rows.select("ordinal", "ticker", "trade_date", F.col("close_price").alias("price"), r6("sma_7").alias("sma_7"))
+    return reshape.union_all(reshape.tag(rows, side="history"), reshape.tag(chain.drop("asset_type"), side="options"))
+
+
 @query("history_source", """
     select o_orderkey as ordinal, 'T' || o_custkey as ticker, o_totalprice as price,
            case o_orderstatus when 'F' then 'Stock' when 'P' then 'ETF' else 'Index' end as asset_type

@@ -160,3 +160,23 @@ def test_frames_without_the_columns_pass(spark):
     df = spark.range(3)
     assert cleaning.standardize_amounts(df, ["close_price"]).collect() == df.collect()
     assert cleaning.ffill(df, order=["id"], scope="global") is df
+
+
+def test_frames_together_equal_frames_alone(spark):
+    stock = spark.createDataFrame(
+        [(1, "A", "1,000", "call"), (2, "A", None, None), (3, "B", None, "put"), (4, "B", "7", None)],
+        "ordinal bigint, ticker string, close_price string, option_type string",
+    )
+    index = spark.createDataFrame([(1, "A", "5"), (2, "A", None), (3, "N", "9")], "ordinal bigint, ticker string, closing_price string")
+    etf = spark.createDataFrame([(1, "A", None), (2, "A", "3")], "ordinal bigint, ticker string, close_price string")
+    news = spark.createDataFrame(
+        [(1, "A", "t  1", None, "2024-08-05T10:11:12.000Z"), (2, "A", None, "c", None), (3, "A", "t  1", None, None)],
+        "ordinal bigint, ticker string, title string, content string, date string",
+    )
+    values = ["call", "put"]
+    for block_rows in (1, 500_000):
+        whole = cleaning.preprocess_frames(stock, index, etf, news, option_values=values, scores=True, dates=True, block_rows=block_rows)
+        alone = cleaning.preprocess(stock, index, etf, news, option_values=values, scores=True, dates=True)
+        for name, frame in zip(("stock", "index", "etf", "news"), alone):
+            own = whole.where(whole["frame"] == name).select(*frame.columns)
+            assert sorted(map(tuple, own.collect()), key=repr) == sorted(map(tuple, frame.collect()), key=repr), name

@@ -135,3 +135,100 @@ def test_links_and_articles_of_hard_pages(spark):
 def test_no_page_and_an_empty_one(spark):
     rows = found(spark.createDataFrame([(None,), ("",)], "html string")).collect()
     assert sorted((r["html"] is None, r[3], r[5]) for r in rows if r["html"] is not None) == [(False, [], None)]
+
+
+class Inside(HTMLParser):
+    """Elements inside containers with a stack of open tags, as ``read_elements`` should find them."""
+
+    def __init__(self, tag, cls, wanted, nested):
+        super().__init__(convert_charrefs=True)
+        self.rule = (tag, cls, wanted, nested)
+        self.stack, self.found, self.containers, self.hidden = [], [], 0, 0
+
+    def handle_starttag(self, name, attrs, closed=False):
+        tag, cls, wanted, nested = self.rule
+        attrs = dict(attrs)
+        classes = attrs.get("class") or ""
+        if not nested and name in wanted:
+            inner = max((i for i, (_, c, _) in enumerate(self.stack) if c is not None), default=-1)
+            if any(n == name for n, _, _ in self.stack[inner + 1:]):
+                self.close_to(name)
+        records = []
+        if name in wanted:
+            records = [{"container": c, "tag": name, "href": attrs.get("href"), "text": ""} for _, c, _ in self.stack if c is not None]
+            self.found += records
+        container = None
+        if name == tag and (cls is None or cls in classes.split()):
+            container, self.containers = self.containers, self.containers + 1
+        if not closed and name not in H.VOID and name not in H.RAW:
+            self.stack.append((name, container, records))
+            self.hidden += name == "template"
+
+    def handle_startendtag(self, name, attrs):
+        self.handle_starttag(name, attrs, closed=True)
+
+    def close_to(self, name):
+        while True:
+            last, _, _ = self.stack.pop()
+            self.hidden -= last == "template"
+            if last == name:
+                return
+
+    def handle_endtag(self, name):
+        if any(n == name for n, _, _ in self.stack):
+            self.close_to(name)
+
+    def handle_data(self, data):
+        if not self.hidden and not self.cdata_elem:
+            for _, _, records in self.stack:
+                for record in records:
+                    record["text"] += data
+
+    def rows(self, page):
+        self.feed(page)
+        self.close()
+        filled = {r["container"] for r in self.found}
+        empty = [{"container": c, "tag": None, "href": None, "text": None} for c in range(self.containers) if c not in filled]
+        return [(r["container"], r["tag"], r["href"], r["text"] if r["tag"] == "a" else None)
+                for r in sorted(self.found + empty, key=lambda r: r["container"])]
+
+
+@pytest.mark.parametrize("nested", [True, False])
+@pytest.mark.parametrize("cls", [None, "k"])
+def test_random_tag_soup_has_the_elements_of_a_stack_of_tags(spark, nested, cls):
+    rng = random.Random(12)
+    more = ["<div>", "<div class='k'>", "</div>", "<a href=1>", "<a>", "<p>", "<br>", "<template>", "</template>", "text ", "<a href='2'/>"]
+    pages = sorted({"".join(rng.choice(PIECES + more * 3) for _ in range(rng.randrange(1, 25))) for _ in range(2500)})
+    read = H.read_elements(F.col("html"), "div", cls, ("a", "p"), ("a",), nested=nested)
+    rows = spark.createDataFrame([(p,) for p in pages], "html string").repartition(8).select("html", read.alias("r")).collect()
+    assert len(rows) == len(pages)
+    for row in rows:
+        assert row["r"]["error"] is None
+        found = [(e["container"], e["tag"], e["href"], e["text"]) for e in row["r"]["found"]]
+        assert found == Inside("div", cls, ("a", "p"), nested).rows(row["html"]), row["html"]
+
+
+def test_open_paragraphs_are_linear_by_the_second_rule_and_bounded_by_the_first(spark):
+    page = "<article>" + "".join(f"<p>paragraph {i} with some text" for i in range(20_000)) + "</article>"
+    pages = spark.createDataFrame([(1, page), (2, "<article><p>a<p>b</article>"), (3, "<div>none</div>"), (4, None)], "id int, html string")
+    flat = news.ArticleRule(body=("article", None), nested_paragraphs=False)
+    found = {r["id"]: r["content"] for r in news.extract_articles(pages, flat, keep=["id"]).collect()}
+    assert found == {1: " ".join(f"paragraph {i} with some text" for i in range(20_000)), 2: "a b"}
+    nested = news.ArticleRule(body=("article", None))
+    assert {r["id"]: r["content"] for r in news.extract_articles(pages, nested, keep=["id"]).collect()} == {2: "ab b"}
+    errors = {r["id"]: r["error"] for r in news.article_errors(pages, nested, keep=["id"]).collect()}
+    assert errors.keys() == {1, 3, 4} and "signs of text" in errors[1] and errors[3] == "no body" and errors[4] == "no page"
+
+
+def test_deep_and_unmatched_tags_are_read_in_one_pass(spark):
+    hard = {
+        "deep": "<div class='k'>" + "<i>" * 100_000 + "<a href=x>t</a>" + "</i>" * 100_000,
+        "ends that open nothing": "<div class='k'>" + "<i>" * 50_000 + "</b>" * 50_000 + "<a href=x>t</a>",
+        "forgotten quote": "<div class='k'><a href=\"x>t</a>" + '<b c="d">e</b>' * 20_000,
+        "section": "<div class='k'><![if x]><![what<a href=x>t</a>",
+    }
+    df = spark.createDataFrame(list(hard.items()), "k string, html string")
+    start = time.perf_counter()
+    links = {r["k"]: r["link"] for r in news.extract_story_links(df, keep=["k"], container=("div", "k"), suffix=None, base="").collect()}
+    assert time.perf_counter() - start < 60
+    assert links["deep"] == links["ends that open nothing"] == "x" and links["forgotten quote"] == "x>t</a><b c="

@@ -233,3 +233,68 @@ def test_a_filter_on_the_ticker_reaches_the_scan(spark, tmp_path):
     for rule in (news.ET_ARTICLE, news.YAHOO_ARTICLE):
         found = news.extract_articles(landed, rule, keep=["ticker"]).where("ticker = 'A'")
         assert "EqualTo(ticker,A)" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_flows_leave_out_is_listed(spark, companies, tickers):
+    listing = """<div class="eachStory"><a href="/s1.cms">1</a></div><div class="eachStory"><p>no link</p></div>
+        <div class="eachStory"><a href="/s5.cms">5</a></div><div class="eachStory"><a href="/gone.cms">gone</a></div>"""
+    page = f"{ET}/a-ltd/stocksupdate/companyid-07.cms"
+    pages = landed(spark, {page: listing, f"{ET}/s1.cms": ARTICLE.format(1), f"{ET}/s5.cms": "<h1 class='artTitle'>no body</h1>"})
+    errors = plans.update_errors(tickers, companies, pages)
+    assert sorted(map(tuple, errors.collect()), key=repr) == sorted([
+        ("A", page, 1, "no link"), ("A", f"{ET}/gone.cms", None, "page not landed"), ("A", f"{ET}/s5.cms", None, "no body"),
+        ("M&M", f"{ET}/m-ltd/stocksupdate/companyid-9.cms", None, "page not landed"),
+    ], key=repr)
+    card = '<div class="yY3Lee"><a href="/n">t</a></div><div class="yY3Lee"><div class="Adak">no link</div></div>'
+    url = news.GOOGLE_QUOTE_PAGE.replace("{ticker}", "A")
+    found = plans.headline_errors(tickers, landed(spark, {url: card}))
+    assert sorted(map(tuple, found.collect())) == [("A", url, 0, "no description"), ("A", url, 1, "no link")]
+
+
+@pytest.mark.parametrize("small_rows", [0, 100])
+@pytest.mark.parametrize("null", [True, False])
+def test_links_of_a_table_are_excluded(spark, small_rows, null):
+    links = spark.createDataFrame([(i, x) for i, x in enumerate([*["hot"] * 300, "a", "b", None, "", "-", "+"])], "n int, link string")
+    listed = spark.createDataFrame([("hot",), ("hot",), ("b",), ("-",)] + [(None,)] * null, "link string")
+    left = news.exclude_links(links, listed, row_key=["n"], rows=50, small_rows=small_rows)
+    assert left.columns == links.columns or sorted(left.columns) == sorted(links.columns)
+    assert sorted((r["link"] for r in left.collect()), key=repr) == sorted(["a", "", "+"] + [None] * (not null), key=repr)
+
+
+def stored(spark, n=300):
+    from marketspark.sources import store
+
+    pages = spark.range(n).select(F.format_string("u%d", "id").alias("url"), F.format_string("page %d", "id").alias("html"))
+    links = spark.range(2000).select(
+        "id", F.when(F.col("id") % 3 == 0, "u7").otherwise(F.format_string("u%d", F.col("id") % (2 * n))).alias("link")
+    )
+    return links, pages, store.store_pages(pages, buckets=8)
+
+
+@pytest.mark.parametrize("rows", [100, 100_000])
+def test_stored_pages_join_like_others_without_moving(spark, rows):
+    links, pages, kept = stored(spark)
+    plain = news.join_articles(links, pages, row_key=["id"])
+    found = news.join_articles(links, kept, row_key=["id"], rows=rows, small_rows=0)
+    assert sorted(map(tuple, found.select("id", "url", "html").collect())) == sorted(map(tuple, plain.select("id", "url", "html").collect()))
+    if rows > 2000:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            text = news.join_articles(links, kept, row_key=["id"], rows=rows, small_rows=0)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+        below = text.split("Exchange hashpartitioning")[1].split("FileScan")[0]
+        assert "html" not in below, "pages stay in their buckets"
+
+
+def test_many_wanted_addresses_are_a_filter_of_one_size(spark):
+    links, pages, _ = stored(spark)
+    plain = news.join_articles(links, pages, row_key=["id"])
+    found = news.join_articles(links, pages, row_key=["id"], small_rows=0, wanted=0)
+    assert sorted(map(tuple, found.select("id", "url", "html").collect())) == sorted(map(tuple, plain.select("id", "url", "html").collect()))
+    from marketspark.operators import skew
+
+    few = skew.hash_bits(pages.where("url < 'u15'"), ["url"])
+    left = skew.maybe_among(pages, ["url"], few)
+    assert sorted(r["url"] for r in left.collect()) == sorted(r["url"] for r in pages.where("url < 'u15'").collect())

@@ -172,3 +172,33 @@ def test_result_does_not_depend_on_the_partitions(spark, parts):
     rows = sorted((r["id"], r[O.POSITION]) for r in placed.collect())
     plain = df.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")) - 1)
     assert rows == sorted((r["id"], r["p"]) for r in plain.collect())
+
+
+@pytest.mark.parametrize("beginning", [0, 7, 5000])
+def test_long_shared_beginnings_are_divided_in_one_step(spark, beginning):
+    """Texts that differ only behind very many equal signs, with ties and nulls."""
+    text = F.concat(F.lit("x" * beginning), F.format_string("%05d", F.col("id") % 900))
+    df = spark.range(2000).select("id", F.when(F.col("id") % 50 > 0, text).alias("t"))
+    blocked, blocks = O.with_blocks(df, order=["t", "id"], largest=2000, block_rows=100)
+    assert blocked.schema[O.BLOCK].dataType.simpleString() == "bigint"
+    assert O.largest_group(blocked, [O.BLOCK]) <= 400 and blocks >= 20
+    placed = O.with_positions(df, order=["t", "id"], block_rows=100)
+    plain = df.withColumn("p", F.row_number().over(Window.partitionBy().orderBy("t", "id")) - 1)
+    assert placed.join(plain, "id").where(F.col("p") != F.col(O.POSITION)).count() == 0
+
+
+def test_cuts_too_long_together_are_thinned(spark, monkeypatch):
+    df = spark.range(1000).select("id", F.concat(F.lit("y" * 300), F.col("id").cast("string")).alias("t"), (F.col("id") % 2).alias("k"))
+    monkeypatch.setattr(O, "CUT_BYTES", 2000)
+    blocked, blocks = O.with_blocks(df, order=["t"], by=["k"], largest=500, block_rows=10)
+    assert 2 <= blocked.select(O.BLOCK).distinct().count() <= 12
+    placed = O.with_positions(df, order=["t"], by=["k"], block_rows=10)
+    plain = df.withColumn("p", F.row_number().over(Window.partitionBy("k").orderBy("t")) - 1)
+    assert placed.join(plain, "id").where(F.col("p") != F.col(O.POSITION)).count() == 0
+
+
+def test_the_cuts_are_one_constant_in_the_plan(spark):
+    df = spark.range(1000).select("id", F.col("id").cast("string").alias("t"))
+    blocked, _ = O.with_blocks(df, order=["t", "id"], largest=1000, block_rows=100)
+    text = blocked._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in text.lower() and "sort_array" not in text and "Join" not in text

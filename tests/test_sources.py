@@ -223,3 +223,43 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     folder = shared_folder(spark)
     assert folder == named if named else folder
     assert scratch_path(spark, "x").startswith(folder)
+
+
+def test_windows_over_a_window_store_read_it_where_it_lies(spark, tmp_path):
+    from marketspark.operators import features
+
+    rows = spark.range(3000).select(
+        F.concat(F.lit("T"), (F.col("id") % 40).cast("string")).alias("ticker"), F.expr("date_add(date'2024-01-01', cast(id div 40 as int))").alias("trade_date"),
+        F.col("id").cast("double").alias("close_price"), F.when(F.col("id") % 40 < 20, "Stock").otherwise("ETF").alias("asset_type"),
+    )
+    kept = store.WindowStore(str(tmp_path / "a"), buckets=4).create(rows.where("close_price < 2000"))
+    for low in (2000, 2400, 2700):
+        kept.append(rows.where(f"close_price >= {low} and close_price < {low + (400 if low == 2000 else 300)}"))
+    small = len(list((tmp_path / "a").glob("asset_type=ETF/*.parquet")))
+    tidy = kept.compact(spark, str(tmp_path / "b"))
+    assert small == 16 and len(list((tmp_path / "b").glob("asset_type=ETF/*.parquet"))) == 4
+    plain = features.price_features(rows.where("asset_type = 'ETF'"), key="ticker", order=["trade_date"])
+    for one in (kept, tidy):
+        found = features.price_features(store.read_store(spark, one, "ETF"), key="ticker", order=["trade_date"], largest=75)
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in text and "PartitionFilters: [isnotnull(asset_type" in text
+        assert sorted(map(str, found.select(*sorted(plain.columns)).collect())) == sorted(map(str, plain.select(*sorted(plain.columns)).collect()))
+
+
+def test_another_session_learns_how_a_store_is_laid_out(spark, tmp_path):
+    rows = spark.range(100).select(F.concat(F.lit("T"), (F.col("id") % 5).cast("string")).alias("ticker"), F.col("id").alias("trade_date"), F.lit("Stock").alias("asset_type"))
+    kept = store.WindowStore(str(tmp_path / "a"), buckets=4).create(rows)
+    spark.sql(f"drop table {kept.table}")
+    again = kept.frame(spark)
+    assert again.count() == 100 and sorted(again.columns) == ["asset_type", "ticker", "trade_date"]
+    assert "Exchange" not in again.groupBy("ticker").count()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_errors_of_pages_are_listed_with_those_of_files(spark, tmp_path):
+    history = spark.createDataFrame([("Stock", "A")], "asset_type string, ticker string")
+    history.coalesce(1).write.parquet(str(tmp_path / "h"))
+    pages = spark.createDataFrame([("A", "u", 2, "no link"), ("B", "v", None, "no body")], "ticker string, url string, part int, error string")
+    found = plans.ingest_errors(spark, str(tmp_path / "h"), {"Stock": ["A", "Z"]}, history, pages)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([
+        ("Stock", "Z", None, "no rows"), (None, "A", "u", "part 2: no link"), (None, "B", "v", "no body"),
+    ], key=repr)
