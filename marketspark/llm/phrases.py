@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +24,10 @@ TASK_ROWS = 1_000_000
 HOT_ROWS = 10_000
 #: Bits of the filters that tasks are given: two megabytes each, whatever the vocabulary.
 BITS = 1 << 24
+#: Leading pairs are counted in 2**32 slots, by ranges of them.
+RANGES = 1024
 #: Words that a task gathers before it adds up equal ones, and bytes of a long text read at a time.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 PART = 1 << 20
 #: Candidates of one language that a task ranks in the first of two steps, and parts of that step at most.
 RANKED = 100_000
@@ -121,7 +125,10 @@ class Gathered:
                 yield
 
     def whole(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate([np.empty(0, np.uint64), *self.ids]), np.concatenate([np.empty(0, bool), *self.follows])
+        """What was gathered, which is let go."""
+        found = np.concatenate([np.empty(0, np.uint64), *self.ids]), np.concatenate([np.empty(0, bool), *self.follows])
+        self.clear()
+        return found
 
 
 def _words_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +138,6 @@ def _words_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush():
         ids, counts = np.unique(gathered.whole()[0], return_counts=True)
         told = [spelled[i] for i in ids.tolist()]
-        gathered.clear()
         spelled.clear()
         return pa.RecordBatch.from_arrays(
             [pa.array(ids.view(np.int64)), pa.array([x for x, _ in told], pa.string()),
@@ -172,45 +178,126 @@ def _among(numbers: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return bits[(numbers & U(BITS - 1)).astype(np.int64)]
 
 
-def _suffixes_task(frequent: bytes, hot: list[bytes], level: int | None, longest: int):
-    """Different suffixes of a task with their counts: of at most ``longest`` words, cut before a rare word.
+def _slots(ids: np.ndarray) -> np.ndarray:
+    """The slot, of 2**32, of every word and the one after it."""
+    return mix(ids[:-1] * STEP + ids[1:]) >> U(32)
 
-    ``hot`` filters the prefixes of 1, 2, ... words that are opened. With a ``level``: the first so
-    many words of the suffixes whose prefix one word shorter is opened, and the hash of these words.
-    Without: suffixes that go on beyond the words they are routed by, and the number of these.
-    """
-    width = longest if level is None else level
+
+def _linked(ids: np.ndarray, follows: np.ndarray, often: np.ndarray, pairs: np.ndarray | None) -> np.ndarray:
+    """Whether a phrase may go on from a word to the next: both are frequent, and so is their slot."""
+    linked = np.zeros(len(ids), bool)
+    linked[:-1] = follows[:-1] & often[:-1] & often[1:]
+    if pairs is not None:
+        linked[:-1] &= _among(_slots(ids), pairs)
+    return linked
+
+
+def _pairs_task(frequent: bytes):
+    """The slots of a task's pairs of frequent words, by range: ascending steps, their bytes by place, packed."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, opened = _open(frequent), [_open(h) for h in hot]
-        gathered = Gathered()
+        known, gathered = _open(frequent), Gathered()
 
         def flush():
             ids, follows = gathered.whole()
-            gathered.clear()
-            often = _among(ids, known)
-            keep, column, prefix = often, ids, ids.copy()
-            columns, still, routed = [np.where(often, ids, U(0))], often, np.ones(len(ids), np.int8)
-            for d in range(1, width):
-                if d <= len(opened):
-                    still = still & _among(prefix, opened[d - 1])
-                    routed += still
-                    if level is not None:
-                        keep = still
-                goes = np.zeros(len(ids), bool)
-                goes[:-d] = (columns[-1][:-d] != 0) & follows[d - 1:-1] & often[d:]
-                column = np.zeros(len(ids), np.uint64)
-                column[:-d] = np.where(goes[:-d], ids[d:], U(0))
-                still = still & goes
-                prefix = mix(prefix * STEP + column)
-                columns.append(column)
-            size = sum((c != 0).astype(np.int8) for c in columns)
-            keep = np.flatnonzero(keep & (size >= (routed + 1 if level is None else level)))
-            _, where, n = np.unique(prefix[keep], return_index=True, return_counts=True)
-            where = keep[where]
-            last = prefix[where].view(np.int64) if level is not None else routed[where].astype(np.int32)
-            return pa.RecordBatch.from_arrays([*[pa.array(c[where].view(np.int64)) for c in columns], pa.array(last), pa.array(n.astype(np.int64))],
-                                              names=[*[f"w{i + 1}" for i in range(width)], "last", "n"])
+            linked = _linked(ids, follows, _among(ids, known), None)
+            slots = np.sort(_slots(ids)[linked[:-1]])
+            ends = np.searchsorted(slots, np.arange(RANGES + 1, dtype=np.uint64) * U((1 << 32) // RANGES))
+            parts = [i for i in range(RANGES) if ends[i] < ends[i + 1]]
+            packed = []
+            for i in parts:
+                steps = np.diff(slots[ends[i]:ends[i + 1]], prepend=U(i * ((1 << 32) // RANGES))).astype("<u4")
+                packed.append(zlib.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1))
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(packed, pa.binary())], names=["part", "steps"])
+
+        for batch in batches:
+            for _ in gathered.read(batch):
+                yield flush()
+        yield flush()
+
+    return task
+
+
+def _full_slots_task(least: int):
+    """The slots that ``least`` pairs or more fall into; rows come by range."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, counts = None, None
+
+        def full():
+            found = np.flatnonzero(counts >= least) + own * len(counts) if own is not None else np.empty(0, np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64))], names=["slot"])
+
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if part != own:
+                    yield full()
+                    own, counts = part, np.zeros((1 << 32) // RANGES, np.int32)
+                steps = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel()
+                at, n = np.unique(np.cumsum(steps, dtype=np.int64), return_counts=True)
+                counts[at] = np.minimum(counts[at] + n, least)
+        yield full()
+
+    return task
+
+
+def _prefix_hash(columns: list[np.ndarray]) -> np.ndarray:
+    found = columns[0].copy()
+    for column in columns[1:]:
+        found = mix(found * STEP + column)
+    return found
+
+
+def _suffixes_task(told: Broadcast, level: int | None, longest: int):
+    """Suffixes of 2 to ``longest`` words, cut before a rare word or pair; equal ones of a task are one with a count.
+
+    ``told`` has the filters of frequent words and pairs, and the opened prefixes by their length. With a
+    ``level``: the first so many words of suffixes under an opened prefix one word shorter, with the
+    number of different suffixes and of all. Without: suffixes that go on beyond the words they are routed by,
+    ``routed`` of them, and how often each is there.
+    """
+
+    def names() -> list[str]:
+        return [f"w{i + 1}" for i in range(level or longest)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, pairs, opened = told.value
+        known, full, gathered, tables = _open(frequent), _open(pairs), Gathered(), []
+        for prefixes in opened:
+            hashes = _prefix_hash(list(prefixes))
+            order = np.argsort(hashes)
+            tables.append((hashes[order], prefixes[:, order]))
+
+        def different():
+            """Words (a row a depth) and count of every different suffix."""
+            ids, follows = gathered.whole()
+            linked = _linked(ids, follows, _among(ids, known), full)
+            at = np.flatnonzero(linked)
+            columns, goes = [ids[at]], np.ones(len(at), bool)
+            for d in range(1, longest):
+                # a linked word has one after it, so the places stay within the words
+                goes = goes & linked[np.minimum(at + d - 1, len(ids) - 1)]
+                columns.append(np.where(goes, ids[np.minimum(at + d, len(ids) - 1)], U(0)))
+            _, where, n = np.unique(_prefix_hash(columns), return_index=True, return_counts=True)
+            return np.stack([c[where] for c in columns]), n.astype(np.int64)
+
+        def flush():
+            words, n = different()
+            routed, still = np.ones(len(n), np.int32), np.ones(len(n), bool)
+            for depth, (hashes, prefixes) in enumerate(tables, 1):
+                at = np.minimum(np.searchsorted(hashes, _prefix_hash(list(words[:depth]))), len(hashes) - 1)
+                still = still & (words[:depth] == prefixes[:, at]).all(axis=0)
+                routed += still
+            if level is None:
+                keep = ((words != 0).sum(axis=0) > routed) & (routed < longest)
+                columns, rest = words[:, keep], [routed[keep], n[keep]]
+            else:
+                under = np.flatnonzero(still & (words[level - 1] != 0))
+                _, first, of = np.unique(_prefix_hash(list(words[:level, under])), return_index=True, return_inverse=True)
+                columns = words[:level, under[first]]
+                rest = [np.bincount(of, minlength=len(first)).astype(np.int64), np.bincount(of, n[under], len(first)).astype(np.int64)]
+            return pa.RecordBatch.from_arrays([*[pa.array(c.view(np.int64)) for c in columns], *map(pa.array, rest)],
+                                              names=[*names(), "routed" if level is None else "rows", "n"])
 
         for batch in batches:
             for _ in gathered.read(batch):
@@ -273,40 +360,50 @@ def _route(longest: int) -> Column:
     """The words that a suffix is routed by, as one number."""
     route = F.col("w1")
     for k in range(2, longest + 1):
-        route = F.when(F.col("last") >= k, F.xxhash64(*[f"w{i + 1}" for i in range(k)])).otherwise(route)
+        route = F.when(F.col("routed") >= k, F.xxhash64(*[f"w{i + 1}" for i in range(k)])).otherwise(route)
     return route
 
 
 def frequent_phrases(docs: DataFrame, vocabulary: DataFrame, *, longest: int, least: int, task_rows: int, hot_rows: int) -> DataFrame:
     """words (ids) and f of every phrase of up to ``longest`` words that is there ``least`` times.
 
-    Suffixes go by their leading word to sorting tasks. A leading word of so many suffixes that they
-    would crowd a task is opened: its phrases of two words are counted, and those go by both words;
-    and so on with what is still too much. Which prefixes are opened is told to the tasks by filters of
-    one size; a false answer only opens one prefix more.
+    Leading pairs of words are counted in slots first; suffixes of a slot with fewer than ``least`` are left
+    where they are. Which words and slots are frequent is told to the tasks by filters of one size; a
+    false answer only lets a suffix through. The other suffixes go by their leading word to sorting tasks.
+
+    A leading word that more suffixes share than a task should get is opened: its phrases of two words are
+    counted, and its suffixes go by two words; and so on. At most (suffixes / limit) prefixes of a
+    length are opened, a small multiple of the number of tasks, so every task is told them. Suffixes are
+    made from the texts in every step: they are several times larger than these.
     """
     spark = docs.sparkSession
     often = vocabulary.where(F.col("n") >= least)
-    total = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // task_rows))
-    limit = max(hot_rows, total // (4 * tasks))
-    frequent, hot, tables = _bits(often, "id"), [], []
-    found = [often.select(F.array("id").alias("words"), F.col("n").alias("f"))]
-    crowded = often.where(F.col("n") > limit).select(F.col("id").alias("last"))
-    for level in range(2, longest + 1):
-        if crowded.isEmpty():
-            break
-        hot.append(_bits(crowded, "last"))
+    frequent = _bits(often, "id")
+    slots = docs.mapInArrow(_pairs_task(frequent), "part int, steps binary").repartition("part").sortWithinPartitions("part")
+    pairs = _bits(slots.mapInArrow(_full_slots_task(least), "slot bigint"), "slot")
+    found, opened, tables = [often.select(F.array("id").alias("words"), F.col("n").alias("f"))], [], []
+    tasks = limit = None
+    for level in range(1, longest + 1):
+        told = spark.sparkContext.broadcast((frequent, pairs, opened))
         names = [f"w{i + 1}" for i in range(level)]
-        rows = docs.mapInArrow(_suffixes_task(frequent, hot, level, longest), ", ".join(f"{c} bigint" for c in [*names, "last", "n"]))
-        table = kept(rows.groupBy(*names, "last").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "phrase-level")
-        tables.append(table)
-        found.append(table.select(F.array(*names).alias("words"), F.col("n").alias("f")))
-        crowded = table.where(F.col("n") > limit)
+        counts = docs.mapInArrow(_suffixes_task(told, level, longest), ", ".join(f"{c} bigint" for c in [*names, "rows", "n"]))
+        counts = counts.groupBy(*names).agg(F.sum("rows").alias("rows"), F.sum("n").alias("n"))
+        counts = kept(counts.where(F.col("n") >= least) if level > 1 else counts, "phrase-level")
+        tables.append(counts)
+        if level == 1:
+            rows = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+            tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // task_rows))
+            limit = max(hot_rows, rows // (4 * tasks))
+        else:
+            found.append(counts.select(F.array(*names).alias("words"), F.col("n").alias("f")))
+        crowded = counts.where(F.col("rows") > limit).select(*names).collect() if level < longest else []
+        if not crowded:
+            break
+        opened = [*opened, np.array([tuple(r) for r in crowded], np.int64).T.reshape(level, -1).view(np.uint64)]
+    told = spark.sparkContext.broadcast((frequent, pairs, opened))
     names = [f"w{i + 1}" for i in range(longest)]
-    rows = docs.mapInArrow(_suffixes_task(frequent, hot, None, longest), ", ".join([*[f"{c} bigint" for c in names], "last int", "n bigint"]))
-    rows = rows.repartition(tasks, _route(longest))
-    found.append(rows.mapInArrow(_sort_task(longest, least), "words array<bigint>, f bigint"))
+    rows = docs.mapInArrow(_suffixes_task(told, None, longest), ", ".join([*[f"{c} bigint" for c in names], "routed int", "n bigint"]))
+    found.append(rows.repartition(tasks, _route(longest)).mapInArrow(_sort_task(longest, least), "words array<bigint>, f bigint"))
     whole = found[0]
     for one in found[1:]:
         whole = whole.unionByName(one)
