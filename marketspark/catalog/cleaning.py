@@ -23,7 +23,7 @@ def clean_text(spark, folder):
 """)
 def news_dedup_first(spark, folder):
     docs = table(spark, folder, "documents")
-    return cleaning.drop_duplicates_first(docs, ["lang", "text"], order=["doc_id"]).select("doc_id", "lang")
+    return cleaning.drop_duplicates_first(docs, ["lang", "text"], order=["doc_id"], wide=True).select("doc_id", "lang")
 
 
 @query("fill_defaults", """

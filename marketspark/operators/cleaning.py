@@ -13,6 +13,7 @@ from marketspark.functions.text import amount, as_text, clean_text
 from marketspark.operators.encoding import one_hot, standardize
 from marketspark.operators.ordering import BLOCK_ROWS, last_known
 from marketspark.operators.reshape import existing, tag, union_all
+from marketspark.operators.skew import bounded
 from marketspark.schemas import HISTORY_AMOUNTS, INDEX_AMOUNTS
 
 # What stands for a missing title or body.
@@ -58,15 +59,38 @@ def _identity(columns: Sequence[str]) -> Column:
     return F.sha2(F.concat_ws("|", *marked), 256)
 
 
-def drop_duplicates_first(df: DataFrame, keys: Sequence[str], *, order: Sequence[str]) -> DataFrame:
+def _firsts_of_copies(marked: DataFrame, order: Sequence[str]) -> DataFrame | None:
+    """The order values of the first row of each digest that several rows have, marked for broadcast.
+
+    None if there are too many for that, or if rows with equal order values leave open which is first.
+    """
+    each = marked.groupBy("_digest", *order).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.min(F.struct(*order)).alias("_first")
+    copies = each.groupBy("_digest").agg(first, F.sum("_n").alias("_n"), F.max("_n").alias("_most")).where(F.col("_n") > 1)
+    copies, small = bounded(copies.select("_digest", "_first", "_most"))
+    if not small or not copies.where(F.col("_most") > 1).isEmpty():
+        return None
+    return copies.drop("_most")
+
+
+def drop_duplicates_first(df: DataFrame, keys: Sequence[str], *, order: Sequence[str], wide: bool = False) -> DataFrame:
     """The first row, by ``order``, of each combination of ``keys``; null equals null.
 
     Rows are compared by the digest of their keys, so sorting does not move over long texts, and
     Spark keeps one row per digest and task before the shuffle: many copies make no hot task.
+
+    ``wide`` rows stay where they are: digests and order values alone are shuffled, and what they say of the
+    rows that have copies, which are few next to all, is broadcast. Where they are not few, or order values
+    are not unique, rows are shuffled as above.
     """
+    marked = df.withColumn("_digest", _identity(keys))
+    firsts = _firsts_of_copies(marked, order) if wide else None
+    if firsts is not None:
+        joined = marked.join(firsts, "_digest", "left")
+        return joined.where(F.col("_first").isNull() | F.struct(*order).eqNullSafe(F.col("_first"))).drop("_digest", "_first")
     first = Window.partitionBy("_digest").orderBy(*order)
-    marked = df.withColumn("_digest", _identity(keys)).withColumn("_n", F.row_number().over(first))
-    return marked.where(F.col("_n") == 1).drop("_digest", "_n")
+    numbered = marked.withColumn("_n", F.row_number().over(first))
+    return numbered.where(F.col("_n") == 1).drop("_digest", "_n")
 
 
 def standardize_amounts(
@@ -93,7 +117,7 @@ def clean_news(
 def _titled_news(news: DataFrame, order: Sequence[str], dates: bool) -> DataFrame:
     """News with a clean title, the first of each (title, content), dates as text; nothing filled yet."""
     titled = news.withColumn("clean_title", clean_text(as_text(F.col("title"))))
-    unique = drop_duplicates_first(titled, ["title", "content"], order=order)
+    unique = drop_duplicates_first(titled, ["title", "content"], order=order, wide=True)
     return unique.withColumn("date", normalize_date(F.col("date"))) if dates else unique
 
 

@@ -162,6 +162,27 @@ def test_frames_without_the_columns_pass(spark):
     assert cleaning.ffill(df, order=["id"], scope="global") is df
 
 
+@pytest.mark.parametrize("unique", [True, False])
+def test_wide_rows_without_copies_stay_where_they_are(spark, tmp_path, unique):
+    rows = [(i if unique else 0, i % 3 if i % 5 else None, None if i % 7 == 0 else f"text {i % 9}" if i < 90 else "hot") for i in range(200)]
+    spark.createDataFrame(rows, "ordinal int, title int, content string").repartition(4).write.parquet(str(tmp_path / "n"))
+    df = spark.read.parquet(str(tmp_path / "n"))
+    keys = ["title", "content"]
+    plain = cleaning.drop_duplicates_first(df, keys, order=["ordinal"])
+    wide = cleaning.drop_duplicates_first(df, keys, order=["ordinal"], wide=True)
+    assert sorted(map(tuple, wide.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    text = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Window" not in text) == unique
+    if unique:
+        assert "Exchange hashpartitioning" not in wide._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_copies_of_wide_rows_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(cleaning, "bounded", lambda df: (df, False))
+    df = spark.range(100).select("id", (F.col("id") % 10).alias("t"))
+    assert sorted(r["id"] for r in cleaning.drop_duplicates_first(df, ["t"], order=["id"], wide=True).collect()) == list(range(10))
+
+
 def test_frames_together_equal_frames_alone(spark):
     stock = spark.createDataFrame(
         [(1, "A", "1,000", "call"), (2, "A", None, None), (3, "B", None, "put"), (4, "B", "7", None)],
