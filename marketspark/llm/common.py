@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import contextlib
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,13 +19,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Whether Spark deletes the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in this block leave no shuffle files behind."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet below ``spark.checkpoint.dir`` and read again.
 
-    A lost executor then costs only a read: what was made before is on the shared folder.
+    A lost executor then costs only a read: what was made before is on the shared folder. The shuffle
+    files that the write needed go when it is done.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with without_leftovers(df.sparkSession):
+        df.write.parquet(path)
     again = df.sparkSession.read.schema(df.schema).parquet(path)
     again.kept_path = path
     return again
@@ -35,15 +53,6 @@ def forget(df: DataFrame) -> None:
     remove_path(df.sparkSession, df.kept_path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the shuffle files of finished steps go now.
-
-    Spark deletes them once the driver's JVM has noticed that nothing refers to them any more,
-    which a driver with little to do notices late.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def unused(df: DataFrame, name: str) -> str:
     """``name``, with signs added until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

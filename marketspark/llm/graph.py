@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import kept
+from marketspark.llm.common import forget, kept
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -36,6 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(found) == state or found[0] == 0:
             break
         state = tuple(found)
-        now = kept(_stars(now), "links")
+        before, now = now, kept(_stars(now), "links")
+        forget(before)
     named = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return named.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -9,10 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import kept, unused
+from marketspark.llm.common import forget, kept, unused
 from marketspark.llm.graph import components
 from marketspark.llm.hashing import U, mix, shingle_sets
 
@@ -27,8 +27,9 @@ MISSED = 1e-5
 MATCHES = 36
 #: Counters by which coordinate values are put in order, the rarest first.
 COUNTERS = 1 << 16
-#: Rows of one side of a block of a posting list.
+#: Rows and shingles of one side of a block of a posting list.
 BLOCK = 2000
+BLOCK_ITEMS = 1 << 21
 #: Ids that are broadcast at most (8 bytes each).
 SMALL_IDS = 2_000_000
 #: Rows of the larger side that follow one copy of a hub's set.
@@ -151,47 +152,96 @@ def agreeing(pairs: DataFrame, reps: DataFrame, matches: int = MATCHES) -> DataF
     return pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(_agree(matches), "a bigint, b bigint")
 
 
-def _cross_task(matches: int, percent: int):
-    """Pairs of two blocks, compared in the order of set sizes: far larger sets share too little."""
+def _near(rows: pd.DataFrame, low: int, high: int, matches: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For rows of two blocks, in the order of set sizes, each row and the later ones that agree with it.
+
+    Only pairs across the two blocks, of different components, and of sets neither of which is too large for
+    the other are looked at; a row is the same as one of a set of its size.
+    """
+    marks, names = _matrix(rows["signature"]), rows["component"].to_numpy()
+    sizes, right = rows["n_shingles"].to_numpy(), rows["block"].to_numpy() == high
+    ends = np.searchsorted(sizes * percent, sizes * 100, side="right")
+    for i in range(len(rows)):
+        near = slice(i + 1, ends[i])
+        hits = (marks[near] == marks[i]).sum(axis=1, dtype=np.uint8) >= matches
+        if hits.any():
+            hits &= (names[near] != names[i]) & ((low == high) | (right[near] != right[i]))
+            yield i, np.flatnonzero(hits) + i + 1
+
+
+def _met_task(matches: int, percent: int):
+    """The rows of two blocks that agree with another one."""
     def task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = key[-2:]
+        hub, low, high = key
         rows = rows.sort_values(["n_shingles", "doc_id"], kind="stable")
-        marks, ids, names = _matrix(rows["signature"]), rows["doc_id"].to_numpy(), rows["component"].to_numpy()
-        sizes, right = rows["n_shingles"].to_numpy(), rows["block"].to_numpy() == high
-        ends = np.searchsorted(sizes * percent, sizes * 100, side="right")
+        met = np.zeros(len(rows), bool)
+        for i, others in _near(rows, low, high, matches, percent):
+            met[others] = True
+            met[i] |= len(others) > 0
+        found = rows[met][["doc_id", "block"]]
+        return found.assign(hub=hub, low=low, high=high)[["hub", "low", "high", "doc_id", "block"]]
+
+    return task
+
+
+def _link_task(matches: int, percent: int):
+    """Links that put the rows of two blocks into their components, confirmed on the full sets.
+
+    Rows that a link has brought together already are not compared again.
+    """
+    def task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, low, high = key
+        rows = rows.sort_values(["n_shingles", "doc_id"], kind="stable").reset_index(drop=True)
+        sets, ids = [np.frombuffer(x, np.uint64) for x in rows["items"]], rows["doc_id"].to_numpy()
+        _, root = np.unique(rows["component"].to_numpy(), return_inverse=True)
         found = []
-        for i in range(len(rows)):
-            near = slice(i + 1, ends[i])
-            hits = (marks[near] == marks[i]).sum(axis=1, dtype=np.uint8) >= matches
-            if hits.any():
-                hits &= (names[near] != names[i]) & ((low == high) | (right[near] != right[i]))
-                found.append(np.stack(np.broadcast_arrays(ids[i], ids[near][hits]), axis=1))
-        pairs = np.concatenate([np.empty((0, 2), np.int64), *found])
-        return pd.DataFrame({"a": pairs.min(axis=1, initial=1 << 62), "b": pairs.max(axis=1, initial=-(1 << 62))})
+        for i, others in _near(rows, low, high, matches, percent):
+            for j in others:
+                if root[i] == root[j]:
+                    continue
+                small, large = sets[i], sets[j]
+                both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+                if 100 * both >= percent * (len(small) + len(large) - both):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    root[root == root[j]] = root[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return task
 
 
-def crossing(posted: DataFrame, reps: DataFrame, named: DataFrame, matches: int = MATCHES, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """Pairs of one list that are in different components and agree in ``matches`` coordinates.
+def crossing(posted: DataFrame, reps: DataFrame, named: DataFrame, docs: DataFrame, *, key: str, text: str, words: int = WORDS,
+             matches: int = MATCHES, percent: int = PERCENT, block: int = BLOCK, items: int = BLOCK_ITEMS) -> DataFrame:
+    """Links (a, b) between different components that lists have in common, enough to join these.
 
     Lists with the same hub are one: the documents around one passage share many values, and a pair
     need not be met under each. Only lists with several components are looked at. A list is
-    spread over blocks of about ``block`` documents; every pair of blocks is a group of its own.
+    spread over blocks of about ``block`` documents and ``items`` shingles; every pair of blocks is a group of
+    its own. It finds the documents that agree with another one; only these bring their sets, once to each
+    pair of blocks, where the pairs are confirmed. No table of pairs is made.
     """
     members = posted.select("hub", "doc_id").distinct().join(named.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     members = members.withColumn("component", F.coalesce("component", "doc_id"))
-    lists = members.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
-    lists = lists.where("least <> most").select("hub", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    spread = members.join(lists, "hub").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    spread = spread.join(reps, "doc_id")
+    lists = members.groupBy("hub").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("hub")
+    members = kept(members.join(lists, "hub").join(reps, "doc_id"), "near-members")
+    sized = members.groupBy("hub").agg(F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n_shingles") / items)).cast("int").alias("blocks"))
+    spread = members.join(sized, "hub").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "hub", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "doc_id", "component", "block", "n_shingles", "signature",
     )
+    tile = ["hub", "low", "high"]
     tasks = int(spread.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = spread.repartition(tasks, "hub", "low", "high")  # little data, much work: not to be merged into few tasks
-    return spread.groupBy("hub", "low", "high").applyInPandas(_cross_task(matches, percent), "a bigint, b bigint").distinct()
+    dealt = spread.repartition(tasks, *tile)  # little data, much work: not to be merged into few tasks
+    met = dealt.groupBy(*tile).applyInPandas(_met_task(matches, percent), "hub bigint, low int, high int, doc_id bigint, block int")
+    met = kept(met, "near-met")
+    sets = shingles_of(met.select("doc_id"), docs, key=key, text=text, words=words)
+    marked = members.select("hub", F.col("doc_id").alias("_of"), "component", "n_shingles", "signature")
+    brought = met.join(marked.withColumnRenamed("hub", "_hub"), (F.col("hub") == F.col("_hub")) & (F.col("doc_id") == F.col("_of"))).drop("_hub", "_of")
+    brought = brought.join(sets, "doc_id").repartition(tasks, *tile)
+    links = kept(brought.groupBy(*tile).applyInPandas(_link_task(matches, percent), "a bigint, b bigint").distinct(), "near-links")
+    for table in (members, met, sets):
+        forget(table)
+    return links
 
 
 def _sets(n: int):
@@ -204,6 +254,17 @@ def _sets(n: int):
     return task
 
 
+def shingles_of(ids: DataFrame, docs: DataFrame, *, key: str, text: str, words: int = WORDS) -> DataFrame:
+    """doc_id and items, the sorted shingles, of the documents in ``ids``, made from their whole texts and written."""
+    ids = kept(ids.select(F.col("doc_id").alias("_id")).distinct(), "near-ids")
+    small = ids.count() <= SMALL_IDS
+    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), "left_semi")
+    sets = kept(rows.mapInArrow(_sets(words), "doc_id bigint, items binary").dropDuplicates(["doc_id"]), "near-sets")
+    forget(ids)
+    return sets
+
+
 def _confirm(percent: int):
     def task(batches):
         hub, own = None, None
@@ -232,11 +293,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, *, key: str, text: str, words:
     the set of b to the set of a; the partners of one a are dealt over salts, with a copy of its
     set for each, and come in order behind it, so no group is gathered.
     """
-    ids = kept(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct(), "near-ids")
-    small = ids.count() <= SMALL_IDS
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = kept(rows.mapInArrow(_sets(words), "doc_id bigint, items binary").dropDuplicates(["doc_id"]), "near-sets")
+    sets = shingles_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs, key=key, text=text, words=words)
     salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts"))
     salted = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     partners = salted.join(sets, F.col("b") == F.col("doc_id")).select("a", "salt", "b", "items")
@@ -244,7 +301,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, *, key: str, text: str, words:
         "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("bigint").alias("b"), "items"
     )
     lined = hubs.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-    return lined.mapInArrow(_confirm(percent), "a bigint, b bigint")
+    links = kept(lined.mapInArrow(_confirm(percent), "a bigint, b bigint"), "near-links")
+    forget(sets)
+    return links
 
 
 def enough(percent: int) -> int:
@@ -270,8 +329,9 @@ def near_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     Equal sets are one class from the start. Classes are posted under their rarest signature
     values; each list first compares its hub with the others, and then only pairs that are not yet
     in one component, so a large group of copies of a text costs about its size. Pairs that
-    agree in enough coordinates (``matches``, by default those of ``enough``) are confirmed on their full sets. The links' components decide;
-    the least doc_id of each is kept.
+    agree in enough coordinates (``matches``, by default those of ``enough``) are confirmed on their full
+    sets, those of a list within the task that met them. The links' components decide; the least doc_id
+    of each is kept.
 
     Null and empty texts, and texts without a word, have no shingle, link with nothing and are kept.
     A row without a key links with nothing and is kept, its component null. Repeated rows of one
@@ -283,15 +343,19 @@ def near_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     classes = kept(linked.groupBy("low", "high").agg(F.min("doc_id").alias("rep")), "near-classes")
     reps = linked.join(classes, ["low", "high"]).where("doc_id = rep").select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"])
     reps = kept(reps, "near-reps")
-    posted = kept(postings(reps, matches), "near-postings")
-    posted = kept(with_hubs(posted), "near-lists")
+    every = kept(postings(reps, matches), "near-postings")
+    posted = kept(with_hubs(every), "near-lists")
+    forget(every)
     pairs = posted.where("doc_id <> hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()
     near = kept(agreeing(pairs, reps, matches), "near-pairs")
-    links = kept(confirmed(near, docs, key=key, text=text, words=words, percent=percent), "near-links")
-    named = components(links)
-    near = kept(crossing(posted, reps, named, matches, percent), "near-pairs")
-    more = kept(confirmed(near, docs, key=key, text=text, words=words, percent=percent), "near-links")
+    links = confirmed(near, docs, key=key, text=text, words=words, percent=percent)
+    forget(near)
+    more = crossing(posted, reps, components(links), docs, key=key, text=text, words=words, matches=matches, percent=percent)
+    for table in (posted, reps):
+        forget(table)
     named = kept(components(links.unionByName(more)), "near-components")
+    for table in (links, more):
+        forget(table)
     named = named.select(F.col("node").alias("rep"), "component")
     members = classes.join(named, "rep", "left").select("low", "high", F.coalesce("component", "rep").alias("component"))
     return marked.join(members, ["low", "high"], "left").select(
@@ -303,7 +367,8 @@ def near_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that stay, unchanged: one document of each component.
 
-    Of repeated rows of a key one stays. Rows without a key stay.
+    Of rows that repeat a key the one of least hash over its values stays. Rows without a key stay, and so do
+    texts without a word; an empty table gives no rows. Columns keep their names, whatever they are.
     """
     verdicts = kept(near_documents(docs, key=key, text=text, **settings), "near-verdicts")
     name = unused(docs, "_gone")
@@ -313,4 +378,7 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **s
     repeated = verdicts.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if repeated.isEmpty():
         return rows
-    return rows.where(F.col(key).isNotNull()).dropDuplicates([key]).unionByName(rows.where(F.col(key).isNull()))
+    whole, place = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))), unused(docs, "_place")
+    first = F.row_number().over(Window.partitionBy(key).orderBy(whole))
+    known = rows.where(F.col(key).isNotNull()).withColumn(place, first).where(F.col(place) == 1).drop(place)
+    return known.unionByName(rows.where(F.col(key).isNull()))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm import gru
-from marketspark.llm.common import kept, release
+from marketspark.llm.common import kept, without_leftovers
 from marketspark.llm.hashing import U, mix, texts, words
 
 #: Most frequent words whose counts every task holds (16 bytes each); counts of others are joined.
@@ -189,12 +189,11 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", head: int
         replicas = max(min(spark.sparkContext.defaultParallelism, FEW), total // rounds // REPLICA)
         changes = own.coalesce(replicas).mapInArrow(_train_task(shared), "slice bigint, tokens bigint, change binary")
         changes = changes.repartition(SUMMED, "slice").mapInPandas(_average_changes, "slice bigint, change binary")
-        means = changes.collect()
-        del changes
+        with without_leftovers(spark):
+            means = changes.collect()
         views = list(gru.slices(model.p))
         for mean in means:
             views[mean["slice"]] += np.frombuffer(mean["change"], "<f4")
-        release(spark)
         shared.destroy()
     return model, counts
 

@@ -91,7 +91,8 @@ def test_documents_against_all_pairs(spark, n):
             assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
-def test_small_blocks_and_few_salts_change_nothing(spark, monkeypatch):
+@pytest.mark.parametrize("block,items", [(5, 10**9), (10**6, 600), (10**6, 10**9)])
+def test_small_blocks_and_few_salts_change_nothing(spark, monkeypatch, block, items):
     rows = families(9)
     _, expected = brute_documents(rows)
     monkeypatch.setattr(minhash, "SMALL_IDS", 3)
@@ -99,8 +100,10 @@ def test_small_blocks_and_few_salts_change_nothing(spark, monkeypatch):
     reps = minhash.signatures(documents(spark, rows)).select("doc_id", "n_shingles", "signature")
     posted = minhash.with_hubs(minhash.postings(reps))
     alone = spark.createDataFrame([], "node bigint, component bigint")
-    pairs = minhash.crossing(posted, reps, alone, block=5)
-    links = minhash.confirmed(pairs, documents(spark, rows), key="doc_id", text="text")
+    near = minhash.agreeing(posted.where("doc_id <> hub").selectExpr("hub as a", "doc_id as b").distinct(), reps)
+    hubs = minhash.confirmed(near, documents(spark, rows), key="doc_id", text="text")
+    links = minhash.crossing(posted, reps, alone, documents(spark, rows), key="doc_id", text="text", block=block, items=items)
+    assert hubs.count() > 20 and links.count() < len(rows) * len(rows) / 20
     assert roots([r[0] for r in rows], [tuple(r) for r in links.collect()]) == expected
 
 
