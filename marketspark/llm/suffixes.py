@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketspark.llm.bwt import DEPTH, STOP, Shard, common_prefixes
-from marketspark.llm.common import kept, release
+from marketspark.llm.common import kept
 from marketspark.llm.hashing import U, mix, powers, texts
 
 ANCHOR = 16
@@ -427,18 +427,17 @@ def _kept_texts(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, mas
 def _removal(rows: DataFrame, carried: list[str], finish, names: list[tuple[str, T.DataType]], arrow: pa.Schema, group: int, hot: int) -> DataFrame:
     """``finish`` over all groups of documents of ``rows`` (doc_id, text and ``carried`` columns)."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = buckets = max(1, -(-size // group))
+    groups = max(1, -(-size // group))
+    buckets = 2 * groups
     dealt = rows.withColumn("g", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(groups)).cast("bigint"))
     narrow = dealt.where("doc_id is not null").select("g", F.coalesce("text", F.lit("")).alias("text"))
     anchors = narrow.mapInArrow(_anchor_task(buckets), "bucket bigint, anchors binary, groups binary, counts binary")
     shared = kept(anchors.groupBy("bucket").applyInPandas(_shared_anchors(hot), "g bigint, bucket bigint, anchors binary"), "shared-anchors")
-    release(rows.sparkSession)
     many = _keys_of((r["bucket"], r["anchors"]) for r in shared.where("g < 0").select("bucket", "anchors").collect())
     shared = shared.where("g >= 0")
     plain = dealt.select("g", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     stretch = _with_group(plain.groupBy("g").cogroup(shared.groupBy("g")), _stretch_task(buckets, many))
     runs = kept(stretch.groupBy("bucket").applyInPandas(_merge_task, "g bigint, hashes binary, begins binary, ends binary, owners binary"), "shared-runs")
-    release(rows.sparkSession)
     ended = dealt.select("g", "doc_id", "text", *carried).groupBy("g").cogroup(runs.groupBy("g"))
     return ended.applyInArrow(_apply_task(finish, arrow, buckets, many), T.StructType([T.StructField(n, t) for n, t in names]))
 
