@@ -115,6 +115,36 @@ def test_shards_hold_the_mixture(spark):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == expected
 
 
+def brute_shards(rows, shards=8):
+    marked = [(draw(r[0], 29), r[0] is not None, r[0] or 0, len((r[1] or "").encode()) + 1, zlib.crc32((r[1] or "").encode()), r[3]) for r in rows]
+    sources = defaultdict(list)
+    for m in marked:
+        sources[m[5]].append(m)
+    placed = []
+    for source, own in sources.items():
+        for rank, m in enumerate(sorted(own, key=lambda m: m[:5])):
+            placed.append(((rank + m[0]) / len(own), source is not None, source or "", *m[1:5]))
+    out = []
+    for at, p in enumerate(sorted(placed)):
+        shard = at * shards // len(placed)
+        out.append((p[4] if p[3] else None, p[5], p[6], shard, at - math.ceil(shard * len(placed) / shards)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("buckets", [1, 16, 1024])
+def test_shards_against_plain_sorting(spark, buckets):
+    rows = edge_rows() + [(5000 + i, prose(i, 3), "en", ["hot", f"own{i}"][i % 2], 1) for i in range(500)]
+    found = sharding.interleave(documents(spark, rows, extra=True), buckets=buckets).collect()
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in found), key=repr) == brute_shards(rows)
+
+
+def test_many_sources_of_one_row_spread_over_places(spark):
+    rows = [(i, "x", "en", f"s{i}", 1) for i in range(4000)]
+    found = sharding.interleave(documents(spark, rows))
+    fullest = found.groupBy(F.floor(F.col("place") * 64).alias("b")).count().agg(F.max("count")).first()[0]
+    assert fullest < 110
+
+
 def test_bucket_counts_do_not_change_shards(spark):
     rows = [(i, prose(i, 3), "en", "ab"[i % 7 == 0], 1) for i in range(300)]
     one, many = (
