@@ -92,7 +92,8 @@ def profiles(labelled: DataFrame, *, text: str = "text", lang: str = "lang", siz
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     counts = rows.mapInArrow(_count_task, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
-    return counts.withColumn("rank", place - 1).where(F.col("rank") < size).select("lang", "code", "rank")
+    # compared with the place itself, so that Spark keeps so many a task before the shuffle
+    return counts.withColumn("place", place).where(F.col("place") <= size).select("lang", "code", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:
@@ -131,13 +132,13 @@ def identify(rows: DataFrame, learned: DataFrame, *, text: str = "text", size: i
     """
     model = Profiles([tuple(r) for r in learned.select("lang", "code", "rank").collect()], size)
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    inner = rows.select(F.struct("*").alias("row"), F.col(text).alias("text"))
+    inner = rows.select(F.struct("*").alias("row"))
     schema = inner.select("row", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("letters")).schema
 
     def task(batches):
         model = shared.value
         for batch in batches:
-            given = batch.column("text").to_pylist()
+            given = batch.column("row").field(text).to_pylist()
             found = [model.predict(t) for t in given]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()),
@@ -170,6 +171,12 @@ def predict_languages(docs: DataFrame, *, key: str = "doc_id", text: str = "text
 
 
 def known_language(docs: DataFrame, *, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs``, unchanged, whose text has a letter, whether or not any language was learned."""
-    found = identify(docs, learn(docs, key=key, text=text, lang=lang), text=text)
-    return found.where("letters").select("row.*")
+    """The rows of ``docs`` whose text has a letter, with the predicted language where ``lang`` is null.
+
+    Rows without a letter are rejected, whether or not any language was learned; texts are read whole.
+    Other values stay as they are, columns and their order too; repeated rows are kept or go alike, and an
+    empty table gives no rows. Without a learned profile a null ``lang`` stays null.
+    """
+    found = identify(docs, learn(docs, key=key, text=text, lang=lang), text=text).where("letters")
+    told = F.when(F.col("lang_pred") != UNDECIDED, F.col("lang_pred"))
+    return found.select(*[F.coalesce(F.col(f"row.`{c}`"), told).alias(c) if c == lang else F.col(f"row.`{c}`") for c in docs.columns])

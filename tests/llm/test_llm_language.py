@@ -5,7 +5,8 @@ import zlib
 from collections import Counter
 
 import pytest
-from llm_cases import documents, edge_rows, same_columns
+from llm_cases import documents, edge_rows, prose, same_columns
+from pyspark.sql import functions as F
 
 from marketspark.llm import language
 
@@ -98,7 +99,11 @@ def test_stage_keeps_rows_with_a_letter(spark):
     left = language.known_language(df)
     assert same_columns(left, df)
     expected = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
-    assert sorted((tuple(r)[:5] for r in left.collect()), key=repr) == sorted(expected, key=repr)
+    found = [tuple(r)[:5] for r in left.collect()]
+    assert all(r[2] for r in found), "a missing language is filled in"
+    given = {(r[0], r[1]): r[2] for r in rows}
+    found = [(*r[:2], r[2] and given[r[0], r[1]], *r[3:]) for r in found]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
 
 
 def test_nothing_to_learn_from(spark):
@@ -125,3 +130,13 @@ def test_texts_with_letters_stay_without_any_label(spark):
     left = language.known_language(df)
     assert same_columns(left, df)
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 1, 2, 6]
+
+
+def test_the_stage_fills_in_the_language_and_keeps_the_rest(spark):
+    rows = [(i, prose(i, 80), "en", "a", 1) for i in range(20)] + [(100, prose(500, 80), None, "a", 1), (101, prose(501, 80), "xx", "b", 2), (102, "12 34", None, "a", 1)]
+    df = documents(spark, rows).withColumn("row", F.lit("clash")).withColumn("a.b", F.lit(1))
+    kept = language.known_language(df)
+    assert kept.columns == df.columns and kept.dtypes == df.dtypes
+    found = {r["doc_id"]: r for r in kept.collect()}
+    assert set(found) == {r[0] for r in rows} - {102}
+    assert found[100]["lang"] == "en" and found[101]["lang"] == "xx" and found[100]["row"] == "clash"

@@ -33,7 +33,8 @@ def test_each_stage_works_on_what_the_one_before_kept(spark, tmp_path):
         kept.append({r["doc_id"]: r["text"] for r in docs.collect()})
     assert set(kept[0]) == {r[0] for r in rows if any(c.isalpha() for c in r[1] or "")}
     assert set(kept[1]) < set(kept[0]) and 0 in kept[1] and 1 not in kept[1] and 2 not in kept[1]
-    assert set(kept[2]) == set(kept[1]) and len(kept[2][9]) < len(kept[1][9])
+    assert 9 not in kept[1], "it differs from 8 in three words of thirty thousand"
+    assert set(kept[2]) == set(kept[1]) and len(kept[2][13]) < len(kept[1][13])
     assert set(kept[3]) <= set(kept[2])
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert {p["doc_id"] for p in pieces} == set(kept[3])
@@ -63,4 +64,4 @@ def test_query_gives_the_rows_of_its_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert {q.split("_")[0] for q in queries.QUERIES} == {"pipeline", *[f"op{n}" for n in range(1, 11)]}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {"pipeline", *[f"op{n}" for n in range(1, 14)]}
