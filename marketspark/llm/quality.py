@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +17,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 10
 MAX_REPEATED = 20
 
-#: A rule rejects what is above its cutoff. The cutoffs to try are fixed in advance, so that all
-#: labelled documents are a holdout for them.
+#: A rule rejects what is above its cutoff. The cutoffs to try, from the mildest on, are fixed in advance, so
+#: that all labelled documents are a holdout for them; a rule that has no more keeps its last one.
 RULES = {
     "symbol_share": [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.03, 0.02],
     "dup_line_share": [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1],
@@ -111,38 +114,45 @@ def binomial_tail(n: Column, k: Column, risk: float) -> Column:
     return F.exp(F.aggregate(steps, start, add)["sum"])
 
 
+def levels(rules: dict[str, list[float]]) -> list[dict[str, float]]:
+    """The cutoffs of all rules level by level, from the mildest to the strictest."""
+    ordered = {name: sorted(values, reverse=True) for name, values in rules.items()}
+    return [{name: values[min(i, len(values) - 1)] for name, values in ordered.items()} for i in range(max(map(len, ordered.values())))]
+
+
 def cutoffs(counts: DataFrame, labels: DataFrame, *, key: str = "doc_id", good: str = "quality",
             risk: float = RISK, delta: float = DELTA, rules: dict[str, list[float]] = RULES) -> DataFrame:
-    """One row a stratum, one column a rule: the lowest cutoff proven safe, null where none is.
+    """One row a stratum with a proof, one column a rule: the strictest cutoffs proven safe.
 
-    For every stratum and rule the cutoffs are tested from the mildest on. The hypothesis "it
-    rejects more than ``risk / rules`` of the good documents" is refuted if, at that rate, so few
-    rejections among the good labelled documents have a probability of at most
-    ``delta / (rules * strata)``, by the exact binomial. The first that is not refuted ends the
-    sequence, so the sequence needs no further correction; Bonferroni covers rules and strata.
+    All rules are tested together, level by level from the mildest on, in every stratum. The hypothesis "at
+    this level the rules together reject more than ``risk`` of the good documents" is refuted if, at
+    that rate, so few rejections among the good labelled documents have a probability of at most
+    ``delta / strata``, by the exact binomial. The first level that is not refuted ends the sequence, so
+    the sequence needs no further correction; Bonferroni covers the strata. A stratum needs
+    ln(delta / strata) / ln(1 - risk) good labels at least, 436 for 4 strata.
 
     A document is good if all its labels say 1. Strata without labels get no row, so no rule.
     """
+    steps = levels(rules)
     truth = labels.groupBy(F.col(key).alias("_id")).agg(F.min(F.col(good)).alias("_good")).where(F.col("_good") == 1)
-    tried = [(name, i, value) for name, values in rules.items() for i, value in enumerate(sorted(values, reverse=True))]
     measured = counts.where(~base_failed()).select("doc_id", "stratum", *[m.alias(n) for n, m in measures().items() if n in rules])
     holdout = measured.join(truth, F.col("doc_id") == F.col("_id"))
+
+    def rejected(level: dict[str, float]) -> Column:
+        return functools.reduce(operator.or_, [F.col(name) > cut for name, cut in level.items()])
+
     per_stratum = holdout.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("n"), *[F.count(F.when(F.col(name) > value, 1)).alias(f"k{j}") for j, (name, _, value) in enumerate(tried)]
+        F.count(F.lit(1)).alias("n"), *[F.count(F.when(rejected(level), 1)).alias(f"k{i}") for i, level in enumerate(steps)]
     )
     strata = F.count(F.lit(1)).over(Window.partitionBy())
-    cells = F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.lit(i).alias("i"), F.lit(value).alias("cutoff"), F.col(f"k{j}").alias("k"))
-        for j, (name, i, value) in enumerate(tried)
-    ])
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"k{i}").alias("k")) for i in range(len(steps))])
     listed = per_stratum.select("stratum", "n", strata.alias("strata"), F.explode(cells).alias("c")).select("stratum", "n", "strata", "c.*")
-    rate = risk / len(rules)
-    tail = F.when(F.col("k") < F.col("n") * rate, binomial_tail(F.col("n"), F.col("k"), rate)).otherwise(F.lit(1.0))
-    judged = listed.withColumn("safe", tail <= F.lit(delta) / (F.col("strata") * len(rules)))
-    so_far = Window.partitionBy("stratum", "rule").orderBy("i")
-    proven = judged.withColumn("all_safe", F.min("safe").over(so_far)).where("all_safe")
-    picked = [F.min(F.when(F.col("rule") == name, F.col("cutoff"))).alias(name) for name in rules]
-    return proven.groupBy("stratum").agg(*picked)
+    tail = F.when(F.col("k") < F.col("n") * risk, binomial_tail(F.col("n"), F.col("k"), risk)).otherwise(F.lit(1.0))
+    judged = listed.withColumn("safe", tail <= F.lit(delta) / F.col("strata"))
+    so_far = Window.partitionBy("stratum").orderBy("i")
+    proven = judged.withColumn("all_safe", F.min("safe").over(so_far)).where("all_safe").groupBy("stratum").agg(F.max("i").alias("i"))
+    chosen = F.array(*[F.struct(*[F.lit(level[name]).alias(name) for name in rules]) for level in steps])
+    return proven.withColumn("c", F.get(chosen, F.col("i"))).select("stratum", "c.*")
 
 
 def judge(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", stratum: str = "lang",

@@ -44,6 +44,38 @@ def test_rules_against_plain_python(spark):
         assert r["verdict"] == verdict if rule else r["verdict"] in ("allow", "block")
 
 
+def plain_features(url):
+    host, path, _, _ = brute(url)
+    url = url or ""
+    query = re.search(r"\?([^#]*)", url)
+    query = query[1] if query else ""
+
+    def entropy(text):
+        return -sum(n / len(text) * math.log2(n / len(text)) for n in Counter(text).values()) if text else 0.0
+
+    def among(text, signs):
+        return float(sum(c in signs for c in text))
+
+    digits = "0123456789"
+    return {
+        "length": float(len(url)), "host_length": float(len(host)), "path_length": float(len(path)), "depth": among(path, "/"), "labels": among(host, "."),
+        "digit_share": among(url, digits) / max(1, len(url)), "host_digits": among(host, digits), "path_digits": among(path, digits), "dashes": among(url, "-"),
+        "underscores": among(url, "_"), "escapes": among(url, "%"), "parameters": among(query, "="), "separators": among(query, "&;"),
+        "entropy": entropy(url), "path_entropy": entropy(path), "longest_part": float(max(map(len, path.split("/")))),
+        "dotted_end": float(bool(re.search(r"\.[A-Za-z0-9]{1,5}$", path))), "secure": float(url.startswith("https")),
+    }
+
+
+def test_features_against_plain_python(spark):
+    given = [*URLS, "https://a-b_c.net/x%20y/1.tar.gz?a=1;b=2&c==#?d=3", "https://x/" + "ab1" * 700, "ftp://日本.jp/é/ü"]
+    df = spark.createDataFrame([(u,) for u in given], "url string")
+    made = urls.features(F.col("url"), urls.host(F.col("url")), urls.path(F.col("url")))
+    assert len(made) == 18
+    for row in df.select("url", *[c.alias(k) for k, c in made.items()]).collect():
+        for name, value in plain_features(row["url"]).items():
+            assert row[name] == pytest.approx(value, abs=1e-9), (row["url"], name)
+
+
 def test_trees_learn_from_labelled_urls(spark):
     rows = [(i, f"https://site{i % 50}.net/{'spam' if i % 3 == 0 else 'news'}-{i}{'?a=1&b=2&c=' + str(i) if i % 3 == 0 else ''}", None) for i in range(600)]
     labelled = pages(spark, rows[:400]).select("url", F.when(F.col("page_id") % 3 == 0, "block").otherwise("allow").alias("verdict"))
@@ -126,13 +158,13 @@ def test_cutoffs_and_verdicts_against_plain_python(spark):
     limits = {}
     for s in strata:
         own = [m for x, m in holdout if x == s]
-        for rule, values in rules.items():
-            for cut in sorted(values, reverse=True):
-                k, n, p = sum(m[rule] > cut for m in own), len(own), risk / len(rules)
-                tail = sum(math.comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k + 1)) if k < n * p else 1.0
-                if tail > delta / (len(strata) * len(rules)):
-                    break
-                limits[s, rule] = cut
+        for step in range(max(map(len, rules.values()))):
+            level = {rule: sorted(values, reverse=True)[min(step, len(values) - 1)] for rule, values in rules.items()}
+            k, n = sum(any(m[rule] > cut for rule, cut in level.items()) for m in own), len(own)
+            tail = sum(math.comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1)) if k < n * risk else 1.0
+            if tail > delta / len(strata):
+                break
+            limits |= {(s, rule): cut for rule, cut in level.items()}
     assert any(s == "a" for s, _ in limits) and not any(s == "b" for s, _ in limits)
     df = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
     got = quality.judge(documents(spark, rows, extra=True), df, risk=risk, delta=delta).collect()
@@ -147,6 +179,20 @@ def test_cutoffs_and_verdicts_against_plain_python(spark):
     assert rejected > 100
 
 
+def test_cutoffs_are_proven_on_the_given_tables(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    counted = quality.statistics(docs)
+    found = {r["stratum"]: r.asDict() for r in quality.cutoffs(counted, labels).collect()}
+    assert "en" in found and all(set(r) == {"stratum", *quality.RULES} for r in found.values())
+    good = counted.where(~quality.base_failed()).join(labels.where("quality = 1"), "doc_id")
+    for stratum, limits in found.items():
+        own = good.where(F.col("stratum") == stratum)
+        measured = own.select(*[m.alias(n) for n, m in quality.measures().items()])
+        bad = measured.where(" or ".join(f"{name} > {limits[name]}" for name in quality.RULES)).count()
+        assert bad <= 0.01 * own.count()
+
+
 def test_quality_without_labels_or_documents(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     found = quality.judge(documents(spark, edge_rows(), extra=True), none).collect()
