@@ -373,7 +373,7 @@ def frequent_phrases(docs: DataFrame, vocabulary: DataFrame, *, longest: int, le
 
     A leading word that more suffixes share than a task should get is opened: its phrases of two words are
     counted, and its suffixes go by two words; and so on. At most (suffixes / limit) prefixes of a
-    length are opened, a small multiple of the number of tasks, so every task is told them. Suffixes are
+    length are opened, the number of tasks at most, so every task is told them. Suffixes are
     made from the texts in every step: they are several times larger than these.
     """
     spark = docs.sparkSession
@@ -393,7 +393,7 @@ def frequent_phrases(docs: DataFrame, vocabulary: DataFrame, *, longest: int, le
         if level == 1:
             rows = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
             tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // task_rows))
-            limit = max(hot_rows, rows // (4 * tasks))
+            limit = max(hot_rows, rows // tasks)
         else:
             found.append(counts.select(F.array(*names).alias("words"), F.col("n").alias("f")))
         crowded = counts.where(F.col("rows") > limit).select(*names).collect() if level < longest else []
