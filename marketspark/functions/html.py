@@ -1,4 +1,4 @@
-"""HTML fields as Spark expressions, and one Arrow-batched parser for nested containers.
+"""HTML fields as Spark expressions, and one parser in Python for nested containers.
 
 ``tokens`` reads a page once, inside the JVM, into its tags and the text between them; title, date,
 summary and links are looked up among these. The patterns give nothing back once they have taken it
@@ -8,7 +8,8 @@ many attributes. Text of a container whose extent depends on balanced tags needs
 
 What the Python functions give is put behind an ``explode`` before it is filtered (``once``): Spark
 then does not run them a second time in a filter below, while filters on other columns still go
-down to the scan.
+down to the scan. They take plain rows, of which Spark sends a hundred at a time: ten thousand pages, as
+an Arrow batch has them, may be more than a worker can hold.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ELEMENTS = "array<struct<container:int,tag:string,classes:string,href:string,datetime:string,text:string>>"
-READ = f"found {ELEMENTS}, error string"
+READ = f"found:{ELEMENTS},error:string"
 #: Signs of text that the elements of one page may hold together in a worker.
 MOST_TEXT = 64 << 20
 
@@ -155,9 +156,9 @@ def anchors(page: Column, cls: str | None = None) -> Column:
 def unescape(column: Column) -> Column:
     """Character references decoded."""
 
-    @F.pandas_udf("string")
-    def decode(texts):
-        return texts.map(unescape_text, na_action="ignore")
+    @F.udf("string", useArrow=False)
+    def decode(text):
+        return None if text is None else unescape_text(text)
 
     return decode(column)
 
@@ -179,19 +180,14 @@ def read_elements(
     more than ``most_text`` signs together, or what Python says.
     """
 
-    @F.pandas_udf(READ)
-    def parse(pages):
-        import pandas as pd
-
-        def one(page, is_text):
-            if page is None:
-                return None, None
-            try:
-                return _elements(page, is_text, tag, cls, wanted, text, nested, most_text), None
-            except Exception as problem:  # one page must not end the others
-                return [], f"{type(problem).__name__}: {problem}"
-
-        return pd.DataFrame([one(p, t) for p, t in zip(pages["tokens"], pages["texts"])], columns=["found", "error"])
+    @F.udf(f"struct<{READ}>", useArrow=False)
+    def parse(page):
+        if page["tokens"] is None:
+            return None, None
+        try:
+            return _elements(page["tokens"], page["texts"], tag, cls, wanted, text, nested, most_text), None
+        except Exception as problem:  # one page must not end the others
+            return [], f"{type(problem).__name__}: {problem}"
 
     def both(page: Column) -> Column:
         return parse(_bind(tokens(page), lambda t: F.struct(t.alias("tokens"), F.transform(t, is_text).alias("texts"))))

@@ -232,3 +232,16 @@ def test_deep_and_unmatched_tags_are_read_in_one_pass(spark):
     links = {r["k"]: r["link"] for r in news.extract_story_links(df, keep=["k"], container=("div", "k"), suffix=None, base="").collect()}
     assert time.perf_counter() - start < 60
     assert links["deep"] == links["ends that open nothing"] == "x" and links["forgotten quote"] == "x>t</a><b c="
+
+
+def test_pages_go_to_python_a_few_at_a_time(spark):
+    pages = spark.createDataFrame([("<div><p>a &amp; b</p></div>",), (None,)], "html string")
+    found = pages.select(
+        H.unescape(F.col("html")).alias("text"),
+        H.read_elements(F.col("html"), "div", None, ("p",), text=("p",)).alias("read"),
+    )
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" in plan
+    rows = found.collect()
+    assert [r.text for r in rows] == ["<div><p>a & b</p></div>", None]
+    assert rows[0].read.found[0].text == "a & b" and rows[1].read.found is None and rows[1].read.error is None
