@@ -15,6 +15,8 @@ from marketspark.operators.skew import SMALL_ROWS, bounded, hash_bits, hot_keys,
 
 #: Hashes of wanted addresses that are broadcast at most.
 WANTED_HASHES = 4_000_000
+#: Links whose pages one task reads: beyond that, those to one address are spread. Far fewer than of plain rows.
+LINK_ROWS = 20_000
 
 # Addresses, class names, defaults and the blocked link of the three news sites.
 ET_BASE = "https://economictimes.indiatimes.com"
@@ -198,7 +200,7 @@ class StoredPages:
 
 
 def join_articles(
-    links: DataFrame, pages: DataFrame | StoredPages, *, row_key: Sequence[str], rows: int = BLOCK_ROWS,
+    links: DataFrame, pages: DataFrame | StoredPages, *, row_key: Sequence[str], rows: int = LINK_ROWS,
     small_rows: int = SMALL_ROWS, wanted: int = WANTED_HASHES,
 ) -> DataFrame:
     """Each link with the landed page it points to; ``pages`` is unique over ``url``.
@@ -208,7 +210,8 @@ def join_articles(
     the links go to the buckets of stored pages. Other pages are first reduced to those whose address
     has the hash of a wanted one (8 bytes each, counted before they are broadcast; more than ``wanted``
     are a filter of bounded size), so only these are shuffled. Addresses with about ``rows`` links
-    or more are salted by ``row_key``.
+    or more are salted by ``row_key``. The partitions go by the number of links: pages that are much
+    alike are few bytes in the shuffle, and all of them would be read by one task.
     """
     stored = isinstance(pages, StoredPages)
     known = links.where(F.col("link").isNotNull()).withColumnRenamed("link", "url")
@@ -223,7 +226,8 @@ def join_articles(
         targets = targets.join(hashes, F.xxhash64("url") == F.col("_wanted"), "left_semi")
     else:
         targets = maybe_among(targets, ["url"], hash_bits(known.select("url").distinct(), ["url"]))
-    return salted_join(known, targets, ["url"], row_key=row_key, rows=rows)
+    partitions = max(int(links.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known.count() // LINK_ROWS))
+    return salted_join(known, targets, ["url"], row_key=row_key, rows=rows, partitions=partitions)
 
 
 def _join_stored(links: DataFrame, pages: DataFrame, row_key: Sequence[str], rows: int) -> DataFrame:

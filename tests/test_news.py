@@ -298,3 +298,14 @@ def test_many_wanted_addresses_are_a_filter_of_one_size(spark):
     few = skew.hash_bits(pages.where("url < 'u15'"), ["url"])
     left = skew.maybe_among(pages, ["url"], few)
     assert sorted(r["url"] for r in left.collect()) == sorted(r["url"] for r in pages.where("url < 'u15'").collect())
+
+
+def test_alike_pages_are_not_read_by_one_task(spark):
+    links = spark.range(45_000).select(F.lit("A").alias("ticker"), F.col("id").alias("link_no"), F.lit("u").alias("link"))
+    out = news.join_articles(links, landed(spark, {"u": "page", "v": "other"}), row_key=["ticker", "link_no"], small_rows=0)
+    held = out.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 45_000 and len(held) > 1
+    own = spark.range(45_000).select(F.lit("A").alias("ticker"), F.col("id").alias("link_no"), F.col("id").cast("string").alias("link"))
+    out = news.join_articles(own, own.select(F.col("link").alias("url"), F.lit("page").alias("html")), row_key=["ticker", "link_no"], small_rows=0)
+    held = out.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 45_000 and max(r["count"] for r in held) < 20_000

@@ -41,3 +41,17 @@ def test_broadcast_only_up_to_the_checked_size(spark):
         side = skew.small_side(spark.range(size), 10)
         logical = rows.join(side, "id")._jdf.queryExecution().logical().toString()
         assert ("UnresolvedHint broadcast" in logical or "ResolvedHint" in logical) == kind
+
+
+def test_hot_keys_of_rows_that_come_in_turns(spark):
+    turns = spark.range(80_000).select(F.when(F.col("id") % 4 == 1, -1).otherwise(F.col("id")).alias("k"))
+    assert [r.k for r in skew.hot_keys(turns, ["k"], rows=10_000).collect()] == [-1]
+
+
+@pytest.mark.parametrize("rows", [50, 1_000_000])
+def test_dealt_partitions_are_kept(sides, rows):
+    left, right = sides
+    out = skew.salted_join(left, right, ["k"], "left", row_key=["id"], rows=rows, partitions=13)
+    assert out.rdd.getNumPartitions() == 13
+    expected = left.join(right, "k", "left").select(*out.columns)
+    assert out.exceptAll(expected).isEmpty() and expected.exceptAll(out).isEmpty()
