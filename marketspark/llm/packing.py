@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 CAPACITY = 1024
 END = 0
 #: Pieces of text whose ids a worker remembers, and the longest of them.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 LONGEST = 64
 #: Stops that are pieces of their own behind a letter; the apostrophe is not, it joins contractions.
 STOPS = ".,;:!?)"

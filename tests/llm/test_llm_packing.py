@@ -86,3 +86,14 @@ def test_placement_leaves_the_least_sum_of_squares():
         assert all(len(packer.open.get(h, [])) == packer.levels[h] for h in range(64))
     packer.finish()
     assert sum(r[2] for r in packer.rows) == sum({(r[0], r[4]): r[4] for r in packer.rows}.values())
+
+
+def test_a_vocabulary_of_300000_words_is_encoded_once():
+    own, encoded = packing.Encoder(tokenizer()), []
+    parts = own.parts
+    own.parts = lambda texts: encoded.extend(texts) or parts(texts)
+    texts = [" ".join(f"w{i}" for i in range(at, at + 1000)) for at in range(0, 300_000, 1000)]
+    first = [own.encode([t]) for t in texts]
+    assert len(encoded) >= 300_000 - len(texts)
+    encoded.clear()
+    assert [own.encode([t]) for t in texts] == first and not encoded
