@@ -10,8 +10,8 @@ import numpy as np
 
 DEPTH = 50
 STOP = 255
-#: Bytes that one step of the refinement goes back; the first step takes what is left over.
-STRIDE = 4
+#: Bytes that one step of the refinement goes back at most; the first step takes what is left over.
+STRIDE = 6
 #: Bits of a rank or a place in a shard; three fit in a 64-bit number.
 BITS = 21
 LOW = np.uint64((1 << BITS) - 1)
@@ -19,7 +19,7 @@ SHIFT = np.uint64(BITS)
 
 
 class Shard:
-    """The order of a shard's rotations by DEPTH bytes, and the four bytes before each, in that order."""
+    """The order of a shard's rotations by DEPTH bytes, and the STRIDE bytes before each, in that order."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray):
         """``data``: strings one after the other, each ended by STOP; ``starts``: where they begin."""
@@ -32,19 +32,18 @@ class Shard:
         self.offset = np.arange(len(data)) - starts[own]
         self.length = lengths[own]
         self.order = self._sorted()
-        before = np.zeros(len(data), np.uint32)
+        before = np.zeros(len(data), np.uint64)
         for k in range(STRIDE, 0, -1):
-            before = before << np.uint32(8) | data[self._moved(-k)]
+            before = before << np.uint64(8) | data[self._moved(-k)]
         #: The bytes before, the nearest in the low byte.
         self.before = before[self.order]
 
     def _moved(self, by: int) -> np.ndarray:
         at = self.offset + by
-        if by < 0:
-            at = np.where(at < 0, at % self.length, at)
-        else:
-            at = np.where(at >= self.length, at % self.length, at)
-        return self.starts[self.string] + at
+        out = at < 0 if by < 0 else at >= self.length
+        place = np.arange(by, by + len(at))
+        place[out] += at[out] % self.length[out] - at[out]
+        return place
 
     def _sorted(self) -> np.ndarray:
         """Prefix doubling: order by 5 bytes, then by 10, 20, 40 and 50 from pairs of ranks.
@@ -78,11 +77,16 @@ def merged(befores: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, n
 
     The interleave starts with the shards one after the other. A step reads every shard's
     preceding bytes in the present interleave and deals the shard numbers into stable buckets
-    by those bytes: what was in the order of k bytes is then in the order of k + 4. Two
-    neighbours have a common prefix of k + 4 bytes if their bytes are the same and the places
-    they come from were in one block of common prefixes of k bytes. No suffix is looked at.
+    by those bytes: what was in the order of k bytes is then in the order of k + s, for a step
+    of s bytes. Two neighbours have a common prefix of k + s bytes if their bytes are the same and
+    the places they come from were in one block of common prefixes of k bytes. No suffix is looked
+    at. Bytes and place are sorted as one 64-bit number, so a step has as many bytes as places leave
+    room for.
     """
     count = sum(len(b) for b in befores)
+    stride = min(STRIDE, max(1, (64 - count.bit_length()) // 8))
+    room = np.uint64(64 - 8 * stride)
+    low = (np.uint64(1) << room) - np.uint64(1)
     flat = np.concatenate(befores)
     shard = np.repeat(np.arange(len(befores), dtype=np.uint16), [len(b) for b in befores])
     opens = np.zeros(count, bool)
@@ -91,13 +95,12 @@ def merged(befores: list[np.ndarray], depth: int = DEPTH) -> tuple[np.ndarray, n
     symbol = np.empty(count, np.uint64)
     left = depth
     while left:
-        back = left % STRIDE or STRIDE
+        back = left % stride or stride
         left -= back
-        near = flat if back == STRIDE else flat & np.uint32((1 << 8 * back) - 1)
-        symbol[_by_shard(shard, len(befores))] = near
-        line = np.sort(symbol << np.uint64(32) | place)
-        dealt = (line & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        line >>= np.uint64(32)
+        symbol[_by_shard(shard, len(befores))] = flat & np.uint64((1 << 8 * back) - 1)
+        line = np.sort(symbol << room | place)
+        dealt = (line & low).astype(np.int64)
+        line >>= room
         block = np.cumsum(opens, dtype=np.int32)[dealt]
         shard = shard[dealt]
         opens[1:] = (line[1:] != line[:-1]) | (block[1:] != block[:-1])

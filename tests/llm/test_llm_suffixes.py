@@ -127,3 +127,25 @@ def test_no_bucket_holds_a_frequent_anchor():
 
     assert bytes_of_buckets(hot[:0]) > 0.3
     assert bytes_of_buckets(hot) < 0.15
+
+
+@pytest.mark.parametrize("stride", [1, 3, 4, 5, 6])
+def test_steps_of_any_width_give_one_order(stride, monkeypatch):
+    rng = np.random.default_rng(1)
+    strings = [rng.integers(97, 99, rng.integers(50, 85)).astype(np.uint8) for _ in range(40)]
+    shards = []
+    for own in (strings[:25], strings[25:] + strings[:5]):
+        ended = [np.append(x, bwt.STOP).astype(np.uint8) for x in own]
+        sizes = np.array([len(x) for x in ended])
+        shards.append(bwt.Shard(np.concatenate(ended), np.cumsum(sizes) - sizes))
+    usual = bwt.common_prefixes(shards)
+    monkeypatch.setattr(bwt, "STRIDE", stride)
+    for a, b in zip(usual, bwt.common_prefixes(shards), strict=True):
+        assert (a == b).all()
+
+
+def test_a_merge_of_few_strings_takes_nine_steps(monkeypatch):
+    sort, sorts = np.sort, []
+    monkeypatch.setattr(np, "sort", lambda x: sorts.append(len(x)) or sort(x))
+    bwt.merged([np.zeros(100, np.uint64), np.zeros(50, np.uint64)])
+    assert sorts == [150] * 9
