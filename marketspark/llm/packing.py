@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +44,10 @@ class Encoder:
     cut there, and the ids of the pieces are remembered. Blanks next to other white space are no
     cut. Texts that spell an added token are encoded as a whole.
 
-    Pieces not yet known are encoded by ``tiktoken`` from the same file's vocabulary, which is
-    several times faster on short texts. That needs ids in the order of merges and the usual cut of
-    byte-level vocabularies; a probe decides, and without it ``tokenizers`` encodes them.
+    ``tiktoken`` with the same file's vocabulary is several times faster, also than looking up
+    pieces where many words are new. That needs ids in the order of merges and the usual cut of
+    byte-level vocabularies; a probe decides. With it ``ids`` encodes whole texts, without it pieces
+    not yet known are encoded by ``tokenizers``.
     """
 
     def __init__(self, path: str):
@@ -66,7 +68,7 @@ class Encoder:
             self.short = None
 
     def _ranked(self):
-        """Encoder of short texts by ranks, or None if the vocabulary is not one of bytes."""
+        """Encoder by ranks, or None if the vocabulary is not one of bytes."""
         import tiktoken
 
         signs = _signs()
@@ -90,6 +92,14 @@ class Encoder:
             return self.whole(texts)
         return [array("I", self.short(text)).tobytes() for text in texts]
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, the fastest way that this vocabulary allows."""
+        if self.short is None:
+            return self.encode(texts)
+        odd = [any(t in text for t in self.added) for text in texts]
+        whole, plain = iter(self.whole(list(compress(texts, odd)))), iter(self.parts([t for t, o in zip(texts, odd, strict=True) if not o]))
+        return [next(whole if o else plain) for o in odd]
+
     def pieces(self, text: str) -> list[str]:
         """Pieces that are encoded alone; all but the first with their leading blank."""
         parts = text.split(" ")
@@ -294,7 +304,7 @@ def pack(docs: DataFrame, *, tokenizer: str, key: str = "doc_id", text: str = "t
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
-                for doc, ids in zip(part.column("doc_id").to_pylist(), own.encode(part.column("text").to_pylist()), strict=True):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), own.ids(part.column("text").to_pylist()), strict=True):
                     packer.add(doc, ids + end)
                 if len(packer.rows) >= ROWS:
                     yield packer.taken()

@@ -97,3 +97,18 @@ def test_a_vocabulary_of_300000_words_is_encoded_once():
     assert len(encoded) >= 300_000 - len(texts)
     encoded.clear()
     assert [own.encode([t]) for t in texts] == first and not encoded
+
+
+def test_new_words_take_no_call_each(plain):
+    """A text with many new words is one call of the encoder, and has the ids of the whole text."""
+    rng = random.Random(5)
+    own, calls = packing.Encoder(tokenizer()), []
+    short = own.short
+    own.short = lambda text: calls.append(text) or short(text)
+    odd = ["", " ", "a\n\n b", "x<|endoftext|>y", "\x1c\u2003 don't", "日本 😀\u0301 ²"]
+    texts = [" ".join("".join(rng.choices("abcdeé.,'1", k=rng.randrange(1, 12))) for _ in range(500)) for _ in range(20)] + odd
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)]
+    assert got == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert len(calls) <= len(texts)
+    own.short = None
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == got
