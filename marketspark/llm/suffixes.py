@@ -31,6 +31,8 @@ GROUP = 8 << 20
 BATCH = 48 << 10
 SHARD = 1 << 15
 SHARDS = 60_000
+#: Bytes of strings that are copied at a time: each byte's place takes 8 bytes more than once.
+COPIED = 1 << 17
 #: Anchors after which a task hands them on.
 FLUSH = 1_000_000
 #: Stretches of an anchor from which on its windows go one by one; below 2**16, where counts end.
@@ -121,8 +123,11 @@ def _anchor_task(buckets: int):
 
         def flush():
             key, group, doc = (np.concatenate(c) for c in zip(*found, strict=True))
+            found.clear()
             order = np.lexsort((doc, group, key))
-            key, group, doc = key[order], group[order], doc[order]
+            key = key[order]
+            group = group[order]
+            doc = doc[order]
             same = np.concatenate(([False], (key[1:] == key[:-1]) & (group[1:] == group[:-1])))
             first = np.flatnonzero(~same)
             count = np.zeros(len(key), np.uint16)
@@ -147,11 +152,11 @@ def _anchor_task(buckets: int):
             for first, end, data, offsets in _long_texts(batch.column("text")):
                 text, _, _, anchors = stretches(data, offsets)
                 if len(text):
-                    found.append((keys(anchors, buckets), groups[first + text], number + first + text))
+                    found.append((keys(anchors, buckets), groups[first + text].astype(np.uint32), (number + first + text).astype(np.uint32)))
                     held += len(text)
                 if held >= FLUSH:
                     yield flush()
-                    found, held = [], 0
+                    held = 0
             number += batch.num_rows
         if held:
             yield flush()
@@ -236,7 +241,14 @@ def _bins(key: np.ndarray) -> np.ndarray:
 def _cut(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The strings ``data[start:start + size]`` one after the other."""
     ends = np.cumsum(size)
-    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)]
+    out = np.empty(ends[-1] if len(ends) else 0, data.dtype)
+    moved, first, done = start - (ends - size), 0, 0
+    while done < len(out):
+        last = max(first + 1, int(np.searchsorted(ends, done + COPIED, side="right")))
+        end = int(ends[last - 1])
+        out[done:end] = data[np.arange(done, end) + np.repeat(moved[first:last], size[first:last])]
+        first, done = last, end
+    return out
 
 
 def _joined(parts):
@@ -244,8 +256,8 @@ def _joined(parts):
     return np.concatenate(hashes), np.concatenate(bucket), np.concatenate(docs), np.concatenate(sizes), np.concatenate(body), np.concatenate(multi)
 
 
-def _distinct(hashes, bucket, docs, sizes, body, multi=None):
-    """Each string once: hash, bucket and part, least doc, whether several docs have it, size, and bytes."""
+def _firsts(hashes, docs, multi=None):
+    """A place of each different string, its hash, least doc, and whether several docs have it."""
     order = np.lexsort((docs, hashes))
     of = hashes[order]
     first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
@@ -253,9 +265,14 @@ def _distinct(hashes, bucket, docs, sizes, body, multi=None):
     several = least != most
     if multi is not None:
         several |= np.logical_or.reduceat(multi[order], first)
-    at = order[first]
+    return order[first], of[first], least, several
+
+
+def _distinct(hashes, bucket, docs, sizes, body, multi=None):
+    """Each string once: hash, bucket and part, least doc, whether several docs have it, size, and bytes."""
+    at, marks, least, several = _firsts(hashes, docs, multi)
     starts = np.cumsum(sizes) - sizes
-    return of[first], bucket[at], least, several, sizes[at], _cut(body, starts[at], sizes[at])
+    return marks, bucket[at], least, several, sizes[at], _cut(body, starts[at], sizes[at])
 
 
 def _packed(hashes, bucket, docs, multi, sizes, body):
@@ -319,6 +336,18 @@ def _batches(part: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return np.split(order, cuts[:-1])
 
 
+def _owned(string: np.ndarray, size: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
+    """String, begin, end and owner of the runs of bytes with one owner; the strings lie one after the other."""
+    of = np.repeat(np.arange(len(size)), size)
+    begin = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (of[1:] != of[:-1]))))
+    end = np.append(begin[1:], len(owner))
+    real = owner[begin] != NONE
+    begin, end = begin[real], end[real]
+    of = of[begin]
+    at = (np.cumsum(size) - size)[of]
+    return string[of], (begin - at).astype(np.uint8), (end - at).astype(np.uint8), owner[begin]
+
+
 def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """For each group of documents and stretch: runs of windows that have an earlier owner."""
     lengths = [len(x) // 8 for x in rows["hashes"]]
@@ -329,20 +358,15 @@ def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     sizes = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["sizes"]]).astype(np.int64)
     body = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["body"]])
     part = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["parts"]])
-    distinct, part, least, several, size, text = _distinct(hashes, part, docs, sizes, body, multi)
-    owner = np.full(len(text), NONE)
-    places = np.cumsum(size) - size
-    for own in _batches(part, size):
-        ends = np.cumsum(size[own])
-        at = np.arange(ends[-1]) + np.repeat(places[own] - (ends - size[own]), size[own])
-        owner[at] = first_documents(least[own], several[own], size[own], text[at])
-    string = np.repeat(np.arange(len(size)), size)
-    opens = np.concatenate(([True], (owner[1:] != owner[:-1]) | (string[1:] != string[:-1]))) if len(owner) else np.empty(0, bool)
-    begin = np.flatnonzero(opens)
-    end = np.append(begin[1:], len(owner))
-    real = owner[begin] != NONE
-    begin, end = begin[real], end[real]
-    of, starts = string[begin], np.cumsum(size) - size
+    at, distinct, least, several = _firsts(hashes, docs, multi)
+    size, places = sizes[at], (np.cumsum(sizes) - sizes)[at]
+    found = [
+        _owned(own, size[own], first_documents(least[own], several[own], size[own], _cut(body, places[own], size[own])))
+        for own in _batches(part[at], size)
+    ]
+    of, begin, end, owner = (np.concatenate(c) for c in zip(*found, strict=True))
+    order = np.argsort(of, kind="stable")
+    of, begin, end, owner = of[order], begin[order], end[order], owner[order]
     first, last = np.searchsorted(of, np.arange(len(size))), np.searchsorted(of, np.arange(len(size)), side="right")
     each = np.searchsorted(distinct, hashes)
     count = last[each] - first[each]
@@ -354,9 +378,7 @@ def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     out = []
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         r = run[a:b]
-        at = starts[of[r]]
-        out.append((int(group[a]), mark[a:b].tobytes(), (begin[r] - at).astype(np.uint8).tobytes(), (end[r] - at).astype(np.uint8).tobytes(),
-                    owner[begin[r]].tobytes()))
+        out.append((int(group[a]), mark[a:b].tobytes(), begin[r].tobytes(), end[r].tobytes(), owner[r].tobytes()))
     return pd.DataFrame(out, columns=["g", "hashes", "begins", "ends", "owners"])
 
 

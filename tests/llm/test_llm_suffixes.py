@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -129,6 +130,28 @@ def test_no_bucket_holds_a_frequent_anchor():
     assert bytes_of_buckets(hot) < 0.15
 
 
+def shared_stretches(n):
+    """One bucket's rows of two groups of documents that have all their stretches in common."""
+    rng = np.random.default_rng(7)
+    body = rng.integers(97, 123, n * 84).astype(np.uint8)
+    hashes = suffixes.contents(body, np.arange(n) * 84, np.full(n, 84))
+    part = np.sort(rng.integers(0, 256, n)).astype(np.uint8)
+    row = {"parts": part.tobytes(), "hashes": hashes.tobytes(), "multi": bytes(n), "sizes": bytes([84]) * n, "body": body.tobytes()}
+    return pd.DataFrame([{"bucket": 0, "g": g, "docs": np.full(n, 5 - g, np.int64).tobytes(), **row} for g in (0, 1)])
+
+
+def test_a_merging_task_holds_few_times_its_strings():
+    rows = shared_stretches(12_000)
+    tracemalloc.start()
+    found = suffixes._merge_task((0,), rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 12 * rows["body"].map(len).sum()
+    for _, r in found.iterrows():
+        assert set(r["begins"]) == {0} and set(r["ends"]) == {35} and len(r["begins"]) == 12_000
+        assert set(np.frombuffer(r["owners"], np.int64)) == {4}
+
+
 @pytest.mark.parametrize("stride", [1, 3, 4, 5, 6])
 def test_steps_of_any_width_give_one_order(stride, monkeypatch):
     rng = np.random.default_rng(1)
