@@ -309,12 +309,12 @@ def first_documents(docs: np.ndarray, multi: np.ndarray, sizes: np.ndarray, body
         shards.append(Shard(data, begins))
         strings.append(own)
     which, place, block = common_prefixes(shards)
-    string, offset = np.empty(len(which), np.int64), np.empty(len(which), np.int64)
-    for i, (shard, own) in enumerate(zip(shards, strings, strict=True)):
-        mine = which == i
-        string[mine], offset[mine] = own[shard.string[place[mine]]], shard.offset[place[mine]]
-    window = offset + DEPTH <= sizes[string]
-    string, offset, block = string[window], offset[window], block[window]
+    string = np.concatenate([own[shard.string] for shard, own in zip(shards, strings, strict=True)])
+    offset = np.concatenate([shard.offset for shard in shards])
+    at = place + np.cumsum([0, *(len(shard.data) for shard in shards[:-1])])[which]
+    window = (offset + DEPTH <= sizes[string])[at]
+    at, block = at[window], block[window]
+    string, offset = string[at], offset[at]
     out = np.full(total, NONE)
     if len(block):
         begins = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
