@@ -24,6 +24,8 @@ RATE = 0.03
 CLIP = 5.0
 #: Numbers of a slice of the weights.
 SLICE = 1 << 16
+#: Rows of first weights that are drawn at a time.
+DRAWN = 1 << 13
 
 
 class Words:
@@ -45,8 +47,11 @@ def initial(words: Words, hidden: int = HIDDEN, seed: int = 3) -> dict[str, np.n
     """Weights that make the model the unigram of the counts, whatever the state."""
     rng = np.random.default_rng(seed)
 
-    def small(*shape):
-        return (rng.standard_normal(shape) * 0.1).astype(np.float32)
+    def small(rows, columns):
+        out = np.empty((rows, columns), np.float32)
+        for at in range(0, rows, DRAWN):
+            out[at:at + DRAWN] = rng.standard_normal((min(DRAWN, rows - at), columns)) * 0.1
+        return out
 
     sums = np.add.reduceat(words.counts, words.bounds[:-1]) if words.size else np.empty(0)
     mass = np.maximum(np.append(sums, words.rest), 1e-3)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketspark.llm import gru
-from marketspark.llm.common import kept, without_leftovers
+from marketspark.llm.common import forget, kept
 from marketspark.llm.hashing import U, mix, texts, words
 
 #: Most frequent words whose counts every task holds (16 bytes each); counts of others are joined.
@@ -175,7 +175,7 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", head: int
     each text being in one round by its key's hash; then the changes of the weights are averaged,
     weighted by the tokens seen. More texts mean more replicas. The list and with it the weights
     grow with the words that are there ``LEAST`` times, up to ``head``. The driver gets the
-    frequent words and one set of weights a round.
+    frequent words and, part by part, one set of weights a round.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -189,11 +189,11 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", head: int
         replicas = max(min(spark.sparkContext.defaultParallelism, FEW), total // rounds // REPLICA)
         changes = own.coalesce(replicas).mapInArrow(_train_task(shared), "slice bigint, tokens bigint, change binary")
         changes = changes.repartition(SUMMED, "slice").mapInPandas(_average_changes, "slice bigint, change binary")
-        with without_leftovers(spark):
-            means = changes.collect()
+        means = kept(changes, "mean-changes")
         views = list(gru.slices(model.p))
-        for mean in means:
+        for mean in means.toLocalIterator():  # a partition at a time: the driver never holds all changes beside the weights
             views[mean["slice"]] += np.frombuffer(mean["change"], "<f4")
+        forget(means)
         shared.destroy()
     return model, counts
 

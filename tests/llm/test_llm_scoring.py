@@ -175,3 +175,29 @@ def test_mean_change_is_over_the_replicas_that_changed_a_weight():
     rows = pd.DataFrame({"slice": [0, 0, 1], "tokens": [1, 3, 3], "change": [np.array(c, "<f2").tobytes() for c in ([1, 0, 2], [0, 0, 4], [5])]})
     found = {r["slice"].iloc[0]: np.frombuffer(r["change"].iloc[0], "<f4").tolist() for r in scoring._average_changes(iter([rows]))}
     assert found == {0: [1.0, 0.0, 3.5], 1: [5.0]}
+
+
+def test_driver_holds_one_set_of_weights_and_little_beside(spark, monkeypatch):
+    """Neither drawing the first weights nor taking in a round's changes needs a second whole set."""
+    import tracemalloc
+
+    monkeypatch.setattr(gru, "DRAWN", 1 << 10, raising=False)
+    rows = [(i, " ".join(f"w{(i * 50 + k) % 60_000}" for k in range(200)), None, None, None) for i in range(6000)]
+    docs = documents(spark, rows).repartition(2).cache()
+    docs.count()
+    tracemalloc.start()
+    model, _ = scoring.train(docs, rounds=1)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    docs.unpersist()
+    assert model.words.size == 60_001
+    assert most < 2.2 * sum(v.nbytes for v in model.p.values())
+
+
+def test_first_weights_do_not_depend_on_how_many_are_drawn_at_a_time(monkeypatch):
+    words = gru.Words(np.arange(50, 0, -1), 1.0)
+    whole = gru.initial(words)
+    rng = np.random.default_rng(3)
+    assert (whole["embed"] == (rng.standard_normal((51, gru.HIDDEN)) * 0.1).astype(np.float32)).all()
+    monkeypatch.setattr(gru, "DRAWN", 7)
+    assert all((whole[k] == v).all() for k, v in gru.initial(words).items())
