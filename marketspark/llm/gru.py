@@ -1,8 +1,9 @@
 """A gated recurrent language model over word ids, in numpy.
 
 The softmax is factored by class: a class from the state, then a word from the state within the
-class. The last class stands for all words outside the list; which of them it is does not depend on
-the state.
+class. In the wide classes of a long list a group of words comes between: a group within the class, then a
+word within the group, each from the state. The last class stands for all words outside the list; which of
+them it is does not depend on the state.
 """
 
 from __future__ import annotations
@@ -14,8 +15,15 @@ import numpy as np
 HIDDEN = 16
 #: Classes of a short list; a longer one has about the square root of its words.
 CLASSES = 48
+#: A list beyond LONG words has so many classes, and groups of GROUP words in those wider than WHOLE.
+LONG = 1 << 14
+GROUPED_CLASSES = 64
+WHOLE = 256
+GROUP = 16
 #: Streams that run side by side and steps that a gradient goes back.
 STREAMS, STEPS = 256, 32
+#: Windows that are cut at a time.
+AHEAD = 8
 #: A trainer has a stream for so many words of its list, up to WIDE: a step changes most classes of a long one.
 SPARE, WIDE = 512, 1024
 #: Numbers that are worked out at a time for the classes.
@@ -24,6 +32,12 @@ RATE = 0.03
 CLIP = 5.0
 #: Numbers of a slice of the weights.
 SLICE = 1 << 16
+#: Rows of one group from which their products are summed by a product of matrices.
+MANY = 6
+#: Rows of logits this near to one another can be shifted by one number before their exponentials are taken.
+SPREAD = 60.0
+#: The bias of what fills the last group.
+NEVER = -1e4
 #: Rows of first weights that are drawn at a time.
 DRAWN = 1 << 13
 
@@ -34,14 +48,34 @@ class Words:
     Classes widen with the rank, so a frequent word costs little however long the list is.
     """
 
-    def __init__(self, counts: np.ndarray, rest: float, classes: int | None = None):
-        self.size = len(counts)
-        classes = max(CLASSES, int(0.7 * self.size ** 0.5)) if classes is None else classes
-        self.bounds = np.unique(np.ceil(np.linspace(0, 1, min(classes, self.size) + 1) ** 2 * self.size).astype(np.int64))
+    def __init__(self, counts: np.ndarray, rest: float, classes: int | None = None, long: int = LONG, whole: int = WHOLE, group: int = GROUP):
+        self.size, self.group = len(counts), group
+        grouped = self.size > long
+        classes = classes or (GROUPED_CLASSES if grouped else max(CLASSES, int(0.7 * self.size ** 0.5)))
+        power = 3 if grouped else 2
+        bounds = np.unique(np.ceil(np.linspace(0, 1, min(classes, self.size) + 1) ** power * self.size).astype(np.int64))
+        wide = np.flatnonzero(np.diff(bounds) > whole) if grouped else []
+        #: Classes whose words are told apart at once, the first; and their words.
+        self.whole = int(wide[0]) if len(wide) else len(bounds) - 1
+        self.first = int(bounds[self.whole])
+        inner = bounds[self.whole + 1:-1] - self.first
+        bounds[self.whole + 1:-1] = self.first + inner // group * group
+        self.bounds = bounds = np.unique(bounds)
         self.classes = len(self.bounds) - 1
+        #: Where each wide class has its groups; all but the last group are full.
+        self.groups = -(-(bounds[self.whole:] - self.first) // group)
         self.counts, self.rest = counts.astype(np.float64), rest
         self.class_of = np.append(np.searchsorted(self.bounds, np.arange(self.size), side="right") - 1, self.classes).astype(np.int64)
 
+    @property
+    def columns(self) -> int:
+        """Words with those that fill the last group, which have no probability."""
+        return self.first + int(self.groups[-1]) * self.group
+
+    def by_group(self, values: np.ndarray) -> np.ndarray:
+        """A view of the grouped words' part of ``values`` (a column a word): groups, then words."""
+        return values[..., self.first:].reshape(*values.shape[:-1], -1, self.group)
+
 
 def initial(words: Words, hidden: int = HIDDEN, seed: int = 3) -> dict[str, np.ndarray]:
     """Weights that make the model the unigram of the counts, whatever the state."""
@@ -55,12 +89,19 @@ def initial(words: Words, hidden: int = HIDDEN, seed: int = 3) -> dict[str, np.n
 
     sums = np.add.reduceat(words.counts, words.bounds[:-1]) if words.size else np.empty(0)
     mass = np.maximum(np.append(sums, words.rest), 1e-3)
-    return {
+    counts = np.append(np.maximum(words.counts, 1e-3), np.zeros(words.columns - words.size))
+    with np.errstate(divide="ignore"):
+        bw = np.maximum(np.log(counts), NEVER).astype(np.float32)
+    out = {
         "embed": small(words.size + 1, hidden), "wx": small(hidden, 3 * hidden), "wh": small(hidden, 3 * hidden),
         "b": np.zeros(3 * hidden, np.float32),
         "wc": np.zeros((hidden, words.classes + 1), np.float32), "bc": np.log(mass / mass.sum()).astype(np.float32),
-        "ww": np.zeros((hidden, words.size), np.float32), "bw": np.log(np.maximum(words.counts, 1e-3)).astype(np.float32),
+        "ww": np.zeros((hidden, words.columns), np.float32), "bw": bw,
     }
+    if words.whole < words.classes:
+        out["wg"] = np.zeros((hidden, int(words.groups[-1])), np.float32)
+        out["bg"] = np.log(words.by_group(counts).sum(axis=1)).astype(np.float32)
+    return out
 
 
 def _sigmoid(x):
@@ -75,7 +116,7 @@ def forward(p, inputs, fresh, state, keep: bool):
     states = np.empty((steps, streams, hidden), np.float32)
     saved = []
     for t in range(steps):
-        before = state * ~fresh[t][:, None]
+        before = state * ~fresh[t][:, None] if fresh[t].any() else state
         u = before @ p["wh"]
         zr = _sigmoid(gates[t, :, :2 * hidden] + u[:, :2 * hidden])
         z, r = zr[:, :hidden], zr[:, hidden:]
@@ -88,21 +129,25 @@ def forward(p, inputs, fresh, state, keep: bool):
     return states, state, saved
 
 
-def _softmax(x):
-    x -= x.max(axis=1, keepdims=True)
+def _softmax(x, short: bool = True):
+    """In place. A short list's rows are each shifted by their most; others by that of all rows, if it is near."""
+    if short or x.size and x.max() - x.min() > SPREAD:
+        x -= x.max(axis=1, keepdims=True)
+    elif x.size:
+        x -= x.max()
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
-    x /= total
+    x /= x.sum(axis=1, keepdims=True) if short else (x @ np.ones(x.shape[1], x.dtype))[:, None]
     return x
 
 
 def output(p, words: Words, states, targets, grads=None, touched=None):
     """Natural log probability of each target; with ``grads`` also the gradient of the states.
 
-    The word's part is 0 for words outside the list. ``touched``, if given, is called with the bounds
-    and the gradients of ``ww`` and ``bw`` of each class that has a target, in place of whole arrays.
+    The word's part is 0 for words outside the list. ``touched``, if given, gets the gradients of ``ww``,
+    ``bw``, ``wg`` and ``bg`` part by part, in place of whole arrays: a name, a view of such an array, the
+    place of the part in the view, and its gradient.
     """
-    n = len(targets)
+    n, short = len(targets), words.whole == words.classes
     chosen = words.class_of[targets]
     logp, d_states = np.empty(n, states.dtype), None
     if grads is not None:
@@ -111,7 +156,7 @@ def output(p, words: Words, states, targets, grads=None, touched=None):
     size = max(1, BLOCK // (words.classes + 1))
     for first in range(0, n, size):
         block = slice(first, first + size)
-        probability = _softmax(states[block] @ p["wc"] + p["bc"])
+        probability = _softmax(states[block] @ p["wc"] + p["bc"], short)
         rows, own = np.arange(len(probability)), chosen[block]
         logp[block] = np.log(np.maximum(probability[rows, own], 1e-30))
         if grads is not None:
@@ -121,30 +166,81 @@ def output(p, words: Words, states, targets, grads=None, touched=None):
             d_states[block] = probability @ p["wc"].T
     if grads is not None:
         if touched is None:
-            grads["ww"], grads["bw"] = np.zeros_like(p["ww"]), np.zeros_like(p["bw"])
+            grads.update((name, np.zeros_like(p[name])) for name in ("ww", "bw", "wg", "bg") if name in p)
+
+            def touched(name, view, at, grad):
+                view(grads[name])[at] = grad
+
     order = np.argsort(chosen.astype(np.int16), kind="stable")
     ends = np.searchsorted(chosen[order], np.arange(words.classes + 1))
+    sorted_states, sorted_targets, inner = states[order], targets[order], np.zeros(n, states.dtype)
+    d_sorted = np.zeros_like(states) if grads is not None else None
     for c in range(words.classes):
-        at = order[ends[c]:ends[c + 1]]
-        if not len(at):
+        at = slice(ends[c], ends[c + 1])
+        if ends[c] == ends[c + 1]:
             continue
-        a, b = words.bounds[c], words.bounds[c + 1]
-        h = states[at]
-        inside = _softmax(h @ p["ww"][:, a:b] + p["bw"][a:b])
-        target = targets[at] - a
-        own = np.arange(len(at))
-        logp[at] += np.log(np.maximum(inside[own, target], 1e-30))
+        if c < words.whole:
+            a, b, weight, bias = words.bounds[c], words.bounds[c + 1], "ww", "bw"
+            target = sorted_targets[at] - a
+        else:
+            a, b, weight, bias = words.groups[c - words.whole], words.groups[c - words.whole + 1], "wg", "bg"
+            target = (sorted_targets[at] - words.first) // words.group - a
+        h = sorted_states[at]
+        inside = _softmax(h @ p[weight][:, a:b] + p[bias][a:b], short)
+        own = np.arange(len(h))
+        inner[at] = np.log(np.maximum(inside[own, target], 1e-30))
         if grads is not None:
             inside[own, target] -= 1.0
-            d_states[at] += inside @ p["ww"][:, a:b].T
-            if touched is None:
-                grads["ww"][:, a:b] = h.T @ inside
-                grads["bw"][a:b] = inside.sum(axis=0)
-            else:
-                touched(a, b, h.T @ inside, inside.sum(axis=0))
+            d_sorted[at] = inside @ p[weight][:, a:b].T
+            touched(weight, np.asarray, np.s_[..., a:b], h.T @ inside)
+            touched(bias, np.asarray, np.s_[..., a:b], inside.sum(axis=0))
+    if not short:
+        at = slice(ends[words.whole], ends[words.classes])
+        _within_groups(p, words, sorted_states[at], sorted_targets[at] - words.first, inner[at], d_sorted[at] if grads is not None else None, touched)
+    logp[order] += inner
+    if grads is not None:
+        d_states[order] += d_sorted
     return logp, d_states
 
 
+def _within_groups(p, words: Words, states, targets, logp, d_states, touched):
+    """Adds what the words within their groups bring to ``logp`` and ``d_states``; a group is never divided."""
+    group, word = np.divmod(targets, words.group)
+    at = np.argsort(group, kind="stable")
+    group, word = group[at], word[at]
+    ww, bw = words.by_group(p["ww"]), words.by_group(p["bw"])
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    first = 0
+    while first < len(starts):
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + max(1, BLOCK // (len(ww) * words.group)))))
+        block = slice(starts[first], starts[last] if last < len(starts) else len(at))
+        rows, h, weights = at[block], states[at[block]], ww[:, group[block]]
+        inside = _softmax(np.einsum("nh,hnw->nw", h, weights) + bw[group[block]], False)
+        own = np.arange(len(rows))
+        logp[rows] += np.log(np.maximum(inside[own, word[block]], 1e-30))
+        if d_states is not None:
+            inside[own, word[block]] -= 1.0
+            d_states[rows] += np.einsum("hnw,nw->nh", weights, inside)
+            some, begins = group[starts[first:last]], starts[first:last] - starts[first]
+            touched("ww", words.by_group, np.s_[..., some, :], _outer_sums(h, inside, begins))
+            touched("bw", words.by_group, np.s_[..., some, :], np.add.reduceat(inside, begins, axis=0))
+        first = last
+
+
+def _outer_sums(h, inside, begins):
+    """Sums, over each run of rows, of the outer products of ``h`` and ``inside``: hidden, runs, words."""
+    n = np.diff(begins, append=len(h))
+    sums = h[begins].T[:, :, None] * inside[begins]
+    for k in range(1, min(int(n.max()), MANY)):
+        more = np.flatnonzero((n > k) & (n <= MANY))
+        rows = begins[more] + k
+        sums[:, more] += h[rows].T[:, :, None] * inside[rows]
+    for run in np.flatnonzero(n > MANY).tolist():
+        rows = slice(begins[run], begins[run] + n[run])
+        sums[:, run] = h[rows].T @ inside[rows]
+    return sums
+
+
 def backward(p, inputs, fresh, saved, d_states, grads):
     """Gradients of the recurrent weights over one window; nothing goes back beyond it."""
     steps, streams = inputs.shape
@@ -152,16 +248,22 @@ def backward(p, inputs, fresh, saved, d_states, grads):
     d_gates = np.empty((steps, streams, 3 * hidden), np.float32)
     grads["wh"] = np.zeros_like(p["wh"])
     later = np.zeros((streams, hidden), np.float32)
+    du = np.empty((streams, 3 * hidden), np.float32)
     for t in range(steps - 1, -1, -1):
         before, z, r, inner, n = saved[t]
         d = d_states[t] + later
-        dn = d * (1.0 - z) * (1.0 - n * n)
-        dz = d * (before - n) * z * (1.0 - z)
-        dr = dn * inner * r * (1.0 - r)
-        d_gates[t] = np.concatenate((dz, dr, dn), axis=1)
-        du = np.concatenate((dz, dr, dn * r), axis=1)
+        gates = d_gates[t]
+        dz, dr, dn = gates[:, :hidden], gates[:, hidden:2 * hidden], gates[:, 2 * hidden:]
+        keep = 1.0 - z
+        np.multiply(d * keep, 1.0 - n * n, out=dn)
+        np.multiply(d * (before - n) * z, keep, out=dz)
+        np.multiply(dn * inner * r, 1.0 - r, out=dr)
+        du[:, :2 * hidden] = gates[:, :2 * hidden]
+        np.multiply(dn, r, out=du[:, 2 * hidden:])
         grads["wh"] += before.T @ du
-        later = (d * z + du @ p["wh"].T) * ~fresh[t][:, None]
+        later = d * z + du @ p["wh"].T
+        if fresh[t].any():
+            later *= ~fresh[t][:, None]
     flat = d_gates.reshape(-1, 3 * hidden)
     x = p["embed"][inputs.ravel()]
     grads["wx"], grads["b"] = x.T @ flat, flat.sum(axis=0)
@@ -198,14 +300,16 @@ class Streams:
             active = np.flatnonzero(self.waiting > 0)
             if not len(active) or not end and self.waiting.min() < self.steps:
                 return
-            shape = (len(active), self.steps)
+            times = 1 if end else int(min(self.waiting.min() // self.steps, AHEAD))
+            span = self.steps * times
+            shape = (len(active), span)
             targets, texts = np.zeros(shape, np.int64), np.full(shape, -1, np.int64)
             inputs, fresh = np.full(shape, self.start, np.int64), np.zeros(shape, bool)
             for row, stream in enumerate(active):
                 at, parts = 0, self.parts[stream]
-                while at < self.steps and parts:
+                while at < span and parts:
                     text, ids, done = parts[0]
-                    n = min(self.steps - at, len(ids) - done)
+                    n = min(span - at, len(ids) - done)
                     targets[row, at:at + n] = ids[done:done + n]
                     texts[row, at:at + n] = text
                     if done:
@@ -219,7 +323,8 @@ class Streams:
                     else:
                         parts[0] = (text, ids, done + n)
                 self.waiting[stream] -= at
-            yield active, inputs.T.copy(), targets.T.copy(), texts.T.copy(), fresh.T.copy()
+            for first in range(0, span, self.steps):
+                yield active, *(x[:, first:first + self.steps].T.copy() for x in (inputs, targets, texts, fresh))
 
 
 class Trainer:
@@ -251,15 +356,16 @@ class Trainer:
             grads: dict = {}
             scale = np.float32(1.0 / np.sqrt(len(real)))
 
-            def touched(a, b, ww, bw, scale=scale):
-                for name, grad in (("ww", ww), ("bw", bw)):
-                    grad *= scale
-                    np.clip(grad, -CLIP, CLIP, out=grad)
-                    squares, root = self.squares[name][..., a:b], grad * grad
-                    squares += root
-                    grad /= np.sqrt(squares, out=root)
-                    grad *= np.float32(self.rate)
-                    self.p[name][..., a:b] -= grad
+            def touched(name, view, at, grad, scale=scale):
+                grad *= scale
+                np.clip(grad, -CLIP, CLIP, out=grad)
+                squares, weights = view(self.squares[name]), view(self.p[name])
+                root = grad * grad
+                root += squares[at]
+                squares[at] = root
+                grad /= np.sqrt(root, out=root)
+                grad *= np.float32(self.rate)
+                weights[at] -= grad
 
             _, d = output(self.p, self.words, flat[real], targets.ravel()[real], grads, touched)
             d_states = np.zeros_like(flat)

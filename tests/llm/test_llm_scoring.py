@@ -201,3 +201,72 @@ def test_first_weights_do_not_depend_on_how_many_are_drawn_at_a_time(monkeypatch
     assert (whole["embed"] == (rng.standard_normal((51, gru.HIDDEN)) * 0.1).astype(np.float32)).all()
     monkeypatch.setattr(gru, "DRAWN", 7)
     assert all((whole[k] == v).all() for k, v in gru.initial(words).items())
+
+
+def grouped():
+    """Two classes whose words are told apart at once, and three of groups of 4 words, the last one of 2."""
+    words = gru.Words(np.array([50 - i for i in range(38)]), 4.0, classes=5, long=20, whole=3, group=4)
+    p = {k: v.astype(np.float64) for k, v in gru.initial(words, hidden=5, seed=1).items()}
+    rng = np.random.default_rng(0)
+    return words, {k: v + rng.standard_normal(v.shape) * 0.3 for k, v in p.items()}
+
+
+def test_a_long_list_has_groups_between_classes_and_words(monkeypatch):
+    words, p = grouped()
+    assert (words.whole, words.classes, words.first % 4) == (2, 5, words.columns % 4)
+    assert words.columns > words.size and p["wg"].shape == (5, words.groups[-1])
+    state = np.random.default_rng(3).standard_normal((1, 5))
+    for block in (1 << 18, 1):
+        monkeypatch.setattr(gru, "BLOCK", block)
+        total = sum(math.exp(gru.output(p, words, state.copy(), np.array([w]))[0][0]) for w in range(words.size + 1))
+        assert total == pytest.approx(1.0, abs=1e-6)
+    first = gru.initial(words)
+    logp, _ = gru.output(first, words, np.ones((39, gru.HIDDEN), np.float32), np.arange(39))
+    counts = np.append(words.counts, 4.0)
+    assert np.exp(logp) == pytest.approx(counts / counts.sum(), rel=1e-4)
+
+
+@pytest.mark.parametrize("block", [1 << 18, 60])
+def test_gradients_of_a_long_list_against_differences(monkeypatch, block):
+    monkeypatch.setattr(gru, "BLOCK", block)
+    monkeypatch.setattr(gru, "MANY", 2)
+    words, p = grouped()
+    rng = np.random.default_rng(4)
+    states, targets = rng.standard_normal((200, 5)), rng.integers(0, 39, 200)
+    targets[:30] = 37
+    grads = {}
+    _, d = gru.output(p, words, states, targets, grads)
+    for name, values, found in [*((k, p[k], grads[k]) for k in ("wc", "bc", "ww", "bw", "wg", "bg")), ("states", states, d)]:
+        for at in list(np.ndindex(values.shape))[:: max(1, values.size // 40)]:
+            keep, step, both = values[at], 1e-4, []
+            for values[at] in (keep + step, keep - step):
+                both.append(-gru.output(p, words, states, targets)[0].sum())
+            values[at] = keep
+            assert found[at] == pytest.approx((both[0] - both[1]) / (2 * step), abs=1e-4), (name, at)
+
+
+def test_time_of_an_output_does_not_grow_with_the_root_of_the_list():
+    """Numbers worked out for a word: classes, then words or groups of its class, then words of its group."""
+    rank = np.arange(1, 300_001)
+    words = gru.Words((1e7 / rank).astype(np.int64), 1e5)
+    share = words.counts / words.counts.sum()
+    fan = np.append(np.diff(words.bounds[:words.whole + 1]), np.diff(words.groups) + words.group) if words.whole < words.classes else np.diff(words.bounds)
+    assert words.classes + (share * fan[words.class_of[:-1]]).sum() < 250
+
+
+def test_windows_do_not_depend_on_how_many_are_cut_at_a_time(monkeypatch):
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(0, 8, n) for n in rng.integers(1, 300, 60)]
+
+    def windows():
+        streams, found = gru.Streams(0, 4, 16), []
+        for i, ids in enumerate(texts):
+            streams.add(i, ids)
+            found += list(streams.windows(False)) if i % 20 == 19 else []
+        return found + list(streams.windows(True))
+
+    several = windows()
+    monkeypatch.setattr(gru, "AHEAD", 1)
+    alone = windows()
+    assert len(several) == len(alone)
+    assert all((x == y).all() for a, b in zip(several, alone, strict=True) for x, y in zip(a, b, strict=True))
