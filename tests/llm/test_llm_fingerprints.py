@@ -55,7 +55,7 @@ def like(a, b, kept=64):
     return len(a & b & least) / len(least) if least else 1.0
 
 
-def brute(rows):
+def brute(rows, kept=64):
     tie = {r[1] or "": signed(xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42)) for r in rows}
     order = sorted(((r[0] is not None, r[0] or 0, tie[r[1] or ""], r[1] or "") for r in rows), reverse=True)
     out = []
@@ -63,8 +63,8 @@ def brute(rows):
         following = order[(at + 1) % len(order)][3]
         cut = len(text) // 3
         edited = text[:len(text) - cut] + following[:cut]
-        a, b, c = anchors(text), anchors(edited), anchors(following)
-        out.append((i if known else None, len(text), hashlib.sha256(edited.encode()).hexdigest(), printed(a), printed(b), like(a, b), like(a, c)))
+        a, b, c = (anchors(t, kept) for t in (text, edited, following))
+        out.append((i if known else None, len(text), hashlib.sha256(edited.encode()).hexdigest(), printed(a), printed(b), like(a, b, kept), like(a, c, kept)))
     return sorted(out, key=repr)
 
 
@@ -99,3 +99,13 @@ def test_no_python_in_the_plan(spark, tmp_path):
     documents(spark, edge_rows()).write.parquet(path)
     plan = fingerprints.compare_edited(spark.read.parquet(path), block_rows=8)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_the_query_takes_all_anchors(spark, tmp_path):
+    from marketspark.llm.queries import QUERIES
+
+    rows = edge_rows() + [(3000 + i, prose(i, 400) + " " + prose(i // 2, 300), "en", "a", 1) for i in range(12)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(r) for r in QUERIES["op13_fingerprints"](spark, str(tmp_path)).collect()]
+    assert max(len(r[3].split()) for r in got) > 1000
+    assert sorted(got, key=repr) == brute(rows, None)
