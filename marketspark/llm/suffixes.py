@@ -31,6 +31,8 @@ GROUP = 8 << 20
 BATCH = 48 << 10
 SHARD = 1 << 15
 SHARDS = 60_000
+#: Bytes of strings among which windows that recur are looked for.
+FILTERED = 1 << 17
 #: Bytes of strings that are copied at a time: each byte's place takes 8 bytes more than once.
 COPIED = 1 << 17
 #: Anchors after which a task hands them on.
@@ -326,18 +328,77 @@ def first_documents(docs: np.ndarray, multi: np.ndarray, sizes: np.ndarray, body
     return out
 
 
-def _batches(part: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
-    """Strings in batches of about BATCH bytes that never divide a part: equal windows share one."""
+def _batches(part: np.ndarray, sizes: np.ndarray, about: int) -> list[np.ndarray]:
+    """Strings in batches of ``about`` so many bytes that never divide a part: equal windows share one."""
+    if not len(part):
+        return []
     order = np.argsort(part, kind="stable")
     ends = np.flatnonzero(np.append(part[order][1:] != part[order][:-1], True)) + 1
     bytes_to = np.cumsum(sizes[order])[ends - 1]
-    batch = bytes_to // BATCH
+    batch = bytes_to // about
     cuts = ends[np.append(batch[1:] != batch[:-1], True)]
     return np.split(order, cuts[:-1])
 
 
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` numbers from ``first`` on, for each of them."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _recurring(size: np.ndarray, body: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Whether each window of the strings may be found in them again, and the runs of such windows.
+
+    Runs are given by string, place of the first window in ``body`` and number of windows. A window goes by
+    the hash of its bytes: one that is there again is never missed, and the merge tells the others.
+    """
+    starts, windows = np.cumsum(size) - size, size - DEPTH + 1
+    at = _spread(starts, windows)
+    mark = contents(body, at, np.full(len(at), DEPTH))
+    line = np.sort(mark)
+    again = _among(line[1:][line[1:] == line[:-1]], mark)
+    of = np.repeat(np.arange(len(size)), windows)[again]
+    at = at[again]
+    first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1] + 1) | (of[1:] != of[:-1])))) if len(at) else at
+    return again, of[first], at[first], np.diff(np.append(first, len(at)))
+
+
+def window_owners(docs: np.ndarray, multi: np.ndarray, size: np.ndarray, places: np.ndarray, part: np.ndarray, body: np.ndarray):
+    """Batches of the different strings, each with the first document of every window; NONE if only one doc has it.
+
+    Windows that no other string has belong to their string's documents. Runs of windows that recur are
+    strings of their own, equal ones are made one, and their transforms are merged.
+    """
+    batches = _batches(part, size, FILTERED)
+    recurs, runs = [], []
+    for own in batches:
+        data = _cut(body, places[own], size[own])
+        again, string, at, count = _recurring(size[own], data)
+        long, string = count + DEPTH - 1, own[string]
+        recurs.append(again)
+        runs.append((contents(data, at, long), part[string], docs[string], multi[string], long, _cut(data, at, long)))
+    marks, run_part, run_docs, run_multi, long, data = (np.concatenate(c) for c in zip(*runs, strict=True))
+    value = np.empty(0, np.int64)
+    each = np.empty(0, np.int64)
+    if len(marks):
+        at, distinct, least, several = _firsts(marks, run_docs, run_multi)
+        begins, own_size, windows = (np.cumsum(long) - long)[at], long[at], long[at] - DEPTH + 1
+        starts = np.cumsum(windows) - windows
+        value = np.empty(int(windows.sum()), np.int64)
+        for own in _batches(run_part[at], own_size, BATCH):
+            found = first_documents(least[own], several[own], own_size[own], _cut(data, begins[own], own_size[own]))
+            value[_spread(starts[own], windows[own])] = found[_spread(np.cumsum(own_size[own]) - own_size[own], windows[own])]
+        each = starts[np.searchsorted(distinct, marks)]
+    done = 0
+    for own, again, run in zip(batches, recurs, runs, strict=True):
+        count = run[4] - DEPTH + 1
+        owner = np.repeat(np.where(multi[own], docs[own], NONE), size[own] - DEPTH + 1)
+        owner[again] = value[_spread(each[done:done + len(count)], count)]
+        done += len(count)
+        yield own, owner
+
+
 def _owned(string: np.ndarray, size: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
-    """String, begin, end and owner of the runs of bytes with one owner; the strings lie one after the other."""
+    """String, begin, end and owner of the runs of windows with one owner; the strings' windows lie one after the other."""
     of = np.repeat(np.arange(len(size)), size)
     begin = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (of[1:] != of[:-1]))))
     end = np.append(begin[1:], len(owner))
@@ -360,10 +421,7 @@ def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     part = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["parts"]])
     at, distinct, least, several = _firsts(hashes, docs, multi)
     size, places = sizes[at], (np.cumsum(sizes) - sizes)[at]
-    found = [
-        _owned(own, size[own], first_documents(least[own], several[own], size[own], _cut(body, places[own], size[own])))
-        for own in _batches(part[at], size)
-    ]
+    found = [_owned(own, size[own] - DEPTH + 1, owner) for own, owner in window_owners(least, several, size, places, part[at], body)]
     of, begin, end, owner = (np.concatenate(c) for c in zip(*found, strict=True))
     order = np.argsort(of, kind="stable")
     of, begin, end, owner = of[order], begin[order], end[order], owner[order]

@@ -172,3 +172,49 @@ def test_a_merge_of_few_strings_takes_nine_steps(monkeypatch):
     monkeypatch.setattr(np, "sort", lambda x: sorts.append(len(x)) or sort(x))
     bwt.merged([np.zeros(100, np.uint64), np.zeros(50, np.uint64)])
     assert sorts == [150] * 9
+
+
+def edged(n, size, parts, seed):
+    """Strings around common pieces with other bytes at both ends, some strings with several documents."""
+    rng = np.random.default_rng(seed)
+    pieces = rng.integers(97, 123, (parts, size)).astype(np.uint8)
+    of = np.sort(rng.integers(0, parts, n))
+    ends = [(rng.integers(97, 123, rng.integers(0, 12)).astype(np.uint8), rng.integers(97, 123, rng.integers(0, 12)).astype(np.uint8)) for _ in of]
+    strings = [np.concatenate((a, pieces[p], b)) for p, (a, b) in zip(of, ends, strict=True)]
+    return strings, rng.permutation(n).astype(np.int64), rng.integers(0, 4, n) == 0, of.astype(np.uint8)
+
+
+def owners_of(strings, docs, multi, part):
+    sizes = np.array([len(x) for x in strings])
+    body = np.concatenate(strings)
+    out = [None] * len(strings)
+    for own, owner in suffixes.window_owners(docs, multi, sizes, np.cumsum(sizes) - sizes, part, body):
+        for i, found in zip(own, np.split(owner, np.cumsum(sizes[own] - 49)[:-1]), strict=True):
+            out[i] = found.tolist()
+    return out
+
+
+@pytest.mark.parametrize("filtered", [1 << 17, 500])
+@pytest.mark.parametrize("size", [45, 60])
+def test_owners_of_windows_of_recurring_runs(size, filtered, monkeypatch):
+    monkeypatch.setattr(suffixes, "FILTERED", filtered)
+    strings, docs, multi, part = edged(150, size, 9, size)
+    strings, docs, multi, part = zip(*[x for x in zip(strings, docs, multi, part, strict=True) if len(x[0]) >= 50], strict=True)
+    strings, docs, multi, part = list(strings), np.array(docs), np.array(multi), np.array(part)
+    own = {}
+    for text, doc, several in zip(strings, docs, multi, strict=True):
+        for k in range(len(text) - 49):
+            own.setdefault(text[k:k + 50].tobytes(), []).extend([doc, None] if several else [doc])
+    least = {w: min(d for d in found if d is not None) if len(set(found)) > 1 else suffixes.NONE for w, found in own.items()}
+    assert owners_of(strings, docs, multi, part) == [[least[t[k:k + 50].tobytes()] for k in range(len(t) - 49)] for t in strings]
+
+
+def test_only_what_recurs_is_merged(monkeypatch):
+    """Of strings that differ around a common piece the piece alone is merged, and once."""
+    given, merge = [], suffixes.first_documents
+    monkeypatch.setattr(suffixes, "first_documents", lambda *a: given.append(int(a[2].sum())) or merge(*a))
+    piece = np.random.default_rng(3).integers(97, 123, 60).astype(np.uint8)
+    strings = [np.concatenate((np.full(12, 128 + i, np.uint8), piece, np.full(12, 128 + i, np.uint8))) for i in range(40)]
+    found = owners_of(strings, np.arange(40) + 5, np.zeros(40, bool), np.zeros(40, np.uint8))
+    assert given == [60]
+    assert found == [[suffixes.NONE] * 12 + [5] * 11 + [suffixes.NONE] * 12] * 40
