@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import kept
+from marketspark.llm.common import kept, sliced, tidy
 
 #: N-grams of a profile and of a text's own list.
 PROFILE = 300
@@ -29,7 +29,7 @@ def letters() -> np.ndarray:
 
 
 def ngrams(text: str | None) -> np.ndarray:
-    """Codes of the letters, pairs and triples of the lower-cased words, in a sorted array.
+    """Codes of the letters, pairs and triples of the lower-cased words, in no order.
 
     A word is a run of letters; its edges count as a character, so that triples know them.
     """
@@ -46,9 +46,7 @@ def ngrams(text: str | None) -> np.ndarray:
     shift = np.uint64(21)
     two = (a[:-1] << shift) | a[1:]
     three = ((two[:-1] << shift) | a[2:])[a[1:-1] != EDGE]
-    codes = np.concatenate((a[a != EDGE], two, three))
-    codes.sort()
-    return codes
+    return np.concatenate((a[a != EDGE], two, three))
 
 
 def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +57,7 @@ def counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def ranked_ngrams(text: str | None, size: int = PROFILE) -> np.ndarray:
     """The text's most frequent n-grams, most frequent first, equal counts by code."""
-    codes, counts = counted(ngrams(text))
+    codes, counts = counted(np.sort(ngrams(text)))
     return codes[np.argsort(-counts, kind="stable")[:size]]
 
 
@@ -75,7 +73,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting.clear()
 
     held = 0
-    for batch in batches:
+    for batch in sliced(batches):
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
             codes = ngrams(text)
             if len(codes):
@@ -90,7 +88,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def profiles(labelled: DataFrame, *, text: str = "text", lang: str = "lang", size: int = PROFILE) -> DataFrame:
     """lang, code, rank (from 0): the ``size`` most frequent n-grams of all texts of each language."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = rows.mapInArrow(_count_task, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(tidy(_count_task), "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     # compared with the place itself, so that Spark keeps so many a task before the shuffle
     return counts.withColumn("place", place).where(F.col("place") <= size).select("lang", "code", (F.col("place") - 1).alias("rank"))
@@ -137,7 +135,7 @@ def identify(rows: DataFrame, learned: DataFrame, *, text: str = "text", size: i
 
     def task(batches):
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             given = batch.column("row").field(text).to_pylist()
             found = [model.predict(t) for t in given]
             yield pa.RecordBatch.from_arrays(
@@ -146,7 +144,7 @@ def identify(rows: DataFrame, learned: DataFrame, *, text: str = "text", size: i
                 ["row", "lang_pred", "score", "letters"],
             )
 
-    return inner.mapInArrow(task, schema)
+    return inner.mapInArrow(tidy(task), schema)
 
 
 def held_out(key: Column, folds: int = 4, fold: int = 2) -> Column:

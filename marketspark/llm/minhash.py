@@ -5,14 +5,14 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketspark.llm.common import forget, kept, unused
+from marketspark.llm.common import forget, kept, tidy, unused
 from marketspark.llm.graph import components
 from marketspark.llm.hashing import U, mix, shingle_sets
 
@@ -30,6 +30,8 @@ COUNTERS = 1 << 16
 #: Rows and shingles of one side of a block of a posting list.
 BLOCK = 2000
 BLOCK_ITEMS = 1 << 21
+#: Rows that a task hands on together.
+HANDED = 10_000
 #: Ids that are broadcast at most (8 bytes each).
 SMALL_IDS = 2_000_000
 #: Rows of the larger side that follow one copy of a hub's set.
@@ -72,7 +74,7 @@ def signatures(docs: DataFrame, *, key: str = "doc_id", text: str = "text", word
     Shingles are compared by 64-bit hashes of their words.
     """
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.mapInArrow(_signatures(words), "doc_id bigint, n_shingles bigint, low bigint, high bigint, signature binary")
+    return rows.mapInArrow(tidy(_signatures(words)), "doc_id bigint, n_shingles bigint, low bigint, high bigint, signature binary")
 
 
 def _matrix(column) -> np.ndarray:
@@ -152,16 +154,49 @@ def agreeing(pairs: DataFrame, reps: DataFrame, matches: int = MATCHES) -> DataF
     return pairs.join(two, "b").join(one, "a").select("a", "b", "sa", "sb").mapInArrow(_agree(matches), "a bigint, b bigint")
 
 
-def _near(rows: pd.DataFrame, low: int, high: int, matches: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """For rows of two blocks, in the order of set sizes, each row and the later ones that agree with it.
+class Tile(NamedTuple):
+    """Rows of two blocks of a list, in the order of set sizes and ids."""
+
+    ids: np.ndarray
+    names: np.ndarray
+    sizes: np.ndarray
+    blocks: np.ndarray
+    marks: np.ndarray
+
+
+def _read(batch: pa.RecordBatch | pa.Table) -> Tile:
+    ids, names, sizes, blocks = (batch.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "block"))
+    return Tile(ids, names, sizes, blocks, _matrix(batch.column("signature").to_pylist()))
+
+
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int, int], Tile]]:
+    """Key (hub, low, high) and rows of every tile of a task, whose rows come in that order."""
+    held, parts = None, []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, rows = [batch.column(c).to_numpy() for c in ("hub", "low", "high")], _read(batch)
+        begins = np.flatnonzero(np.concatenate(([True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys]))))
+        for a, b in zip(begins, np.append(begins[1:], batch.num_rows), strict=True):
+            key = tuple(int(k[a]) for k in keys)
+            if parts and key != held:
+                yield held, Tile(*(c[0] if len(c) == 1 else np.concatenate(c) for c in zip(*parts, strict=True)))
+                parts = []
+            held = key
+            parts.append(Tile(*(c[a:b] for c in rows)))
+    if parts:
+        yield held, Tile(*(c[0] if len(c) == 1 else np.concatenate(c) for c in zip(*parts, strict=True)))
+
+
+def _near(rows: Tile, low: int, high: int, matches: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For the rows of a tile each row and the later ones that agree with it.
 
     Only pairs across the two blocks, of different components, and of sets neither of which is too large for
     the other are looked at; a row is the same as one of a set of its size.
     """
-    marks, names = _matrix(rows["signature"]), rows["component"].to_numpy()
-    sizes, right = rows["n_shingles"].to_numpy(), rows["block"].to_numpy() == high
+    marks, names, sizes, right = rows.marks, rows.names, rows.sizes, rows.blocks == high
     ends = np.searchsorted(sizes * percent, sizes * 100, side="right")
-    for i in range(len(rows)):
+    for i in range(len(sizes)):
         near = slice(i + 1, ends[i])
         hits = (marks[near] == marks[i]).sum(axis=1, dtype=np.uint8) >= matches
         if hits.any():
@@ -170,16 +205,29 @@ def _near(rows: pd.DataFrame, low: int, high: int, matches: int, percent: int) -
 
 
 def _met_task(matches: int, percent: int):
-    """The rows of two blocks that agree with another one."""
-    def task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        hub, low, high = key
-        rows = rows.sort_values(["n_shingles", "doc_id"], kind="stable")
-        met = np.zeros(len(rows), bool)
-        for i, others in _near(rows, low, high, matches, percent):
-            met[others] = True
-            met[i] |= len(others) > 0
-        found = rows[met][["doc_id", "block"]]
-        return found.assign(hub=hub, low=low, high=high)[["hub", "low", "high", "doc_id", "block"]]
+    """The rows of each tile that agree with another one; rows come by tile, size of the set and id."""
+    def handed(found: list[tuple]) -> pa.RecordBatch:
+        keys, ids, blocks = zip(*found, strict=True)
+        keys = np.repeat(np.array(keys, np.int64), [len(x) for x in ids], axis=0)
+        return pa.record_batch(
+            [pa.array(keys[:, 0]), pa.array(keys[:, 1].astype(np.int32)), pa.array(keys[:, 2].astype(np.int32)),
+             pa.array(np.concatenate(ids)), pa.array(np.concatenate(blocks))], ["hub", "low", "high", "doc_id", "block"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
+        for key, rows in _tiles(batches):
+            met = np.zeros(len(rows.ids), bool)
+            for i, others in _near(rows, *key[1:], matches, percent):
+                met[others] = True
+                met[i] |= len(others) > 0
+            if met.any():
+                found.append((key, rows.ids[met], rows.blocks[met]))
+                held += len(found[-1][1])
+            if held >= HANDED:
+                yield handed(found)
+                found, held = [], 0
+        if found:
+            yield handed(found)
 
     return task
 
@@ -189,11 +237,13 @@ def _link_task(matches: int, percent: int):
 
     Rows that a link has brought together already are not compared again.
     """
-    def task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, low, high = key
-        rows = rows.sort_values(["n_shingles", "doc_id"], kind="stable").reset_index(drop=True)
-        sets, ids = [np.frombuffer(x, np.uint64) for x in rows["items"]], rows["doc_id"].to_numpy()
-        _, root = np.unique(rows["component"].to_numpy(), return_inverse=True)
+    def task(key: tuple, table: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        order = np.lexsort((table.column("doc_id").to_numpy(), table.column("n_shingles").to_numpy()))
+        rows = Tile(*(c[order] for c in _read(table)))
+        items = table.column("items").to_pylist()
+        sets, ids = [np.frombuffer(items[i], np.uint64) for i in order], rows.ids
+        _, root = np.unique(rows.names, return_inverse=True)
         found = []
         for i, others in _near(rows, low, high, matches, percent):
             for j in others:
@@ -204,7 +254,8 @@ def _link_task(matches: int, percent: int):
                 if 100 * both >= percent * (len(small) + len(large) - both):
                     found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
                     root[root == root[j]] = root[i]
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+        a, b = zip(*found, strict=True) if found else ([], [])
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return task
 
@@ -231,14 +282,15 @@ def crossing(posted: DataFrame, reps: DataFrame, named: DataFrame, docs: DataFra
     )
     tile = ["hub", "low", "high"]
     tasks = int(spread.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = spread.repartition(tasks, *tile)  # little data, much work: not to be merged into few tasks
-    met = dealt.groupBy(*tile).applyInPandas(_met_task(matches, percent), "hub bigint, low int, high int, doc_id bigint, block int")
+    # little data, much work: not to be merged into few tasks
+    dealt = spread.repartition(tasks, *tile).sortWithinPartitions(*tile, "n_shingles", "doc_id")
+    met = dealt.mapInArrow(tidy(_met_task(matches, percent)), "hub bigint, low int, high int, doc_id bigint, block int")
     met = kept(met, "near-met")
     sets = shingles_of(met.select("doc_id"), docs, key=key, text=text, words=words)
     marked = members.select("hub", F.col("doc_id").alias("_of"), "component", "n_shingles", "signature")
     brought = met.join(marked.withColumnRenamed("hub", "_hub"), (F.col("hub") == F.col("_hub")) & (F.col("doc_id") == F.col("_of"))).drop("_hub", "_of")
     brought = brought.join(sets, "doc_id").repartition(tasks, *tile)
-    links = kept(brought.groupBy(*tile).applyInPandas(_link_task(matches, percent), "a bigint, b bigint").distinct(), "near-links")
+    links = kept(brought.groupBy(*tile).applyInArrow(_link_task(matches, percent), "a bigint, b bigint").distinct(), "near-links")
     for table in (members, met, sets):
         forget(table)
     return links
@@ -260,7 +312,7 @@ def shingles_of(ids: DataFrame, docs: DataFrame, *, key: str, text: str, words:
     small = ids.count() <= SMALL_IDS
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.join(F.broadcast(ids) if small else ids, F.col("doc_id") == F.col("_id"), "left_semi")
-    sets = kept(rows.mapInArrow(_sets(words), "doc_id bigint, items binary").dropDuplicates(["doc_id"]), "near-sets")
+    sets = kept(rows.mapInArrow(tidy(_sets(words)), "doc_id bigint, items binary").dropDuplicates(["doc_id"]), "near-sets")
     forget(ids)
     return sets
 
@@ -301,7 +353,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, *, key: str, text: str, words:
         "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("bigint").alias("b"), "items"
     )
     lined = hubs.unionByName(partners).repartition("a", "salt").sortWithinPartitions("a", "salt", F.asc_nulls_first("b"))
-    links = kept(lined.mapInArrow(_confirm(percent), "a bigint, b bigint"), "near-links")
+    links = kept(lined.mapInArrow(tidy(_confirm(percent)), "a bigint, b bigint"), "near-links")
     forget(sets)
     return links
 

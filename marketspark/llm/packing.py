@@ -13,6 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketspark.llm.common import tidy
+
 CAPACITY = 1024
 END = 0
 #: Pieces of text whose ids a worker remembers, and the longest of them.
@@ -93,7 +95,11 @@ class Encoder:
         return [array("I", self.short(text)).tobytes() for text in texts]
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts, the fastest way that this vocabulary allows."""
+        """Ids of whole texts, the fastest way that this vocabulary allows; equal texts are encoded once."""
+        different = list(dict.fromkeys(texts))
+        if len(different) < len(texts):
+            known = dict(zip(different, self.ids(different), strict=True))
+            return [known[t] for t in texts]
         if self.short is None:
             return self.encode(texts)
         odd = [any(t in text for t in self.added) for text in texts]
@@ -312,4 +318,4 @@ def pack(docs: DataFrame, *, tokenizer: str, key: str = "doc_id", text: str = "t
         packer.finish()
         yield packer.taken()
 
-    return rows.mapInArrow(task, OUT)
+    return rows.mapInArrow(tidy(task), OUT)

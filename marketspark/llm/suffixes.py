@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketspark.llm.bwt import DEPTH, STOP, Shard, common_prefixes
-from marketspark.llm.common import kept
+from marketspark.llm.common import give_back, kept, tidy
 from marketspark.llm.hashing import U, mix, powers, texts
 
 ANCHOR = 16
@@ -411,6 +411,12 @@ def _owned(string: np.ndarray, size: np.ndarray, owner: np.ndarray) -> tuple[np.
 
 def _merge_task(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """For each group of documents and stretch: runs of windows that have an earlier owner."""
+    out = _owned_runs(rows)
+    give_back()
+    return out
+
+
+def _owned_runs(rows: pd.DataFrame) -> pd.DataFrame:
     lengths = [len(x) // 8 for x in rows["hashes"]]
     groups = np.repeat(rows["g"].to_numpy(), lengths)
     hashes = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["hashes"]])
@@ -459,7 +465,7 @@ def removed_bytes(ids, known, data, offsets, hashes, begins, ends, owners, bucke
 
 
 def _apply_task(finish, schema: pa.Schema, buckets: int, hot: np.ndarray):
-    def task(docs: pa.Table, runs: pa.Table) -> pa.Table:
+    def cut(docs: pa.Table, runs: pa.Table) -> pa.Table:
         columns = [
             np.frombuffer(b"".join(runs.column(c).to_pylist()), t)
             for c, t in (("hashes", np.uint64), ("begins", np.uint8), ("ends", np.uint8), ("owners", np.int64))
@@ -473,6 +479,11 @@ def _apply_task(finish, schema: pa.Schema, buckets: int, hot: np.ndarray):
             out.append(finish(batch.slice(first, end - first), data, offsets, mask))
         return pa.Table.from_batches(out, schema) if out else schema.empty_table()
 
+    def task(docs: pa.Table, runs: pa.Table) -> pa.Table:
+        out = cut(docs, runs)
+        give_back()
+        return out
+
     return task
 
 
@@ -511,7 +522,7 @@ def _removal(rows: DataFrame, carried: list[str], finish, names: list[tuple[str,
     buckets = 2 * groups
     dealt = rows.withColumn("g", F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0))), F.lit(groups)).cast("bigint"))
     narrow = dealt.where("doc_id is not null").select("g", F.coalesce("text", F.lit("")).alias("text"))
-    anchors = narrow.mapInArrow(_anchor_task(buckets), "bucket bigint, anchors binary, groups binary, counts binary")
+    anchors = narrow.mapInArrow(tidy(_anchor_task(buckets)), "bucket bigint, anchors binary, groups binary, counts binary")
     shared = kept(anchors.groupBy("bucket").applyInPandas(_shared_anchors(hot), "g bigint, bucket bigint, anchors binary"), "shared-anchors")
     many = _keys_of((r["bucket"], r["anchors"]) for r in shared.where("g < 0").select("bucket", "anchors").collect())
     shared = shared.where("g >= 0")
@@ -525,6 +536,7 @@ def _removal(rows: DataFrame, carried: list[str], finish, names: list[tuple[str,
 def _with_group(pair, task) -> DataFrame:
     def named(key, docs: pa.Table, other: pa.Table) -> pa.Table:
         out = task(docs, other)
+        give_back()
         return out.append_column("g", pa.array([key[0].as_py()] * out.num_rows, pa.int64()))
 
     return pair.applyInArrow(named, "bucket bigint, parts binary, hashes binary, docs binary, multi binary, sizes binary, body binary, g bigint")

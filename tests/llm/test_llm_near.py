@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import by_id, documents, edge_rows, prose
 
@@ -210,3 +211,29 @@ def test_least_shares_that_signatures_do_not_cover_are_refused():
     assert minhash.enough(80) == 36
     with pytest.raises(ValueError, match="percent"):
         minhash.enough(5)
+
+
+@pytest.mark.parametrize("rows_a_batch", [1, 3, 1000])
+def test_tiles_come_whole_from_batches_of_any_size(rows_a_batch):
+    """Many small lists are met by one task, row by row the same as each list alone."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for hub in range(40):
+        base = rng.integers(0, 1 << 32, 64, dtype=np.uint32)
+        for i in range(int(rng.integers(1, 9))):
+            mark = base.copy()
+            other = int(rng.integers(0, 60))
+            mark[:other] = rng.integers(0, 1 << 32, other, dtype=np.uint32)
+            rows.append((hub, 0, hub % 2, hub * 100 + i, i % 3, i % 2 if hub % 2 else 0, 50 + i // 2, mark))
+    names = ["hub", "low", "high", "doc_id", "component", "block", "n_shingles", "signature"]
+    table = pa.table([*(pa.array([r[c] for r in rows], pa.int64()) for c in range(7)), pa.array([r[7].tobytes() for r in rows])], names)
+    expected = set()
+    for a in rows:
+        for b in rows:
+            apart = a[0] == b[0] and a[4] != b[4] and (a[1] == a[2] or a[5] != b[5])
+            if apart and (a[7] == b[7]).sum() >= 30 and 100 * min(a[6], b[6]) >= 80 * max(a[6], b[6]):
+                expected.add((*a[:4], a[5]))
+    found = minhash._met_task(30, 80)(iter(table.to_batches(max_chunksize=rows_a_batch)))
+    found = [tuple(r.values()) for batch in found for r in batch.to_pylist()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert 20 < len(expected) < len(rows)

@@ -112,3 +112,13 @@ def test_new_words_take_no_call_each(plain):
     assert len(calls) <= len(texts)
     own.short = None
     assert [np.frombuffer(x, "<u4").tolist() for x in own.ids(texts)] == got
+
+
+def test_equal_texts_are_encoded_once(plain, monkeypatch):
+    own, given = packing.Encoder(tokenizer()), []
+    short = own.short
+    monkeypatch.setattr(own, "short", lambda text: given.append(text) or short(text))
+    texts = [prose(1, 20), "", prose(1, 20), "a <|endoftext|> b", prose(2, 5), "", "a <|endoftext|> b"]
+    found = own.ids(texts)
+    assert sorted(given) == sorted({prose(1, 20), "", prose(2, 5)})
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
